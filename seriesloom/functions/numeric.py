@@ -21,7 +21,7 @@ def log10_rounded(value: Column, digits: int = 6) -> Column:
 
 def percent(part: Column, whole: Column, digits: int = 1) -> Column:
     """Share in percent, rounded half up."""
-    return F.round(part / whole * 100, digits)
+    return F.round(part * 100 / whole, digits)
 
 
 def cosine(left: Column, right: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from itertools import combinations
 
 from pyspark.ml.classification import (
@@ -27,6 +28,14 @@ from seriesloom.session import scratch_path
 MAX_TREE_DEPTH = 30
 
 
+@dataclass(frozen=True)
+class LinearWeights:
+    """A linear decision function kept outside a model."""
+
+    coefficients: Sequence[float]
+    intercept: float
+
+
 def fit_linear_svc(train: DataFrame, c: float = 1.0, features: str = "features", label: str = "label", n: int | None = None) -> LinearSVCModel:
     """Linear support vector classifier with penalty ``c`` on the summed hinge loss."""
     rows = train.count() if n is None else n
@@ -35,7 +44,7 @@ def fit_linear_svc(train: DataFrame, c: float = 1.0, features: str = "features",
     )
 
 
-def margin_column(model: LinearSVCModel, columns: Sequence[str | Column]) -> Column:
+def margin_column(model: LinearSVCModel | LinearWeights, columns: Sequence[str | Column]) -> Column:
     """Signed margin from plain columns; no vector is built."""
     total = F.lit(float(model.intercept))
     for weight, column in zip(model.coefficients, columns):
@@ -148,7 +157,7 @@ def fit_dense(
     ).fit(train)
 
 
-def margin_grid(spark, limits: tuple[tuple[float, float], tuple[float, float]], model: LinearSVCModel, names: Sequence[str], steps: int = 100) -> DataFrame:
+def margin_grid(spark, limits: tuple[tuple[float, float], tuple[float, float]], model: LinearSVCModel | LinearWeights, names: Sequence[str], steps: int = 100) -> DataFrame:
     """Signed margin on a ``steps`` x ``steps`` grid over two features; the grid is made by Spark."""
 
     def axis(index: Column, low: float, high: float) -> Column:
@@ -162,7 +171,7 @@ def margin_grid(spark, limits: tuple[tuple[float, float], tuple[float, float]],
     return points.withColumn("margin", margin_column(model, list(names)))
 
 
-def margins(df: DataFrame, columns: Sequence[str], model: LinearSVCModel) -> DataFrame:
+def margins(df: DataFrame, columns: Sequence[str], model: LinearSVCModel | LinearWeights) -> DataFrame:
     """Signed margin of every row."""
     return df.withColumn("margin", margin_column(model, columns))
 
