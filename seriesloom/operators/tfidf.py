@@ -7,6 +7,7 @@ the norm then run in that partitioning.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.functions import array_to_vector
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
@@ -97,8 +98,9 @@ def checked_corpus(docs: DataFrame, vocabulary: DataFrame, doc_id: str, text: st
 def term_map(weights: DataFrame, vocabulary: DataFrame, doc_id: str, k: int = 2) -> DataFrame:
     """Coordinates of the terms on the ``k`` main axes of the document-term matrix.
 
-    A truncated SVD of the sparse rows; each axis is turned so that its largest entry is positive.
-    ``vocabulary`` is the top-term list (100 by default), so its index and the result are small.
+    The right singular vectors times the singular values, each axis turned so that its largest entry
+    is positive. One pass over the documents sums the term-by-term products; what is left is a matrix
+    of the size of ``vocabulary``, the list of top terms (100 by default), squared.
     """
     spark = weights.sparkSession
     numbered = vocabulary.select("term").withColumn("i", F.row_number().over(Window.orderBy("term")) - 1)
@@ -108,12 +110,11 @@ def term_map(weights: DataFrame, vocabulary: DataFrame, doc_id: str, k: int = 2)
     rows = indexed.groupBy(doc_id).agg(entries.alias("m"))
     dense = F.transform(F.sequence(F.lit(0), F.lit(len(terms) - 1)), lambda i: F.coalesce(F.element_at("m", i), F.lit(0.0)))
     vectors = rows.select(array_to_vector(dense).alias("v"))
-    svd = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "v")).computeSVD(k)
-    axes, strength = svd.V.toArray(), svd.s.toArray()
-    for j in range(axes.shape[1]):
-        if axes[abs(axes[:, j]).argmax(), j] < 0:
-            axes[:, j] = -axes[:, j]
-    points = axes * strength
+    gram = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "v")).computeGramianMatrix().toArray()
+    power, axes = np.linalg.eigh(gram)
+    axes, power = axes[:, ::-1][:, :k], power[::-1][:k]
+    turn = np.sign(axes[np.abs(axes).argmax(axis=0), range(axes.shape[1])])
+    points = axes * turn * np.sqrt(np.maximum(power, 0.0))
     names = ["term"] + [f"axis{j + 1}" for j in range(points.shape[1])]
     return spark.createDataFrame(
         [(t, *map(float, points[i])) for i, t in enumerate(terms)], ", ".join([f"{names[0]} string"] + [f"{c} double" for c in names[1:]])

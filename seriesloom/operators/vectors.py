@@ -56,13 +56,15 @@ def anchor_similarity(df: DataFrame, vector: str, anchors: DataFrame, names: Map
     picked = [F.max(F.when(F.col("name") == a, F.col("v"))).alias(f"a{i}") for i, a in enumerate(names)]
     table = wide.agg(*picked)
     norms = [F.sqrt(_dot(F.col(f"a{i}"), F.col(f"a{i}"))).alias(f"n{i}") for i in range(len(names))]
-    fixed = table.select(F.struct("*", *norms).alias("anchors")).scalar()
-    with_norm = df.withColumn("_v", F.col(vector).cast("array<double>")).withColumn("_norm", F.sqrt(_dot(F.col("_v"), F.col("_v"))))
+    fixed = F.col("_anchors")
+    packed = table.select(F.struct("*", *norms).alias("anchors")).scalar()
+    with_norm = df.withColumns({"_v": F.col(vector).cast("array<double>"), "_anchors": packed})
+    with_norm = with_norm.withColumn("_norm", F.sqrt(_dot(F.col("_v"), F.col("_v"))))
     cosines = {
         column: _dot(F.col("_v"), fixed[f"a{i}"]) / F.nullif(F.col("_norm") * fixed[f"n{i}"], F.lit(0.0))
         for i, column in enumerate(names.values())
     }
-    return with_norm.withColumns(cosines).drop("_v", "_norm")
+    return with_norm.withColumns(cosines).drop("_v", "_norm", "_anchors")
 
 
 def document_similarity(

@@ -1,0 +1,361 @@
+"""Queries over documents and pages: extraction, corpus statistics, TF-IDF, vectors."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from seriesloom.functions.text import join_words, spaced_tokens
+from seriesloom.operators import pages, profile, relational, tfidf, vectors, wordstats
+from seriesloom.plans import news_score
+from seriesloom.registry.base import SPACES, query
+from seriesloom.session import materialise, scratch_path
+from seriesloom.sources import store
+from seriesloom.sources.readers import read_table
+
+# ---- pages
+
+_UNESCAPE_SQL = "{}"
+for _entity, _char in pages.ENTITIES.items():
+    _UNESCAPE_SQL = "replace(" + _UNESCAPE_SQL + f", '{_entity}', '{_char.replace(chr(39), chr(39) * 2)}')"
+
+_STRIP_SQL = (
+    r"trim(regexp_replace("
+    + _UNESCAPE_SQL.format(
+        r"regexp_replace(regexp_replace({}, '(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>', '', 'g'), '(?s)<[^>]*>', ' ', 'g')"
+    )
+    + f", '{SPACES}', ' ', 'g'))"
+)
+
+
+def _text_sql(tag: str) -> str:
+    inner = rf"regexp_extract(html, '(?is)<{tag}\b[^>]*>(.*?)</{tag}>', 1)"
+    return _STRIP_SQL.replace("{}", inner)
+
+
+@query(f"SELECT page_id, {_text_sql('article')} AS section FROM pages")
+def article_bodies(spark, d):
+    """Body text by the rules of five publishers, each ending in the plain article container."""
+    rules = {i: (*chain, pages.BodyRule("article")) for i, chain in pages.BODY_RULES.items()}
+    publisher = F.pmod(F.col("page_id"), F.lit(len(rules)))
+    found = pages.article_bodies(read_table(spark, d, "pages"), "html", rules, publisher)
+    return found.select("page_id", "section")
+
+
+_FRENCH = _STRIP_SQL.replace("{}", r"""regexp_extract(html, '(?is)<html\b[^>]*\blang="fr"[^>]*>(.*)', 1)""")
+
+
+@query(f"SELECT page_id, {_FRENCH} AS section FROM pages WHERE {_FRENCH} <> ''")
+def articles_with_body(spark, d):
+    """Pages that give a body by a rule only the French ones satisfy."""
+    body = pages.extract_body(F.col("html"), [pages.BodyRule("html", "lang", "fr")])
+    return pages.with_body(read_table(spark, d, "pages").select("page_id", body.alias("section")))
+
+
+@query(
+    r"""WITH i AS (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<li><a\b.*?</li>')) AS item,
+      unnest(range(len(regexp_extract_all(html, '(?is)<li><a\b.*?</li>')))) AS position FROM pages)
+    SELECT page_id, CAST(position AS INTEGER) AS position, """
+    + _UNESCAPE_SQL.format("regexp_extract(item, 'href=\"([^\"]*)\"', 1)") + " AS url, "
+    + _UNESCAPE_SQL.format("regexp_extract(item, '>([^<]*)</a>', 1)") + " AS title FROM i"
+)
+def list_items(spark, d):
+    """One row per list entry of every page."""
+    fields = {"url": 'href="([^"]*)"', "title": ">([^<]*)</a>"}
+    return pages.items(read_table(spark, d, "pages"), ["page_id"], "html", r"(?is)<li><a\b.*?</li>", fields)
+
+
+@query(
+    """SELECT p.page_id, q.url AS alternate_url, CAST(length(q.html) AS INTEGER) AS n_chars
+    FROM pages p JOIN pages q ON q.page_id = p.page_id // 3"""
+)
+def alternate_page(spark, d):
+    """Pages given a link to an earlier page, and the length of the page behind the link."""
+    table = read_table(spark, d, "pages")
+    target = table.select(F.col("page_id").alias("to"), F.col("url").alias("to_url"))
+    linked = table.withColumn("to", F.floor(F.col("page_id") / 3)).join(target, "to")
+    address = F.replace(F.col("to_url"), F.lit("&"), F.lit("&amp;"))
+    link = F.concat(F.lit('<link rel="amphtml" href="'), address, F.lit('">'))
+    html = F.concat(link, F.col("html"))
+    followed = pages.follow_alternate(linked.select("page_id", "url", html.alias("html")))
+    length = F.length("alternate_html") - F.length(F.regexp_extract("alternate_html", "^<link[^>]*>", 0))
+    return followed.select("page_id", "alternate_url", length.alias("n_chars"))
+
+
+# ---- word statistics
+
+_TOKENS = f"""tok AS (SELECT doc_id, generate_subscripts(words, 1) AS pos, unnest(words) AS token FROM
+    (SELECT doc_id, list_filter(string_split(trim(regexp_replace(text, '{SPACES}', ' ', 'g')), ' '), lambda t: t <> '') AS words FROM documents))"""
+_COUNTS = f"{_TOKENS}, counts AS (SELECT token, CAST(count(*) AS BIGINT) AS n FROM tok GROUP BY 1)"
+_COHESION = """cohesion AS (SELECT prefix AS token, CAST(freq AS BIGINT) AS freq, pow(freq / first_n, 1e0 / (length(prefix) - 1)) AS score
+    FROM (SELECT substr(token, 1, k) AS prefix, sum(n) AS freq FROM
+            (SELECT token, n, unnest(range(2, least(length(token), 10) + 1)) AS k FROM counts) GROUP BY 1) p
+    JOIN (SELECT substr(token, 1, 1) AS f, sum(n) AS first_n FROM counts GROUP BY 1) c ON c.f = substr(p.prefix, 1, 1)
+    WHERE freq >= 100 AND pow(freq / first_n, 1e0 / (length(prefix) - 1)) >= 0.05)"""
+
+# What a right part says about its left part; the user's table in real use.
+RIGHT_PARTS = [
+    ("s", 1), ("es", 1), ("tion", 1), ("er", 1), ("e", 1), ("ment", 1), ("ein", 1), ("ón", 1),
+    ("ed", -1), ("ing", -1), ("en", -1), ("ly", -1), ("te", -1), ("re", -1),
+]
+_RIGHT = "right_parts(r, polarity) AS (VALUES " + ", ".join(f"('{r}', {p})" for r, p in RIGHT_PARTS) + ")"
+_NOUNS = f"""{_RIGHT}, nouns AS (SELECT token, CAST(pos AS BIGINT) AS pos, CAST(neg AS BIGINT) AS neg, (pos - neg) / (pos + neg) AS score FROM
+    (SELECT l AS token, sum(CASE WHEN polarity > 0 THEN n ELSE 0 END) AS pos, sum(CASE WHEN polarity < 0 THEN n ELSE 0 END) AS neg FROM
+      (SELECT substr(token, 1, k) AS l, substr(token, k + 1) AS r, n FROM
+        (SELECT token, n, unnest(range(1, least(length(token), 10) + 1)) AS k FROM counts)) s
+      JOIN right_parts USING (r) WHERE length(r) <= 9 GROUP BY 1) WHERE (pos - neg) / (pos + neg) >= 0.3)"""
+_COMBINED = """combined AS (SELECT token, CASE WHEN nouns.score IS NOT NULL THEN nouns.score + coalesce(cohesion.score, 0) ELSE cohesion.score END AS score
+    FROM nouns FULL JOIN cohesion USING (token))"""
+_LEFTS = """lefts AS (SELECT token, arg_max(prefix, {'s': coalesce(score, 0e0), 'l': length(prefix)}) AS lft FROM
+    (SELECT c.token, substr(c.token, 1, k) AS prefix FROM
+      (SELECT token, unnest(range(2, length(token) + 1)) AS k FROM counts WHERE length(token) > 2) c) x
+    LEFT JOIN (SELECT token AS prefix, score FROM combined) y USING (prefix) GROUP BY token
+    UNION ALL SELECT token, token FROM counts WHERE length(token) <= 2)"""
+
+
+def _docs(spark, d):
+    return read_table(spark, d, "documents").select("doc_id", "text")
+
+
+def _counts(spark, d):
+    return wordstats.token_counts(_docs(spark, d), spaced_tokens(F.col("text")))
+
+
+def _right_parts(spark):
+    return relational.parameter_table(spark, RIGHT_PARTS, "r string, polarity int")
+
+
+@query(f"WITH {_COUNTS} SELECT token, n FROM counts ORDER BY n DESC, token LIMIT 200")
+def top_words(spark, d):
+    """The 200 most frequent tokens."""
+    return wordstats.top_words(_docs(spark, d), spaced_tokens(F.col("text")), 200)
+
+
+@query(f"WITH {_COUNTS}, {_COHESION} SELECT token, freq, round(score, 9) AS score FROM cohesion")
+def word_cohesion(spark, d):
+    """Forward cohesion of frequent prefixes."""
+    return wordstats.cohesion_scores(_counts(spark, d)).withColumn("score", F.round("score", 9))
+
+
+@query(
+    f"""WITH {_COUNTS}, nexts AS (SELECT substr(token, 1, k) AS token, substr(token, k + 1, 1) AS nx, sum(n) AS c FROM
+      (SELECT token, n, unnest(range(1, least(length(token) - 1, 10) + 1)) AS k FROM counts) GROUP BY 1, 2),
+    p AS (SELECT *, c / sum(c) OVER (PARTITION BY token) AS share FROM nexts)
+    SELECT token, CAST(sum(c) AS BIGINT) AS freq, CAST(count(*) AS BIGINT) AS n_next, round(0e0 - sum(share * ln(share)), 6) AS entropy FROM p GROUP BY 1"""
+)
+def right_branching_entropy(spark, d):
+    """Entropy of the next character of every prefix."""
+    return wordstats.right_branching_entropy(_counts(spark, d)).withColumn("entropy", F.round("entropy", 6))
+
+
+@query(
+    f"""WITH {_COUNTS}, {_NOUNS}, halves AS (SELECT DISTINCT token FROM
+      (SELECT token, substr(token, 1, k) AS a, substr(token, k + 1) AS b FROM
+        (SELECT token, unnest(range(2, length(token) - 1)) AS k FROM nouns))
+      WHERE a IN (SELECT token FROM nouns) AND b IN (SELECT token FROM nouns))
+    SELECT token, pos, neg, round(score, 9) AS score, token IN (SELECT token FROM halves) AS is_compound FROM nouns"""
+)
+def noun_scores(spark, d):
+    """Noun score of left parts, with compounds marked."""
+    nouns = materialise(wordstats.noun_scores(_counts(spark, d), _right_parts(spark)))
+    return wordstats.flag_compounds(nouns).withColumn("score", F.round("score", 9))
+
+
+@query(f"WITH {_COUNTS}, {_COHESION}, {_NOUNS}, {_COMBINED} SELECT token, round(score, 9) AS score FROM combined")
+def token_scores(spark, d):
+    """Noun and cohesion scores combined."""
+    counts = materialise(_counts(spark, d))
+    return news_score.token_scores(counts, _right_parts(spark)).withColumn("score", F.round("score", 9))
+
+
+@query(
+    f"""WITH {_COUNTS}, {_COHESION}, {_NOUNS}, {_COMBINED}, {_LEFTS}
+    SELECT doc_id, string_agg(lft, ' ' ORDER BY pos) AS tokens FROM tok JOIN lefts USING (token) GROUP BY doc_id"""
+)
+def left_part_tokens(spark, d):
+    """Documents with every token cut to its best left part."""
+    counts = materialise(_counts(spark, d))
+    scores = materialise(news_score.token_scores(counts, _right_parts(spark)))
+    lefts = materialise(wordstats.left_parts(counts, scores))
+    cut = wordstats.tokenise(_docs(spark, d), "doc_id", spaced_tokens(F.col("text")), lefts, counts)
+    return cut.select("doc_id", join_words(F.col("tokens")).alias("tokens"))
+
+
+@query(
+    """WITH w AS (SELECT doc_id, text, list_transform(string_split(text, ' '), lambda x: {'done': CAST([] AS VARCHAR[]), 'cur': x, 'size': CAST(length(x) AS BIGINT)}) AS ws FROM documents),
+    r AS (SELECT doc_id, text, list_reduce(ws, lambda a, x: {
+        'done': CASE WHEN a.size + x.size >= 500 AND a.cur IS NOT NULL THEN list_append(a.done, a.cur) ELSE a.done END,
+        'cur': CASE WHEN a.size + x.size >= 500 OR a.cur IS NULL THEN x.cur ELSE a.cur || ' ' || x.cur END,
+        'size': CASE WHEN a.size + x.size >= 500 THEN x.size ELSE a.size + x.size END},
+        {'done': CAST([] AS VARCHAR[]), 'cur': CAST(NULL AS VARCHAR), 'size': CAST(0 AS BIGINT)}) AS z FROM w),
+    c AS (SELECT doc_id, CASE WHEN length(text) < 500 THEN [text] WHEN z.size > 0 THEN list_append(z.done, z.cur) ELSE z.done END AS l FROM r)
+    SELECT doc_id, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS piece, unnest(l) AS chunk FROM c"""
+)
+def text_chunks(spark, d):
+    """Texts cut at words into pieces of fewer than 500 letters."""
+    return wordstats.chunks(_docs(spark, d), "doc_id", "text")
+
+
+# ---- TF-IDF
+
+_TERMS = r"""terms AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')) AS term FROM documents),
+  tf AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY 1, 2),
+  dfs AS (SELECT term, CAST(count(*) AS BIGINT) AS df, CAST(sum(tf) AS BIGINT) AS total FROM tf GROUP BY 1),
+  nd AS (SELECT count(*) AS n FROM documents),
+  vocab AS (SELECT term, df, total, ln((1 + n) / (1 + df)) + 1 AS idf FROM dfs, nd WHERE df >= 0.011 * n AND df <= 0.2 * n)"""
+
+
+def _vocabulary(spark, d, **options):
+    return tfidf.fit_tfidf(_docs(spark, d), **options)
+
+
+@query(f"WITH {_TERMS} SELECT term, df, total, round(idf, 9) AS idf FROM vocab")
+def tfidf_vocabulary(spark, d):
+    """Terms within the document-frequency limits and their idf."""
+    return _vocabulary(spark, d).withColumn("idf", F.round("idf", 9))
+
+
+@query(
+    f"""WITH {_TERMS}, w AS (SELECT doc_id, term, (1 + ln(tf)) * idf AS w FROM tf JOIN vocab USING (term))
+    SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS tfidf FROM w"""
+)
+def tfidf_weights(spark, d):
+    """Normalised weight of every term of every document."""
+    vocabulary = materialise(_vocabulary(spark, d))
+    weights = tfidf.transform_tfidf(_docs(spark, d), vocabulary, "doc_id")
+    return weights.withColumn("tfidf", F.round("tfidf", 6))
+
+
+@query(f"WITH {_TERMS} SELECT term, round(idf, 9) AS idf FROM vocab ORDER BY vocab.idf, term LIMIT 100")
+def commonest_by_idf(spark, d):
+    """First 100 terms in order of idf."""
+    return tfidf.rank_by_idf(_vocabulary(spark, d), 100).withColumn("idf", F.round("idf", 9))
+
+
+@query(f"WITH {_TERMS} SELECT term, round(idf, 9) AS idf FROM vocab ORDER BY vocab.idf DESC, term DESC LIMIT 100")
+def rarest_by_idf(spark, d):
+    """Last 100 terms in order of idf."""
+    return tfidf.rank_by_idf(_vocabulary(spark, d), 100, rarest_first=True).withColumn("idf", F.round("idf", 9))
+
+
+@query(f"WITH {_TERMS} SELECT term, df, total FROM vocab ORDER BY total DESC, term LIMIT 100")
+def top_terms(spark, d):
+    """The 100 terms with the largest count."""
+    return _vocabulary(spark, d, max_features=100).select("term", "df", "total")
+
+
+@query(
+    f"""WITH {_TERMS}, e AS (SELECT min(idf) AS lo, max(idf) AS hi FROM vocab),
+    b AS (SELECT least(CAST(floor((idf - lo) * 10 / (hi - lo)) AS INTEGER), 9) AS bin, count(*) AS n FROM vocab, e GROUP BY 1)
+    SELECT CAST(i.bin AS INTEGER) AS bin, round(lo + (hi - lo) * i.bin / 10, 9) AS bin_low, CAST(coalesce(n, 0) AS BIGINT) AS n
+    FROM (SELECT unnest(range(10)) AS bin) i CROSS JOIN e LEFT JOIN b USING (bin)"""
+)
+def idf_histogram(spark, d):
+    """Idf values in ten bins."""
+    vocabulary = materialise(_vocabulary(spark, d))
+    return profile.histogram(vocabulary, "idf").withColumn("bin_low", F.round("bin_low", 9))
+
+
+@query(
+    f"""WITH {_TERMS}, w AS (SELECT doc_id, generate_subscripts(ws, 1) AS pos, unnest(ws) AS word FROM (SELECT doc_id, string_split(text, ' ') AS ws FROM documents))
+    SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS words FROM w WHERE word IN (SELECT term FROM vocab) GROUP BY doc_id"""
+)
+def vocabulary_words(spark, d):
+    """Documents cut to vocabulary words as written."""
+    vocabulary = materialise(_vocabulary(spark, d))
+    kept = tfidf.checked_corpus(_docs(spark, d), vocabulary, "doc_id")
+    return kept.select("doc_id", join_words(F.col("words")).alias("words"))
+
+
+@query(
+    f"""WITH {_TERMS}, w AS (SELECT doc_id, generate_subscripts(ws, 1) AS pos, unnest(ws) AS word FROM (SELECT doc_id, string_split(lower(text), ' ') AS ws FROM documents))
+    SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS words FROM w WHERE word IN (SELECT term FROM vocab) GROUP BY doc_id"""
+)
+def vocabulary_words_lowered(spark, d):
+    """Documents cut to vocabulary words, lower-cased first."""
+    vocabulary = materialise(_vocabulary(spark, d))
+    kept = tfidf.checked_corpus(_docs(spark, d), vocabulary, "doc_id", normalize=True)
+    return kept.select("doc_id", join_words(F.col("words")).alias("words"))
+
+
+@query()
+def term_map(spark, d):
+    """The 100 top terms on the two main axes of the document-term matrix."""
+    vocabulary = materialise(_vocabulary(spark, d, max_features=100))
+    weights = tfidf.transform_tfidf(_docs(spark, d), vocabulary, "doc_id")
+    return tfidf.term_map(weights, vocabulary, "doc_id")
+
+
+# ---- vectors
+
+_CENTROIDS = """cent AS (SELECT label, list(m ORDER BY i) AS v FROM (SELECT label, i, avg(CAST(x AS DOUBLE)) AS m FROM
+    (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY 1, 2) GROUP BY label)"""
+_ANCHOR_NAMES = {"0": "up", "1": "flat", "2": "down"}
+_SIMILAR = f"""{_CENTROIDS}, sims AS (SELECT vec_id, """ + ", ".join(
+    f"list_cosine_similarity(CAST(embedding AS DOUBLE[]), (SELECT v FROM cent WHERE label = {k})) AS {c}" for k, c in _ANCHOR_NAMES.items()
+) + " FROM embeddings)"
+
+
+def _similar(spark, d):
+    table = read_table(spark, d, "embeddings")
+    centroids = vectors.class_centroids(table, "label", "embedding")
+    anchors = centroids.select(F.col("label").cast("string").alias("name"), "vector")
+    return vectors.anchor_similarity(table.select("vec_id", "embedding"), "embedding", anchors, _ANCHOR_NAMES).drop("embedding")
+
+
+@query(f"WITH {_SIMILAR} SELECT vec_id, round(up, 6) AS up, round(flat, 6) AS flat, round(down, 6) AS down FROM sims")
+def anchor_similarity(spark, d):
+    """Cosine of every vector to three class centroids."""
+    return _similar(spark, d).select("vec_id", *[F.round(c, 6).alias(c) for c in _ANCHOR_NAMES.values()])
+
+
+@query(
+    f"""WITH {_COUNTS}, {_SIMILAR}, nv AS (SELECT count(*) AS n FROM embeddings),
+    ws AS (SELECT token, up, flat, down FROM (SELECT token, (unicode(token) * 31 + length(token)) % nv.n AS vec_id FROM counts, nv WHERE length(token) > 3) JOIN sims USING (vec_id))
+    SELECT doc_id, round(avg(up), 6) AS up, round(avg(flat), 6) AS flat, round(avg(down), 6) AS down, round(count(ws.token) / count(*), 6) AS coverage
+    FROM tok LEFT JOIN ws USING (token) GROUP BY doc_id"""
+)
+def document_similarity(spark, d):
+    """Mean similarity of each document's words; short words have no vector and lower the coverage."""
+    similar = _similar(spark, d)
+    n = read_table(spark, d, "embeddings").agg(F.count("*").alias("n")).scalar()
+    words = _counts(spark, d).where(F.length("token") > 3)
+    words = words.select(F.col("token").alias("word"), ((F.ascii("token") * 31 + F.length("token")) % n).alias("vec_id"))
+    word_scores = materialise(words.join(similar, "vec_id").drop("vec_id"))
+    corpus = _docs(spark, d).select("doc_id", spaced_tokens(F.col("text")).alias("words"))
+    scores = list(_ANCHOR_NAMES.values())
+    table = vectors.document_similarity(corpus, "doc_id", "words", word_scores, scores)
+    return table.select("doc_id", *[F.round(c, 6).alias(c) for c in [*scores, "coverage"]])
+
+
+@query(
+    """WITH t AS (SELECT 'v' || vec_id AS word, embedding AS vector FROM embeddings), p AS (SELECT 'v' || (vec_id * 2) AS word, list_reverse(embedding) AS vector FROM embeddings)
+    SELECT word, round(coalesce(p.vector, t.vector)[1], 6) AS first, CAST(len(coalesce(p.vector, t.vector)) AS INTEGER) AS size FROM t FULL JOIN p USING (word)"""
+)
+def vector_overlay(spark, d):
+    """Two vector tables; the second one's vectors win."""
+    table = read_table(spark, d, "embeddings")
+    trained = table.select(F.concat(F.lit("v"), "vec_id").alias("word"), F.col("embedding").alias("vector"))
+    other = table.select(F.concat(F.lit("v"), F.col("vec_id") * 2).alias("word"), F.reverse("embedding").alias("vector"))
+    both = vectors.overlay_vectors(trained, other)
+    return both.select("word", F.round(F.get("vector", F.lit(0)), 6).alias("first"), F.size("vector").alias("size"))
+
+
+def _trained(spark, d):
+    vocabulary = materialise(_vocabulary(spark, d))
+    corpus = tfidf.checked_corpus(_docs(spark, d), vocabulary, "doc_id", normalize=True).persist()
+    return vectors.train_word_vectors(corpus, size=200, partitions=4)
+
+
+@query()
+def word_vectors(spark, d):
+    """200-dimensional vectors of every vocabulary word."""
+    return store.vector_table(_trained(spark, d))
+
+
+@query()
+def word_vector_store(spark, d):
+    """Vectors saved, loaded again and listed with their nearest word in the loaded model."""
+    model_path, table_path = scratch_path(spark, "model"), scratch_path(spark, "vectors")
+    store.save_word_vectors(_trained(spark, d), model_path, table_path)
+    model, table = store.load_word_vectors(spark, model_path, table_path)
+    return table.select("word", F.size("vector").alias("size"), F.lit(model.getVectorSize()).alias("model_size"))
