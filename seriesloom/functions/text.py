@@ -53,7 +53,7 @@ def join_words(words: Column) -> Column:
 
 def spaced_tokens(text: Column) -> Column:
     """Non-empty tokens between runs of white space."""
-    return F.filter(F.split(collapse_space(text), " ", -1), lambda t: t != "")
+    return F.array_remove(F.split(text, SPACE_RUN, -1), "")
 
 
 def word_tokens(text: Column) -> Column:

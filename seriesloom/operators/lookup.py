@@ -6,15 +6,32 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 * 1024 * 1024
+ROW_OVERHEAD = 32
 HOT_SHARE = 0.001
 SALTS = 256
 
 
-def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the table has at most ``max_rows`` rows; stops counting beyond that."""
-    return dim.limit(max_rows + 1).count() <= max_rows
+def _row_bytes(df: DataFrame) -> Column:
+    size = F.lit(ROW_OVERHEAD)
+    for field in df.schema:
+        if isinstance(field.dataType, StringType):
+            size = size + F.coalesce(F.octet_length(field.name), F.lit(0))
+        elif isinstance(field.dataType, ArrayType):
+            size = size + F.coalesce(F.size(field.name), F.lit(0)) * 8
+        else:
+            size = size + 8
+    return size
+
+
+def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether the table is small in rows and in bytes; a larger one is not read beyond ``max_rows``."""
+    sizes = dim.limit(max_rows + 1).agg(F.count("*").alias("n"), F.sum(_row_bytes(dim)).alias("bytes"))
+    row = sizes.first()
+    return row["n"] <= max_rows and (row["bytes"] or 0) <= max_bytes
 
 
 def lookup_join(
@@ -37,6 +54,29 @@ def lookup_join(
     return salted_join(facts, dim, key, how, spread, key_counts)
 
 
+def word_lookup(
+    docs: DataFrame,
+    doc_id: str,
+    words: Column,
+    dim: DataFrame,
+    key: str,
+    how: str,
+    key_counts: DataFrame | None = None,
+    max_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """``(doc_id, pos, key, ...)``: every word of every document looked up in ``dim``.
+
+    With a small ``dim`` the texts move once, by document, and words never move: grouping the result
+    by document needs no further shuffle. With a large one the words go through :func:`salted_join`.
+    """
+    small = fits_broadcast(dim, max_rows)
+    placed = docs.repartition(doc_id) if small else docs
+    facts = placed.select(doc_id, F.posexplode(words).alias("pos", key))
+    if small:
+        return facts.join(F.broadcast(dim), key, how)
+    return salted_join(facts, dim, key, how, [doc_id, "pos"], key_counts)
+
+
 def salted_join(
     facts: DataFrame,
     dim: DataFrame,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from seriesloom.functions.text import collapse_space, strip_editor_markers
 from seriesloom.operators.lookup import salted_join
+from seriesloom.session import spread
 
 # Character references undone in extracted text; the ampersand goes last.
 ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&copy;": "©", "&middot;": "·", "&amp;": "&"}
@@ -74,35 +75,45 @@ def _inside(after_opening: Column, tag: str) -> Column:
     The text is cut before every opening and closing tag of that name; the depth is counted along the
     pieces until it returns to zero. A container that is never closed reaches to the end.
     """
-    pieces = F.split(after_opening, rf"(?i)(?=<{tag}\b|</{tag}\b)", -1)
     start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("kept"))
 
     def step(acc: Column, piece: Column) -> Column:
-        lowered = F.lower(F.substring(piece, 1, len(tag) + 2))
-        change = F.when(lowered.startswith(f"</{tag}"), -1).when(lowered.rlike(rf"^<{tag}\b"), 1).otherwise(0)
-        depth = F.when(acc["depth"] > 0, acc["depth"] + change).otherwise(0)
-        kept = acc["kept"] + F.when(depth > 0, 1).otherwise(0)
-        return F.struct(depth.alias("depth"), kept.alias("kept"))
+        change = F.when(piece.rlike(rf"(?i)^</{tag}\b"), -1).when(piece.rlike(rf"(?i)^<{tag}\b"), 1).otherwise(0)
+        depth = acc["depth"] + change
+        inside = F.struct(depth.alias("depth"), (acc["kept"] + F.when(depth > 0, 1).otherwise(0)).alias("kept"))
+        return F.when(acc["depth"] > 0, inside).otherwise(acc)
+
+    def cut(pieces: Column) -> Column:
+        kept = F.aggregate(pieces, start, step, lambda acc: acc["kept"])
+        return F.array_join(F.slice(pieces, 1, kept), "")
+
+    pieces = F.split(after_opening, rf"(?i)(?=<{tag}\b|</{tag}\b)", -1)
+    return _bind(pieces, cut)
 
-    kept = F.aggregate(pieces, start, step, lambda acc: acc["kept"])
-    return F.array_join(F.slice(pieces, 1, kept), "")
+
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once although ``use`` mentions it several times."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def containers(html: Column, rule: BodyRule) -> Column:
     """Inner HTML of the first container of a rule (of all of them with ``every``), as an array."""
     tails = F.split(html, rule.opening, -1 if rule.every else 2)
-    return F.transform(F.slice(tails, 2, F.size(tails)), lambda tail: _inside(tail, rule.tag))
+    return _bind(tails, lambda t: F.transform(F.slice(t, 2, F.size(t)), lambda tail: _inside(tail, rule.tag)))
 
 
 def body_by_rule(html: Column, rule: BodyRule) -> Column:
     """Body text by one rule; null when the page has no such container."""
-    found = containers(html, rule)
-    present = F.size(found) > 0
-    if rule.paragraphs:
-        paragraph = r"(?is)<p\b[^>]*>(.*?)</p>"
-        found = F.flatten(F.transform(found, lambda c: F.regexp_extract_all(c, F.lit(paragraph), F.lit(1))))
-    text = F.array_join(F.transform(found, lambda c: visible_text(c, rule.spaced)), " ")
-    return F.when(present, collapse_space(strip_editor_markers(text)))
+
+    def text(container: Column) -> Column:
+        if not rule.paragraphs:
+            return visible_text(container, rule.spaced)
+        paragraphs = F.regexp_extract_all(container, F.lit(r"(?is)<p\b[^>]*>(.*?)</p>"), F.lit(1))
+        return F.array_join(F.transform(paragraphs, lambda p: visible_text(p)), " ")
+
+    texts = F.transform(containers(html, rule), text)
+    joined = F.nullif(F.array_join(texts, " "), F.lit("")) if rule.every else F.get(texts, F.lit(0))
+    return collapse_space(strip_editor_markers(joined))
 
 
 def extract_body(html: Column, rules: Sequence[BodyRule]) -> Column:
@@ -116,7 +127,7 @@ def article_bodies(pages: DataFrame, html: str, rules: dict[int, Sequence[BodyRu
     for index, chain in rules.items():
         text = extract_body(F.col(html), chain)
         body = F.when(publisher == index, text) if body is None else body.when(publisher == index, text)
-    return pages.withColumn(output, body)
+    return spread(pages).withColumn(output, body)
 
 
 def with_body(articles: DataFrame, body: str = "section") -> DataFrame:
@@ -131,7 +142,7 @@ def items(pages: DataFrame, keys: Sequence[str], html: str, item: str, fields: d
     the item, null when there is none.
     """
     found = F.regexp_extract_all(F.col(html), F.lit(item), F.lit(0))
-    rows = pages.select(*keys, F.posexplode(found).alias("position", "_item"))
+    rows = spread(pages).select(*keys, F.posexplode(found).alias("position", "_item"))
     picked = {
         name: unescape(F.try_element_at(F.regexp_extract_all("_item", F.lit(pattern), F.lit(1)), F.lit(-1)))
         for name, pattern in fields.items()
@@ -161,6 +172,6 @@ def follow_alternate(pages: DataFrame, rel: str = "amphtml", url: str = "url", h
     """
     tag = F.regexp_extract(F.col(html), rf"(?is)<link\b(?=[^>]*\brel=[\"']{rel}[\"'])[^>]*>", 0)
     link = F.regexp_extract(tag, r"(?is)\bhref=[\"']([^\"']*)[\"']", 1)
-    linked = pages.withColumn("alternate_url", F.nullif(unescape(link), F.lit("")))
+    linked = spread(pages).withColumn("alternate_url", F.nullif(unescape(link), F.lit("")))
     target = pages.select(F.col(url).alias("alternate_url"), F.col(html).alias("alternate_html"))
     return salted_join(linked, target, "alternate_url", "left", spread=[url])

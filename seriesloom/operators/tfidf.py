@@ -8,7 +8,7 @@ the norm then run in that partitioning.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.feature import VectorAssembler
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from seriesloom.functions.text import split_words, word_tokens
-from seriesloom.operators.lookup import lookup_join
+from seriesloom.operators.lookup import lookup_join, word_lookup
+from seriesloom.session import spread
 
 # Share of documents a term may and must occur in.
 MAX_DF = 0.2
@@ -24,25 +25,28 @@ MIN_DF = 0.011
 
 
 def document_frequencies(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``(term, df, total)``: documents with the term and its count over all documents."""
-    once = F.transform(F.array_distinct(F.col("_t")), lambda t: F.struct(t.alias("term"), F.lit(1).alias("d"), F.lit(0).alias("c")))
-    each = F.transform(F.col("_t"), lambda t: F.struct(t.alias("term"), F.lit(0).alias("d"), F.lit(1).alias("c")))
-    marks = docs.select(word_tokens(F.col(text)).alias("_t")).select(F.explode(F.concat(once, each)).alias("m"))
-    return marks.groupBy(F.col("m.term").alias("term")).agg(F.sum("m.d").alias("df"), F.sum("m.c").alias("total"))
+    """``(term, df)``: documents each term occurs in."""
+    once = F.array_distinct(word_tokens(F.col(text)))
+    return spread(docs).select(F.explode(once).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+
+
+def term_totals(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``(term, total)``: occurrences of each term over all documents."""
+    return spread(docs).select(F.explode(word_tokens(F.col(text))).alias("term")).groupBy("term").agg(F.count("*").alias("total"))
 
 
 def fit_tfidf(
     docs: DataFrame, text: str = "text", max_df: float = MAX_DF, min_df: float = MIN_DF, max_features: int | None = None
 ) -> DataFrame:
-    """Vocabulary ``(term, df, total, idf)`` with ``idf = ln((1 + n) / (1 + df)) + 1``.
+    """Vocabulary ``(term, df, idf)`` with ``idf = ln((1 + n) / (1 + df)) + 1``.
 
     Terms in fewer than ``min_df * n`` or more than ``max_df * n`` documents are left out. With
-    ``max_features`` only the terms with the largest total count stay, ties by term.
+    ``max_features`` only the terms with the largest ``total`` count stay, ties by term.
     """
     n = docs.agg(F.count("*").alias("n")).scalar()
     kept = document_frequencies(docs, text).where((F.col("df") >= n * F.lit(min_df)) & (F.col("df") <= n * F.lit(max_df)))
     if max_features is not None:
-        kept = kept.orderBy(F.desc("total"), "term").limit(max_features)
+        kept = kept.join(term_totals(docs, text), "term").orderBy(F.desc("total"), "term").limit(max_features)
     return kept.withColumn("idf", F.log((n + 1) / (F.col("df") + 1)) + 1)
 
 
@@ -82,11 +86,10 @@ def keep_vocabulary(
     The vocabulary is lower-cased and words are compared as written, so capitalised words drop out;
     ``normalize`` lower-cases them first. Documents left without a word have no row.
     """
-    found = docs.select(doc_id, F.posexplode(words).alias("pos", "word"))
     if normalize:
-        found = found.withColumn("word", F.lower("word"))
+        words = F.transform(words, lambda w: F.lower(w))
     terms = vocabulary.select(F.col(term).alias("word")).distinct()
-    kept = lookup_join(found, terms, "word", "left_semi", spread=[doc_id, "pos"])
+    kept = word_lookup(docs, doc_id, words, terms, "word", "left_semi")
     return kept.groupBy(doc_id).agg(F.sort_array(F.collect_list(F.struct("pos", "word")))["word"].alias("words"))
 
 
@@ -103,13 +106,10 @@ def term_map(weights: DataFrame, vocabulary: DataFrame, doc_id: str, k: int = 2)
     of the size of ``vocabulary``, the list of top terms (100 by default), squared.
     """
     spark = weights.sparkSession
-    numbered = vocabulary.select("term").withColumn("i", F.row_number().over(Window.orderBy("term")) - 1)
-    terms = [row["term"] for row in numbered.orderBy("i").collect()]
-    indexed = weights.join(F.broadcast(numbered), "term")
-    entries = F.map_from_entries(F.collect_list(F.struct("i", "tfidf")))
-    rows = indexed.groupBy(doc_id).agg(entries.alias("m"))
-    dense = F.transform(F.sequence(F.lit(0), F.lit(len(terms) - 1)), lambda i: F.coalesce(F.element_at("m", i), F.lit(0.0)))
-    vectors = rows.select(array_to_vector(dense).alias("v"))
+    terms = [row["term"] for row in vocabulary.select("term").orderBy("term").collect()]
+    cells = [F.sum(F.when(F.col("term") == t, F.col("tfidf")).otherwise(0.0)).alias(f"t{i}") for i, t in enumerate(terms)]
+    rows = weights.join(F.broadcast(vocabulary.select("term")), "term").groupBy(doc_id).agg(*cells)
+    vectors = VectorAssembler(inputCols=[f"t{i}" for i in range(len(terms))], outputCol="v").transform(rows).select("v")
     gram = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "v")).computeGramianMatrix().toArray()
     power, axes = np.linalg.eigh(gram)
     axes, power = axes[:, ::-1][:, :k], power[::-1][:k]

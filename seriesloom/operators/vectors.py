@@ -10,7 +10,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seriesloom.operators.lookup import lookup_join
+from seriesloom.operators.lookup import word_lookup
 
 
 def train_word_vectors(
@@ -76,8 +76,7 @@ def document_similarity(
     without a vector are skipped; ``coverage`` is the share of words that have one, and a document
     without any has null scores. ``word_scores`` is read twice: pass a stored or checkpointed table.
     """
-    tokens = corpus.select(doc_id, F.posexplode(words).alias("pos", "word"))
     marked = word_scores.select("word", *scores, F.lit(1).alias("_known"))
-    joined = lookup_join(tokens, marked, "word", "left", spread=[doc_id, "pos"])
+    joined = word_lookup(corpus, doc_id, F.col(words), marked, "word", "left")
     coverage = F.count("_known") / F.count("*")
     return joined.groupBy(doc_id).agg(*[F.avg(s).alias(s) for s in scores], coverage.alias("coverage"))

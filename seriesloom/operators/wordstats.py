@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesloom.functions.text import spaced_tokens
-from seriesloom.operators.lookup import lookup_join
+from seriesloom.operators.lookup import lookup_join, word_lookup
+from seriesloom.session import spread
 
 # The thresholds the score tables are built with.
 MIN_FREQUENCY = 100
@@ -24,7 +25,7 @@ CHUNK_CHARS = 500
 
 def token_counts(docs: DataFrame, tokens: Column) -> DataFrame:
     """``(token, n)`` over all documents."""
-    return docs.select(F.explode(tokens).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    return spread(docs).select(F.explode(tokens).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
 
 
 def top_words(docs: DataFrame, tokens: Column, k: int) -> DataFrame:
@@ -147,9 +148,8 @@ def tokenise(docs: DataFrame, doc_id: str, tokens: Column, lefts: DataFrame, cou
     Only tokens that lose a right part need to be looked up. ``lefts`` is read twice: pass a stored or
     checkpointed table. Documents without a token are left out.
     """
-    words = docs.select(doc_id, F.posexplode(tokens).alias("pos", "token"))
     shortened = lefts.where(F.col("left") != F.col("token"))
-    found = lookup_join(words, shortened, "token", "left", spread=[doc_id, "pos"], key_counts=counts)
+    found = word_lookup(docs, doc_id, tokens, shortened, "token", "left", counts)
     part = F.struct("pos", F.coalesce("left", "token").alias("part"))
     return found.groupBy(doc_id).agg(F.sort_array(F.collect_list(part))["part"].alias("tokens"))
 
@@ -160,31 +160,28 @@ def pack_words(text: Column, limit: int = CHUNK_CHARS) -> Column:
     Word lengths are added up without the spaces. A shorter text is one piece; a single word longer
     than the limit is a piece of its own.
     """
-    start = F.struct(
-        F.array().cast("array<string>").alias("done"), F.lit(None).cast("string").alias("cur"), F.lit(0).alias("size")
-    )
+    start = F.struct(F.lit(0).alias("size"), F.lit(0).alias("i"), F.array().cast("array<int>").alias("cuts"))
 
     def add(acc: Column, word: Column) -> Column:
-        full = acc["size"] + F.length(word) >= limit
-        cut = full & acc["cur"].isNotNull()
-        done = F.when(cut, F.array_append(acc["done"], acc["cur"])).otherwise(acc["done"])
-        cur = F.when(full | acc["cur"].isNull(), word).otherwise(F.concat(acc["cur"], F.lit(" "), word))
-        size = F.when(full, F.length(word)).otherwise(acc["size"] + F.length(word))
-        return F.struct(done.alias("done"), cur.alias("cur"), size.alias("size"))
+        size, after = acc["size"] + F.length(word), (acc["i"] + 1).alias("i")
+        cut = F.struct(F.length(word).alias("size"), after, F.array_append(acc["cuts"], acc["i"]).alias("cuts"))
+        return F.when(size >= limit, cut).otherwise(F.struct(size.alias("size"), after, acc["cuts"].alias("cuts")))
+
+    def pieces(words: Column, end: Column) -> Column:
+        inner = F.array_remove(end["cuts"], 0)
+        last = F.when(end["size"] > 0, F.array(F.size(words))).otherwise(F.array().cast("array<int>"))
+        spans = F.arrays_zip(F.concat(F.array(F.lit(0)), inner).alias("a"), F.concat(inner, last).alias("b"))
+        spans = F.filter(spans, lambda s: s["b"].isNotNull())
+        return F.transform(spans, lambda s: F.array_join(F.slice(words, s["a"] + 1, s["b"] - s["a"]), " "))
 
-    def close(acc: Column) -> Column:
-        return F.when(acc["size"] > 0, F.array_append(acc["done"], acc["cur"])).otherwise(acc["done"])
+    def pack(words: Column) -> Column:
+        end = F.array(F.aggregate(words, start, add))
+        return F.get(F.transform(end, lambda e: pieces(words, e)), F.lit(0))
 
-    packed = F.aggregate(F.split(text, " ", -1), start, add, close)
-    return F.when(F.length(text) < limit, F.array(text)).otherwise(packed)
+    words = F.array(F.split(text, " ", -1))
+    return F.when(F.length(text) < limit, F.array(text)).otherwise(F.get(F.transform(words, pack), F.lit(0)))
 
 
 def chunks(docs: DataFrame, doc_id: str, text: str, limit: int = CHUNK_CHARS) -> DataFrame:
     """One row per piece of each document, with its position."""
-    return docs.select(doc_id, F.posexplode(pack_words(F.col(text), limit)).alias("piece", "chunk"))
-
-
-def document_tokens(docs: DataFrame, text: str = "text") -> tuple[Column, DataFrame]:
-    """Token column of a text column and the token counts of the table."""
-    tokens = spaced_tokens(F.col(text))
-    return tokens, token_counts(docs, tokens)
+    return spread(docs).select(doc_id, F.posexplode(pack_words(F.col(text), limit)).alias("piece", "chunk"))

@@ -208,7 +208,7 @@ def _vocabulary(spark, d, **options):
     return tfidf.fit_tfidf(_docs(spark, d), **options)
 
 
-@query(f"WITH {_TERMS} SELECT term, df, total, round(idf, 9) AS idf FROM vocab")
+@query(f"WITH {_TERMS} SELECT term, df, round(idf, 9) AS idf FROM vocab")
 def tfidf_vocabulary(spark, d):
     """Terms within the document-frequency limits and their idf."""
     return _vocabulary(spark, d).withColumn("idf", F.round("idf", 9))

@@ -57,3 +57,17 @@ def materialise(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+SPLIT_BYTES = 128 * 1024 * 1024
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a small input over all cores, before work that is heavy per row.
+
+    A table of few, large row groups is read by few tasks. When the input would fill fewer splits than
+    there are cores its rows are dealt out; a large input is already spread and stays as it is.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if size // SPLIT_BYTES < cores // 2 else df
