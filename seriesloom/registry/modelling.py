@@ -1,0 +1,519 @@
+"""Queries of feature preparation, model fits, evaluation and the end-to-end jobs."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from seriesloom.operators import classify, cluster, evaluate, prepare, regress, relational, series, split, sweeps
+from seriesloom.plans import news_score, next_day, species
+from seriesloom.registry.base import PANEL, daily_score, dated_documents, panel, query
+from seriesloom.registry.textual import _ANCHOR_NAMES, _right_parts, _similar
+from seriesloom.session import materialise
+from seriesloom.sources.readers import read_table
+
+SEED = next_day.SEED
+_LAB = """lab AS (SELECT * FROM (SELECT *, lead(cap) OVER (PARTITION BY series ORDER BY date) AS label,
+  lead(date) OVER (PARTITION BY series ORDER BY date) AS label_date FROM panel) WHERE label_date IS NOT NULL)"""
+
+
+def _labelled(spark, d):
+    return series.labelled_rows(panel(spark, d), "series", "date", "cap")
+
+
+def _naive(spark, d):
+    return _labelled(spark, d).withColumn("prediction", F.col("cap"))
+
+
+# ---- evaluation
+
+
+@query(
+    f"""WITH {PANEL}, {_LAB} SELECT series, CAST(count(*) AS BIGINT) AS n,
+    round(1 - sum((label - cap) * (label - cap)) / (var_pop(label) * count(*)), 6) AS r2, round(avg(abs(label - cap)), 4) AS mae
+    FROM lab GROUP BY series"""
+)
+def naive_forecast_scores(spark, d):
+    """R2 and mean absolute error of "tomorrow is like today" per nation."""
+    scores = evaluate.regression_scores(_naive(spark, d), ["series"])
+    return scores.select("series", "n", F.round("r2", 6).alias("r2"), F.round("mae", 4).alias("mae"))
+
+
+@query(
+    f"WITH {PANEL}, {_LAB} SELECT round(1 - sum((label - avg_price) * (label - avg_price)) / (var_pop(label) * count(*)), 6) AS r2 FROM lab"
+)
+def r_squared(spark, d):
+    """R2 of one fixed predictor over all rows."""
+    rows = _labelled(spark, d).withColumn("prediction", F.col("avg_price"))
+    return rows.agg(F.round(evaluate.r2_column(), 6).alias("r2"))
+
+
+@query(f"WITH {PANEL}, {_LAB} SELECT round(avg(abs(label - avg_price)), 4) AS mae FROM lab")
+def mean_absolute_error(spark, d):
+    """Mean absolute error of one fixed predictor over all rows."""
+    rows = _labelled(spark, d).withColumn("prediction", F.col("avg_price"))
+    return rows.agg(F.round(evaluate.mae_column(), 4).alias("mae"))
+
+
+@query(
+    """SELECT lang AS split, CAST(count(*) AS BIGINT) AS n, round(avg(CASE WHEN quality = CASE WHEN n_chars > 1000 THEN 1 ELSE 0 END THEN 1e0 ELSE 0e0 END), 6) AS accuracy
+    FROM documents JOIN labels USING (doc_id) GROUP BY lang"""
+)
+def accuracy(spark, d):
+    """Accuracy of a length rule for the quality label, per language."""
+    docs = read_table(spark, d, "documents").select("doc_id", "lang", "n_chars")
+    rows = docs.join(read_table(spark, d, "labels"), "doc_id").select(
+        F.col("lang").alias("split"), F.col("quality").alias("label"), (F.col("n_chars") > 1000).cast("int").alias("prediction")
+    )
+    return evaluate.accuracy_scores(rows).withColumn("accuracy", F.round("accuracy", 6))
+
+
+# ---- splits, scaling, terms
+
+
+@query(
+    f"""SELECT o_orderkey, CASE WHEN row_number() OVER (ORDER BY md5(o_orderkey || '|{SEED}'), o_orderkey) <= ceil(count(*) OVER () * 0.25e0)
+    THEN 'test' ELSE 'train' END AS split FROM orders"""
+)
+def exact_split(spark, d):
+    """Seeded 75/25 split, exact to the row."""
+    return split.exact_split(read_table(spark, d, "orders").select("o_orderkey"), "o_orderkey", SEED)
+
+
+_QUOTAS = """q AS (SELECT p_size, n, n - fl - CASE WHEN row_number() OVER (ORDER BY round(fl - ex, 9), p_size) <= tr - sum(fl) OVER () THEN 1 ELSE 0 END AS quota
+  FROM (SELECT p_size, n, tr, n * tr / total AS ex, floor(n * tr / total) AS fl FROM
+    (SELECT p_size, count(*) AS n, sum(count(*)) OVER () AS total, sum(count(*)) OVER () - ceil(sum(count(*)) OVER () * 0.25e0) AS tr FROM part GROUP BY p_size)))"""
+
+
+@query(
+    f"""WITH {_QUOTAS} SELECT p_partkey, p_size, CASE WHEN row_number() OVER (PARTITION BY p_size ORDER BY md5(p_partkey || '|{SEED}'), p_partkey) <= quota
+    THEN 'test' ELSE 'train' END AS split FROM part JOIN q USING (p_size)"""
+)
+def stratified_split(spark, d):
+    """Seeded split that keeps the class shares."""
+    return split.stratified_split(read_table(spark, d, "part").select("p_partkey", "p_size"), "p_partkey", "p_size", SEED)
+
+
+@query(
+    f"""WITH a AS (SELECT o_orderkey, row_number() OVER (ORDER BY md5(o_orderkey || '|{SEED}'), o_orderkey) > ceil(count(*) OVER () * 0.25e0) AS rest FROM orders),
+    b AS (SELECT o_orderkey, row_number() OVER (ORDER BY md5(o_orderkey || '|{SEED}v'), o_orderkey) <= ceil(count(*) OVER () * 0.2e0) AS valid FROM a WHERE rest)
+    SELECT o_orderkey, CASE WHEN valid THEN 'valid' ELSE 'train' END AS split FROM b UNION ALL SELECT o_orderkey, 'test' FROM a WHERE NOT rest"""
+)
+def three_way_split(spark, d):
+    """Test, validation and train part."""
+    return split.three_way_split(read_table(spark, d, "orders").select("o_orderkey"), "o_orderkey", SEED)
+
+
+_MARKED = f"""m AS (SELECT *, CASE WHEN row_number() OVER (ORDER BY md5(o_orderkey || '|{SEED}'), o_orderkey) <= ceil(count(*) OVER () * 0.25e0)
+  THEN 'test' ELSE 'train' END AS split FROM orders)"""
+
+
+def _split_orders(spark, d):
+    orders = read_table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_custkey")
+    return split.exact_split(orders, "o_orderkey", SEED)
+
+
+@query(
+    f"""WITH {_MARKED}, s AS (SELECT avg(o_totalprice) AS a, stddev_pop(o_totalprice) AS b, avg(o_custkey) AS c, stddev_pop(o_custkey) AS e FROM m WHERE split = 'train')
+    SELECT o_orderkey, split, round((o_totalprice - a) / b, 6) AS o_totalprice, round((o_custkey - c) / e, 6) AS o_custkey FROM m, s"""
+)
+def zscore_scaling(spark, d):
+    """Two columns scaled by the train part's mean and deviation."""
+    rows = _split_orders(spark, d)
+    columns = ["o_totalprice", "o_custkey"]
+    scaled = prepare.fit_zscore(rows.where("split = 'train'"), columns).transform(rows)
+    return scaled.select("o_orderkey", "split", *[F.round(c, 6).alias(c) for c in columns])
+
+
+@query(
+    f"""WITH {_MARKED}, s AS (SELECT min(o_totalprice) AS a, max(o_totalprice) AS b FROM m WHERE split = 'train')
+    SELECT o_orderkey, split, round((o_totalprice - a) / (b - a), 6) AS o_totalprice FROM m, s"""
+)
+def minmax_scaling(spark, d):
+    """A column scaled by the train part's range, not clipped."""
+    rows = _split_orders(spark, d).drop("o_custkey")
+    scaled = prepare.fit_minmax(rows.where("split = 'train'"), ["o_totalprice"]).transform(rows)
+    return scaled.withColumn("o_totalprice", F.round("o_totalprice", 6))
+
+
+@query(
+    """SELECT p_partkey, round(x, 6) AS t0, round(x*x, 6) AS t1, round(x*x*x, 6) AS t2, round(y, 6) AS t3, round(x*y, 6) AS t4, round(x*x*y, 6) AS t5,
+    round(y*y, 6) AS t6, round(x*y*y, 6) AS t7, round(y*y*y, 6) AS t8 FROM (SELECT p_partkey, p_size / 10e0 AS x, length(p_name) / 10e0 AS y FROM part)"""
+)
+def polynomial_terms(spark, d):
+    """Terms up to degree three of two features."""
+    rows = read_table(spark, d, "part").select("p_partkey", (F.col("p_size") / 10.0).alias("x"), (F.length("p_name") / 10.0).alias("y"))
+    table, names = prepare.polynomial_columns(rows, ["x", "y"], 3, "t")
+    return table.select("p_partkey", *[F.round(n, 6).alias(n) for n in names])
+
+
+@query("SELECT p_brand, min(p_partkey) AS first_key, CAST(row_number() OVER (ORDER BY min(p_partkey), p_brand) - 1 AS INTEGER) AS label_index FROM part GROUP BY p_brand")
+def label_dictionary(spark, d):
+    """Classes numbered in order of first appearance."""
+    return prepare.label_dictionary(read_table(spark, d, "part"), "p_brand", "p_partkey")
+
+
+@query("SELECT vec_id, " + ", ".join(f"CASE WHEN label = {i} THEN 1e0 ELSE 0e0 END AS c{i}" for i in range(10)) + " FROM embeddings")
+def one_hot(spark, d):
+    """Class index as ten indicator columns."""
+    encoded = prepare.one_hot(read_table(spark, d, "embeddings").select("vec_id", "label"), "label")
+    x = vector_to_array("one_hot")
+    return encoded.select("vec_id", *[x[i].alias(f"c{i}") for i in range(10)])
+
+
+# ---- linear regression
+
+
+def _line_items(spark, d):
+    rows = read_table(spark, d, "lineitem").select("l_extendedprice", "l_quantity", "l_discount", "l_tax")
+    return prepare.assemble(rows, ["l_quantity", "l_discount"]).withColumnRenamed("l_extendedprice", "label")
+
+
+def _closed_form(penalty: str) -> str:
+    return f"""WITH s AS (SELECT count(*) AS n, avg(l_quantity) AS m1, avg(l_discount) AS m2, avg(l_extendedprice) AS my,
+      var_pop(l_quantity) * count(*) + {penalty} AS s11, var_pop(l_discount) * count(*) + {penalty} AS s22, covar_pop(l_quantity, l_discount) * count(*) AS s12,
+      covar_pop(l_quantity, l_extendedprice) * count(*) AS sy1, covar_pop(l_discount, l_extendedprice) * count(*) AS sy2 FROM lineitem),
+    w AS (SELECT *, (s22 * sy1 - s12 * sy2) / (s11 * s22 - s12 * s12) AS w1, (s11 * sy2 - s12 * sy1) / (s11 * s22 - s12 * s12) AS w2 FROM s)
+    SELECT 'intercept' AS term, round(my - w1 * m1 - w2 * m2, 3) AS coefficient FROM w
+    UNION ALL SELECT 'l_quantity', round(w1, 3) FROM w UNION ALL SELECT 'l_discount', round(w2, 3) FROM w"""
+
+
+def _coefficients(model, names, spark):
+    return regress.coefficient_table(model, names, spark).withColumn("coefficient", F.round("coefficient", 3))
+
+
+@query(_closed_form("0"))
+def least_squares(spark, d):
+    """Coefficients of price on quantity and discount."""
+    return _coefficients(regress.fit_ols(_line_items(spark, d)), ["l_quantity", "l_discount"], spark)
+
+
+@query(_closed_form("1e3"))
+def ridge(spark, d):
+    """The same with a squared penalty of 1,000."""
+    return _coefficients(regress.fit_ridge(_line_items(spark, d), 1000.0), ["l_quantity", "l_discount"], spark)
+
+
+@query(
+    """WITH s AS (SELECT avg(l_quantity) AS m, avg(l_extendedprice) AS my, covar_pop(l_quantity, l_extendedprice) AS c, var_pop(l_quantity) AS v FROM lineitem),
+    w AS (SELECT *, sign(c) * greatest(abs(c) - 1000, 0) / v AS w FROM s)
+    SELECT 'intercept' AS term, round(my - w * m, 3) AS coefficient FROM w UNION ALL SELECT 'l_quantity', round(w, 3) FROM w"""
+)
+def lasso(spark, d):
+    """Price on quantity with an absolute penalty of 1,000."""
+    rows = prepare.assemble(read_table(spark, d, "lineitem").select(F.col("l_extendedprice").alias("label"), "l_quantity"), ["l_quantity"])
+    return _coefficients(regress.fit_lasso(rows, 1000.0), ["l_quantity"], spark)
+
+
+@query(
+    """SELECT 'l_extendedprice' AS target, round(regr_slope(l_extendedprice, l_quantity), 6) AS slope, round(regr_intercept(l_extendedprice, l_quantity), 6) AS intercept FROM lineitem
+    UNION ALL SELECT 'l_discount', round(regr_slope(l_discount, l_quantity), 6), round(regr_intercept(l_discount, l_quantity), 6) FROM lineitem
+    UNION ALL SELECT 'l_tax', round(regr_slope(l_tax, l_quantity), 6), round(regr_intercept(l_tax, l_quantity), 6) FROM lineitem"""
+)
+def least_squares_per_target(spark, d):
+    """One line per target on the same feature."""
+    targets = ["l_extendedprice", "l_discount", "l_tax"]
+    rows = prepare.assemble(read_table(spark, d, "lineitem").select("l_quantity", *targets), ["l_quantity"]).persist()
+    models = regress.fit_ols_per_target(rows, targets)
+    table = [(t, round(float(m.coefficients[0]), 6) + 0.0, round(float(m.intercept), 6) + 0.0) for t, m in models.items()]
+    return spark.createDataFrame(table, "target string, slope double, intercept double")
+
+
+# ---- next-day forecasts
+
+_FEATURES = ["n_orders", "avg_price", "max_price"]
+
+
+def _forecast(spark, d, kind):
+    return next_day.run(materialise(panel(spark, d)), "series", "date", "cap", _FEATURES, kind, SEED)
+
+
+def _score_rows(run):
+    return run.scores.select("split", "n", F.round("r2", 4).alias("r2"), F.round("mae", 2).alias("mae"))
+
+
+@query()
+def forecast_ols(spark, d):
+    """Next-day forecast by least squares: scores of both parts."""
+    return _score_rows(_forecast(spark, d, "ols"))
+
+
+@query()
+def forecast_poly(spark, d):
+    """The same on degree-two terms."""
+    return _score_rows(_forecast(spark, d, "poly"))
+
+
+@query()
+def forecast_lasso(spark, d):
+    """The same on scaled degree-three terms with an absolute penalty."""
+    return _score_rows(_forecast(spark, d, "lasso"))
+
+
+@query()
+def forecast_ridge(spark, d):
+    """The same with a squared penalty."""
+    return _score_rows(_forecast(spark, d, "ridge"))
+
+
+@query()
+def forecast_boosted(spark, d):
+    """Boosted trees on absolute error, stopped on the validation part: scores of the three parts."""
+    run, _ = next_day.run_boosted(materialise(panel(spark, d)), "series", "date", "cap", _FEATURES, SEED, max_iter=12, patience=4)
+    return _score_rows(run)
+
+
+@query()
+def boosting_history(spark, d):
+    """Train and validation loss per boosting round."""
+    _, history = next_day.run_boosted(materialise(panel(spark, d)), "series", "date", "cap", _FEATURES, SEED, max_iter=12, patience=4)
+    return history
+
+
+@query()
+def next_day_forecast(spark, d):
+    """Value predicted for the day after each nation's newest row."""
+    return _forecast(spark, d, "ols").next_day
+
+
+@query()
+def forecast_chart(spark, d):
+    """Actual and predicted value of the last 200 days per nation."""
+    run = _forecast(spark, d, "ols")
+    return series.actual_and_predicted(run.predictions, "series", "date", "cap", limit=200)
+
+
+# ---- classifiers
+
+
+def _binary(spark, d):
+    rows = read_table(spark, d, "embeddings").select("vec_id", F.col("label").cast("string").alias("class"), *_dims(2))
+    return species.binary_rows(rows, "class", "1", "0", ["x0", "x1"], "vec_id", SEED)
+
+
+def _dims(n):
+    return [F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(n)]
+
+
+def _orders_by_status(spark, d, valid=False):
+    rows = read_table(spark, d, "orders").select(
+        "o_orderkey", "o_orderstatus", "o_totalprice", F.month("o_orderdate").cast("double").alias("month"), F.year("o_orderdate").cast("double").alias("year")
+    )
+    return species.multi_rows(rows, "o_orderstatus", ["o_totalprice", "month", "year"], "o_orderkey", SEED, valid)
+
+
+_STATUS_COLUMNS = ["o_totalprice", "month", "year"]
+
+
+def _accuracy_rows(scores):
+    return scores.select("split", "n", F.round("accuracy", 4).alias("accuracy"))
+
+
+@query()
+def linear_svc(spark, d):
+    """Two classes by two scaled features."""
+    _, scores = species.fit_and_score(_binary(spark, d), ["x0", "x1"], classify.fit_linear_svc)
+    return _accuracy_rows(scores)
+
+
+@query()
+def one_vs_one_svc(spark, d):
+    """Three classes by pairwise linear classifiers."""
+    rows, _ = _orders_by_status(spark, d)
+    _, scores = species.fit_and_score(rows, _STATUS_COLUMNS, lambda t: classify.fit_one_vs_one(t, [0, 1, 2]), scaled=True)
+    return _accuracy_rows(scores)
+
+
+@query()
+def one_vs_one_svc_poly(spark, d):
+    """The same on degree-two terms."""
+    rows, _ = _orders_by_status(spark, d)
+    _, scores = species.fit_and_score(rows, _STATUS_COLUMNS, lambda t: classify.fit_one_vs_one(t, [0, 1, 2]), scaled=True, degree=2)
+    return _accuracy_rows(scores)
+
+
+@query()
+def one_vs_rest_svc(spark, d):
+    """Three classes by one classifier per class."""
+    rows, _ = _orders_by_status(spark, d)
+    _, scores = species.fit_and_score(rows, _STATUS_COLUMNS, classify.fit_one_vs_rest, scaled=True)
+    return _accuracy_rows(scores)
+
+
+@query()
+def decision_tree(spark, d):
+    """Gini tree with depth and leaf limits."""
+    rows, _ = _orders_by_status(spark, d)
+    _, scores = species.fit_and_score(rows, _STATUS_COLUMNS, lambda t: classify.fit_tree(t, 7, 6))
+    return _accuracy_rows(scores)
+
+
+@query(
+    """WITH o AS (SELECT o_orderkey, o_orderstatus AS s, month(o_orderdate) AS m FROM orders),
+    t AS (SELECT unnest(range(1, 12)) AS k),
+    g AS (SELECT k, CAST(count(*) FILTER (m <= k) AS DOUBLE) AS nl, CAST(count(*) FILTER (m > k) AS DOUBLE) AS nr,
+      count(*) FILTER (m <= k AND s = 'F') AS lf, count(*) FILTER (m <= k AND s = 'O') AS lo, count(*) FILTER (m <= k AND s = 'P') AS lp,
+      count(*) FILTER (m > k AND s = 'F') AS rf, count(*) FILTER (m > k AND s = 'O') AS ro, count(*) FILTER (m > k AND s = 'P') AS rp FROM o, t GROUP BY k),
+    b AS (SELECT *, nl * (1 - (lf * lf + lo * lo + lp * lp) / (nl * nl)) + nr * (1 - (rf * rf + ro * ro + rp * rp) / (nr * nr)) AS cost FROM g ORDER BY cost, k LIMIT 1)
+    SELECT CAST(0 AS INTEGER) AS node, 'month' AS feature, k + 0.5e0 AS threshold, round(1 - ((lf + rf) ** 2 + (lo + ro) ** 2 + (lp + rp) ** 2) / ((nl + nr) ** 2), 9) AS gini,
+      CAST(nl + nr AS BIGINT) AS samples FROM b
+    UNION ALL SELECT CAST(1 AS INTEGER), NULL, NULL, round(1 - (lf * lf + lo * lo + lp * lp) / (nl * nl), 9), CAST(nl AS BIGINT) FROM b
+    UNION ALL SELECT CAST(2 AS INTEGER), NULL, NULL, round(1 - (rf * rf + ro * ro + rp * rp) / (nr * nr), 9), CAST(nr AS BIGINT) FROM b"""
+)
+def tree_stump(spark, d):
+    """Best single cut of the months for the status classes, as node rows."""
+    orders = read_table(spark, d, "orders").select("o_orderkey", "o_orderstatus", F.month("o_orderdate").cast("double").alias("month"))
+    indexed = relational.label_index(orders, prepare.label_dictionary(orders, "o_orderstatus", "o_orderkey"), "o_orderstatus")
+    ready = classify.with_features(indexed, ["month"], "label_index")
+    nodes = classify.tree_nodes(classify.fit_tree(ready, 1), spark, ["month"], ["0", "1", "2"])
+    return nodes.select("node", "feature", "threshold", F.round("gini", 9).alias("gini"), "samples")
+
+
+@query()
+def tree_nodes(spark, d):
+    """Every node of the limited tree as a row."""
+    rows, dictionary = _orders_by_status(spark, d)
+    model, _ = species.fit_and_score(rows, _STATUS_COLUMNS, lambda t: classify.fit_tree(t, 7, 6))
+    names = [r["o_orderstatus"] for r in dictionary.orderBy("label_index").collect()]
+    return classify.tree_nodes(model, spark, _STATUS_COLUMNS, names)
+
+
+@query()
+def softmax(spark, d):
+    """Multinomial logistic regression over ten classes."""
+    rows = read_table(spark, d, "embeddings").select("vec_id", F.col("label").cast("string").alias("class"), *_dims(64))
+    parts, _ = species.multi_rows(rows, "class", [f"x{i}" for i in range(64)], "vec_id", SEED)
+    _, scores = species.fit_and_score(parts, [f"x{i}" for i in range(64)], classify.fit_softmax)
+    return _accuracy_rows(scores)
+
+
+@query()
+def softmax_history(spark, d):
+    """Training loss per iteration of the softmax fit."""
+    rows, _ = _orders_by_status(spark, d)
+    model, _ = species.fit_and_score(rows, _STATUS_COLUMNS, classify.fit_softmax, scaled=True)
+    return classify.objective_history(model, spark)
+
+
+@query()
+def dense_network(spark, d):
+    """Dense network with three parts: train, validation, test."""
+    rows, _ = _orders_by_status(spark, d, valid=True)
+    hidden = classify.DENSE_LAYOUTS[4]
+    _, scores = species.fit_and_score(rows, _STATUS_COLUMNS, lambda t: classify.fit_dense(t, 3, 3, hidden, max_iter=20), scaled=True)
+    return _accuracy_rows(scores)
+
+
+@query("SELECT vec_id, round(0.25e0 + 1.5e0 * CAST(embedding[1] AS DOUBLE) - 2e0 * CAST(embedding[2] AS DOUBLE), 6) AS margin FROM embeddings")
+def decision_margin(spark, d):
+    """Signed margin of every row under given weights."""
+    rows = read_table(spark, d, "embeddings").select("vec_id", *_dims(2))
+    scored = classify.margins(rows, ["x0", "x1"], classify.LinearWeights([1.5, -2.0], 0.25))
+    return scored.select("vec_id", F.round("margin", 6).alias("margin"))
+
+
+@query()
+def margin_grid(spark, d):
+    """Signed margin of the fitted two-class model on a 100 x 100 grid over the data's range."""
+    rows = _binary(spark, d)
+    model, _ = species.fit_and_score(rows, ["x0", "x1"], classify.fit_linear_svc)
+    r = rows.agg(*[f(c).alias(f"{n}_{c}") for c in ("x0", "x1") for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    return classify.margin_grid(spark, ((r["lo_x0"], r["hi_x0"]), (r["lo_x1"], r["hi_x1"])), model, ["x0", "x1"])
+
+
+# ---- clusters
+
+
+@query(
+    """WITH c AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS x0, CAST(embedding[2] AS DOUBLE) AS x1 FROM embeddings),
+    k AS (SELECT * FROM (VALUES (0, -0.1e0, 0e0), (1, 0.1e0, 0e0), (2, 0e0, 0.2e0)) v(i, a, b)),
+    n AS (SELECT vec_id, x0, x1, arg_min(i, {'d': (x0 - a) * (x0 - a) + (x1 - b) * (x1 - b), 'i': i}) AS cluster FROM c, k GROUP BY ALL)
+    SELECT CAST(cluster AS INTEGER) AS cluster, CAST(count(*) AS BIGINT) AS n, round(avg(x0), 6) AS centre_x0, round(avg(x1), 6) AS centre_x1 FROM n GROUP BY cluster"""
+)
+def kmeans_step(spark, d):
+    """One refinement from three given centres."""
+    rows = read_table(spark, d, "embeddings").select("vec_id", *_dims(2))
+    step = cluster.lloyd_step(rows, ["x0", "x1"], [(-0.1, 0.0), (0.1, 0.0), (0.0, 0.2)])
+    return step.select("cluster", "n", F.round("centre_x0", 6).alias("centre_x0"), F.round("centre_x1", 6).alias("centre_x1"))
+
+
+@query()
+def kmeans_score(spark, d):
+    """Rows per ordered cluster number of the scaled anchor similarities."""
+    columns = list(_ANCHOR_NAMES.values())
+    similar = _similar(spark, d)
+    ready = prepare.assemble(prepare.fit_zscore(similar, columns).transform(similar), columns).persist()
+    model = cluster.fit_kmeans(ready, 3, seed=SEED)
+    return cluster.cluster_scores(ready, model, 0, 2).groupBy("score").agg(F.count("*").alias("n"))
+
+
+# ---- sweeps
+
+
+def _small_forecast_frame(spark, d):
+    rows = next_day.labelled_split(panel(spark, d), "series", "date", "cap", SEED)
+    columns = [*_FEATURES, "date_int"]
+    scaled = prepare.fit_zscore(rows.where("split = 'train'"), columns).transform(rows)
+    return prepare.assemble(scaled, columns).select("features", "label", "split")
+
+
+@query()
+def degree_sweep(spark, d):
+    """Forecast scores for degrees one to three."""
+    return sweeps.sweep_degree(_small_forecast_frame(spark, d), lambda t, f: regress.fit_ols(t, f))
+
+
+@query()
+def alpha_sweep(spark, d):
+    """Forecast scores for six absolute penalties."""
+    return sweeps.sweep_alpha(_small_forecast_frame(spark, d))
+
+
+@query()
+def tree_sweep(spark, d):
+    """Tree accuracy over depth and leaf size."""
+    rows, _ = _orders_by_status(spark, d)
+    ready = prepare.assemble(rows, _STATUS_COLUMNS).withColumn("label", F.col("label").cast("double"))
+    return sweeps.sweep_tree(ready.select("features", "label", "split"))
+
+
+# ---- news scores
+
+
+@query()
+def imputed_scores(spark, d):
+    """Daily score on every day of the panel, predicted where no document was published."""
+    table, scores = materialise(panel(spark, d)), materialise(daily_score(spark, d))
+    return news_score.impute_scores(table, scores, ["series", "date"], "date", ["cap", *_FEATURES], ["score"], SEED)
+
+
+def _document_scores(spark, d):
+    docs = dated_documents(spark, d).select("doc_id", "date", "text")
+    corpus = materialise(news_score.clean_corpus(docs, "doc_id", "text", _right_parts(spark)))
+    vocabulary = news_score.corpus_vocabulary(corpus)
+    words = materialise(news_score.corpus_in_vocabulary(corpus, vocabulary, "doc_id", normalize=True))
+    names = [r["term"] for r in vocabulary.orderBy("df", "term").limit(3).collect()]
+    anchors = dict(zip(names, ["up", "flat", "down"]))
+    similar = news_score.similarity_table(words, "doc_id", anchors, size=50)
+    return similar.join(docs.select("doc_id", "date"), "doc_id")
+
+
+@query()
+def score_by_cluster(spark, d):
+    """Documents to one daily score: tokens, vocabulary, vectors, clusters, daily mean."""
+    return news_score.score_v1(materialise(_document_scores(spark, d)), "date", ["up", "flat", "down"], seed=SEED)
+
+
+@query()
+def score_by_similarity(spark, d):
+    """Documents to three daily scores, filled on days without documents."""
+    scores = materialise(news_score.score_v2(_document_scores(spark, d), "date", ["up", "flat", "down"]))
+    return news_score.impute_scores(materialise(panel(spark, d)), scores, ["series", "date"], "date", ["cap", *_FEATURES], ["up", "flat", "down"], SEED)
+
+
+@query()
+def forecast_with_scores(spark, d):
+    """Next-day forecast on the panel and the three filled scores."""
+    table = materialise(score_by_similarity(spark, d).withColumn("cap", F.col("cap") / 1e6))
+    run = next_day.run_boosted(table, "series", "date", "cap", [*_FEATURES, "up", "flat", "down"], SEED, max_iter=8, patience=3)[0]
+    return _score_rows(run)
