@@ -1,9 +1,9 @@
 """Exact seeded train/test splits that never sort the whole table.
 
 Rows are ranked by ``md5(key | seed)``; the first ``ceil(n * fraction)`` ranks are the test part. The
-rank cut is found in two passes over the key column: counts per hash prefix name the one prefix in
-which the quota is reached, and only the rows of that prefix are ranked. The last pass compares each
-row with the cut. The key must be unique.
+rank cut is found in two passes over the key column when the split is made: counts per hash prefix
+name the one prefix in which the quota is reached, and only the rows of that prefix are ranked. The
+result compares each row with the cut and adds no shuffle to the plan. The key must be unique.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from seriesloom.session import materialise
+
 TEST_FRACTION = 0.25
 VALID_FRACTION = 0.2
 PREFIX_DIGITS = 4
@@ -28,7 +30,7 @@ def _part_sizes(n: Column, fraction: float) -> Column:
     return F.ceil(n * F.lit(fraction)).cast("long")
 
 
-def _cuts(hashed: DataFrame, key: str, quotas: DataFrame, digits: int) -> DataFrame:
+def _cuts(hashed: DataFrame, quotas: DataFrame, digits: int) -> DataFrame:
     """For every stratum the (hash, key) of the last row inside its quota."""
     prefix = F.substring("_h", 1, digits)
     counts = hashed.groupBy("_stratum", prefix.alias("_p")).agg(F.count("*").alias("_n"))
@@ -42,13 +44,32 @@ def _cuts(hashed: DataFrame, key: str, quotas: DataFrame, digits: int) -> DataFr
     return last.select("_stratum", F.col("_h").alias("_cut_h"), F.col("_k").alias("_cut_k"))
 
 
-def _mark(df: DataFrame, key: str, seed: int | str, stratum: Column, quotas: DataFrame, digits: int, names) -> DataFrame:
-    hashed = df.withColumns({"_h": key_hash(key, seed), "_stratum": stratum})
-    cuts = _cuts(hashed.select("_h", "_stratum", F.col(key).alias("_k")), key, quotas, digits)
+def _ranked(df: DataFrame, key: str, seed: int | str, stratum: Column) -> DataFrame:
+    return df.select(key_hash(key, seed).alias("_h"), stratum.alias("_stratum"), F.col(key).alias("_k"))
+
+
+def _find_cuts(df: DataFrame, key: str, seed: int | str, label: str | None, fraction: float, digits: int) -> DataFrame:
+    """The cut of every stratum, worked out now and kept: later passes compare rows with a tiny table."""
+    stratum = F.lit(0) if label is None else F.col(label)
+    if label is None:
+        quotas = df.agg(F.count("*").alias("_n")).select(F.lit(0).alias("_stratum"), _part_sizes(F.col("_n"), fraction).alias("_quota"))
+    else:
+        quotas = stratified_quotas(df, label, fraction)
+    return materialise(_cuts(_ranked(df, key, seed, stratum), quotas, digits))
+
+
+def _inside(df: DataFrame, key: str, seed: int | str, label: str | None, cuts: DataFrame, flag: str) -> DataFrame:
+    """Adds ``flag``: the row is inside its stratum's quota. One broadcast join with one row per stratum."""
+    stratum = F.lit(0) if label is None else F.col(label)
+    ranked = df.withColumns({"_h": key_hash(key, seed), "_stratum": stratum}).join(F.broadcast(cuts), "_stratum", "left")
     inside = (F.col("_h") < F.col("_cut_h")) | ((F.col("_h") == F.col("_cut_h")) & (F.col(key) <= F.col("_cut_k")))
-    marked = hashed.join(F.broadcast(cuts), "_stratum", "left")
-    name = F.when(inside, F.lit(names[0])).otherwise(F.lit(names[1]))
-    return marked.withColumn("split", name).select(*[c for c in df.columns if c != "split"], "split")
+    return ranked.withColumn(flag, F.coalesce(inside, F.lit(False))).select(*df.columns, flag)
+
+
+def _two_parts(df: DataFrame, key: str, seed: int | str, label: str | None, fraction: float, names: tuple[str, str], digits: int) -> DataFrame:
+    cuts = _find_cuts(df, key, seed, label, fraction, digits)
+    marked = _inside(df, key, seed, label, cuts, "_in")
+    return marked.select(*df.columns, F.when(F.col("_in"), names[0]).otherwise(names[1]).alias("split"))
 
 
 def exact_split(
@@ -63,9 +84,7 @@ def exact_split(
 
     With the default four hash digits a prefix holds one row in 65,536.
     """
-    one = F.lit(0)
-    quotas = df.agg(F.count("*").alias("_n")).select(one.alias("_stratum"), _part_sizes(F.col("_n"), fraction).alias("_quota"))
-    return _mark(df, key, seed, one, quotas, digits, names)
+    return _two_parts(df, key, seed, None, fraction, names, digits)
 
 
 def stratified_quotas(df: DataFrame, label: str, fraction: float = TEST_FRACTION) -> DataFrame:
@@ -94,8 +113,7 @@ def stratified_split(
     digits: int = PREFIX_DIGITS,
 ) -> DataFrame:
     """As :func:`exact_split` with the class shares kept. ``label`` is a column of few classes."""
-    quotas = stratified_quotas(df, label, fraction)
-    return _mark(df, key, seed, F.col(label), quotas, digits, names)
+    return _two_parts(df, key, seed, label, fraction, names, digits)
 
 
 def three_way_split(
@@ -106,16 +124,17 @@ def three_way_split(
     test_fraction: float = TEST_FRACTION,
     valid_fraction: float = VALID_FRACTION,
 ) -> DataFrame:
-    """``test`` first, then ``valid`` out of what is left, the rest ``train``."""
+    """``test`` first, then ``valid`` out of what is left, the rest ``train``.
 
-    def part(rows: DataFrame, salt: str, fraction: float, names: tuple[str, str]) -> DataFrame:
-        if label is None:
-            return exact_split(rows, key, f"{seed}{salt}", fraction, names)
-        return stratified_split(rows, key, label, f"{seed}{salt}", fraction, names)
-
-    first = part(df, "", test_fraction, ("test", "rest"))
-    rest = part(first.where("split = 'rest'"), "v", valid_fraction, ("valid", "train"))
-    return first.where("split = 'test'").unionByName(rest)
+    Both cuts are found first; the rows are marked in one pass.
+    """
+    test = _find_cuts(df, key, seed, label, test_fraction, PREFIX_DIGITS)
+    marked = _inside(df, key, seed, label, test, "_test")
+    salted = f"{seed}v"
+    valid = _find_cuts(marked.where(~F.col("_test")), key, salted, label, valid_fraction, PREFIX_DIGITS)
+    both = _inside(marked, key, salted, label, valid, "_valid")
+    part = F.when(F.col("_test"), "test").when(F.col("_valid"), "valid").otherwise("train")
+    return both.select(*df.columns, part.alias("split"))
 
 
 def threshold_split(df: DataFrame, key: str, seed: int | str, fraction: float = TEST_FRACTION) -> DataFrame:

@@ -24,8 +24,11 @@ def _stored(spark: SparkSession, store: str, schema: StructType, key: str, befor
 def _write_batch(store: str, schema: StructType, key: str) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = batch.dropDuplicates([key]) if batch_id == 0 else only_new(batch, _stored(spark, store, schema, key, batch_id), key)
+        batch.persist()
+        stored = _stored(spark, store, schema, key, batch_id) if batch_id else None
+        fresh = batch.dropDuplicates([key]) if stored is None else only_new(batch, stored, key)
         fresh.write.mode("overwrite").parquet(f"{store}/batch_id={batch_id}")
+        batch.unpersist()
 
     return write
 
