@@ -26,6 +26,7 @@ from seriesloom.operators.prepare import assemble
 from seriesloom.session import scratch_path
 
 MAX_TREE_DEPTH = 30
+SVC_ITERATIONS = 100
 
 
 @dataclass(frozen=True)
@@ -36,12 +37,13 @@ class LinearWeights:
     intercept: float
 
 
-def fit_linear_svc(train: DataFrame, c: float = 1.0, features: str = "features", label: str = "label", n: int | None = None) -> LinearSVCModel:
+def fit_linear_svc(
+    train: DataFrame, c: float = 1.0, features: str = "features", label: str = "label", n: int | None = None, max_iter: int = SVC_ITERATIONS
+) -> LinearSVCModel:
     """Linear support vector classifier with penalty ``c`` on the summed hinge loss."""
     rows = train.count() if n is None else n
-    return LinearSVC(featuresCol=features, labelCol=label, regParam=1.0 / (c * rows), standardization=False, maxIter=200, tol=1e-6).fit(
-        train
-    )
+    svc = LinearSVC(featuresCol=features, labelCol=label, regParam=1.0 / (c * rows), standardization=False, maxIter=max_iter, tol=1e-6)
+    return svc.fit(train)
 
 
 def margin_column(model: LinearSVCModel | LinearWeights, columns: Sequence[str | Column]) -> Column:
@@ -52,7 +54,9 @@ def margin_column(model: LinearSVCModel | LinearWeights, columns: Sequence[str |
     return total
 
 
-def fit_one_vs_one(train: DataFrame, classes: Sequence[int], c: float = 1.0, features: str = "features", label: str = "label"):
+def fit_one_vs_one(
+    train: DataFrame, classes: Sequence[int], c: float = 1.0, features: str = "features", label: str = "label", max_iter: int = SVC_ITERATIONS
+) -> dict[tuple[int, int], LinearSVCModel]:
     """A linear classifier for every pair of classes: ``{(low, high): model}``.
 
     Class sizes come from one aggregate; keep ``train`` persisted, each pair reads its two classes.
@@ -61,7 +65,7 @@ def fit_one_vs_one(train: DataFrame, classes: Sequence[int], c: float = 1.0, fea
     models = {}
     for low, high in combinations(sorted(classes), 2):
         pair = train.where(F.col(label).isin(low, high)).withColumn("_pair", (F.col(label) == high).cast("double"))
-        models[low, high] = fit_linear_svc(pair, c, features, "_pair", sizes[low] + sizes[high])
+        models[low, high] = fit_linear_svc(pair, c, features, "_pair", sizes[low] + sizes[high], max_iter)
     return models
 
 
@@ -80,9 +84,11 @@ def predict_one_vs_one(df: DataFrame, models, features: str = "features", predic
     return scored.drop("_x")
 
 
-def fit_one_vs_rest(train: DataFrame, c: float = 1.0, features: str = "features", label: str = "label", parallelism: int = 4) -> OneVsRestModel:
+def fit_one_vs_rest(
+    train: DataFrame, c: float = 1.0, features: str = "features", label: str = "label", parallelism: int = 4, max_iter: int = SVC_ITERATIONS
+) -> OneVsRestModel:
     """The cheaper multi-class form: one classifier per class."""
-    svc = LinearSVC(regParam=1.0 / (c * train.count()), standardization=False, maxIter=200)
+    svc = LinearSVC(regParam=1.0 / (c * train.count()), standardization=False, maxIter=max_iter)
     return OneVsRest(classifier=svc, featuresCol=features, labelCol=label, parallelism=parallelism).fit(train)
 
 
