@@ -13,6 +13,8 @@ EDITOR_MARKERS = "SUB_TITLE_START|SUB_TITLE_END"
 
 # Java's Unicode white space plus the four separators that count as space in the source data's tools.
 SPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
+# The same runs without the single plain spaces, which need no replacing.
+UNEVEN_SPACE = r"(?U)[\s\x1c-\x1f]{2,}|[^\S ]|[\x1c-\x1f]"
 WORD_RUN = r"[\p{L}\p{N}_]{2,}"
 
 
@@ -23,7 +25,7 @@ def keep_text_characters(text: Column) -> Column:
 
 def collapse_space(text: Column) -> Column:
     """Every run of white space to one space, none at the ends."""
-    return F.trim(F.regexp_replace(text, SPACE_RUN, " "))
+    return F.trim(F.regexp_replace(text, UNEVEN_SPACE, " "))
 
 
 def strip_illegal_control(text: Column) -> Column:

@@ -27,6 +27,20 @@ def _row_bytes(df: DataFrame) -> Column:
     return size
 
 
+def elements(df: DataFrame, keys: Sequence[str], array: Column, name: str) -> DataFrame:
+    """One row per array element, none for an empty array.
+
+    The outer form with a filter behind it: a plain explode makes the optimizer test the array for
+    emptiness first, which works out an expensive array (a split or a pattern search) again.
+    """
+    return df.select(*keys, F.explode_outer(array).alias(name)).where(F.col(name).isNotNull())
+
+
+def numbered_elements(df: DataFrame, keys: Sequence[str], array: Column, name: str, position: str = "pos") -> DataFrame:
+    """As :func:`elements`, with the position from 0."""
+    return df.select(*keys, F.posexplode_outer(array).alias(position, name)).where(F.col(position).isNotNull())
+
+
 def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Whether the table is small in rows and in bytes; a larger one is not read beyond ``max_rows``."""
     sizes = dim.limit(max_rows + 1).agg(F.count("*").alias("n"), F.sum(_row_bytes(dim)).alias("bytes"))
@@ -71,7 +85,7 @@ def word_lookup(
     """
     small = fits_broadcast(dim, max_rows)
     placed = docs.repartition(doc_id) if small else docs
-    facts = placed.select(doc_id, F.posexplode(words).alias("pos", key))
+    facts = numbered_elements(placed, [doc_id], words, key)
     if small:
         return facts.join(F.broadcast(dim), key, how)
     return salted_join(facts, dim, key, how, [doc_id, "pos"], key_counts)

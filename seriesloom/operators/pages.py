@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesloom.functions.text import collapse_space, strip_editor_markers
-from seriesloom.operators.lookup import salted_join
+from seriesloom.operators.lookup import numbered_elements, salted_join
 from seriesloom.session import spread
 
 # Character references undone in extracted text; the ampersand goes last.
@@ -142,7 +142,7 @@ def items(pages: DataFrame, keys: Sequence[str], html: str, item: str, fields: d
     the item, null when there is none.
     """
     found = F.regexp_extract_all(F.col(html), F.lit(item), F.lit(0))
-    rows = spread(pages).select(*keys, F.posexplode(found).alias("position", "_item"))
+    rows = numbered_elements(spread(pages), keys, found, "_item", "position")
     picked = {
         name: unescape(F.try_element_at(F.regexp_extract_all("_item", F.lit(pattern), F.lit(1)), F.lit(-1)))
         for name, pattern in fields.items()

@@ -48,27 +48,31 @@ def _ranked(df: DataFrame, key: str, seed: int | str, stratum: Column) -> DataFr
     return df.select(key_hash(key, seed).alias("_h"), stratum.alias("_stratum"), F.col(key).alias("_k"))
 
 
-def _find_cuts(df: DataFrame, key: str, seed: int | str, label: str | None, fraction: float, digits: int) -> DataFrame:
-    """The cut of every stratum, worked out now and kept: later passes compare rows with a tiny table."""
-    stratum = F.lit(0) if label is None else F.col(label)
-    if label is None:
-        quotas = df.agg(F.count("*").alias("_n")).select(F.lit(0).alias("_stratum"), _part_sizes(F.col("_n"), fraction).alias("_quota"))
-    else:
-        quotas = stratified_quotas(df, label, fraction)
-    return materialise(_cuts(_ranked(df, key, seed, stratum), quotas, digits))
+def _is_inside(key: str, cut_hash: Column, cut_key: Column) -> Column:
+    return (F.col("_h") < cut_hash) | ((F.col("_h") == cut_hash) & (F.col(key) <= cut_key))
+
 
+def _flag(
+    df: DataFrame, basis: DataFrame, key: str, seed: int | str, label: str | None, fraction: float, digits: int, flag: str
+) -> DataFrame:
+    """Finds the cuts of ``basis`` now and adds ``flag`` to ``df``: the row ranks inside the quota.
 
-def _inside(df: DataFrame, key: str, seed: int | str, label: str | None, cuts: DataFrame, flag: str) -> DataFrame:
-    """Adds ``flag``: the row is inside its stratum's quota. One broadcast join with one row per stratum."""
-    stratum = F.lit(0) if label is None else F.col(label)
-    ranked = df.withColumns({"_h": key_hash(key, seed), "_stratum": stratum}).join(F.broadcast(cuts), "_stratum", "left")
-    inside = (F.col("_h") < F.col("_cut_h")) | ((F.col("_h") == F.col("_cut_h")) & (F.col(key) <= F.col("_cut_k")))
-    return ranked.withColumn(flag, F.coalesce(inside, F.lit(False))).select(*df.columns, flag)
+    Without strata the cut is one value pair. With them it is a stored table of one row per class.
+    """
+    hashed = df.withColumn("_h", key_hash(key, seed))
+    if label is None:
+        quotas = basis.agg(F.count("*").alias("_n")).select(F.lit(0).alias("_stratum"), _part_sizes(F.col("_n"), fraction).alias("_quota"))
+        cut = _cuts(_ranked(basis, key, seed, F.lit(0)), quotas, digits).first()
+        inside = _is_inside(key, F.lit(cut["_cut_h"]), F.lit(cut["_cut_k"])) if cut else F.lit(False)
+        return hashed.withColumn(flag, inside).drop("_h")
+    cuts = materialise(_cuts(_ranked(basis, key, seed, F.col(label)), stratified_quotas(basis, label, fraction), digits))
+    ranked = hashed.withColumn("_stratum", F.col(label)).join(F.broadcast(cuts), "_stratum", "left")
+    inside = F.coalesce(_is_inside(key, F.col("_cut_h"), F.col("_cut_k")), F.lit(False))
+    return ranked.withColumn(flag, inside).select(*df.columns, flag)
 
 
 def _two_parts(df: DataFrame, key: str, seed: int | str, label: str | None, fraction: float, names: tuple[str, str], digits: int) -> DataFrame:
-    cuts = _find_cuts(df, key, seed, label, fraction, digits)
-    marked = _inside(df, key, seed, label, cuts, "_in")
+    marked = _flag(df, df, key, seed, label, fraction, digits, "_in")
     return marked.select(*df.columns, F.when(F.col("_in"), names[0]).otherwise(names[1]).alias("split"))
 
 
@@ -128,11 +132,8 @@ def three_way_split(
 
     Both cuts are found first; the rows are marked in one pass.
     """
-    test = _find_cuts(df, key, seed, label, test_fraction, PREFIX_DIGITS)
-    marked = _inside(df, key, seed, label, test, "_test")
-    salted = f"{seed}v"
-    valid = _find_cuts(marked.where(~F.col("_test")), key, salted, label, valid_fraction, PREFIX_DIGITS)
-    both = _inside(marked, key, salted, label, valid, "_valid")
+    marked = _flag(df, df, key, seed, label, test_fraction, PREFIX_DIGITS, "_test")
+    both = _flag(marked, marked.where(~F.col("_test")), key, f"{seed}v", label, valid_fraction, PREFIX_DIGITS, "_valid")
     part = F.when(F.col("_test"), "test").when(F.col("_valid"), "valid").otherwise("train")
     return both.select(*df.columns, part.alias("split"))
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from seriesloom.functions.text import split_words, word_tokens
-from seriesloom.operators.lookup import lookup_join, word_lookup
+from seriesloom.operators.lookup import elements, lookup_join, word_lookup
 from seriesloom.session import spread
 
 # Share of documents a term may and must occur in.
@@ -27,12 +27,12 @@ MIN_DF = 0.011
 def document_frequencies(docs: DataFrame, text: str = "text") -> DataFrame:
     """``(term, df)``: documents each term occurs in."""
     once = F.array_distinct(word_tokens(F.col(text)))
-    return spread(docs).select(F.explode(once).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    return elements(spread(docs), [], once, "term").groupBy("term").agg(F.count("*").alias("df"))
 
 
 def term_totals(docs: DataFrame, text: str = "text") -> DataFrame:
     """``(term, total)``: occurrences of each term over all documents."""
-    return spread(docs).select(F.explode(word_tokens(F.col(text))).alias("term")).groupBy("term").agg(F.count("*").alias("total"))
+    return elements(spread(docs), [], word_tokens(F.col(text)), "term").groupBy("term").agg(F.count("*").alias("total"))
 
 
 def fit_tfidf(
@@ -60,9 +60,7 @@ def rank_by_idf(vocabulary: DataFrame, n: int | None = None, rarest_first: bool
 def term_counts(docs: DataFrame, doc_id: str, text: str = "text") -> DataFrame:
     """``(doc_id, term, tf)``, partitioned by document."""
     placed = docs.select(doc_id, text).repartition(doc_id)
-    return placed.select(doc_id, F.explode(word_tokens(F.col(text))).alias("term")).groupBy(doc_id, "term").agg(
-        F.count("*").alias("tf")
-    )
+    return elements(placed, [doc_id], word_tokens(F.col(text)), "term").groupBy(doc_id, "term").agg(F.count("*").alias("tf"))
 
 
 def transform_tfidf(docs: DataFrame, vocabulary: DataFrame, doc_id: str, text: str = "text") -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesloom.functions.text import spaced_tokens
-from seriesloom.operators.lookup import lookup_join, word_lookup
+from seriesloom.operators.lookup import elements, lookup_join, numbered_elements, word_lookup
 from seriesloom.session import spread
 
 # The thresholds the score tables are built with.
@@ -25,7 +25,7 @@ CHUNK_CHARS = 500
 
 def token_counts(docs: DataFrame, tokens: Column) -> DataFrame:
     """``(token, n)`` over all documents."""
-    return spread(docs).select(F.explode(tokens).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    return elements(spread(docs), [], tokens, "token").groupBy("token").agg(F.count("*").alias("n"))
 
 
 def top_words(docs: DataFrame, tokens: Column, k: int) -> DataFrame:
@@ -36,7 +36,7 @@ def top_words(docs: DataFrame, tokens: Column, k: int) -> DataFrame:
 def _prefixes(counts: DataFrame, shortest: int, longest: int) -> DataFrame:
     lengths = F.sequence(F.lit(shortest), F.least(F.length("token"), F.lit(longest)))
     long_enough = counts.where(F.length("token") >= shortest)
-    return long_enough.withColumn("k", F.explode(lengths)).withColumn("prefix", F.expr("substring(token, 1, k)"))
+    return elements(long_enough, ["token", "n"], lengths, "k").withColumn("prefix", F.expr("substring(token, 1, k)"))
 
 
 def cohesion_scores(
@@ -89,7 +89,7 @@ def noun_scores(
     """
     cuts = F.sequence(F.lit(1), F.least(F.length("token"), F.lit(max_left)))
     pairs = (
-        counts.withColumn("k", F.explode(cuts))
+        elements(counts, ["token", "n"], cuts, "k")
         .select(F.expr("substring(token, 1, k)").alias("l"), F.expr("substring(token, k + 1)").alias("r"), "n", "token")
         .where(F.length("r") <= max_right)
     )
@@ -110,8 +110,7 @@ def flag_compounds(nouns: DataFrame, shortest: int = 2) -> DataFrame:
     names = nouns.select("token")
     cuts = F.sequence(F.lit(shortest), F.length("token") - shortest)
     halves = (
-        names.where(F.length("token") >= 2 * shortest)
-        .withColumn("k", F.explode(cuts))
+        elements(names.where(F.length("token") >= 2 * shortest), ["token"], cuts, "k")
         .select("token", F.expr("substring(token, 1, k)").alias("a"), F.expr("substring(token, k + 1)").alias("b"))
     )
     first = lookup_join(halves, names.select(F.col("token").alias("a")), "a", "left_semi", spread=["token"])
@@ -131,8 +130,7 @@ def left_parts(counts: DataFrame, scores: DataFrame) -> DataFrame:
     whole = F.length("token")
     ends = F.array_union(F.sequence(F.lit(2), F.greatest(F.least(whole, longest), F.lit(2))), F.array(whole))
     candidates = (
-        counts.where(whole > 2)
-        .select("token", F.explode(ends).alias("k"))
+        elements(counts.where(whole > 2), ["token"], ends, "k")
         .select("token", F.expr("substring(token, 1, k)").alias("prefix"))
     )
     prefix_scores = scores.select(F.col("token").alias("prefix"), "score")
@@ -184,4 +182,4 @@ def pack_words(text: Column, limit: int = CHUNK_CHARS) -> Column:
 
 def chunks(docs: DataFrame, doc_id: str, text: str, limit: int = CHUNK_CHARS) -> DataFrame:
     """One row per piece of each document, with its position."""
-    return spread(docs).select(doc_id, F.posexplode(pack_words(F.col(text), limit)).alias("piece", "chunk"))
+    return numbered_elements(spread(docs), [doc_id], pack_words(F.col(text), limit), "chunk", "piece")
