@@ -42,12 +42,16 @@ def numbered_elements(df: DataFrame, keys: Sequence[str], array: Column, name: s
 
 
 def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether the table is small in rows and in bytes; a larger one is not read beyond ``max_rows``."""
-    sizes = dim.limit(max_rows + 1).agg(F.count("*").alias("n"), F.sum(_row_bytes(dim)).alias("bytes"))
-    row = sizes.first()
+    """Whether the table is small in rows and in bytes: one aggregate, nothing moves but the sums."""
+    row = dim.agg(F.count("*").alias("n"), F.sum(_row_bytes(dim)).alias("bytes")).first()
     return row["n"] <= max_rows and (row["bytes"] or 0) <= max_bytes
 
 
+def sized(dim: DataFrame) -> DataFrame:
+    """The table marked for broadcast if it is small enough; otherwise unmarked, for a shuffle join."""
+    return F.broadcast(dim) if fits_broadcast(dim) else dim
+
+
 def lookup_join(
     facts: DataFrame,
     dim: DataFrame,
@@ -125,9 +129,3 @@ def salted_join(
         .drop("_hot")
     )
     return salted_facts.join(salted_dim, [key, "_salt"], how).drop("_salt")
-
-
-def bounded_lookup(facts: DataFrame, dim: DataFrame, key: str, value: str, default: Column | None = None) -> DataFrame:
-    """Left join with a dictionary of class labels, which is bounded by the number of classes."""
-    joined = facts.join(F.broadcast(dim.select(key, value)), key, "left")
-    return joined if default is None else joined.withColumn(value, F.coalesce(F.col(value), default))

@@ -7,8 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.operators.lookup import bounded_lookup
-
 
 def class_slice(df: DataFrame, label: str, value, columns: Sequence[str]) -> DataFrame:
     """Chosen columns of the rows of one class; filter and columns reach the scan."""
@@ -69,15 +67,16 @@ def merge_score_tables(nouns: DataFrame, cohesion: DataFrame) -> DataFrame:
 
 
 def label_index(df: DataFrame, dictionary: DataFrame, label: str, index: str = "label_index") -> DataFrame:
-    """Class text to its index by the label dictionary."""
-    return bounded_lookup(df, dictionary, label, index)
+    """Class text to its index by the label dictionary; Spark picks the join by the dictionary's size."""
+    return df.join(dictionary.select(label, index), label, "left")
 
 
 def fixed_index(df: DataFrame, names: Sequence[str], column: str, index: str) -> DataFrame:
     """Position of a name in a fixed list; null for a name that is not listed."""
     spark = df.sparkSession
     rows = [(name, i) for i, name in enumerate(names)]
-    return bounded_lookup(df, spark.createDataFrame(rows, f"{column} string, {index} int"), column, index)
+    listed = spark.createDataFrame(rows, f"{column} string, {index} int")
+    return df.join(F.broadcast(listed), column, "left")
 
 
 def every_pairing(batches: DataFrame, names: Sequence[str], column: str) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from seriesloom.operators.lookup import sized
 from seriesloom.session import materialise
 
 TEST_FRACTION = 0.25
@@ -30,17 +31,21 @@ def _part_sizes(n: Column, fraction: float) -> Column:
     return F.ceil(n * F.lit(fraction)).cast("long")
 
 
-def _cuts(hashed: DataFrame, quotas: DataFrame, digits: int) -> DataFrame:
-    """For every stratum the (hash, key) of the last row inside its quota."""
+def _crossing(ranked: DataFrame, quotas: DataFrame, digits: int) -> DataFrame:
+    """For every stratum the hash prefix in which its quota is reached, and how many rows of it belong."""
     prefix = F.substring("_h", 1, digits)
-    counts = hashed.groupBy("_stratum", prefix.alias("_p")).agg(F.count("*").alias("_n"))
+    counts = ranked.groupBy("_stratum", prefix.alias("_p")).agg(F.count("*").alias("_n"))
     upto = Window.partitionBy("_stratum").orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)
-    running = counts.withColumn("_upto", F.sum("_n").over(upto)).join(F.broadcast(quotas), "_stratum")
-    crossing = running.where((F.col("_upto") >= F.col("_quota")) & (F.col("_upto") - F.col("_n") < F.col("_quota")))
-    crossing = crossing.select("_stratum", "_p", (F.col("_quota") - (F.col("_upto") - F.col("_n"))).alias("_need"))
-    in_bucket = hashed.withColumn("_p", prefix).join(F.broadcast(crossing), ["_stratum", "_p"])
+    running = counts.withColumn("_upto", F.sum("_n").over(upto)).join(quotas, "_stratum")
+    before = F.col("_upto") - F.col("_n")
+    reached = running.where((F.col("_upto") >= F.col("_quota")) & (before < F.col("_quota")))
+    return reached.select("_stratum", "_p", (F.col("_quota") - before).alias("_need"))
+
+
+def _last_inside(bucket: DataFrame) -> DataFrame:
+    """For every stratum the (hash, key) of the last row inside its quota."""
     rank = F.row_number().over(Window.partitionBy("_stratum").orderBy("_h", "_k"))
-    last = in_bucket.withColumn("_rank", rank).where(F.col("_rank") == F.col("_need"))
+    last = bucket.withColumn("_rank", rank).where(F.col("_rank") == F.col("_need"))
     return last.select("_stratum", F.col("_h").alias("_cut_h"), F.col("_k").alias("_cut_k"))
 
 
@@ -60,15 +65,23 @@ def _flag(
     Without strata the cut is one value pair. With them it is a stored table of one row per class.
     """
     hashed = df.withColumn("_h", key_hash(key, seed))
+    prefix = F.substring("_h", 1, digits)
     if label is None:
-        quotas = basis.agg(F.count("*").alias("_n")).select(F.lit(0).alias("_stratum"), _part_sizes(F.col("_n"), fraction).alias("_quota"))
-        cut = _cuts(_ranked(basis, key, seed, F.lit(0)), quotas, digits).first()
-        inside = _is_inside(key, F.lit(cut["_cut_h"]), F.lit(cut["_cut_k"])) if cut else F.lit(False)
-        return hashed.withColumn(flag, inside).drop("_h")
-    cuts = materialise(_cuts(_ranked(basis, key, seed, F.col(label)), stratified_quotas(basis, label, fraction), digits))
-    ranked = hashed.withColumn("_stratum", F.col(label)).join(F.broadcast(cuts), "_stratum", "left")
+        ranked = _ranked(basis, key, seed, F.lit(0))
+        quota = basis.agg(F.count("*").alias("_n")).select(F.lit(0).alias("_stratum"), _part_sizes(F.col("_n"), fraction).alias("_quota"))
+        reached = _crossing(ranked, quota, digits).first()
+        if reached is None:
+            return hashed.withColumn(flag, F.lit(False)).drop("_h")
+        bucket = ranked.where(prefix == reached["_p"]).withColumn("_need", F.lit(reached["_need"]))
+        cut = _last_inside(bucket).first()
+        return hashed.withColumn(flag, _is_inside(key, F.lit(cut["_cut_h"]), F.lit(cut["_cut_k"]))).drop("_h")
+    ranked = _ranked(basis, key, seed, F.col(label))
+    reached = materialise(_crossing(ranked, stratified_quotas(basis, label, fraction), digits))
+    bucket = ranked.withColumn("_p", prefix).join(sized(reached), ["_stratum", "_p"])
+    cuts = materialise(_last_inside(bucket))
+    marked = hashed.withColumn("_stratum", F.col(label)).join(sized(cuts), "_stratum", "left")
     inside = F.coalesce(_is_inside(key, F.col("_cut_h"), F.col("_cut_k")), F.lit(False))
-    return ranked.withColumn(flag, inside).select(*df.columns, flag)
+    return marked.withColumn(flag, inside).select(*df.columns, flag)
 
 
 def _two_parts(df: DataFrame, key: str, seed: int | str, label: str | None, fraction: float, names: tuple[str, str], digits: int) -> DataFrame:

@@ -14,13 +14,15 @@ from seriesloom.operators.lookup import word_lookup
 
 
 def train_word_vectors(
-    corpus: DataFrame, words: str = "words", size: int = 200, min_count: int = 1, partitions: int = 1, seed: int = 346672, max_iter: int = 1
+    corpus: DataFrame, words: str = "words", size: int = 200, min_count: int = 1, partitions: int | None = None, seed: int = 346672, max_iter: int = 1
 ) -> Word2VecModel:
     """Skip-gram word vectors of a tokenised corpus.
 
     The trainer keeps ``vocabulary x size`` floats on every executor, so train on the corpus cut to a
-    fitted vocabulary (``checked_corpus``) and not on raw tokens. Raise ``partitions`` with the corpus.
+    fitted vocabulary (``checked_corpus``) and not on raw tokens. The corpus is trained in
+    ``partitions`` parts whose vectors are averaged, one per core when not given.
     """
+    partitions = partitions or corpus.sparkSession.sparkContext.defaultParallelism
     trainer = Word2Vec(
         vectorSize=size, minCount=min_count, numPartitions=partitions, inputCol=words, outputCol="_v", seed=seed, maxIter=max_iter
     )

@@ -53,7 +53,7 @@ def corpus_in_vocabulary(corpus: DataFrame, vocabulary: DataFrame, doc_id: str,
 
 
 def similarity_table(
-    corpus: DataFrame, doc_id: str, anchors: Mapping[str, str] = ANCHORS, pretrained: DataFrame | None = None, size: int = 200, partitions: int = 1
+    corpus: DataFrame, doc_id: str, anchors: Mapping[str, str] = ANCHORS, pretrained: DataFrame | None = None, size: int = 200, partitions: int | None = None
 ) -> DataFrame:
     """Mean similarity of each document's words to the anchor words, by vectors trained on the corpus."""
     model = vectors.train_word_vectors(corpus, size=size, partitions=partitions)

@@ -13,6 +13,7 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -32,13 +33,17 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session without the setting gets a folder of its own; a cluster session must name
     one that every executor reaches.
     """
+    context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        if not spark.sparkContext.master.startswith("local"):
+    if named:
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(named)
+        return named.rstrip("/")
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        named = tempfile.mkdtemp(prefix="seriesloom-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="seriesloom-"))
+    return context.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -52,10 +57,7 @@ def materialise(df: DataFrame) -> DataFrame:
     For results that are read several times by later steps (token counts, vocabularies, panels); the
     files live in the shared folder, so a lost executor costs a re-read and not a recompute.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(spark))
+    shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
