@@ -104,6 +104,14 @@ def three_way_split(spark, d):
     return split.three_way_split(read_table(spark, d, "orders").select("o_orderkey"), "o_orderkey", SEED)
 
 
+@query(
+    f"SELECT o_orderkey, CASE WHEN substr(md5(o_orderkey || '|{SEED}'), 1, 8) < '40000000' THEN 'test' ELSE 'train' END AS split FROM orders"
+)
+def threshold_split(spark, d):
+    """Seeded split by a hash threshold: one pass, the share met on average."""
+    return split.threshold_split(read_table(spark, d, "orders").select("o_orderkey"), "o_orderkey", SEED)
+
+
 _MARKED = f"""m AS (SELECT *, CASE WHEN row_number() OVER (ORDER BY md5(o_orderkey || '|{SEED}'), o_orderkey) <= ceil(count(*) OVER () * 0.25e0)
   THEN 'test' ELSE 'train' END AS split FROM orders)"""
 

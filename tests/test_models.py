@@ -16,7 +16,7 @@ SPLIT = ["test" if i % 4 == 0 else "train" for i in range(120)]
 @pytest.fixture(scope="module")
 def line(spark):
     rows = [(Vectors.dense(x), float(y), s) for x, y, s in zip(X, Y, SPLIT)]
-    return spark.createDataFrame(rows, ["features", "label", "split"]).persist()
+    return spark.createDataFrame(rows, ["features", "label", "split"]).coalesce(1).persist()
 
 
 def closed_form(alpha):
@@ -71,7 +71,7 @@ def blobs(spark):
     rng = random.Random(2)
     rows = [(float(c * 3 + rng.gauss(0, 0.6)), float((c % 2) * 4 + rng.gauss(0, 0.6)), c, "test" if i % 4 == 0 else "train") for i in range(60) for c in (0, 1, 2)]
     df = spark.createDataFrame(rows, "x double, y double, c int, split string")
-    return classify.with_features(df, ["x", "y"], "c").persist()
+    return classify.with_features(df, ["x", "y"], "c").coalesce(1).persist()
 
 
 def test_linear_svc_objective(blobs):
