@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from seriesloom.operators import classify, cluster, evaluate, prepare, regress, relational, series, split, sweeps
 from seriesloom.plans import news_score, next_day, species
-from seriesloom.registry.base import PANEL, daily_score, dated_documents, panel, query
+from seriesloom.registry.base import DATED, PANEL, SCORED, daily_score, dated_documents, panel, query
 from seriesloom.registry.textual import _ANCHOR_NAMES, _right_parts, _similar
 from seriesloom.session import materialise
 from seriesloom.sources.readers import read_table
@@ -240,6 +240,31 @@ def _score_rows(run):
     return run.scores.select("split", "n", F.round("r2", 4).alias("r2"), F.round("mae", 2).alias("mae"))
 
 
+_DATE_INT = "year(date) * 10000 + month(date) * 100 + day(date)"
+_TREND = f"""{_LAB}, cut AS (SELECT *, {_DATE_INT} AS x, CASE WHEN row_number() OVER (ORDER BY md5(series || '|' || date || '|{SEED}'))
+    <= ceil(count(*) OVER () * 0.25e0) THEN 'test' ELSE 'train' END AS split FROM lab),
+  fit AS (SELECT regr_slope(label, x) AS b, regr_intercept(label, x) AS a FROM cut WHERE split = 'train')"""
+
+
+@query(
+    f"""WITH {PANEL}, {_TREND} SELECT split, CAST(count(*) AS BIGINT) AS n,
+    round(1 - sum((label - a - b * x) ** 2) / (var_pop(label) * count(*)), 4) AS r2, round(avg(abs(label - a - b * x)), 2) AS mae FROM cut, fit GROUP BY split"""
+)
+def trend_scores(spark, d):
+    """Next-day forecast from the date alone: scores of both parts."""
+    return _score_rows(next_day.run(materialise(panel(spark, d)), "series", "date", "cap", [], "ols", SEED))
+
+
+@query(
+    f"""WITH {PANEL}, {_TREND}, newest AS (SELECT series, max(date) + 1 AS date FROM panel GROUP BY series)
+    SELECT series, date, round(a + b * ({_DATE_INT}), 2) AS prediction FROM newest, fit"""
+)
+def trend_forecast(spark, d):
+    """Value predicted from the date alone for the day after each nation's newest row."""
+    run = next_day.run(materialise(panel(spark, d)), "series", "date", "cap", [], "ols", SEED)
+    return run.next_day.withColumn("prediction", F.round("prediction", 2))
+
+
 @query()
 def forecast_ols(spark, d):
     """Next-day forecast by least squares: scores of both parts."""
@@ -340,6 +365,26 @@ def one_vs_one_svc_poly(spark, d):
     return _accuracy_rows(scores)
 
 
+_PAIRS = {(0, 1): (1.0, -2.0, 0.05), (0, 2): (-1.0, 0.5, -0.1), (1, 2): (0.25, 1.5, 0.0)}
+
+
+def _wins(low, high):
+    a, b, c = _PAIRS[low, high]
+    return f"CAST({c!r}e0 + {a!r}e0 * CAST(embedding[1] AS DOUBLE) + {b!r}e0 * CAST(embedding[2] AS DOUBLE) > 0 AS INTEGER)"
+
+
+@query(
+    f"""WITH w AS (SELECT vec_id, {_wins(0, 1)} AS w01, {_wins(0, 2)} AS w02, {_wins(1, 2)} AS w12 FROM embeddings),
+    v AS (SELECT vec_id, (1 - w01) + (1 - w02) AS v0, w01 + (1 - w12) AS v1, w02 + w12 AS v2 FROM w)
+    SELECT vec_id, CASE WHEN v0 >= v1 AND v0 >= v2 THEN 0e0 WHEN v1 >= v2 THEN 1e0 ELSE 2e0 END AS prediction FROM v"""
+)
+def pairwise_votes(spark, d):
+    """Class by the votes of three given pairwise classifiers."""
+    models = {pair: classify.LinearWeights(w[:2], w[2]) for pair, w in _PAIRS.items()}
+    rows = prepare.assemble(read_table(spark, d, "embeddings").select("vec_id", *_dims(2)), ["x0", "x1"])
+    return classify.predict_one_vs_one(rows, models).select("vec_id", "prediction")
+
+
 @query()
 def one_vs_rest_svc(spark, d):
     """Three classes by one classifier per class."""
@@ -477,6 +522,21 @@ def alpha_sweep(spark, d):
     return sweeps.sweep_alpha(_small_forecast_frame(spark, d))
 
 
+@query(
+    f"""WITH {_MARKED}, p AS (SELECT split, avg(o_custkey) AS mx, avg(o_totalprice) AS my, covar_pop(o_custkey, o_totalprice) AS c, var_pop(o_custkey) AS v FROM m GROUP BY split),
+    f AS (SELECT alpha, sign(c) * greatest(abs(c) - alpha, 0) / v AS w, my - mx * sign(c) * greatest(abs(c) - alpha, 0) / v AS a
+      FROM p, (SELECT unnest([0.001e0, 1e0, 100e0, 1e4, 1e9]) AS alpha) WHERE split = 'train'),
+    s AS (SELECT alpha, split, 1 - sum((o_totalprice - a - w * o_custkey) ** 2) / (var_pop(o_totalprice) * count(*)) AS r2 FROM m, f GROUP BY alpha, split)
+    SELECT alpha, round(log10(alpha), 6) AS log_alpha, round(max(r2) FILTER (split = 'train'), 6) + 0e0 AS train_score, round(max(r2) FILTER (split = 'test'), 6) + 0e0 AS test_score FROM s GROUP BY alpha"""
+)
+def alpha_sweep_line(spark, d):
+    """Scores of a one-feature line for five absolute penalties."""
+    rows = prepare.assemble(_split_orders(spark, d), ["o_custkey"]).withColumnRenamed("o_totalprice", "label")
+    table = sweeps.sweep_alpha(rows.select("features", "label", "split"), (0.001, 1.0, 100.0, 1e4, 1e9))
+    rounded = {c: F.round(c, 6) + F.lit(0.0) for c in ("log_alpha", "train_score", "test_score")}
+    return table.withColumns(rounded)
+
+
 @query()
 def tree_sweep(spark, d):
     """Tree accuracy over depth and leaf size."""
@@ -488,6 +548,20 @@ def tree_sweep(spark, d):
 # ---- news scores
 
 
+@query(
+    f"""WITH {PANEL}, {DATED}, {SCORED}, known AS (SELECT series, date, {_DATE_INT} AS x, score FROM panel JOIN scored USING (date)),
+    cut AS (SELECT *, row_number() OVER (ORDER BY md5(series || '|' || date || '|{SEED}')) > ceil(count(*) OVER () * 0.25e0) AS train FROM known),
+    fit AS (SELECT regr_slope(score, x) AS b, regr_intercept(score, x) AS a FROM cut WHERE train)
+    SELECT series, panel.date AS date, cap, round(coalesce(score, a + b * (year(panel.date) * 10000 + month(panel.date) * 100 + day(panel.date))), 4) AS score
+    FROM panel CROSS JOIN fit LEFT JOIN scored USING (date)"""
+)
+def scores_filled_by_trend(spark, d):
+    """Daily score on every day of the panel, missing ones predicted from the date."""
+    table, scores = materialise(panel(spark, d).select("series", "date", "cap")), materialise(daily_score(spark, d))
+    filled = news_score.impute_scores(table, scores, ["series", "date"], "date", [], ["score"], SEED)
+    return filled.withColumn("score", F.round("score", 4))
+
+
 @query()
 def imputed_scores(spark, d):
     """Daily score on every day of the panel, predicted where no document was published."""

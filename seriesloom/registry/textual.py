@@ -352,9 +352,12 @@ def word_vectors(spark, d):
     return store.vector_table(_trained(spark, d))
 
 
-@query()
+@query(
+    f"""WITH {_TERMS}, w AS (SELECT DISTINCT unnest(string_split(lower(text), ' ')) AS word FROM documents)
+    SELECT word, CAST(200 AS INTEGER) AS size, CAST(200 AS INTEGER) AS model_size FROM w WHERE word IN (SELECT term FROM vocab)"""
+)
 def word_vector_store(spark, d):
-    """Vectors saved, loaded again and listed with their nearest word in the loaded model."""
+    """Vectors saved and loaded again: every word of the corpus, with the size of its vector."""
     model_path, table_path = scratch_path(spark, "model"), scratch_path(spark, "vectors")
     store.save_word_vectors(_trained(spark, d), model_path, table_path)
     model, table = store.load_word_vectors(spark, model_path, table_path)
