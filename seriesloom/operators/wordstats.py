@@ -45,7 +45,8 @@ def cohesion_scores(
     """Forward cohesion of every token prefix of two or more characters.
 
     ``(freq(prefix) / freq(first character)) ** (1 / (length - 1))``. The first-character table has
-    one row per character in use, which Unicode bounds, so it may be broadcast.
+    one row per character in use, which Unicode bounds, so it may be broadcast. ``counts`` is read
+    twice: pass a stored or checkpointed table.
     """
     first = F.substring("token", 1, 1)
     first_counts = counts.groupBy(first.alias("first")).agg(F.sum("n").alias("first_n"))

@@ -133,7 +133,7 @@ def top_words(spark, d):
 @query(f"WITH {_COUNTS}, {_COHESION} SELECT token, freq, round(score, 9) AS score FROM cohesion")
 def word_cohesion(spark, d):
     """Forward cohesion of frequent prefixes."""
-    return wordstats.cohesion_scores(_counts(spark, d)).withColumn("score", F.round("score", 9))
+    return wordstats.cohesion_scores(materialise(_counts(spark, d))).withColumn("score", F.round("score", 9))
 
 
 @query(
