@@ -42,9 +42,15 @@ def test_exact_sizes(spark, n, test):
 
 
 def test_split_with_a_full_prefix(spark):
-    """With one hash digit many rows share a prefix; the cut is still exact."""
-    parts = split.exact_split(spark.range(999), "id", 7, digits=1)
-    assert parts.exceptAll(split.exact_split(spark.range(999), "id", 7)).count() == 0
+    """With one hash digit many rows share a prefix; the cut is exact with and without longer prefixes."""
+    usual = split.exact_split(spark.range(999), "id", 7).persist()
+    assert split.exact_split(spark.range(999), "id", 7, digits=1).exceptAll(usual).count() == 0
+    assert split.exact_split(spark.range(999), "id", 7, digits=1, bucket_rows=5).exceptAll(usual).count() == 0
+
+
+def test_strata_with_a_full_prefix(classes):
+    usual = split.stratified_split(classes, "key", "label", 7)
+    assert split.stratified_split(classes, "key", "label", 7, digits=1, bucket_rows=1).exceptAll(usual).count() == 0
 
 
 def test_threshold_split_is_close(spark):

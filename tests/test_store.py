@@ -4,7 +4,7 @@ from seriesloom.streaming import ingest
 
 
 def test_csv_with_mark_and_missing_values(spark, tmp_path):
-    path = tmp_path / "fish.csv"
+    path = tmp_path / "measurements.csv"
     path.write_text("﻿Species,Weight,Length1,Length2,Length3,Height,Width\nBream,242,23.2,25.4,30,11.52,4.02\nRoach,,1,NaN,3,4,5\n", encoding="utf-8")
     rows = readers.read_measurements(spark, str(path)).collect()
     assert rows[0]["Species"] == "Bream" and rows[0]["Weight"] == 242.0
