@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seriesloom.functions.text import spaced_tokens
 from seriesloom.operators.lookup import elements, lookup_join, numbered_elements, word_lookup
 from seriesloom.session import spread
 
