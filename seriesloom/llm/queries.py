@@ -7,9 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seriesloom.llm.licenses import TEMPLATES, THRESHOLD, license_scan
+from seriesloom.llm.minhash import near_duplicates
 from seriesloom.llm.mixing import systematic_copies, word_count
+from seriesloom.llm.neighbours import nearest_neighbours
 from seriesloom.llm.packing import packed_documents
+from seriesloom.llm.pii import COUNTS, personal_data
 from seriesloom.llm.sharding import shard_rows
+from seriesloom.llm.vector_dedup import near_duplicate_vectors
 from seriesloom.sources.readers import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +41,53 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def _license_sql() -> str:
+    values = ",\n         ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in TEMPLATES)
+    plain = (
+        r"regexp_replace(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+        r"'[\x00-\x09\x0b-\x2f\x3a-\x60\x7b-\x7f]', ' ', 'g')"
+    )
+    words = r"list_filter(string_split_regex({}, '[ \n]+'), lambda x: x <> '')"
+    grams = "list_distinct(list_transform(range(1, greatest(len(w), 1)), lambda i: w[i] || ' ' || w[i + 1]))"
+    breaks = "length({0}) - length(replace({0}, chr(10), ''))"
+    return rf"""
+WITH given(license, text) AS (VALUES {values}),
+plain_given AS (SELECT license, {plain} AS text FROM given),
+template_units AS (
+  SELECT license, text FROM plain_given
+  UNION SELECT license, unnest(string_split_regex(text, '\n( *\n)+')) FROM plain_given),
+templates AS (
+  SELECT DISTINCT license, list_sort({grams}) AS grams FROM (SELECT license, {words.format("text")} AS w FROM template_units)),
+plain AS (
+  SELECT row_number() OVER () AS row, doc_id, {plain} AS text FROM documents WHERE text IS NOT NULL),
+parts AS (
+  SELECT row, doc_id, string_split_regex(text, '\n( *\n)+') AS parts, regexp_extract_all(text, '\n( *\n)+') AS gaps FROM plain),
+units AS (
+  SELECT row, doc_id, 0 AS line, text FROM plain
+  UNION ALL
+  SELECT row, doc_id, unnest(range(0, len(string_split(text, chr(10))))), unnest(string_split(text, chr(10))) FROM plain
+  UNION ALL
+  SELECT row, doc_id, coalesce(list_sum(list_transform(parts[1:k], lambda x: {breaks.format("x")}))
+                             + list_sum(list_transform(gaps[1:k], lambda x: {breaks.format("x")})), 0) AS line, parts[k + 1]
+  FROM (SELECT *, unnest(range(0, len(parts))) AS k FROM parts)),
+sets AS (
+  SELECT row, doc_id, line, {grams} AS grams
+  FROM (SELECT row, doc_id, line, {words.format("text")} AS w FROM units) WHERE len(w) > 1),
+scored AS (
+  SELECT row, doc_id, license, line, 2 * len(list_intersect(s.grams, t.grams)) / CAST(len(s.grams) + len(t.grams) AS DOUBLE) AS dice
+  FROM sets s JOIN templates t ON len(t.grams) > 1
+   AND len(s.grams) BETWEEN floor({THRESHOLD} / (2 - {THRESHOLD}) * len(t.grams)) AND ceil((2 - {THRESHOLD}) / {THRESHOLD} * len(t.grams)))
+SELECT doc_id, license, max(dice) AS dice, CAST(arg_min(line, (-dice, line)) AS BIGINT) AS first_line,
+       count(DISTINCT line) AS n_places
+FROM scored WHERE dice >= {THRESHOLD} - 1e-9 GROUP BY row, doc_id, license"""
+
+
+@query(_license_sql())
+def op1_license_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Licence notices and texts in every document."""
+    return license_scan(read_table(spark, d, "documents"), "doc_id", "text")
+
+
 @query()
 def op2_jump_shards(spark: SparkSession, d: str) -> DataFrame:
     """Documents on 40 shards by the jump of their id; the law is ``key``."""
@@ -47,6 +99,32 @@ def op2_jump_shards(spark: SparkSession, d: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+@query()
+def op3_anchor_pii(spark: SparkSession, d: str) -> DataFrame:
+    """Personal data in every document."""
+    found = personal_data(read_table(spark, d, "documents"), "doc_id", "text", redacted=False)
+    return found.select("doc_id", *COUNTS, "base_sha256", "spans")
+
+
+@query()
+def op6_hamming_join(spark: SparkSession, d: str) -> DataFrame:
+    """Near duplicates among all documents: two-word shingles, similarity 0.8."""
+    return near_duplicates(read_table(spark, d, "documents"), "doc_id", "text", width=2)
+
+
+@query()
+def op7_pca_tiles(spark: SparkSession, d: str) -> DataFrame:
+    """Near-duplicate vectors among all embeddings at cosine 0.9."""
+    return near_duplicate_vectors(read_table(spark, d, "embeddings"), "vec_id", "embedding", 0.9)
+
+
+@query()
+def op8_cross_polytope(spark: SparkSession, d: str) -> DataFrame:
+    """The 20 nearest of every twentieth embedding among all others."""
+    found = nearest_neighbours(read_table(spark, d, "embeddings"), "vec_id", "embedding", lambda key: key % 20 == 0)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 _MIX = r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
