@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from seriesloom.llm.common import batches, ship, small, stored
 from seriesloom.llm.components import connected_components
+from seriesloom.llm.words import mixed, text_words
 
 ship(__name__)
 
@@ -32,76 +33,11 @@ BATCH_BYTES = 1 << 20
 #: Symbols that may differ: past it a pair of similarity 0.8 is lost about once in a million.
 DISTANCE = 29
 _RNG = np.random.default_rng(6)
-BYTE_VALUES = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 SEEDS = _RNG.integers(0, 1 << 32, SYMBOLS, dtype=np.uint64).astype(np.uint32)
 FACTORS = _RNG.integers(0, 1 << 32, SYMBOLS, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
-SPACE = np.zeros(256, dtype=bool)
-SPACE[[32, 9, 10, 11, 12, 13]] = True
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit values that spreads every bit."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hash and first byte of every word of lower-cased text."""
-    raw = np.frombuffer(data, dtype=np.uint8)
-    blank = SPACE[raw]
-    starts = np.flatnonzero(~blank & np.concatenate([[True], blank[:-1]]))
-    if not len(starts):
-        return np.zeros(0, dtype=np.uint64), starts
-    values = BYTE_VALUES[raw]
-    values[blank] = 0
-    lengths = np.diff(np.append(starts, len(raw)))
-    place = np.arange(len(raw)) - np.repeat(starts, lengths)[: len(raw)] if starts[0] == 0 else None
-    if place is None:
-        place = np.zeros(len(raw), dtype=np.int64)
-        place[starts[0] :] = np.arange(starts[0], len(raw)) - np.repeat(starts, lengths)
-    powers = np.full(int(place.max()) + 1, 0x9E3779B97F4A7C15, dtype=np.uint64)
-    powers[0] = 1
-    np.multiply.accumulate(powers, out=powers)
-    return mixed(np.add.reduceat(values * powers[place], starts)), starts
-
-
-def text_words(texts: list[bytes]) -> list[np.ndarray]:
-    """Word hashes of each text; long ones go through piece by piece, cut at white space."""
-    out: list[np.ndarray] = [np.zeros(0, dtype=np.uint64)] * len(texts)
-    group: list[int] = []
-    held = 0
-
-    def flush() -> None:
-        if group:
-            hashes, starts = word_hashes(b" ".join(texts[i] for i in group))
-            ends = np.cumsum([len(texts[i]) + 1 for i in group])
-            cuts = np.searchsorted(starts, ends)
-            for i, a, b in zip(group, [0, *cuts[:-1]], cuts):
-                out[i] = hashes[a:b]
-            group.clear()
-
-    for i, text in enumerate(texts):
-        if len(text) > BATCH_BYTES:
-            pieces, at = [], 0
-            while at < len(text):
-                end = at + BATCH_BYTES
-                while end < len(text) and not SPACE[text[end]]:
-                    end += 1
-                pieces.append(word_hashes(text[at:end])[0])
-                at = end
-            out[i] = np.concatenate(pieces)
-            continue
-        if held + len(text) > BATCH_BYTES:
-            flush()
-            held = 0
-        group.append(i)
-        held += len(text)
-    flush()
-    return out
-
-
 def shingle_set(words: np.ndarray, width: int) -> np.ndarray:
     """Sorted distinct hashes of the ``width``-word shingles; fewer words are one shingle."""
     if not len(words):

@@ -8,8 +8,12 @@ size that are packed on their own; a group leaves one sequence or so unfilled.
 
 from __future__ import annotations
 
+import os
+import sys
 import zlib
 from collections.abc import Iterator
+from itertools import chain
+from types import ModuleType
 
 import numpy as np
 import pandas as pd
@@ -18,64 +22,142 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seriesloom.llm.common import batches, parts, ship, stored
+from seriesloom.llm.words import BYTE_VALUES, run_hashes, mixed
 
 ship(__name__)
 
 GROUP_ROWS = 16384
 GROUP_IDS = 1 << 20
-WORDS_KEPT = 400_000
-BATCH_BYTES = 1 << 20
+WORDS_KEPT = 1_000_000
+BATCH_BYTES = 1 << 22
 PIECE = "start long, length long, ids_crc32 long, doc_tokens long"
 
 
+def _byte_kinds() -> np.ndarray:
+    kinds = np.full(256, ODD, dtype=np.uint8)
+    kinds[33:127] = MARK
+    kinds[48:58] = DIGIT
+    kinds[65:91] = kinds[97:123] = LETTER
+    kinds[[ord("'"), ord("<")]] = ODD
+    kinds[[32, 9, 10, 11, 12, 13]] = BLANK
+    return kinds
+
+
+BLANK, LETTER, DIGIT, MARK, ODD = range(5)
+KIND = _byte_kinds()
+# Byte-level vocabularies write a byte as a character: itself if it shows, else one from 256 on.
+SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+WRITTEN = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in SHOWN)}
+SMALL_VALUES = BYTE_VALUES.copy()
+SMALL_VALUES[65:91] = BYTE_VALUES[97:123]
+
+
+def chunk_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hash, first byte, end and kind of the chunks that can be tokenised on their own.
+
+    White space, and the change between letters, marks and single digits, end a token of the vocabulary
+    this is for, and capitals count as small letters. That is used for words of ASCII and of the accented
+    letters of Latin-1. A word with anything else is one chunk: other characters may combine, an
+    apostrophe belongs to what follows, and ``<`` may begin a special token.
+    """
+    raw = np.frombuffer(data, dtype=np.uint8)
+    kinds = KIND[raw]
+    # U+00C0 to U+00FF but for the signs of multiplication and division: C3 and one more byte.
+    lead = np.flatnonzero(raw[:-1] == 0xC3)
+    after = raw[lead + 1]
+    lead = lead[(after != 0x97) & (after != 0xB7)]
+    kinds[lead] = kinds[lead + 1] = LETTER
+    blank = kinds == BLANK
+    begins = ~blank & np.concatenate([[True], blank[:-1]])
+    words = np.flatnonzero(begins)
+    if not len(words):
+        return np.zeros(0, dtype=np.uint64), words, words, kinds[:0]
+    values = SMALL_VALUES[raw]
+    odd = np.flatnonzero(kinds == ODD)
+    if len(odd):
+        ends = np.append(words[1:], len(raw))
+        for w in np.unique(np.searchsorted(words, odd, side="right") - 1).tolist():
+            span = slice(words[w], ends[w])
+            values[span] = BYTE_VALUES[raw[span]] * ~blank[span]
+            kinds[span] = np.where(blank[span], BLANK, ODD)
+    changes = (kinds[1:] != kinds[:-1]) | (kinds[1:] == DIGIT)
+    begins[1:] |= ~blank[1:] & changes
+    starts = np.flatnonzero(begins)
+    last = np.flatnonzero(~blank & np.concatenate([changes, [True]]))
+    # Odd chunks have hashes of their own: their capitals stand.
+    hashes = run_hashes(values[starts[0] :], starts - starts[0])
+    kinds = kinds[starts]
+    return np.where(kinds == ODD, mixed(hashes + np.uint64(1)), hashes), starts, last + 1, kinds
+
+
 class WordIds:
-    """Token ids by white-space word, each word tokenised once while it stays in the table.
+    """Token ids by chunk of text, each chunk tokenised once while it stays in the table.
 
-    White space always ends a token of the vocabulary this is for, so a text's ids are those of its
-    words in a row. The table starts anew at ``WORDS_KEPT`` words, which bounds its memory.
+    Chunks are known by 64-bit hashes. The table starts anew at ``WORDS_KEPT`` chunks, which bounds
+    its memory.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are the parallelism
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.ids, self.used = np.zeros(1 << 16, dtype=np.uint32), 0
-        self.starts: list[int] = []
-        self.lengths: list[int] = []
-        self.arrays = None
-
-    def _learn(self, words: list[bytes]) -> None:
-        for found in self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False):
-            ids = found.ids
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.ids[self.used : self.used + len(ids)] = ids
-            self.starts.append(self.used)
-            self.lengths.append(len(ids))
-            self.used += len(ids)
-        for w in words:
-            self.place[w] = len(self.place)
-        self.arrays = None
-
-    def encode(self, text: bytes) -> np.ndarray:
-        """Ids of one text."""
-        words = text.split()
-        if not words:
-            return np.zeros(0, dtype=np.uint32)
-        if len(self.place) > WORDS_KEPT:
+        self.known = np.zeros(0, dtype=np.uint64)
+        self.starts, self.lengths = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.ids = np.zeros(0, dtype=np.uint32)
+
+    def _ids(self, chunk: bytes, odd: bool) -> list[int]:
+        """A plain chunk is one word to the model and skips the tokenizer's splitting."""
+        if odd:
+            return self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids
+        if chunk.isascii():
+            return [t.id for t in self.model.tokenize(chunk.lower().decode())]
+        return [t.id for t in self.model.tokenize(chunk.decode().lower().encode().decode("latin-1").translate(WRITTEN))]
+
+    def _learn(self, at: np.ndarray, hashes: np.ndarray, chunks: list[tuple[bytes, bool]]) -> None:
+        """Adds chunks; ``at`` is where their hashes belong in the order of the known ones."""
+        encoded = [self._ids(*c) for c in chunks]
+        lengths = np.array([len(e) for e in encoded], dtype=np.int64)
+        starts = len(self.ids) + np.cumsum(lengths) - lengths
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(encoded), dtype=np.uint32)])
+        self.known = np.insert(self.known, at, hashes)
+        self.starts, self.lengths = np.insert(self.starts, at, starts), np.insert(self.lengths, at, lengths)
+
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and how many each text has."""
+        data = b" ".join(texts)
+        hashes, firsts, lasts, kinds = chunk_hashes(data)
+        if not len(hashes):
+            return np.zeros(0, dtype=np.uint32), np.zeros(len(texts), dtype=np.int64)
+        if len(self.known) > WORDS_KEPT:
             self.clear()
-        if new := [w for w in dict.fromkeys(words) if w not in self.place]:
-            self._learn(new)
-        if self.arrays is None:
-            self.arrays = np.array(self.starts, dtype=np.int64), np.array(self.lengths, dtype=np.int64)
-        at = np.fromiter(map(self.place.__getitem__, words), dtype=np.int64, count=len(words))
-        lengths = self.arrays[1][at]
-        ends = np.cumsum(lengths)
-        return self.ids[np.arange(ends[-1]) + np.repeat(self.arrays[0][at] - ends + lengths, lengths)]
+        distinct, example, chunk = np.unique(hashes, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.known, distinct)
+        new = np.ones(len(distinct), dtype=bool)
+        if len(self.known):
+            new = self.known[np.minimum(at, len(self.known) - 1)] != distinct
+        if new.any():
+            of = example[new]
+            spans = zip(firsts[of].tolist(), lasts[of].tolist(), (kinds[of] == ODD).tolist())
+            self._learn(at[new], distinct[new], [(data[a:b], odd) for a, b, odd in spans])
+            at = np.searchsorted(self.known, distinct)
+        starts, lengths = self.starts[at][chunk], self.lengths[at][chunk]
+        behind = np.cumsum(lengths)
+        ids = self.ids[np.arange(behind[-1]) + np.repeat(starts - behind + lengths, lengths)]
+        ends = np.searchsorted(firsts, np.cumsum([len(t) + 1 for t in texts]))
+        return ids, np.diff(np.concatenate([[0], behind])[ends], prepend=0)
+
+
+def word_ids(path: str) -> WordIds:
+    """The table of this worker process, so that its later tasks find the words of the earlier ones."""
+    tables = sys.modules.setdefault("_seriesloom_word_ids", ModuleType("_seriesloom_word_ids")).__dict__
+    if path not in tables:
+        tables[path] = WordIds(path)
+    return tables[path]
 
 
 def tokenised_pieces(docs: DataFrame, key: str, text: str, tokenizer: str, limit: int, end_id: int, ids: bool = True) -> DataFrame:
@@ -87,14 +169,15 @@ def tokenised_pieces(docs: DataFrame, key: str, text: str, tokenizer: str, limit
     """
 
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(tokenizer)
+        words = word_ids(tokenizer)
         for batch in tables:
             table = pa.table([batch.column(0), batch.column(1).cast(pa.large_binary())], names=["key", "text"])
             for a, b in batches(table, BATCH_BYTES, "text"):
                 some = table.slice(a, b - a)
                 of, starts, lengths, sums, totals, values = [], [], [], [], [], []
-                for i, value in enumerate(some.column("text").to_pylist()):
-                    found = np.append(words.encode(value or b""), np.uint32(end_id)).astype("<u4")
+                every, counts = words.encode([t or b"" for t in some.column("text").to_pylist()])
+                for i, encoded in enumerate(np.split(every, np.cumsum(counts)[:-1])):
+                    found = np.append(encoded, np.uint32(end_id)).astype("<u4")
                     for start in range(0, len(found), limit):
                         piece = found[start : start + limit]
                         of.append(i)

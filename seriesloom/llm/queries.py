@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seriesloom.llm.cotraining import fit_views, score_quality
+from seriesloom.llm.extraction import main_texts
 from seriesloom.llm.licenses import TEMPLATES, THRESHOLD, license_scan
 from seriesloom.llm.minhash import near_duplicates
 from seriesloom.llm.mixing import systematic_copies, word_count
@@ -106,6 +108,20 @@ def op3_anchor_pii(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", *COUNTS, "base_sha256", "spans")
 
 
+@query()
+def op4_cotraining(spark: SparkSession, d: str) -> DataFrame:
+    """Quality of every document by two co-trained views."""
+    docs, labels = read_table(spark, d, "documents"), read_table(spark, d, "labels")
+    scored = score_quality(docs, fit_views(docs, labels))
+    return scored.select("row.doc_id", "p_text", "p_meta", "score", "kept")
+
+
+@query()
+def op5_template_text(spark: SparkSession, d: str) -> DataFrame:
+    """Main text of every page by its host's template."""
+    return main_texts(read_table(spark, d, "pages")).select("*", F.length("text").cast("long").alias("n_chars"))
+
+
 @query()
 def op6_hamming_join(spark: SparkSession, d: str) -> DataFrame:
     """Near duplicates among all documents: two-word shingles, similarity 0.8."""
