@@ -18,6 +18,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from seriesloom.llm.common import ship, stored
 
@@ -51,7 +52,7 @@ def text_features(text: str | None) -> np.ndarray:
     return np.concatenate([np.sqrt(shares), more])
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(ArrayType(DoubleType()))
 def text_view(texts: pd.Series) -> pd.Series:
     return pd.Series([text_features(t) for t in texts])
 

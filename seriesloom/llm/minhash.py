@@ -236,3 +236,19 @@ def near_duplicates(docs: DataFrame, key: str, text: str, width: int = 5, num: i
     result = signed.select("key", "n_shingles", "h1", "h2").join(named, ["h1", "h2"], "left")
     component = F.coalesce("component_id", "key")
     return result.select(F.col("key").alias(key), "n_shingles", component.alias("component_id"), (F.col("key") == component).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, key: str, text: str, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The rows of ``docs`` that stay when each group of near duplicates keeps its smallest key.
+
+    Rows that share a key are one document, and the smallest of them by its columns stays. Rows with a
+    null key take no part and stay.
+    """
+    found = stored(near_duplicates(docs, key, text, width, num, den).groupBy(key).agg(F.max("kept").alias("kept"), F.count("*").alias("rows")), "kept")
+    stay = docs.join(small(found.where(~F.col("kept")).select(key), 24), key, "left_anti").select(docs.columns)
+    repeated = found.where(F.col("kept") & (F.col("rows") > 1)).select(key)
+    if not repeated.take(1):
+        return stay
+    repeated = small(repeated, 24)
+    smallest = stay.join(repeated, key, "left_semi").groupBy(F.col(key).alias("of")).agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return stay.join(repeated, key, "left_anti").select(docs.columns).union(smallest.select("row.*"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seriesloom.llm.common import stored
+from seriesloom.llm.common import small, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 SOURCE = ["no_source", "source_key"]
@@ -54,9 +54,11 @@ def offset(seed: int) -> Column:
 
 
 def systematic_copies(
-    docs: DataFrame, key: str, size: str, source: str, weights=(3, 1, 2), share=1.5, cap=2.0, seed=20
+    docs: DataFrame, key: str, size: str, source: str, weights=(3, 1, 2), share=1.5, cap=2.0, seed=20, row: str | None = None
 ) -> DataFrame:
-    """``key``, ``size``, ``source``, ``source_size``, ``target`` and ``copies`` of every row.
+    """``key``, ``size``, ``source``, ``source_size``, ``target`` and ``copies`` of every row, and ``row``.
+
+    ``row`` names one more column to carry along, such as a number that tells repeated keys apart.
 
     Positions along a source are counted, not collected: rows per size, then rows per leading digits
     of the key's hash within a size, then a row number within those few. A source, a size or a group
@@ -68,6 +70,7 @@ def systematic_copies(
     rows = stored(docs.select(
         F.col(key).alias("key"), F.col(size).cast("long").alias("size"), F.col(source).isNull().alias("no_source"),
         F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source_key"), hashed.alias("hash"),
+        (F.col(row) if row else F.lit(0)).alias("row"),
     ), "mix").withColumn("lead", F.substring("hash", 1, 3))
     cells = rows.groupBy(*SOURCE, "size", "lead").agg(F.count("*").alias("n"))
     by_size = cells.groupBy(*SOURCE, "size").agg(F.sum("n").alias("n"))
@@ -90,4 +93,18 @@ def systematic_copies(
     return placed.select(
         F.col("key").alias(key), F.col("size").alias(size), F.when(~F.col("no_source"), F.col("source_key")).alias(source),
         "source_size", "target", F.least(crossed, F.ceil(F.lit(cap))).cast("long").alias("copies"),
+        *([F.col("row").alias(row)] if row else []),
     )
+
+
+def mixed_rows(docs: DataFrame, key: str, size: Column, source: str, **options) -> DataFrame:
+    """The rows of the mix: each row of ``docs`` once per copy, none for no copy, all columns kept.
+
+    Rows are numbered and written first, so repeated keys and null keys get copies of their own.
+    """
+    numbered = docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row"))
+    numbered = stored(numbered, "mix-rows")
+    sized = numbered.select(F.col("doc").getField(key).alias("key"), F.col("doc").getField(source).alias("source"), size.alias("size"), "row")
+    copies = systematic_copies(sized, "key", "size", "source", row="row", **options).where("copies > 0").select("row", "copies")
+    joined = numbered.join(small(copies, 32), "row")
+    return joined.select("doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")).select("doc.*")

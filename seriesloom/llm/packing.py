@@ -237,16 +237,16 @@ def pack(pieces: DataFrame, limits: dict[str, int]) -> DataFrame:
 
     The first limit is on tokens: its column gives the offsets, without gaps. Each row is an example
     of its own, so repeated rows and keys are packed apart. A row above a limit or with a null demand
-    raises an error; an empty table gives no rows. Other columns are kept.
+    raises an error; an empty table gives no rows. Other columns are kept, but for any that are called
+    ``sequence_id`` or ``offset``, which are replaced.
     """
-    names = list(limits)
-    taken = {"example", "group", "sequence_id", "offset"} & set(pieces.columns)
-    if taken:
-        raise ValueError(f"rename the columns {sorted(taken)}")
-    rows = stored(pieces.withColumn("example", F.monotonically_increasing_id()), "pieces")
+    names = [f"d{i}" for i in range(len(limits))]
+    demands = [F.col(c).cast("long").alias(n) for c, n in zip(limits, names)]
+    rows = pieces.drop("sequence_id", "offset").select(F.struct("*").alias("row"), *demands)
+    rows = stored(rows.withColumn("example", F.monotonically_increasing_id()), "pieces")
     groups = parts(rows.count(), GROUP_ROWS)
     rows = rows.withColumn("group", F.pmod(F.xxhash64("example"), F.lit(groups)))
-    most = np.array([limits[n] for n in names], dtype=np.int64)
+    most = np.array(list(limits.values()), dtype=np.int64)
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("example", ignore_index=True)
@@ -264,7 +264,7 @@ def pack(pieces: DataFrame, limits: dict[str, int]) -> DataFrame:
         return pd.DataFrame({"example": group["example"], "sequence_id": group["group"] * GROUP_IDS + bins, "offset": offset})
 
     placed = rows.select("example", "group", *names).groupBy("group").applyInPandas(run, "example long, sequence_id long, offset long")
-    return rows.drop("group").join(placed, "example").drop("example")
+    return rows.select("row", "example").join(placed, "example").select("row.*", "sequence_id", "offset")
 
 
 def packed_documents(

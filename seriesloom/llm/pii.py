@@ -15,8 +15,11 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from seriesloom.llm.common import batches, ship
 
@@ -214,3 +217,21 @@ def personal_data(docs: DataFrame, key: str, text: str, redacted: bool = True) -
     kind = docs.schema[key].dataType.simpleString()
     schema = f"`{key}` {kind}, {', '.join(f'{c} long' for c in COUNTS)}, base_sha256 string, spans string" + ", cleaned string" * redacted
     return docs.select(key, text).mapInArrow(run, schema)
+
+
+@F.pandas_udf(StringType())
+def redacted_text(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Each text with its personal data replaced by their kinds; null stays null."""
+    automaton = anchors()
+    for some in texts:
+        yield pd.Series([t if t is None or not (found := find_spans(t, automaton)) else redact(t, found) for t in some], dtype=object)
+
+
+def redacted_rows(docs: DataFrame, text: str, n_chars: str) -> DataFrame:
+    """``docs`` with personal data replaced in ``text`` and ``n_chars`` counted anew where it was."""
+    rows = docs.select(F.struct("*").alias("doc"), redacted_text(F.col(text)).alias("clean"))
+    changed = ~F.col("clean").eqNullSafe(F.col("doc").getField(text))
+    given = {c: F.col("doc").getField(c).alias(c) for c in docs.columns}
+    given[text] = F.col("clean").alias(text)
+    given[n_chars] = F.when(changed, F.length("clean").cast("long")).otherwise(F.col("doc").getField(n_chars)).alias(n_chars)
+    return rows.select(*given.values())
