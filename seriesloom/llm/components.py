@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesloom.llm.common import stored
+from seriesloom.llm.common import ship, stored
+
+ship(__name__)
 
 
 def _lowest(edges: DataFrame) -> DataFrame:
@@ -43,3 +46,29 @@ def connected_components(edges: DataFrame) -> DataFrame:
             .where("u <> v")
             .distinct()
         )
+
+
+def spanning(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column numbers of links that connect what all links of ``mask`` connect."""
+    rows, cols = np.nonzero(mask)
+    if len(rows) <= 4 * sum(mask.shape):
+        return rows, cols
+    # From one column after another, link the rows reached first, then the columns those reach first.
+    out_r, out_c = [], []
+    seen_r, seen_c = np.zeros(mask.shape[0], dtype=bool), ~mask.any(axis=0)
+    for root in np.flatnonzero(~seen_c).tolist():
+        if seen_c[root]:
+            continue
+        seen_c[root] = True
+        front = np.array([root])
+        while len(front):
+            new_rows = np.flatnonzero(mask[:, front].any(axis=1) & ~seen_r)
+            out_r.append(new_rows)
+            out_c.append(front[mask[np.ix_(new_rows, front)].argmax(axis=1)])
+            seen_r[new_rows] = True
+            new_cols = np.flatnonzero(mask[new_rows].any(axis=0) & ~seen_c)
+            out_r.append(new_rows[mask[np.ix_(new_rows, new_cols)].argmax(axis=0)] if len(new_cols) else new_cols)
+            out_c.append(new_cols)
+            seen_c[new_cols] = True
+            front = new_cols
+    return np.concatenate(out_r), np.concatenate(out_c)

@@ -4,12 +4,14 @@ A text is the set of its word shingles. Its signature has ``SYMBOLS`` MinHash va
 signatures differ in about ``1 - similarity`` of their symbols. The signature is split into chunks. By
 the pigeonhole principle two signatures that differ in at most ``2 * chunks - 1`` symbols agree in some
 chunk but for one symbol at most. So every chunk is looked up once for each symbol that may be wrong,
-with that symbol left out, and all pairs under the distance meet in a bucket. Pairs whose signatures
-are close enough are confirmed on their full shingle sets.
-
-Texts of equal sets are one class before anything is paired. Within a bucket, classes are first tied to
-its smallest and largest; only classes that this leaves in different components are paired at all,
-so a group of copies of any size costs in proportion to its size.
+with that symbol left out, and all pairs under the distance meet in a bucket. Pairs are confirmed on
+their full shingle sets.
+
+Texts of equal sets are one class before anything is paired, and a bucket is never written out as
+pairs. Its classes are compared with its centre, the member that shares most buckets; each class has
+the nearest centre it meets as its home. Where a bucket's classes are then still in several components,
+those outside the largest are compared with the homes found in the bucket: blocks of whole sets meet in
+a task, and only links that span the components come out.
 """
 
 from __future__ import annotations
@@ -17,21 +19,24 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seriesloom.llm.common import batches, ship, small, stored
-from seriesloom.llm.components import connected_components
+from seriesloom.llm.components import connected_components, spanning
 from seriesloom.llm.words import mixed, text_words
 
 ship(__name__)
 
 SYMBOLS = 64
-CHUNK = 5
+CHUNK = 6
 BATCH_BYTES = 1 << 20
 #: Symbols that may differ: past it a pair of similarity 0.8 is lost about once in a million.
 DISTANCE = 29
+#: A block of sets that meets another in a task: rows and shingles, about.
+BLOCK_ROWS, BLOCK_SHINGLES = 2048, 500_000
 _RNG = np.random.default_rng(6)
 SEEDS = _RNG.integers(0, 1 << 32, SYMBOLS, dtype=np.uint64).astype(np.uint32)
 FACTORS = _RNG.integers(0, 1 << 32, SYMBOLS, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -100,16 +105,13 @@ def signatures(docs: DataFrame, key: str, text: str, width: int, smallest: int)
 
 
 def chunk_keys(signed: DataFrame) -> DataFrame:
-    """``key`` rows (bucket, class, set size): each chunk with each of its symbols left out."""
+    """``bucket`` and ``cid``: each chunk of a signature with each of its symbols left out."""
     spans = [(a, min(a + CHUNK, SYMBOLS)) for a in range(0, SYMBOLS, CHUNK)]
 
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rng = np.random.default_rng(60)
-        factors = rng.integers(1, 1 << 63, SYMBOLS, dtype=np.uint64) | np.uint64(1)
+        factors = np.random.default_rng(60).integers(1, 1 << 63, SYMBOLS, dtype=np.uint64) | np.uint64(1)
         for batch in tables:
-            if not batch.num_rows:
-                continue
-            symbols = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype=np.uint8).reshape(-1, SYMBOLS)
+            symbols = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.uint8).reshape(-1, SYMBOLS)
             terms = mixed(symbols.astype(np.uint64) + np.arange(SYMBOLS, dtype=np.uint64) * np.uint64(256)) * factors
             keys = np.empty((len(symbols), SYMBOLS), dtype=np.uint64)
             for a, b in spans:
@@ -117,70 +119,93 @@ def chunk_keys(signed: DataFrame) -> DataFrame:
                 keys[:, a:b] = whole[:, None] - terms[:, a:b]
             keys = mixed(keys + np.arange(SYMBOLS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).astype(np.int64)
             of = np.repeat(np.arange(len(symbols)), SYMBOLS)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.ravel()), batch.column(0).take(pa.array(of)), batch.column(1).take(pa.array(of))], names=["bucket", "cid", "n"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), batch.column(0).take(pa.array(of))], names=["bucket", "cid"])
+
+    return signed.select("cid", "signature").mapInArrow(run, "bucket long, cid long")
 
-    return signed.select("cid", "n", "signature").mapInArrow(run, "bucket long, cid long, n long")
 
+def with_distance(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """``pairs`` (``a``, ``b``, ``most``) at most ``most`` symbols apart, with the ``distance``.
 
-def _near(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
-    """``pairs`` (``a``, ``b``) whose sizes and signatures allow the similarity, with the ``distance``."""
+    Sets whose sizes are too unlike for ``num / den`` are left out.
+    """
     side = classes.select("cid", "n", "signature")
     both = pairs.join(side.toDF("a", "na", "sa"), "a").join(side.toDF("b", "nb", "sb"), "b")
     both = both.where(F.least("na", "nb") * den >= F.greatest("na", "nb") * num)
 
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tables:
-            sides = [np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint8).reshape(-1, SYMBOLS) for i in (2, 3)]
-            apart = (sides[0] != sides[1]).sum(axis=1)
-            near = pa.array(apart <= DISTANCE)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).filter(near), batch.column(1).filter(near), pa.array(apart.astype(np.int64)).filter(near)], names=["a", "b", "distance"]
-            )
-
-    return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, distance long")
-
-
-class Sets:
-    """Full shingle sets of the classes that candidate pairs need, read from the texts again."""
-
-    def __init__(self, docs: DataFrame, key: str, text: str, width: int, classes: DataFrame):
-        self.docs = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-        self.width, self.classes = width, classes
-
-    def of(self, pairs: DataFrame) -> DataFrame:
-        width = self.width
-
-        def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in tables:
-                for some, texts in _texts(batch):
-                    sets = [shingle_set(w, width) for w in text_words(texts)]
-                    ids = [_set_id(s) if len(s) else (None, None) for s in sets]
-                    ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-                    flat = pa.array(np.concatenate(sets).astype(np.int64))
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([i[0] for i in ids], pa.int64()), pa.array([i[1] for i in ids], pa.int64()),
-                            pa.ListArray.from_arrays(pa.array(ends), flat),
-                        ],
-                        names=["h1", "h2", "shingles"],
-                    )
-
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-        wanted = stored(wanted.join(self.classes, "cid").select("cid", F.col("rep").alias("key"), "h1", "h2"), "wanted")
-        again = self.docs.join(small(wanted.select("key").distinct(), 32), "key", "left_semi")
-        sets = again.select("key", "text").mapInArrow(run, "h1 long, h2 long, shingles array<long>")
-        return sets.join(small(wanted.select("cid", "h1", "h2"), 48), ["h1", "h2"]).groupBy("cid").agg(F.first("shingles").alias("shingles"))
-
-    def confirmed(self, pairs: DataFrame, num: int, den: int) -> DataFrame:
-        """The ``pairs`` whose sets have ``den * shared >= num * all``."""
-        pairs = stored(pairs.select("a", "b"), "pairs")
-        sets = stored(self.of(pairs), "sets")
-        both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
-        shared = F.size(F.array_intersect("x", "y"))
-        both = both.select("a", "b", shared.cast("long").alias("shared"), (F.size("x") + F.size("y")).cast("long").alias("sum"))
-        return both.where(F.col("shared") * den >= (F.col("sum") - F.col("shared")) * num).select("a", "b")
+            sides = [np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint8).reshape(-1, SYMBOLS) for i in (3, 4)]
+            apart = (sides[0] != sides[1]).sum(axis=1).astype(np.int64)
+            near = pa.array(apart <= np.array(batch.column(2).to_pylist(), dtype=np.int64))
+            columns = [batch.column(0), batch.column(1), pa.array(apart)]
+            yield pa.RecordBatch.from_arrays([c.filter(near) for c in columns], names=["a", "b", "distance"])
+
+    return both.select("a", "b", "most", "sa", "sb").mapInArrow(run, "a long, b long, distance long")
+
+
+def full_sets(docs: DataFrame, key: str, text: str, width: int, classes: DataFrame, cids: DataFrame) -> DataFrame:
+    """``cid`` and ``shingles`` of the classes in ``cids``, from the texts of their smallest keys."""
+
+    def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in tables:
+            for _, texts in _texts(batch):
+                sets = [shingle_set(w, width) for w in text_words(texts)]
+                ids = [_set_id(s) if len(s) else (None, None) for s in sets]
+                ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
+                columns = [*(pa.array([i[k] for i in ids], pa.int64()) for k in (0, 1)), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).astype(np.int64)))]
+                yield pa.RecordBatch.from_arrays(columns, names=["h1", "h2", "shingles"])
+
+    wanted = stored(classes.join(cids, "cid", "left_semi").select("cid", F.col("rep").alias("key"), "h1", "h2"), "wanted")
+    again = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(small(wanted.select("key").distinct(), 32), "key", "left_semi")
+    sets = again.select("key", "text").mapInArrow(run, "h1 long, h2 long, shingles array<long>")
+    sets = sets.join(small(wanted.select("cid", "h1", "h2"), 48), ["h1", "h2"])
+    return stored(sets.groupBy("cid").agg(F.first("shingles").alias("shingles")), "sets")
+
+
+def similar(members: list[np.ndarray], queries: list[np.ndarray], num: int, den: int) -> np.ndarray:
+    """Which queries (rows) and members (columns) have ``den * shared >= num * all``."""
+    sizes = np.array([len(m) for m in members])
+    flat = np.concatenate(members)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], np.repeat(np.arange(len(members)), sizes)[order]
+    mask = np.empty((len(queries), len(members)), dtype=bool)
+    for i, query in enumerate(queries):
+        low, high = (np.searchsorted(flat, query, side) for side in ("left", "right"))
+        found = high - low
+        at = np.arange(found.sum()) + np.repeat(low - np.cumsum(found) + found, found)
+        shared = np.bincount(owner[at], minlength=len(members))
+        mask[i] = den * shared >= num * (len(query) + sizes - shared)
+    return mask
+
+
+def group_links(groups: DataFrame, asked: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links ``a``, ``b`` between the classes asked of a home and the members of that home.
+
+    Both tables have ``cid``, ``home``, ``part`` and the set size ``n``; two classes of one part need
+    no link. Members and queries of a home are cut into blocks by counts, so a home of any size is
+    spread, and of the links between two blocks only enough to span them are returned.
+    """
+    blocks = F.ceil(F.greatest(F.sum("n") / F.lit(float(BLOCK_SHINGLES)), F.count("*") / F.lit(float(BLOCK_ROWS))))
+    sizes = [x.groupBy("home").agg(blocks.alias(name)) for x, name in ((groups, "ms"), (asked, "qs"))]
+    sizes = stored(sizes[0].join(sizes[1], "home"), "blocks")
+
+    def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1))
+        placed = rows.join(small(sizes, 32), "home").select("home", "cid", "part", F.pmod(F.xxhash64("cid"), F.col(own)).alias(own), every.alias(other))
+        # New columns on both sides: the tables have ancestors in common.
+        return placed.join(sets, "cid").select(*(F.col(c).alias(c) for c in ("home", "ms", "qs", "cid", "part", "shingles"))).groupBy("home", "ms", "qs")
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = np.zeros((2, 0), dtype=np.int64)
+        if len(left) and len(right):
+            mask = similar(list(left["shingles"]), list(right["shingles"]), num, den)
+            mask &= right["part"].to_numpy()[:, None] != left["part"].to_numpy()
+            r, c = spanning(mask)
+            out = np.stack([right["cid"].to_numpy()[r], left["cid"].to_numpy()[c]])
+        return pd.DataFrame({"a": out[0], "b": out[1]})
+
+    return dealt(groups, "ms", "qs").cogroup(dealt(asked, "qs", "ms")).applyInPandas(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, key: str, text: str, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -203,31 +228,53 @@ def near_duplicates(docs: DataFrame, key: str, text: str, width: int = 5, num: i
     keys = chunk_keys(classes.where("signature is not null"))
     buckets = keys.groupBy("bucket").agg(F.min("cid").alias("low"), F.max("cid").alias("high"), F.count("*").alias("size"))
     buckets = stored(buckets.where("low < high"), "buckets")
-    members = stored(keys.join(buckets.where("size > 2").select("bucket", "low", "high"), "bucket"), "members")
-    ends = [members.select(F.least("cid", x).alias("a"), F.greatest("cid", x).alias("b")) for x in ("low", "high")]
-    stars = buckets.select(F.col("low").alias("a"), F.col("high").alias("b")).union(ends[0]).union(ends[1]).where("a < b").distinct()
-    stars = stored(_near(stars, classes, num, den), "stars")
-
-    # First the nearest neighbour of each class, which ties most groups together; then what is left.
-    sets = Sets(docs, key, text, width, classes)
-    sides = stars.select("a", "b", "distance", F.col("a").alias("of")).union(stars.select("a", "b", "distance", F.col("b").alias("of")))
-    nearest = sides.groupBy("of").agg(F.min(F.struct("distance", "a", "b")).alias("best")).select("best.a", "best.b").distinct()
-    links = stored(sets.confirmed(nearest, num, den), "links")
+    members = stored(keys.join(buckets.where("size > 2").select("bucket", "size"), "bucket"), "members")
+    twos = buckets.where("size = 2")
+
+    # Each class against the centres of its buckets; the nearest is its home.
+    weighed = members.join(members.groupBy("cid").agg(F.sum("size").alias("weight")), "cid")
+    centres = weighed.groupBy("bucket").agg(F.max(F.struct("weight", "cid"))["cid"].alias("centre"))
+    around = members.join(centres, "bucket").where("cid <> centre").select(F.col("cid").alias("a"), F.col("centre").alias("b"))
+    around = around.union(twos.select("high", "low")).distinct().withColumn("most", F.lit(DISTANCE).cast("long"))
+    stars = stored(with_distance(around, classes, num, den), "stars")
+    nearest = stars.groupBy("a").agg(F.min(F.struct("distance", "b")).alias("x")).select(F.col("a").alias("cid"), F.col("x.b").alias("home"), "x.distance")
+    alone = stars.select(F.col("b").alias("cid")).distinct().join(nearest, "cid", "left_anti")
+    homes = stored(nearest.union(alone.select("cid", F.col("cid").alias("home"), F.lit(0).cast("long").alias("distance"))), "homes")
+    sized = classes.select("cid", "n")
+    sets = full_sets(docs, key, text, width, classes, homes.select("cid"))
+    grouped = homes.join(sized, "cid").select("cid", "home", F.col("cid").alias("part"), "n")
+    own = homes.select(F.col("home").alias("cid")).distinct().join(sized, "cid").select("cid", F.col("cid").alias("home"), F.col("cid").alias("part"), "n")
+    links = stored(group_links(grouped, own, sets, num, den), "links")
     parts = stored(connected_components(links), "parts")
-    grouped = members.join(parts, members["cid"] == parts["node"], "left").select(
-        "bucket", "cid", "n", F.coalesce("component", "cid").alias("part")
+
+    # Buckets that still hold several components: all but the largest against the homes met there.
+    weights = parts.groupBy("component").agg(F.count("*").alias("weight"))
+    placed = homes.join(parts.join(weights, "component").withColumnRenamed("node", "cid"), "cid", "left")
+    placed = placed.select("cid", "home", F.coalesce("component", "cid").alias("part"), F.coalesce("weight", F.lit(1)).alias("weight"))
+    rows = members.select("bucket", "cid").union(twos.select("bucket", F.explode(F.array("low", "high")).alias("cid")))
+    rows = rows.join(placed, "cid", "left").select(
+        "bucket", "cid", F.coalesce("home", "cid").alias("home"), F.coalesce("part", "cid").alias("part"), F.coalesce("weight", F.lit(1)).alias("weight")
+    )
+    mixed_buckets = rows.groupBy("bucket").agg(
+        F.min("part").alias("p"), F.max("part").alias("q"), F.max(F.struct("weight", "part"))["part"].alias("main")
     )
-    mixed_buckets = grouped.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p < q").select("bucket")
-    open_members = stored(grouped.join(mixed_buckets, "bucket"), "open")
-    left, right = open_members.toDF("bucket", "a", "na", "pa"), open_members.toDF("bucket", "b", "nb", "pb")
-    fits = (F.col("pa") < F.col("pb")) & (F.col("nb") * den >= F.col("na") * num) & (F.col("na") * den >= F.col("nb") * num)
-    across = left.join(right, "bucket").where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    across = _near(across, classes, num, den).select("a", "b")
-    parted = [parts.toDF("a", "pa"), parts.toDF("b", "pb")]
-    rest = stars.select("a", "b").join(parted[0], "a", "left").join(parted[1], "b", "left")
-    rest = rest.where(F.coalesce("pa", "a") != F.coalesce("pb", "b")).select("a", "b")
-    more = across.union(rest).distinct().join(nearest, ["a", "b"], "left_anti")
-    every = links.union(sets.confirmed(more, num, den))
+    rows = stored(rows.join(mixed_buckets.where("p < q").select("bucket", "main"), "bucket"), "open")
+    met = rows.groupBy("bucket", F.col("home").alias("met")).agg(F.min("part").alias("p"), F.max("part").alias("q"))
+    asking = rows.where("part <> main").join(met, "bucket").where("part <> p or part <> q").select(F.col("cid").alias("a"), F.col("met").alias("b")).distinct()
+    # A link lies within DISTANCE of a member, and the member within its home's radius.
+    radius = homes.groupBy("home").agg((F.max("distance") + DISTANCE).alias("most"))
+    asking = asking.join(radius, asking["b"] == radius["home"], "left").select("a", "b", F.coalesce("most", F.lit(DISTANCE).cast("long")).alias("most"))
+    asking = stored(with_distance(asking, classes, num * num, den * den), "asking")
+    # Classes without a home near enough are homes of themselves.
+    known = placed.select("cid", "home", "part")
+    asked_of = asking.select(F.col("b").alias("cid")).distinct()
+    own = asked_of.join(homes, "cid", "left_anti").select("cid", F.col("cid").alias("home"), F.col("cid").alias("part"))
+    grouped = known.union(own).join(asked_of.withColumnRenamed("cid", "home"), "home", "left_semi").join(sized, "cid").select("cid", "home", "part", "n")
+    asked = asking.join(known.select(F.col("cid").alias("a"), "part"), "a", "left").join(sized.withColumnRenamed("cid", "a"), "a")
+    asked = asked.select(F.col("a").alias("cid"), F.col("b").alias("home"), F.coalesce("part", "a").alias("part"), "n")
+    missing = asked.select("cid").union(own.select("cid")).distinct().join(homes, "cid", "left_anti")
+    sets = sets.union(full_sets(docs, key, text, width, classes, missing))
+    every = links.union(group_links(stored(grouped, "groups"), stored(asked, "asked"), sets, num, den))
     final = stored(connected_components(every), "components")
 
     named = classes.join(final, classes["cid"] == final["node"], "left").select("h1", "h2", "rep", F.coalesce("component", "cid").alias("part"))

@@ -15,7 +15,7 @@ from helpers import DOCS, documents, near_links, roots, shingle_sets  # noqa: E4
 
 from seriesloom.llm import neighbours, vector_dedup  # noqa: E402
 from seriesloom.llm.common import batches  # noqa: E402
-from seriesloom.llm.components import connected_components  # noqa: E402
+from seriesloom.llm.components import connected_components, spanning  # noqa: E402
 from seriesloom.llm.cotraining import fit_views, score_quality  # noqa: E402
 from seriesloom.llm.extraction import host_templates, main_texts, token_counts  # noqa: E402
 from seriesloom.llm.licenses import TEMPLATES, license_scan  # noqa: E402
@@ -26,7 +26,7 @@ from seriesloom.llm.packing import WordIds, fill_bins, pack, packed_documents, t
 from seriesloom.llm.pii import anchors, find_spans, joined, personal_data, redact, redacted_rows  # noqa: E402
 from seriesloom.llm.queries import tokenizer_path  # noqa: E402
 from seriesloom.llm.sharding import jump, shard_rows  # noqa: E402
-from seriesloom.llm.vector_dedup import near_duplicate_vectors, spanning  # noqa: E402
+from seriesloom.llm.vector_dedup import near_duplicate_vectors  # noqa: E402
 from seriesloom.llm.words import text_words  # noqa: E402
 
 CLASH = ("key", "row", "h1", "signature", "bucket", "size", "shard", "slot", "copies", "doc", "example", "group", "offset", "score", "kept", "host", "spans")
