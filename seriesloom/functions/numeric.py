@@ -24,12 +24,13 @@ def percent(part: Column, whole: Column, digits: int = 1) -> Column:
     return F.round(part * 100 / whole, digits)
 
 
-def cosine(left: Column, right: Column) -> Column:
-    """Cosine of two equally long arrays; null when either is all zeros."""
+def dot(a: Column, b: Column) -> Column:
+    """Sum of products of two equally long arrays, in double precision."""
+    products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
+    return F.aggregate(products, F.lit(0.0), lambda acc, x: acc + x)
 
-    def dot(a: Column, b: Column) -> Column:
-        products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
-        return F.aggregate(products, F.lit(0.0), lambda acc, x: acc + x)
 
+def cosine(left: Column, right: Column) -> Column:
+    """Cosine of two equally long arrays; null when either is all zeros."""
     norms = F.sqrt(dot(left, left)) * F.sqrt(dot(right, right))
     return dot(left, right) / F.nullif(norms, F.lit(0.0))

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from itertools import combinations
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import (
     DecisionTreeClassificationModel,
     DecisionTreeClassifier,
@@ -55,18 +57,24 @@ def margin_column(model: LinearSVCModel | LinearWeights, columns: Sequence[str |
 
 
 def fit_one_vs_one(
-    train: DataFrame, classes: Sequence[int], c: float = 1.0, features: str = "features", label: str = "label", max_iter: int = SVC_ITERATIONS
+    train: DataFrame, classes: Sequence[int] | None = None, c: float = 1.0, features: str = "features", label: str = "label",
+    max_iter: int = SVC_ITERATIONS, parallelism: int = 4,
 ) -> dict[tuple[int, int], LinearSVCModel]:
     """A linear classifier for every pair of classes: ``{(low, high): model}``.
 
-    Class sizes come from one aggregate; keep ``train`` persisted, each pair reads its two classes.
+    The classes are those of ``train`` unless given. Class sizes come from one aggregate, and up to
+    ``parallelism`` pairs are fitted at a time; pass a stored table, each pair reads its two classes.
     """
-    sizes = {r[label]: r["n"] for r in train.groupBy(label).agg(F.count("*").alias("n")).collect()}
-    models = {}
-    for low, high in combinations(sorted(classes), 2):
-        pair = train.where(F.col(label).isin(low, high)).withColumn("_pair", (F.col(label) == high).cast("double"))
-        models[low, high] = fit_linear_svc(pair, c, features, "_pair", sizes[low] + sizes[high], max_iter)
-    return models
+    sizes = {int(r[label]): r["n"] for r in train.groupBy(label).agg(F.count("*").alias("n")).collect()}
+    pairs = list(combinations(sorted(sizes if classes is None else classes), 2))
+
+    def fit(pair: tuple[int, int]) -> LinearSVCModel:
+        low, high = pair
+        rows = train.where(F.col(label).isin(low, high)).withColumn("_pair", (F.col(label) == high).cast("double"))
+        return fit_linear_svc(rows, c, features, "_pair", sizes[low] + sizes[high], max_iter)
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        return dict(zip(pairs, pool.map(inheritable_thread_target(fit), pairs)))
 
 
 def predict_one_vs_one(df: DataFrame, models, features: str = "features", prediction: str = "prediction") -> DataFrame:
@@ -163,6 +171,36 @@ def fit_dense(
     ).fit(train)
 
 
+def log_loss(model: MultilayerPerceptronClassificationModel, rows: DataFrame, label: str = "label") -> float | None:
+    """Mean negative log probability of the true class."""
+    chance = F.get(vector_to_array("probability"), F.col(label).cast("int"))
+    return model.transform(rows).agg(F.avg(-F.log(F.greatest(chance, F.lit(1e-300))))).first()[0]
+
+
+def fit_dense_stopped(
+    train: DataFrame, valid: DataFrame, inputs: int, classes: int, hidden: Sequence[int], step: int = 20, rounds: int = 50, patience: int = 10, seed: int = 346672
+) -> tuple[MultilayerPerceptronClassificationModel, DataFrame]:
+    """Dense network trained until the validation loss has not fallen for ``patience`` rounds.
+
+    A round is ``step`` iterations that go on from the weights of the round before; at most ``rounds``
+    of them. Gives the model of the best round and the loss of both parts per round.
+    """
+    spark, weights, best, rows = train.sparkSession, None, None, []
+    for number in range(1, rounds + 1):
+        trainer = MultilayerPerceptronClassifier(layers=[inputs, *hidden, classes], maxIter=step, seed=seed)
+        if weights is not None:
+            trainer.setInitialWeights(weights)
+        model = trainer.fit(train)
+        weights = model.weights
+        rows.append((number, log_loss(model, train), log_loss(model, valid)))
+        if best is None or rows[-1][2] < rows[best[0] - 1][2]:
+            best = number, model
+        elif number - best[0] >= patience:
+            break
+    table = spark.createDataFrame([(*r, r[0] == best[0]) for r in rows], "round int, train_loss double, valid_loss double, is_best boolean")
+    return best[1], table
+
+
 def margin_grid(spark, limits: tuple[tuple[float, float], tuple[float, float]], model: LinearSVCModel | LinearWeights, names: Sequence[str], steps: int = 100) -> DataFrame:
     """Signed margin on a ``steps`` x ``steps`` grid over two features; the grid is made by Spark."""
 

@@ -11,8 +11,6 @@ from pyspark.sql.types import ArrayType, StringType
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD = 32
-HOT_SHARE = 0.001
-SALTS = 256
 
 
 def _row_bytes(df: DataFrame) -> Column:
@@ -84,13 +82,12 @@ def word_lookup(
 ) -> DataFrame:
     """``(doc_id, pos, key, ...)``: every word of every document looked up in ``dim``.
 
-    With a small ``dim`` the texts move once, by document, and words never move: grouping the result
-    by document needs no further shuffle. With a large one the words go through :func:`salted_join`.
+    With a small ``dim`` the words are looked up where the texts are read, so only what is kept moves
+    on: grouping the result by document sends one partial row per document. With a large one the words
+    go through :func:`salted_join`.
     """
-    small = fits_broadcast(dim, max_rows)
-    placed = docs.repartition(doc_id) if small else docs
-    facts = numbered_elements(placed, [doc_id], words, key)
-    if small:
+    facts = numbered_elements(docs, [doc_id], words, key)
+    if fits_broadcast(dim, max_rows):
         return facts.join(F.broadcast(dim), key, how)
     return salted_join(facts, dim, key, how, [doc_id, "pos"], key_counts)
 
@@ -102,30 +99,23 @@ def salted_join(
     how: str,
     spread: Sequence[str],
     key_counts: DataFrame | None = None,
-    hot_share: float = HOT_SHARE,
-    salts: int = SALTS,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Shuffle join in which each hot key is spread over ``salts`` partitions.
+    """Shuffle join in which each hot key is spread over as many partitions as its rows would fill.
 
-    A key is hot when it holds more than ``hot_share`` of the fact rows, so there are fewer than
-    ``1 / hot_share`` hot keys: that bounds both the broadcast of the hot keys and the copies of
-    their lookup rows. Null keys match nothing and are spread as well; every other key goes to one
-    partition as in a plain join.
+    A key is hot when it holds more rows than a mean partition, so there are fewer hot keys than
+    ``partitions`` (the session's shuffle partitions) and fewer extra copies of their lookup rows:
+    that bounds the broadcast of the hot keys and the growth of ``dim``. Null keys match nothing and
+    are spread as well; every other key goes to one partition as in a plain join.
     """
+    partitions = partitions or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if key_counts is None:
         key_counts = facts.groupBy(key).agg(F.count("*").alias("n"))
-    total = key_counts.agg(F.sum("n").alias("total"))
-    hot = key_counts.where(F.col("n") > total.scalar() * hot_share).select(key, F.lit(True).alias("_hot"))
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.lit(salts)).cast("int")
-    salted_facts = (
-        facts.join(F.broadcast(hot), key, "left")
-        .withColumn("_salt", F.when(F.col("_hot") | F.col(key).isNull(), salt).otherwise(F.lit(0)))
-        .drop("_hot")
-    )
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
-    salted_dim = (
-        dim.join(F.broadcast(hot), key, "left")
-        .withColumn("_salt", F.explode(F.when(F.col("_hot"), every_salt).otherwise(F.array(F.lit(0)))))
-        .drop("_hot")
-    )
+    mean = F.greatest(key_counts.agg(F.sum("n").alias("total")).scalar() / partitions, F.lit(1.0))
+    hot = key_counts.where((F.col("n") > mean) & F.col(key).isNotNull()).select(key, F.ceil(F.col("n") / mean).cast("int").alias("_salts"))
+    salts = F.when(F.col(key).isNull(), F.lit(partitions)).otherwise(F.coalesce("_salts", F.lit(1)))
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in spread]), salts).cast("int")
+    salted_facts = facts.join(F.broadcast(hot), key, "left").withColumn("_salt", salt).drop("_salts")
+    every_salt = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    salted_dim = dim.join(F.broadcast(hot), key, "left").withColumn("_salt", F.explode(every_salt)).drop("_salts")
     return salted_facts.join(salted_dim, [key, "_salt"], how).drop("_salt")

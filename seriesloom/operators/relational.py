@@ -7,6 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seriesloom.operators.lookup import sized
+from seriesloom.session import materialise
+
 
 def class_slice(df: DataFrame, label: str, value, columns: Sequence[str]) -> DataFrame:
     """Chosen columns of the rows of one class; filter and columns reach the scan."""
@@ -67,8 +70,8 @@ def merge_score_tables(nouns: DataFrame, cohesion: DataFrame) -> DataFrame:
 
 
 def label_index(df: DataFrame, dictionary: DataFrame, label: str, index: str = "label_index") -> DataFrame:
-    """Class text to its index by the label dictionary; Spark picks the join by the dictionary's size."""
-    return df.join(dictionary.select(label, index), label, "left")
+    """Class text to its index by the label dictionary, which is stored, measured and broadcast if small."""
+    return df.join(sized(materialise(dictionary.select(label, index))), label, "left")
 
 
 def fixed_index(df: DataFrame, names: Sequence[str], column: str, index: str) -> DataFrame:
@@ -79,9 +82,16 @@ def fixed_index(df: DataFrame, names: Sequence[str], column: str, index: str) ->
     return df.join(F.broadcast(listed), column, "left")
 
 
-def every_pairing(batches: DataFrame, names: Sequence[str], column: str) -> DataFrame:
-    """Each batch once per name of a fixed list (an explode of the list, no join)."""
-    return batches.withColumn(column, F.explode(F.array(*[F.lit(n) for n in names])))
+def every_pairing(batches: DataFrame, names: Sequence[str] | DataFrame, column: str) -> DataFrame:
+    """Each batch once per name: of a list, or of the first column of a table of a few names.
+
+    The names reach the batches as one array (a table's as a subquery result) that is exploded.
+    """
+    if isinstance(names, DataFrame):
+        listed = names.agg(F.sort_array(F.collect_set(names.columns[0])).alias("names")).scalar()
+    else:
+        listed = F.array(*[F.lit(n) for n in names])
+    return batches.withColumn(column, F.explode(listed))
 
 
 def labelled_union(slices: Mapping[int, DataFrame], label: str = "label") -> DataFrame:

@@ -1,12 +1,15 @@
 """Parameter sweeps: one fit per setting, scores on train and test as a small table.
 
-Each fit is a distributed job on a persisted frame, and each score is one aggregate over all parts.
+Each fit is a distributed job on a persisted frame, and each score is one aggregate over all parts. Up to
+``PARALLELISM`` settings run at a time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +18,8 @@ from seriesloom.operators.evaluate import accuracy_column, r2_column
 from seriesloom.operators.prepare import polynomial
 from seriesloom.operators.regress import ALPHAS, fit_lasso
 
+PARALLELISM = 4
+
 
 def _train_test(predicted: DataFrame, score) -> tuple[float | None, float | None]:
     row = predicted.groupBy("split").agg(score.alias("score")).groupBy().agg(
@@ -27,7 +32,9 @@ def _train_test(predicted: DataFrame, score) -> tuple[float | None, float | None
 def _sweep(df: DataFrame, settings: Iterable[tuple], run: Callable[..., DataFrame], score, schema: str) -> DataFrame:
     df = df.persist()
     try:
-        rows = [(*setting, *_train_test(run(df, *setting), score)) for setting in settings]
+        with ThreadPoolExecutor(PARALLELISM) as pool:
+            one = inheritable_thread_target(lambda setting: (*setting, *_train_test(run(df, *setting), score)))
+            rows = list(pool.map(one, settings))
     finally:
         df.unpersist()
     return df.sparkSession.createDataFrame(rows, f"{schema}, train_score double, test_score double")

@@ -1,14 +1,14 @@
 """TF-IDF over whole documents.
 
 Fitting counts each term once per document inside the row, so the only shuffle carries one partial
-count per term and task. The transform moves each text once, by document id; counting, weighting and
-the norm then run in that partitioning.
+count per term and task. The transform drops words outside the vocabulary where the texts are read; what
+moves is one count per document and kept term.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
@@ -16,23 +16,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from seriesloom.functions.text import split_words, word_tokens
-from seriesloom.operators.lookup import elements, lookup_join, word_lookup
-from seriesloom.session import spread
+from seriesloom.operators.lookup import elements, fits_broadcast, salted_join, word_lookup
 
 # Share of documents a term may and must occur in.
 MAX_DF = 0.2
 MIN_DF = 0.011
+# Most terms of a term map: their square is held by the driver.
+MAP_TERMS = 2000
 
 
 def document_frequencies(docs: DataFrame, text: str = "text") -> DataFrame:
     """``(term, df)``: documents each term occurs in."""
     once = F.array_distinct(word_tokens(F.col(text)))
-    return elements(spread(docs), [], once, "term").groupBy("term").agg(F.count("*").alias("df"))
+    return elements(docs, [], once, "term").groupBy("term").agg(F.count("*").alias("df"))
 
 
-def term_totals(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``(term, total)``: occurrences of each term over all documents."""
-    return elements(spread(docs), [], word_tokens(F.col(text)), "term").groupBy("term").agg(F.count("*").alias("total"))
+def term_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``(term, df, total)`` from one scan: a word's first occurrence in its document counts for ``df``."""
+    words = F.sort_array(word_tokens(F.col(text)))
+    ranked = F.transform(words, lambda w, i: F.struct(w.alias("term"), ((i == 0) | (F.get(words, i - 1) != w)).cast("int").alias("first")))
+    found = elements(docs, [], ranked, "w").select("w.term", "w.first")
+    return found.groupBy("term").agg(F.sum("first").alias("df"), F.count("*").alias("total"))
 
 
 def fit_tfidf(
@@ -44,9 +48,10 @@ def fit_tfidf(
     ``max_features`` only the terms with the largest ``total`` count stay, ties by term.
     """
     n = docs.agg(F.count("*").alias("n")).scalar()
-    kept = document_frequencies(docs, text).where((F.col("df") >= n * F.lit(min_df)) & (F.col("df") <= n * F.lit(max_df)))
+    counted = document_frequencies(docs, text) if max_features is None else term_statistics(docs, text)
+    kept = counted.where((F.col("df") >= n * F.lit(min_df)) & (F.col("df") <= n * F.lit(max_df)))
     if max_features is not None:
-        kept = kept.join(term_totals(docs, text), "term").orderBy(F.desc("total"), "term").limit(max_features)
+        kept = kept.orderBy(F.desc("total"), "term").limit(max_features)
     return kept.withColumn("idf", F.log((n + 1) / (F.col("df") + 1)) + 1)
 
 
@@ -57,21 +62,26 @@ def rank_by_idf(vocabulary: DataFrame, n: int | None = None, rarest_first: bool
     return ordered if n is None else ordered.limit(n)
 
 
-def term_counts(docs: DataFrame, doc_id: str, text: str = "text") -> DataFrame:
-    """``(doc_id, term, tf)``, partitioned by document."""
-    placed = docs.select(doc_id, text).repartition(doc_id)
-    return elements(placed, [doc_id], word_tokens(F.col(text)), "term").groupBy(doc_id, "term").agg(F.count("*").alias("tf"))
+def term_counts(docs: DataFrame, doc_id: str, vocabulary: DataFrame, text: str = "text") -> DataFrame:
+    """``(doc_id, term, idf, tf)`` of the vocabulary's terms.
+
+    A small vocabulary meets the words where the texts are read; a large one meets one count per
+    document and word.
+    """
+    idf = vocabulary.select("term", "idf")
+    words = elements(docs, [doc_id], word_tokens(F.col(text)), "term")
+    if fits_broadcast(idf):
+        return words.join(F.broadcast(idf), "term").groupBy(doc_id, "term", "idf").agg(F.count("*").alias("tf"))
+    counted = words.groupBy(doc_id, "term").agg(F.count("*").alias("tf"))
+    return salted_join(counted, idf, "term", "inner", [doc_id])
 
 
 def transform_tfidf(docs: DataFrame, vocabulary: DataFrame, doc_id: str, text: str = "text") -> DataFrame:
     """``(doc_id, term, tfidf)``: ``(1 + ln tf) * idf``, scaled to length 1 per document.
 
-    ``vocabulary`` is read twice: pass a stored or checkpointed table.
+    ``vocabulary`` is read twice: pass a stored table.
     """
-    idf = vocabulary.select("term", "idf")
-    weighted = lookup_join(term_counts(docs, doc_id, text), idf, "term", "inner", spread=[doc_id]).withColumn(
-        "w", (1 + F.log("tf")) * F.col("idf")
-    )
+    weighted = term_counts(docs, doc_id, vocabulary, text).withColumn("w", (1 + F.log("tf")) * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc_id)))
     return weighted.select(doc_id, "term", (F.col("w") / norm).alias("tfidf"))
 
@@ -100,14 +110,18 @@ def term_map(weights: DataFrame, vocabulary: DataFrame, doc_id: str, k: int = 2)
     """Coordinates of the terms on the ``k`` main axes of the document-term matrix.
 
     The right singular vectors times the singular values, each axis turned so that its largest entry
-    is positive. One pass over the documents sums the term-by-term products; what is left is a matrix
-    of the size of ``vocabulary``, the list of top terms (100 by default), squared.
+    is positive. Documents become vectors over the numbered terms, and one pass over them sums the
+    term-by-term products; what is left is a matrix of the size of ``vocabulary`` squared. A
+    vocabulary above ``MAP_TERMS`` terms is refused.
     """
     spark = weights.sparkSession
-    terms = [row["term"] for row in vocabulary.select("term").orderBy("term").collect()]
-    cells = [F.sum(F.when(F.col("term") == t, F.col("tfidf")).otherwise(0.0)).alias(f"t{i}") for i, t in enumerate(terms)]
-    rows = weights.join(F.broadcast(vocabulary.select("term")), "term").groupBy(doc_id).agg(*cells)
-    vectors = VectorAssembler(inputCols=[f"t{i}" for i in range(len(terms))], outputCol="v").transform(rows).select("v")
+    rows = vocabulary.select("term").distinct().orderBy("term").limit(MAP_TERMS + 1).collect()
+    if len(rows) > MAP_TERMS:
+        raise ValueError(f"a term map takes up to {MAP_TERMS} terms")
+    terms = [row["term"] for row in rows]
+    numbers = spark.createDataFrame(list(enumerate(terms)), "number int, term string")
+    cells = weights.join(F.broadcast(numbers), "term").groupBy(doc_id).agg(F.sort_array(F.collect_list(F.struct("number", "tfidf"))).alias("cells"))
+    vectors = cells.select(_entries(len(terms), F.col("cells.number"), F.col("cells.tfidf")).alias("v"))
     gram = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "v")).computeGramianMatrix().toArray()
     power, axes = np.linalg.eigh(gram)
     axes, power = axes[:, ::-1][:, :k], power[::-1][:k]
@@ -117,3 +131,9 @@ def term_map(weights: DataFrame, vocabulary: DataFrame, doc_id: str, k: int = 2)
     return spark.createDataFrame(
         [(t, *map(float, points[i])) for i, t in enumerate(terms)], ", ".join([f"{names[0]} string"] + [f"{c} double" for c in names[1:]])
     )
+
+
+def _entries(size: int, numbers: Column, values: Column) -> Column:
+    """A dense vector column from a row's cells; the other entries are 0."""
+    at = F.map_from_arrays(numbers, values)
+    return array_to_vector(F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.coalesce(F.try_element_at(at, i), F.lit(0.0))))

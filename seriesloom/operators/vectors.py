@@ -10,19 +10,22 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seriesloom.functions.numeric import dot
 from seriesloom.operators.lookup import word_lookup
 
+TRAINING_PARTS = 4
+PASSES = 5
+
 
 def train_word_vectors(
-    corpus: DataFrame, words: str = "words", size: int = 200, min_count: int = 1, partitions: int | None = None, seed: int = 346672, max_iter: int = 1
+    corpus: DataFrame, words: str = "words", size: int = 200, min_count: int = 1, partitions: int = TRAINING_PARTS, seed: int = 346672, max_iter: int = PASSES
 ) -> Word2VecModel:
     """Skip-gram word vectors of a tokenised corpus.
 
     The trainer keeps ``vocabulary x size`` floats on every executor, so train on the corpus cut to a
-    fitted vocabulary (``checked_corpus``) and not on raw tokens. The corpus is trained in
-    ``partitions`` parts whose vectors are averaged, one per core when not given.
+    fitted vocabulary (``checked_corpus``) and not on raw tokens. Each of ``max_iter`` passes trains
+    ``partitions`` parts and averages their vectors, so the result does not depend on the cores.
     """
-    partitions = partitions or corpus.sparkSession.sparkContext.defaultParallelism
     trainer = Word2Vec(
         vectorSize=size, minCount=min_count, numPartitions=partitions, inputCol=words, outputCol="_v", seed=seed, maxIter=max_iter
     )
@@ -36,17 +39,17 @@ def overlay_vectors(trained: DataFrame, pretrained: DataFrame) -> DataFrame:
     return left.join(right, "word", "full_outer").select("word", F.coalesce("_pretrained", "_trained").alias("vector"))
 
 
+def element_means(df: DataFrame, label: str, vector: str) -> DataFrame:
+    """``(label, position, mean)``: every element's mean per class."""
+    return class_centroids(df, label, vector).select(label, F.posexplode("vector").alias("position", "mean"))
+
+
 def class_centroids(df: DataFrame, label: str, vector: str) -> DataFrame:
     """``(label, vector ARRAY<DOUBLE>)``: mean vector per class, partial means per task."""
     mean = Summarizer.mean(array_to_vector(F.col(vector)))
     return df.groupBy(label).agg(vector_to_array(mean).alias("vector"))
 
 
-def _dot(a: Column, b: Column) -> Column:
-    products = F.zip_with(a, b, lambda x, y: x * y)
-    return F.aggregate(products, F.lit(0.0), lambda acc, x: acc + x)
-
-
 def anchor_similarity(df: DataFrame, vector: str, anchors: DataFrame, names: Mapping[str, str]) -> DataFrame:
     """Adds the cosine of each row's vector to each anchor vector.
 
@@ -57,13 +60,13 @@ def anchor_similarity(df: DataFrame, vector: str, anchors: DataFrame, names: Map
     wide = anchors.where(F.col("name").isin(list(names))).select("name", F.col("vector").cast("array<double>").alias("v"))
     picked = [F.max(F.when(F.col("name") == a, F.col("v"))).alias(f"a{i}") for i, a in enumerate(names)]
     table = wide.agg(*picked)
-    norms = [F.sqrt(_dot(F.col(f"a{i}"), F.col(f"a{i}"))).alias(f"n{i}") for i in range(len(names))]
+    norms = [F.sqrt(dot(F.col(f"a{i}"), F.col(f"a{i}"))).alias(f"n{i}") for i in range(len(names))]
     fixed = F.col("_anchors")
     packed = table.select(F.struct("*", *norms).alias("anchors")).scalar()
     with_norm = df.withColumns({"_v": F.col(vector).cast("array<double>"), "_anchors": packed})
-    with_norm = with_norm.withColumn("_norm", F.sqrt(_dot(F.col("_v"), F.col("_v"))))
+    with_norm = with_norm.withColumn("_norm", F.sqrt(dot(F.col("_v"), F.col("_v"))))
     cosines = {
-        column: _dot(F.col("_v"), fixed[f"a{i}"]) / F.nullif(F.col("_norm") * fixed[f"n{i}"], F.lit(0.0))
+        column: dot(F.col("_v"), fixed[f"a{i}"]) / F.nullif(F.col("_norm") * fixed[f"n{i}"], F.lit(0.0))
         for i, column in enumerate(names.values())
     }
     return with_norm.withColumns(cosines).drop("_v", "_norm", "_anchors")

@@ -7,24 +7,25 @@ travel back to the documents through :func:`seriesloom.operators.lookup.lookup_j
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesloom.operators.lookup import elements, lookup_join, numbered_elements, word_lookup
-from seriesloom.session import spread
+from seriesloom.session import materialise
 
 # The thresholds the score tables are built with.
 MIN_FREQUENCY = 100
 MIN_COHESION = 0.05
-MAX_PREFIX = 10
-MAX_RIGHT = 9
 MIN_NOUN_SCORE = 0.3
 CHUNK_CHARS = 500
+PREFIX_STEP = 8
 
 
 def token_counts(docs: DataFrame, tokens: Column) -> DataFrame:
     """``(token, n)`` over all documents."""
-    return elements(spread(docs), [], tokens, "token").groupBy("token").agg(F.count("*").alias("n"))
+    return elements(docs, [], tokens, "token").groupBy("token").agg(F.count("*").alias("n"))
 
 
 def top_words(docs: DataFrame, tokens: Column, k: int) -> DataFrame:
@@ -32,66 +33,75 @@ def top_words(docs: DataFrame, tokens: Column, k: int) -> DataFrame:
     return token_counts(docs, tokens).orderBy(F.desc("n"), "token").limit(k)
 
 
-def _prefixes(counts: DataFrame, shortest: int, longest: int) -> DataFrame:
-    lengths = F.sequence(F.lit(shortest), F.least(F.length("token"), F.lit(longest)))
-    long_enough = counts.where(F.length("token") >= shortest)
-    return elements(long_enough, ["token", "n"], lengths, "k").withColumn("prefix", F.expr("substring(token, 1, k)"))
-
+def prefix_counts(counts: DataFrame, min_frequency: int, step: int = PREFIX_STEP) -> DataFrame:
+    """``(prefix, freq)`` of every token prefix whose shorter forms all reach ``min_frequency``.
 
-def cohesion_scores(
-    counts: DataFrame, min_frequency: int = MIN_FREQUENCY, min_cohesion: float = MIN_COHESION, max_length: int = MAX_PREFIX
-) -> DataFrame:
+    Prefixes grow ``step`` characters per round, and only tokens whose prefix so far is frequent go on:
+    a longer prefix is never more frequent. So a token is cut no further than its frequent part and
+    ``step`` characters, however long it is, and the rounds end by themselves. Prefixes below the
+    frequency are in the result where their shorter form reaches it. ``counts`` is read once a round:
+    pass a stored or checkpointed table.
+    """
+    rounds, active, at = [], counts.select("token", "n"), 1
+    while True:
+        ends = F.sequence(F.lit(at), F.least(F.length("token"), F.lit(at + step - 1)))
+        grown = elements(active.where(F.length("token") >= at), ["token", "n"], ends, "k")
+        found = materialise(grown.groupBy(F.expr("substring(token, 1, k)").alias("prefix")).agg(F.sum("n").alias("freq")))
+        rounds.append(found)
+        at += step
+        edge = found.where((F.length("prefix") == at - 1) & (F.col("freq") >= min_frequency)).select("prefix")
+        if not edge.take(1):
+            break
+        longer = active.where(F.length("token") >= at).withColumn("prefix", F.substring("token", 1, at - 1))
+        active = materialise(lookup_join(longer, edge, "prefix", "left_semi", spread=["token"]).select("token", "n"))
+    return reduce(DataFrame.unionByName, rounds)
+
+
+def cohesion_scores(counts: DataFrame, min_frequency: int = MIN_FREQUENCY, min_cohesion: float = MIN_COHESION) -> DataFrame:
     """Forward cohesion of every token prefix of two or more characters.
 
     ``(freq(prefix) / freq(first character)) ** (1 / (length - 1))``. The first-character table has
     one row per character in use, which Unicode bounds, so it may be broadcast. ``counts`` is read
-    twice: pass a stored or checkpointed table.
+    several times: pass a stored or checkpointed table.
     """
-    first = F.substring("token", 1, 1)
-    first_counts = counts.groupBy(first.alias("first")).agg(F.sum("n").alias("first_n"))
-    freq = _prefixes(counts, 2, max_length).groupBy("prefix").agg(F.sum("n").alias("freq"))
-    frequent = freq.where(F.col("freq") >= min_frequency).withColumn("first", F.substring("prefix", 1, 1))
+    freq = prefix_counts(counts, min_frequency)
+    first_counts = freq.where(F.length("prefix") == 1).select(F.col("prefix").alias("first"), F.col("freq").alias("first_n"))
+    frequent = freq.where((F.length("prefix") >= 2) & (F.col("freq") >= min_frequency)).withColumn("first", F.substring("prefix", 1, 1))
     scored = frequent.join(F.broadcast(first_counts), "first").withColumn(
         "score", F.pow(F.col("freq") / F.col("first_n"), 1.0 / (F.length("prefix") - 1))
     )
     return scored.where(F.col("score") >= min_cohesion).select(F.col("prefix").alias("token"), "freq", "score")
 
 
-def right_branching_entropy(counts: DataFrame, min_entropy: float = 0.0, max_length: int = MAX_PREFIX) -> DataFrame:
-    """Entropy of the character that follows each prefix, over tokens that go on after it.
+def right_branching_entropy(counts: DataFrame, min_entropy: float = 0.0, min_frequency: int = MIN_FREQUENCY) -> DataFrame:
+    """Entropy of the character that follows each frequent prefix, over tokens that go on after it.
 
-    ``-sum p ln p`` is written as ``ln N - sum(c ln c) / N``, so one pass over the counts is enough.
+    A prefix and its next character are a prefix one longer, whose count is at hand. ``-sum p ln p``
+    is written as ``ln N - sum(c ln c) / N``, so one pass over the counts is enough. ``freq`` counts
+    the tokens that go on; ``min_frequency`` is on all tokens with the prefix.
     """
-    inner = _prefixes(counts, 1, max_length).where(F.length("token") > F.col("k"))
-    following = F.expr("substring(token, k + 1, 1)")
-    pairs = inner.groupBy("prefix", following.alias("next")).agg(F.sum("n").alias("c"))
-    sums = pairs.groupBy("prefix").agg(
+    freq = prefix_counts(counts, min_frequency)
+    pairs = freq.where(F.length("prefix") > 1).select(F.expr("substring(prefix, 1, length(prefix) - 1)").alias("token"), F.col("freq").alias("c"))
+    sums = pairs.groupBy("token").agg(
         F.sum("c").alias("freq"), F.count("*").alias("n_next"), F.sum(F.col("c") * F.log(F.col("c"))).alias("s")
     )
+    frequent = freq.where(F.col("freq") >= min_frequency).select(F.col("prefix").alias("token"))
     entropy = F.when(F.col("n_next") == 1, F.lit(0.0)).otherwise(F.log("freq") - F.col("s") / F.col("freq"))
-    scored = sums.select(F.col("prefix").alias("token"), "freq", "n_next", entropy.alias("entropy"))
+    scored = sums.join(frequent, "token", "left_semi").select("token", "freq", "n_next", entropy.alias("entropy"))
     return scored.where(F.col("entropy") >= min_entropy)
 
 
-def noun_scores(
-    counts: DataFrame,
-    right_parts: DataFrame,
-    min_score: float = MIN_NOUN_SCORE,
-    min_frequency: int = 1,
-    max_left: int = MAX_PREFIX,
-    max_right: int = MAX_RIGHT,
-) -> DataFrame:
+def noun_scores(counts: DataFrame, right_parts: DataFrame, min_score: float = MIN_NOUN_SCORE, min_frequency: int = 1) -> DataFrame:
     """Noun score of left parts by what follows them.
 
-    Each token is cut into every left and right part. A right part listed in ``right_parts(r,
-    polarity)`` speaks for (+1) or against (-1) its left part being a noun:
+    Each token is cut where a right part of a listed length begins. A right part listed in
+    ``right_parts(r, polarity)`` speaks for (+1) or against (-1) its left part being a noun:
     ``(pos - neg) / (pos + neg)``, weighted by token counts.
     """
-    cuts = F.sequence(F.lit(1), F.least(F.length("token"), F.lit(max_left)))
-    pairs = (
-        elements(counts, ["token", "n"], cuts, "k")
-        .select(F.expr("substring(token, 1, k)").alias("l"), F.expr("substring(token, k + 1)").alias("r"), "n", "token")
-        .where(F.length("r") <= max_right)
+    lengths = right_parts.agg(F.collect_set(F.length("r")).alias("lengths")).scalar()
+    cuts = F.filter(F.transform("lengths", lambda size: F.length("token") - size), lambda k: k > 0)
+    pairs = elements(counts.withColumn("lengths", lengths), ["token", "n"], cuts, "k").select(
+        F.expr("substring(token, 1, k)").alias("l"), F.expr("substring(token, k + 1)").alias("r"), "n", "token"
     )
     known = lookup_join(pairs, right_parts.select("r", "polarity"), "r", "inner", spread=["token", "l"])
     positive = F.sum(F.when(F.col("polarity") > 0, F.col("n")).otherwise(0))
@@ -122,15 +132,16 @@ def flag_compounds(nouns: DataFrame, shortest: int = 2) -> DataFrame:
 def left_parts(counts: DataFrame, scores: DataFrame) -> DataFrame:
     """``(token, left)``: the best-scoring prefix of two or more characters, ties to the longer one.
 
-    A prefix without a score counts 0. Only prefixes up to the longest scored word can have one, and
-    among the others the whole token wins every tie, so those are the only candidates. Tokens of one
-    or two characters stay whole.
+    A prefix without a score counts 0. Only prefixes as long as some scored word can have one. Of the
+    others the longest wins: the whole token, or what is one shorter than a scored word. So those are
+    the only candidates. Tokens of one or two characters stay whole.
     """
-    longest = scores.agg(F.coalesce(F.max(F.length("token")), F.lit(0)).alias("m")).scalar()
+    size = F.explode(F.array(F.length("token"), F.length("token") - 1))
+    lengths = scores.select(size.alias("size")).agg(F.collect_set("size").alias("lengths")).scalar()
     whole = F.length("token")
-    ends = F.array_union(F.sequence(F.lit(2), F.greatest(F.least(whole, longest), F.lit(2))), F.array(whole))
+    ends = F.array_union(F.filter("lengths", lambda k: (k >= 2) & (k <= whole)), F.array(whole))
     candidates = (
-        elements(counts.where(whole > 2), ["token"], ends, "k")
+        elements(counts.where(whole > 2).withColumn("lengths", lengths), ["token"], ends, "k")
         .select("token", F.expr("substring(token, 1, k)").alias("prefix"))
     )
     prefix_scores = scores.select(F.col("token").alias("prefix"), "score")
@@ -182,4 +193,4 @@ def pack_words(text: Column, limit: int = CHUNK_CHARS) -> Column:
 
 def chunks(docs: DataFrame, doc_id: str, text: str, limit: int = CHUNK_CHARS) -> DataFrame:
     """One row per piece of each document, with its position."""
-    return numbered_elements(spread(docs), [doc_id], pack_words(F.col(text), limit), "chunk", "piece")
+    return numbered_elements(docs, [doc_id], pack_words(F.col(text), limit), "chunk", "piece")

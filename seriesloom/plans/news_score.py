@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesloom.functions.text import join_words, keep_text_characters, spaced_tokens
@@ -17,7 +17,7 @@ from seriesloom.operators import cluster, prepare, profile, regress, split, tfid
 from seriesloom.operators.relational import complete_rows, fill_from, merge_score_tables, missing_rows, with_daily_score
 from seriesloom.plans.next_day import SEED, add_date_feature
 from seriesloom.session import materialise
-from seriesloom.sources.store import vector_table
+from seriesloom.sources.store import read_or_build, vector_table
 
 # Anchor words and the score column each one gives.
 ANCHORS = {"증가": "up", "유지": "flat", "감소": "down"}
@@ -53,10 +53,10 @@ def corpus_in_vocabulary(corpus: DataFrame, vocabulary: DataFrame, doc_id: str,
 
 
 def similarity_table(
-    corpus: DataFrame, doc_id: str, anchors: Mapping[str, str] = ANCHORS, pretrained: DataFrame | None = None, size: int = 200, partitions: int | None = None
+    corpus: DataFrame, doc_id: str, anchors: Mapping[str, str] = ANCHORS, pretrained: DataFrame | None = None, size: int = 200
 ) -> DataFrame:
     """Mean similarity of each document's words to the anchor words, by vectors trained on the corpus."""
-    model = vectors.train_word_vectors(corpus, size=size, partitions=partitions)
+    model = vectors.train_word_vectors(corpus, size=size)
     table = vector_table(model)
     if pretrained is not None:
         table = vectors.overlay_vectors(table, pretrained)
@@ -69,7 +69,7 @@ def score_v1(similar: DataFrame, date: str, columns: Sequence[str], k: int = 3,
     """Daily mean of the ordered cluster number. ``columns`` are up, flat, down in that order."""
     known = complete_rows(similar, columns)
     scaled = prepare.fit_zscore(known, columns).transform(known)
-    ready = prepare.assemble(scaled, columns).persist()
+    ready = materialise(prepare.assemble(scaled, columns))
     model = cluster.fit_kmeans(ready, k, seed=seed)
     return profile.daily_means(cluster.cluster_scores(ready, model, 0, len(columns) - 1), date, ["score"])
 
@@ -82,24 +82,39 @@ def score_v2(similar: DataFrame, date: str, columns: Sequence[str]) -> DataFrame
 def impute_scores(panel: DataFrame, scores: DataFrame, keys: Sequence[str], date: str, features: Sequence[str], targets: Sequence[str], seed: int = SEED) -> DataFrame:
     """Panel with a score on every day: known ones as they are, missing ones from least squares.
 
-    One model per score, fitted on the train part of the days with news. ``panel`` and ``scores`` are
-    read several times: pass stored or checkpointed tables. A panel in which no day has a score keeps
-    its nulls, since there is nothing to learn from.
+    One model per score, fitted on the train part of the days that have it; each score is filled where
+    it is missing itself. ``panel`` and ``scores`` are read several times: pass stored tables. A score
+    that no day has keeps its nulls, since there is nothing to learn from.
     """
     joined = add_date_feature(with_daily_score(panel, scores, date), date)
     columns = [*features, "date_int"]
-    known = complete_rows(joined, [*columns, *targets]).withColumn("row_key", F.concat_ws("|", *keys))
-    train = split.exact_split(known, "row_key", seed).where("split = 'train'").persist()
-    if train.isEmpty():
-        return joined.drop("date_int")
-    scaling = prepare.fit_zscore(train, columns)
-    models = regress.fit_ols_per_target(prepare.assemble(scaling.transform(train), columns), targets)
-    gaps = complete_rows(missing_rows(joined, targets[0]).select(*keys, *columns))
-    scored = regress.predict_targets(prepare.assemble(_scaled_copy(gaps, scaling, keys), columns), models)
-    filled = scored.select(*keys, *[F.col(f"predicted_{t}").alias(t) for t in targets])
-    return fill_from(joined, filled, keys, targets).drop("date_int")
+    for target in targets:
+        known = complete_rows(joined, [*columns, target]).withColumn("row_key", F.concat_ws("|", *keys))
+        train = materialise(split.exact_split(known, "row_key", seed).where("split = 'train'"))
+        if train.isEmpty():
+            continue
+        scaling = prepare.fit_zscore(train, columns)
+        models = regress.fit_ols_per_target(prepare.assemble(scaling.transform(train), columns), [target])
+        gaps = complete_rows(missing_rows(joined, target).select(*keys, *columns))
+        scored = regress.predict_targets(prepare.assemble(_scaled_copy(gaps, scaling, keys), columns), models)
+        joined = fill_from(joined, scored.select(*keys, F.col(f"predicted_{target}").alias(target)), keys, [target])
+    return joined.drop("date_int")
 
 
 def _scaled_copy(df: DataFrame, scaling: prepare.Scaling, keys: Sequence[str]) -> DataFrame:
     columns: list[Column] = [scaling.column(c).alias(c) for c in scaling.shift]
     return df.select(*keys, *columns)
+
+
+def corpus_stages(spark: SparkSession, folder: str, docs: DataFrame, doc_id: str, text: str, right_parts: DataFrame, size: int = 200, anchors: Mapping[str, str] | None = ANCHORS) -> DataFrame:
+    """Documents to anchor similarities, each stage stored under ``folder`` and loaded if it is there.
+
+    Without ``anchors`` the three commonest vocabulary words by documents stand in.
+    """
+    corpus = read_or_build(spark, f"{folder}/corpus", lambda: clean_corpus(docs, doc_id, text, right_parts))
+    vocabulary = read_or_build(spark, f"{folder}/vocabulary", lambda: corpus_vocabulary(corpus))
+    words = read_or_build(spark, f"{folder}/words", lambda: corpus_in_vocabulary(corpus, vocabulary, doc_id, normalize=True))
+    if anchors is None:
+        names = [r["term"] for r in vocabulary.orderBy("df", "term").limit(3).collect()]
+        anchors = dict(zip(names, ANCHORS.values()))
+    return read_or_build(spark, f"{folder}/similar", lambda: similarity_table(words, doc_id, anchors, size=size))

@@ -12,8 +12,11 @@ from pyspark.sql import functions as F
 from seriesloom.functions.dates import date_to_int
 from seriesloom.operators import evaluate, prepare, regress, series, split
 from seriesloom.operators.relational import latest_row
+from seriesloom.session import materialise
 
 SEED = 346672
+# Boosting: most rounds, and rounds without a better validation loss before it stops.
+ROUNDS, PATIENCE = 50, 10
 # Polynomial degree and scaling of each model of the forecast.
 KINDS: dict[str, dict[str, Any]] = {
     "ols": {"degree": 1, "scaling": None, "fit": regress.fit_ols},
@@ -83,7 +86,7 @@ def run(panel: DataFrame, series_col: str, date: str, value: str, features: Sequ
     """
     setup = KINDS[kind]
     columns = [*features, "date_int"]
-    rows = labelled_split(panel, series_col, date, value, seed).persist()
+    rows = materialise(labelled_split(panel, series_col, date, value, seed))
     train = rows.where("split = 'train'")
     apply = feature_steps(train, columns, setup["degree"], setup["scaling"])
     model = setup["fit"](apply(train))
@@ -93,13 +96,13 @@ def run(panel: DataFrame, series_col: str, date: str, value: str, features: Sequ
     return Forecast(model, predictions, evaluate.regression_scores(predictions), next_day)
 
 
-def run_boosted(panel: DataFrame, series_col: str, date: str, value: str, features: Sequence[str], seed: int = SEED, max_iter: int = 20, patience: int = 10):
+def run_boosted(panel: DataFrame, series_col: str, date: str, value: str, features: Sequence[str], seed: int = SEED, max_iter: int = ROUNDS, patience: int = PATIENCE):
     """The three-way form with early stopping; gives the forecast and the training history."""
     columns = [*features, "date_int"]
-    rows = labelled_split(panel, series_col, date, value, seed, valid=True).persist()
+    rows = materialise(labelled_split(panel, series_col, date, value, seed, valid=True))
     train = rows.where("split = 'train'")
     apply = feature_steps(train, columns, 1, "zscore")
-    ready = apply(rows).persist()
+    ready = materialise(apply(rows))
     model, history = regress.fit_boosted_mae(ready.where("split = 'train'"), ready.where("split = 'valid'"), max_iter=max_iter, patience=patience, seed=seed)
     predictions = model.transform(ready).drop("features")
     newest = add_date_feature(latest_row(panel, series_col, date), date)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from seriesloom.operators import classify, prepare, profile, split
 from seriesloom.operators.evaluate import accuracy_scores
 from seriesloom.operators.relational import label_index
+from seriesloom.session import materialise
 
 SEED = 346672
 
@@ -36,6 +38,23 @@ def multi_rows(df: DataFrame, label: str, columns: Sequence[str], key: str, seed
     return split.stratified_split(indexed, key, "label", seed), dictionary
 
 
+def dense_fits(rows: DataFrame, columns: Sequence[str], layouts: Sequence[Sequence[int]] = classify.DENSE_LAYOUTS, **options) -> tuple[DataFrame, DataFrame]:
+    """Every dense layout on three-way split rows, stopped on the validation part.
+
+    Gives accuracy per layout and part, and the losses per layout and round; ``layout`` counts from 1.
+    """
+    scaled = prepare.fit_zscore(rows.where("split = 'train'"), columns).transform(rows)
+    ready = materialise(prepare.assemble(scaled, columns).withColumn("label", F.col("label").cast("double")))
+    classes = int(ready.agg(F.max("label")).first()[0]) + 1
+    parts = [ready.where(f"split = '{p}'") for p in ("train", "valid")]
+    scores, histories = [], []
+    for number, hidden in enumerate(layouts, 1):
+        model, history = classify.fit_dense_stopped(*parts, len(columns), classes, hidden, **options)
+        scores.append(accuracy_scores(model.transform(ready)).withColumn("layout", F.lit(number)))
+        histories.append(history.withColumn("layout", F.lit(number)))
+    return reduce(DataFrame.unionByName, scores), reduce(DataFrame.unionByName, histories)
+
+
 def fit_and_score(rows: DataFrame, columns: Sequence[str], fit, scaled: bool = False, degree: int = 1) -> tuple[object, DataFrame]:
     """Fits on the train part; accuracy per part of the split."""
     if scaled:
@@ -43,7 +62,7 @@ def fit_and_score(rows: DataFrame, columns: Sequence[str], fit, scaled: bool = F
     ready = prepare.assemble(rows, columns).withColumn("label", F.col("label").cast("double"))
     if degree > 1:
         ready = prepare.polynomial(ready, degree, "features", "_poly").drop("features").withColumnRenamed("_poly", "features")
-    ready = ready.persist()
+    ready = materialise(ready)
     model = fit(ready.where("split = 'train'"))
     predicted = classify.predict_one_vs_one(ready, model) if isinstance(model, dict) else model.transform(ready)
     return model, accuracy_scores(predicted)

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from seriesloom.operators import classify, cluster, evaluate, prepare, regress, relational, series, split, sweeps
 from seriesloom.plans import news_score, next_day, species
 from seriesloom.registry.base import DATED, PANEL, SCORED, daily_score, dated_documents, panel, query
-from seriesloom.registry.textual import _ANCHOR_NAMES, _right_parts, _similar
-from seriesloom.session import materialise
+from seriesloom.registry.textual import _ANCHOR_NAMES, _SIMILAR, _right_parts, _similar
+from seriesloom.session import materialise, scratch_path, spread
 from seriesloom.sources.readers import read_table
 
 SEED = next_day.SEED
@@ -221,7 +221,8 @@ def lasso(spark, d):
 def least_squares_per_target(spark, d):
     """One line per target on the same feature."""
     targets = ["l_extendedprice", "l_discount", "l_tax"]
-    rows = prepare.assemble(read_table(spark, d, "lineitem").select("l_quantity", *targets), ["l_quantity"]).persist()
+    rows = prepare.assemble(read_table(spark, d, "lineitem").select("l_quantity", *targets), ["l_quantity"])
+    rows = materialise(rows)
     models = regress.fit_ols_per_target(rows, targets)
     table = [(t, round(float(m.coefficients[0]), 6) + 0.0, round(float(m.intercept), 6) + 0.0) for t, m in models.items()]
     return spark.createDataFrame(table, "target string, slope double, intercept double")
@@ -292,14 +293,14 @@ def forecast_ridge(spark, d):
 @query()
 def forecast_boosted(spark, d):
     """Boosted trees on absolute error, stopped on the validation part: scores of the three parts."""
-    run, _ = next_day.run_boosted(materialise(panel(spark, d)), "series", "date", "cap", _FEATURES, SEED, max_iter=12, patience=4)
+    run, _ = next_day.run_boosted(materialise(panel(spark, d)), "series", "date", "cap", _FEATURES, SEED)
     return _score_rows(run)
 
 
 @query()
 def boosting_history(spark, d):
     """Train and validation loss per boosting round."""
-    _, history = next_day.run_boosted(materialise(panel(spark, d)), "series", "date", "cap", _FEATURES, SEED, max_iter=12, patience=4)
+    _, history = next_day.run_boosted(materialise(panel(spark, d)), "series", "date", "cap", _FEATURES, SEED)
     return history
 
 
@@ -309,11 +310,32 @@ def next_day_forecast(spark, d):
     return _forecast(spark, d, "ols").next_day
 
 
+def _chart(spark, d, kind):
+    return series.actual_and_predicted(_forecast(spark, d, kind).predictions, "series", "date", "cap", limit=200)
+
+
 @query()
 def forecast_chart(spark, d):
     """Actual and predicted value of the last 200 days per nation."""
-    run = _forecast(spark, d, "ols")
-    return series.actual_and_predicted(run.predictions, "series", "date", "cap", limit=200)
+    return _chart(spark, d, "ols")
+
+
+@query()
+def forecast_chart_poly(spark, d):
+    """The same by degree-two terms."""
+    return _chart(spark, d, "poly")
+
+
+@query()
+def forecast_chart_lasso(spark, d):
+    """The same with an absolute penalty."""
+    return _chart(spark, d, "lasso")
+
+
+@query()
+def forecast_chart_ridge(spark, d):
+    """The same with a squared penalty."""
+    return _chart(spark, d, "ridge")
 
 
 # ---- classifiers
@@ -351,9 +373,9 @@ def linear_svc(spark, d):
 
 @query()
 def one_vs_one_svc(spark, d):
-    """Three classes by pairwise linear classifiers."""
+    """All classes by pairwise linear classifiers."""
     rows, _ = _orders_by_status(spark, d)
-    _, scores = species.fit_and_score(rows, _STATUS_COLUMNS, lambda t: classify.fit_one_vs_one(t, [0, 1, 2]), scaled=True)
+    _, scores = species.fit_and_score(rows, _STATUS_COLUMNS, classify.fit_one_vs_one, scaled=True)
     return _accuracy_rows(scores)
 
 
@@ -361,16 +383,17 @@ def one_vs_one_svc(spark, d):
 def one_vs_one_svc_poly(spark, d):
     """The same on degree-two terms."""
     rows, _ = _orders_by_status(spark, d)
-    _, scores = species.fit_and_score(rows, _STATUS_COLUMNS, lambda t: classify.fit_one_vs_one(t, [0, 1, 2]), scaled=True, degree=2)
+    _, scores = species.fit_and_score(rows, _STATUS_COLUMNS, classify.fit_one_vs_one, scaled=True, degree=2)
     return _accuracy_rows(scores)
 
 
-_PAIRS = {(0, 1): (1.0, -2.0, 0.05), (0, 2): (-1.0, 0.5, -0.1), (1, 2): (0.25, 1.5, 0.0)}
+# Weights of three given pairwise classifiers over 64 elements, and their intercepts.
+_PAIRS = {pair: ([((5 * i + 3 * k) % 11 - 5) / 8 for i in range(64)], (k - 1) / 16) for k, pair in enumerate([(0, 1), (0, 2), (1, 2)])}
 
 
 def _wins(low, high):
-    a, b, c = _PAIRS[low, high]
-    return f"CAST({c!r}e0 + {a!r}e0 * CAST(embedding[1] AS DOUBLE) + {b!r}e0 * CAST(embedding[2] AS DOUBLE) > 0 AS INTEGER)"
+    weights, intercept = _PAIRS[low, high]
+    return f"CAST({intercept!r}e0 + list_inner_product(CAST(embedding AS DOUBLE[]), CAST({weights!r} AS DOUBLE[])) > 0 AS INTEGER)"
 
 
 @query(
@@ -379,9 +402,10 @@ def _wins(low, high):
     SELECT vec_id, CASE WHEN v0 >= v1 AND v0 >= v2 THEN 0e0 WHEN v1 >= v2 THEN 1e0 ELSE 2e0 END AS prediction FROM v"""
 )
 def pairwise_votes(spark, d):
-    """Class by the votes of three given pairwise classifiers."""
-    models = {pair: classify.LinearWeights(w[:2], w[2]) for pair, w in _PAIRS.items()}
-    rows = prepare.assemble(read_table(spark, d, "embeddings").select("vec_id", *_dims(2)), ["x0", "x1"])
+    """Class by the votes of three given pairwise classifiers over all elements."""
+    models = {pair: classify.LinearWeights(*w) for pair, w in _PAIRS.items()}
+    names = [f"x{i}" for i in range(64)]
+    rows = prepare.assemble(read_table(spark, d, "embeddings").select("vec_id", *_dims(64)), names)
     return classify.predict_one_vs_one(rows, models).select("vec_id", "prediction")
 
 
@@ -416,9 +440,10 @@ def decision_tree(spark, d):
 def tree_stump(spark, d):
     """Best single cut of the months for the status classes, as node rows."""
     orders = read_table(spark, d, "orders").select("o_orderkey", "o_orderstatus", F.month("o_orderdate").cast("double").alias("month"))
-    indexed = relational.label_index(orders, prepare.label_dictionary(orders, "o_orderstatus", "o_orderkey"), "o_orderstatus")
-    ready = classify.with_features(indexed, ["month"], "label_index")
-    nodes = classify.tree_nodes(classify.fit_tree(ready, 1), spark, ["month"], ["0", "1", "2"])
+    dictionary = materialise(prepare.label_dictionary(orders, "o_orderstatus", "o_orderkey"))
+    ready = classify.with_features(relational.label_index(orders, dictionary, "o_orderstatus"), ["month"], "label_index")
+    names = [r["o_orderstatus"] for r in dictionary.orderBy("label_index").collect()]
+    nodes = classify.tree_nodes(classify.fit_tree(ready, 1), spark, ["month"], names)
     return nodes.select("node", "feature", "threshold", F.round("gini", 9).alias("gini"), "samples")
 
 
@@ -448,13 +473,128 @@ def softmax_history(spark, d):
     return classify.objective_history(model, spark)
 
 
+def _dense_rows(spark, d):
+    rows = read_table(spark, d, "supplier").select("s_suppkey", "s_acctbal", F.length("s_name").cast("double").alias("letters"), F.col("s_nationkey").cast("string").alias("nation"))
+    return species.multi_rows(rows, "nation", ["s_acctbal", "letters"], "s_suppkey", SEED, valid=True)[0]
+
+
 @query()
 def dense_network(spark, d):
-    """Dense network with three parts: train, validation, test."""
-    rows, _ = _orders_by_status(spark, d, valid=True)
-    hidden = classify.DENSE_LAYOUTS[4]
-    _, scores = species.fit_and_score(rows, _STATUS_COLUMNS, lambda t: classify.fit_dense(t, 3, 3, hidden, max_iter=20), scaled=True)
-    return _accuracy_rows(scores)
+    """Five dense layouts, each stopped on the validation part: accuracy of the three parts."""
+    scores, _ = species.dense_fits(_dense_rows(spark, d), ["s_acctbal", "letters"])
+    return scores.select("layout", "split", "n", F.round("accuracy", 4).alias("accuracy"))
+
+
+@query()
+def dense_history(spark, d):
+    """Training and validation loss of the five dense layouts per round."""
+    return species.dense_fits(_dense_rows(spark, d), ["s_acctbal", "letters"])[1]
+
+
+# With one indicator per category and no penalty, the fitted probabilities are the class shares.
+_SHARES = """SELECT o_orderpriority, o_orderstatus, round(count(*) / sum(count(*)) OVER (PARTITION BY o_orderpriority), 2) AS share
+    FROM orders GROUP BY 1, 2"""
+
+
+def _status_by_priority(spark, d):
+    orders = read_table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    status = materialise(prepare.label_dictionary(orders, "o_orderstatus", "o_orderkey"))
+    priority = prepare.label_dictionary(orders, "o_orderpriority", "o_orderkey", "category")
+    rows = relational.label_index(orders, priority, "o_orderpriority", "category")
+    rows = relational.label_index(rows, status, "o_orderstatus").withColumn("label", F.col("label_index").cast("double"))
+    return materialise(prepare.one_hot(rows, "category", "features")), status
+
+
+def _shares(predicted, status):
+    chances = predicted.groupBy("o_orderpriority").agg(F.first(vector_to_array("probability")).alias("p"))
+    listed = chances.select("o_orderpriority", F.posexplode("p").alias("label_index", "share"))
+    return listed.join(status, "label_index").select("o_orderpriority", "o_orderstatus", F.round("share", 2).alias("share"))
+
+
+@query(_SHARES)
+def softmax_shares(spark, d):
+    """Multinomial regression on one indicator per category."""
+    rows, status = _status_by_priority(spark, d)
+    return _shares(classify.fit_softmax(rows, c=1e9).transform(rows), status)
+
+
+@query(_SHARES)
+def dense_shares(spark, d):
+    """A network without hidden layers on one indicator per category."""
+    rows, status = _status_by_priority(spark, d)
+    return _shares(classify.fit_dense(rows, 5, status.count(), [], max_iter=400).transform(rows), status)
+
+
+@query("SELECT round(0e0 - sum(p * ln(p)), 6) AS loss FROM (SELECT count(*) / sum(count(*)) OVER () AS p FROM orders GROUP BY o_orderstatus)")
+def softmax_first_loss(spark, d):
+    """Loss before the first step: the entropy of the classes."""
+    rows, _ = _status_by_priority(spark, d)
+    history = classify.objective_history(classify.fit_softmax(rows, c=1e9), spark)
+    return history.where("round = 0").select(F.round("train_loss", 6).alias("loss"))
+
+
+# Mirrored points inside the margin: the weights are the penalty times the sum of label times point.
+_MIRRORED = "x AS (SELECT abs(CAST(embedding[1] AS DOUBLE)) AS x FROM embeddings), s AS (SELECT sum(x) AS s, max(x) AS m FROM x)"
+
+
+def _mirrored(spark, d):
+    x = F.abs(F.col("embedding")[0].cast("double"))
+    return materialise(read_table(spark, d, "embeddings").select(x.alias("x")))
+
+
+@query(f"WITH {_MIRRORED} SELECT round(0.5e0 / m, 3) AS weight, 0e0 AS intercept FROM s")
+def svc_on_mirrored_points(spark, d):
+    """Linear classifier of one feature whose points all lie inside the margin."""
+    half = _mirrored(spark, d)
+    total, top = half.agg(F.sum("x"), F.max("x")).first()
+    both = half.select("x", F.lit(1.0).alias("label")).union(half.select(-F.col("x"), F.lit(0.0)))
+    model = classify.fit_linear_svc(materialise(prepare.assemble(both, ["x"])), 0.25 / (total * top))
+    return spark.createDataFrame([(round(float(model.coefficients[0]), 3), round(float(model.intercept), 3) + 0.0)], "weight double, intercept double")
+
+
+_CORNERS = {0: (-1, -1, 0), 1: (1, 0, -1), 2: (0, 1, 1)}
+_CORNER_ROWS = " UNION ALL ".join(
+    f"SELECT {low} AS low, {high} AS high, " + ", ".join(f"round(0.05e0 / m * {h - g}, 3) + 0e0 AS w{k}" for k, (g, h) in enumerate(zip(_CORNERS[low], _CORNERS[high]))) + " FROM s"
+    for low, high in _PAIRS
+)
+
+
+@query(f"WITH {_MIRRORED} SELECT CAST(low AS INTEGER) AS low, CAST(high AS INTEGER) AS high, w0, w1, w2 FROM ({_CORNER_ROWS})")
+def one_vs_one_on_mirrored_points(spark, d):
+    """Pairwise classifiers of three classes whose points all lie inside every margin."""
+    half = _mirrored(spark, d)
+    total, top = half.agg(F.sum("x"), F.max("x")).first()
+    axes = [F.array(*[F.lit(float(v)) for v in corner]) for corner in _CORNERS.values()]
+    rows = half.select("x", F.posexplode(F.array(*axes)).alias("class", "corner"))
+    rows = rows.select(F.col("class").cast("double").alias("label"), *[(F.col("corner")[k] * F.col("x")).alias(f"x{k}") for k in range(3)])
+    models = classify.fit_one_vs_one(materialise(prepare.assemble(rows, ["x0", "x1", "x2"])), c=0.05 / (total * top))
+    table = [(low, high, *(round(float(w), 3) + 0.0 for w in m.coefficients)) for (low, high), m in models.items()]
+    return spark.createDataFrame(table, "low int, high int, w0 double, w1 double, w2 double")
+
+
+@query("SELECT CAST(l_returnflag = 'R' AS INTEGER) AS returned, round(avg(l_quantity), 6) AS prediction FROM lineitem GROUP BY 1")
+def boosted_stump(spark, d):
+    """One boosting round of depth one on a binary feature: the means of the two groups."""
+    rows = read_table(spark, d, "lineitem").select((F.col("l_returnflag") == "R").cast("int").alias("returned"), F.col("l_quantity").alias("label"))
+    ready = materialise(prepare.assemble(rows, ["returned"]))
+    model, _ = regress.fit_boosted_mae(ready, ready, max_iter=1, depth=1)
+    return model.transform(ready).groupBy("returned").agg(F.round(F.first("prediction"), 6).alias("prediction"))
+
+
+_THIRDS = "SELECT CAST(label % 3 AS INTEGER) AS part, " + ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) + 100 * (label % 3 = {i % 3})::INTEGER AS x{i}" for i in range(64)) + " FROM embeddings"
+
+
+@query("SELECT part, CAST(count(*) AS BIGINT) AS n, " + ", ".join(f"round(avg(x{i}), 6) AS x{i}" for i in range(64)) + f" FROM ({_THIRDS}) GROUP BY part")
+def kmeans_far_groups(spark, d):
+    """Three groups far apart: k-means finds their means."""
+    part = F.pmod(F.col("label"), F.lit(3)).cast("int")
+    shifted = [(x + 100.0 * (part == i % 3).cast("int")).alias(f"x{i}") for i, x in enumerate(F.col("embedding")[i].cast("double") for i in range(64))]
+    names = [f"x{i}" for i in range(64)]
+    ready = materialise(prepare.assemble(read_table(spark, d, "embeddings").select(part.alias("part"), *shifted), names))
+    model = cluster.fit_kmeans(ready, 3, seed=SEED)
+    centres = spark.createDataFrame([(i, list(map(float, c))) for i, c in enumerate(model.clusterCenters())], "cluster int, centre array<double>")
+    found = model.transform(ready).groupBy("part", "cluster").agg(F.count("*").alias("n")).join(F.broadcast(centres), "cluster")
+    return found.select("part", "n", *[F.round(F.col("centre")[i], 6).alias(f"x{i}") for i in range(64)])
 
 
 @query("SELECT vec_id, round(0.25e0 + 1.5e0 * CAST(embedding[1] AS DOUBLE) - 2e0 * CAST(embedding[2] AS DOUBLE), 6) AS margin FROM embeddings")
@@ -477,17 +617,21 @@ def margin_grid(spark, d):
 # ---- clusters
 
 
+_CENTRES = [(0.1, 0.0, 0.0), (0.0, 0.1, 0.0), (0.0, 0.0, 0.1)]
+_CENTRE_ROWS = ", ".join(f"({i}, {a!r}e0, {b!r}e0, {c!r}e0)" for i, (a, b, c) in enumerate(_CENTRES))
+
+
 @query(
-    """WITH c AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS x0, CAST(embedding[2] AS DOUBLE) AS x1 FROM embeddings),
-    k AS (SELECT * FROM (VALUES (0, -0.1e0, 0e0), (1, 0.1e0, 0e0), (2, 0e0, 0.2e0)) v(i, a, b)),
-    n AS (SELECT vec_id, x0, x1, arg_min(i, {'d': (x0 - a) * (x0 - a) + (x1 - b) * (x1 - b), 'i': i}) AS cluster FROM c, k GROUP BY ALL)
-    SELECT CAST(cluster AS INTEGER) AS cluster, CAST(count(*) AS BIGINT) AS n, round(avg(x0), 6) AS centre_x0, round(avg(x1), 6) AS centre_x1 FROM n GROUP BY cluster"""
+    f"""WITH {_SIMILAR}, k AS (SELECT * FROM (VALUES {_CENTRE_ROWS}) v(i, a, b, c)),
+    n AS (SELECT vec_id, up, flat, down, arg_min(i, {{'d': (up - a) * (up - a) + (flat - b) * (flat - b) + (down - c) * (down - c), 'i': i}}) AS cluster FROM sims, k GROUP BY ALL)
+    SELECT CAST(cluster AS INTEGER) AS cluster, CAST(count(*) AS BIGINT) AS n, round(avg(up), 6) AS centre_up, round(avg(flat), 6) AS centre_flat, round(avg(down), 6) AS centre_down
+    FROM n GROUP BY cluster"""
 )
 def kmeans_step(spark, d):
-    """One refinement from three given centres."""
-    rows = read_table(spark, d, "embeddings").select("vec_id", *_dims(2))
-    step = cluster.lloyd_step(rows, ["x0", "x1"], [(-0.1, 0.0), (0.1, 0.0), (0.0, 0.2)])
-    return step.select("cluster", "n", F.round("centre_x0", 6).alias("centre_x0"), F.round("centre_x1", 6).alias("centre_x1"))
+    """One refinement of the three similarities from three given centres."""
+    columns = list(_ANCHOR_NAMES.values())
+    step = cluster.lloyd_step(_similar(spark, d), columns, _CENTRES)
+    return step.select("cluster", "n", *[F.round(f"centre_{c}", 6).alias(f"centre_{c}") for c in columns])
 
 
 @query()
@@ -495,7 +639,7 @@ def kmeans_score(spark, d):
     """Rows per ordered cluster number of the scaled anchor similarities."""
     columns = list(_ANCHOR_NAMES.values())
     similar = _similar(spark, d)
-    ready = prepare.assemble(prepare.fit_zscore(similar, columns).transform(similar), columns).persist()
+    ready = materialise(prepare.assemble(prepare.fit_zscore(similar, columns).transform(similar), columns))
     model = cluster.fit_kmeans(ready, 3, seed=SEED)
     return cluster.cluster_scores(ready, model, 0, 2).groupBy("score").agg(F.count("*").alias("n"))
 
@@ -503,23 +647,58 @@ def kmeans_score(spark, d):
 # ---- sweeps
 
 
-def _small_forecast_frame(spark, d):
-    rows = next_day.labelled_split(panel(spark, d), "series", "date", "cap", SEED)
-    columns = [*_FEATURES, "date_int"]
-    scaled = prepare.fit_zscore(rows.where("split = 'train'"), columns).transform(rows)
-    return prepare.assemble(scaled, columns).select("features", "label", "split")
+def _forecast_frame(spark, d, degree, scaling):
+    rows = materialise(next_day.labelled_split(panel(spark, d), "series", "date", "cap", SEED))
+    apply = next_day.feature_steps(rows.where("split = 'train'"), [*_FEATURES, "date_int"], degree, scaling)
+    return materialise(apply(rows).select("features", "label", "split"))
 
 
 @query()
 def degree_sweep(spark, d):
     """Forecast scores for degrees one to three."""
-    return sweeps.sweep_degree(_small_forecast_frame(spark, d), lambda t, f: regress.fit_ols(t, f))
+    return sweeps.sweep_degree(_forecast_frame(spark, d, 1, "zscore"), lambda t, f: regress.fit_ols(t, f))
 
 
 @query()
 def alpha_sweep(spark, d):
-    """Forecast scores for six absolute penalties."""
-    return sweeps.sweep_alpha(_small_forecast_frame(spark, d))
+    """Forecast scores for six absolute penalties on scaled degree-three terms."""
+    return sweeps.sweep_alpha(_forecast_frame(spark, d, 3, "minmax"))
+
+
+@query()
+def alpha_sweep_ridge(spark, d):
+    """The same for squared penalties."""
+    return sweeps.sweep_alpha(_forecast_frame(spark, d, 3, "minmax"), fit=regress.fit_ridge)
+
+
+@query(
+    f"""WITH {_MARKED}, t AS (SELECT *, o_custkey % 3 AS x FROM m),
+    f AS (SELECT regr_slope(o_totalprice, x) AS b, regr_intercept(o_totalprice, x) AS a FROM t WHERE split = 'train'),
+    g AS (SELECT x, avg(o_totalprice) AS mean FROM t WHERE split = 'train' GROUP BY x),
+    s AS (SELECT split, 1 - sum((o_totalprice - a - b * x) ** 2) / (var_pop(o_totalprice) * count(*)) AS one,
+      1 - sum((o_totalprice - mean) ** 2) / (var_pop(o_totalprice) * count(*)) AS two FROM t JOIN g USING (x), f GROUP BY split)
+    SELECT CAST(1 AS INTEGER) AS degree, round(max(one) FILTER (split = 'train'), 6) + 0e0 AS train_score, round(max(one) FILTER (split = 'test'), 6) + 0e0 AS test_score FROM s
+    UNION ALL SELECT CAST(2 AS INTEGER), round(max(two) FILTER (split = 'train'), 6) + 0e0, round(max(two) FILTER (split = 'test'), 6) + 0e0 FROM s"""
+)
+def degree_sweep_of_three_values(spark, d):
+    """A feature of three values: a line, and at degree two the mean of each value."""
+    rows = _split_orders(spark, d).select((F.col("o_custkey") % 3).cast("double").alias("x"), F.col("o_totalprice").alias("label"), "split")
+    table = sweeps.sweep_degree(materialise(prepare.assemble(rows, ["x"])), lambda t, f: regress.fit_ols(t, f), (1, 2))
+    return table.withColumns({c: F.round(c, 6) + F.lit(0.0) for c in ("train_score", "test_score")})
+
+
+@query(
+    f"""WITH {_MARKED}, t AS (SELECT *, o_custkey % 2 AS x, CAST(o_totalprice > 150000 + 40000 * (o_custkey % 2) AS INTEGER) AS y FROM m),
+    g AS (SELECT x, CAST(avg(y) > 0.5e0 AS INTEGER) AS p FROM t WHERE split = 'train' GROUP BY x),
+    s AS (SELECT split, avg(CAST(y = p AS INTEGER)) AS a FROM t JOIN g USING (x) GROUP BY split)
+    SELECT CAST(1 AS INTEGER) AS max_depth, CAST(1 AS INTEGER) AS min_leaf, round(max(a) FILTER (split = 'train'), 6) AS train_score, round(max(a) FILTER (split = 'test'), 6) AS test_score FROM s"""
+)
+def tree_sweep_of_two_values(spark, d):
+    """A tree of depth one on a binary feature: the majority of each value."""
+    odd = F.col("o_custkey") % 2
+    rows = _split_orders(spark, d).select(odd.cast("double").alias("x"), (F.col("o_totalprice") > 150000 + 40000 * odd).cast("double").alias("label"), "split")
+    table = sweeps.sweep_tree(materialise(prepare.assemble(rows, ["x"])), (1,), (1,))
+    return table.withColumns({c: F.round(c, 6) for c in ("train_score", "test_score")})
 
 
 @query(
@@ -569,14 +748,34 @@ def imputed_scores(spark, d):
     return news_score.impute_scores(table, scores, ["series", "date"], "date", ["cap", *_FEATURES], ["score"], SEED)
 
 
+_THREE = f"""three AS (SELECT date, avg(n_chars) AS up, CASE WHEN day(date) % 4 <> 0 THEN avg(doc_id) END AS flat, avg(length(source)) AS down FROM dated GROUP BY date),
+  known AS (SELECT series, panel.date AS date, {_DATE_INT.replace("date", "panel.date")} AS x, up, flat, down FROM panel LEFT JOIN three ON three.date = panel.date)"""
+
+
+def _target_fit(target):
+    ranked = f"row_number() OVER (ORDER BY md5(series || '|' || date || '|{SEED}')) > ceil(count(*) OVER () * 0.25e0)"
+    return f"fit_{target} AS (SELECT regr_slope({target}, x) AS b, regr_intercept({target}, x) AS a FROM (SELECT *, {ranked} AS train FROM known WHERE {target} IS NOT NULL) WHERE train)"
+
+
+@query(
+    f"WITH {PANEL}, {DATED}, {_THREE}, {', '.join(map(_target_fit, ['up', 'flat', 'down']))} SELECT series, date, "
+    + ", ".join(f"round(coalesce({t}, fit_{t}.a + fit_{t}.b * x), 3) AS {t}" for t in ("up", "flat", "down"))
+    + " FROM known, fit_up, fit_flat, fit_down"
+)
+def three_scores_filled_by_trend(spark, d):
+    """Three daily scores, one with gaps of its own, each filled from the date where it is missing."""
+    docs = dated_documents(spark, d)
+    scores = docs.groupBy("date").agg(F.avg("n_chars").alias("up"), F.avg("doc_id").alias("flat"), F.avg(F.length("source")).alias("down"))
+    scores = scores.withColumn("flat", F.when(F.dayofmonth("date") % 4 != 0, F.col("flat")))
+    table = materialise(panel(spark, d).select("series", "date"))
+    filled = news_score.impute_scores(table, materialise(scores), ["series", "date"], "date", [], ["up", "flat", "down"], SEED)
+    return filled.select("series", "date", *[F.round(c, 3).alias(c) for c in ("up", "flat", "down")])
+
+
 def _document_scores(spark, d):
-    docs = dated_documents(spark, d).select("doc_id", "date", "text")
-    corpus = materialise(news_score.clean_corpus(docs, "doc_id", "text", _right_parts(spark)))
-    vocabulary = news_score.corpus_vocabulary(corpus)
-    words = materialise(news_score.corpus_in_vocabulary(corpus, vocabulary, "doc_id", normalize=True))
-    names = [r["term"] for r in vocabulary.orderBy("df", "term").limit(3).collect()]
-    anchors = dict(zip(names, ["up", "flat", "down"]))
-    similar = news_score.similarity_table(words, "doc_id", anchors, size=50)
+    docs = spread(dated_documents(spark, d).select("doc_id", "date", "text"))
+    folder = scratch_path(spark, "news")
+    similar = news_score.corpus_stages(spark, folder, docs, "doc_id", "text", _right_parts(spark), anchors=None)
     return similar.join(docs.select("doc_id", "date"), "doc_id")
 
 
@@ -593,9 +792,20 @@ def score_by_similarity(spark, d):
     return news_score.impute_scores(materialise(panel(spark, d)), scores, ["series", "date"], "date", ["cap", *_FEATURES], ["up", "flat", "down"], SEED)
 
 
+def _forecast_with(spark, d, table, scores):
+    table = materialise(table.withColumn("cap", F.col("cap") / 1e6))
+    return _score_rows(next_day.run_boosted(table, "series", "date", "cap", [*_FEATURES, *scores], SEED)[0])
+
+
 @query()
 def forecast_with_scores(spark, d):
     """Next-day forecast on the panel and the three filled scores."""
-    table = materialise(score_by_similarity(spark, d).withColumn("cap", F.col("cap") / 1e6))
-    run = next_day.run_boosted(table, "series", "date", "cap", [*_FEATURES, "up", "flat", "down"], SEED, max_iter=8, patience=3)[0]
-    return _score_rows(run)
+    return _forecast_with(spark, d, score_by_similarity(spark, d), ["up", "flat", "down"])
+
+
+@query()
+def forecast_with_cluster_score(spark, d):
+    """Next-day forecast on the panel and the filled score of the clusters, on every day of the panel."""
+    table, scores = materialise(panel(spark, d)), materialise(score_by_cluster(spark, d))
+    filled = news_score.impute_scores(table, scores, ["series", "date"], "date", ["cap", *_FEATURES], ["score"], SEED)
+    return _forecast_with(spark, d, filled, ["score"])

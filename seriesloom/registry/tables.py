@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from seriesloom.functions import dates, hangul, numeric, text
-from seriesloom.operators import prepare, profile, relational, series
+from seriesloom.operators import prepare, profile, relational, series, vectors
 from seriesloom.registry.base import DATED, PANEL, SCORED, SPACES, daily_score, dated_documents, panel, query
 from seriesloom.session import scratch_path
 from seriesloom.sources import readers, schemas, store
@@ -26,7 +26,7 @@ def csv_scan(spark, d):
 
 @query("SELECT c_custkey, c_nationkey, c_acctbal FROM customer WHERE c_mktsegment = 'BUILDING'")
 def table_scan(spark, d):
-    """Columnar scan: two filters and three columns reach the file reader."""
+    """Columnar scan: the filter and three columns reach the file reader."""
     return read_table(spark, d, "customer").where("c_mktsegment = 'BUILDING'").select("c_custkey", "c_nationkey", "c_acctbal")
 
 
@@ -63,9 +63,9 @@ def append_new_rows(spark, d):
 
 @query("SELECT doc_id, source, n_chars FROM documents")
 def stream_ingest(spark, d):
-    """Documents arriving as a file stream, stored once although the stream runs twice."""
-    path, checkpoint = scratch_path(spark, "store"), scratch_path(spark, "offsets")
-    for _ in range(2):
+    """Documents arriving as a file stream, stored once although two streams run twice each."""
+    path = scratch_path(spark, "store")
+    for checkpoint in [scratch_path(spark, "offsets") for _ in range(2)] * 2:
         run = ingest.ingest_articles(
             spark, d, path, checkpoint, schemas.TABLES["documents"], key="doc_id", glob="documents.parquet",
             prepare=lambda rows: rows.select("doc_id", "source", "n_chars"),
@@ -204,9 +204,9 @@ _BATCHES = """days AS (SELECT DISTINCT c_nationkey AS series, CAST(o_orderdate A
 
 @query(f"WITH {_BATCHES} SELECT series, start_date, end_date, r_name AS press FROM batches, region")
 def fetch_plan(spark, d):
-    """Each date batch once per name of a fixed list."""
+    """Each date batch once per region name."""
     batches = series.consecutive_batches(panel(spark, d), "series", "date").drop("n_days")
-    return relational.every_pairing(batches, ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"], "press")
+    return relational.every_pairing(batches, read_table(spark, d, "region").select("r_name"), "press")
 
 
 @query("SELECT doc_id, source, CASE WHEN CAST(substr(source, 4) AS INTEGER) < 12 THEN CAST(substr(source, 4) AS INTEGER) END AS press_index FROM documents")
@@ -431,9 +431,10 @@ def log_and_round(spark, d):
 
 
 @query(
-    "SELECT label, " + ", ".join(f"round(avg(embedding[{i + 1}]), 6) AS m{i}" for i in range(3)) + " FROM embeddings GROUP BY label"
+    """SELECT label, CAST(i - 1 AS INTEGER) AS position, round(avg(CAST(x AS DOUBLE)), 6) AS mean FROM
+    (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY label, i"""
 )
 def element_means(spark, d):
-    """Element-wise mean of an array per class."""
-    v = F.col("embedding")
-    return read_table(spark, d, "embeddings").groupBy("label").agg(*[F.round(F.avg(v[i]), 6).alias(f"m{i}") for i in range(3)])
+    """Mean of every element of an array per class."""
+    means = vectors.element_means(read_table(spark, d, "embeddings"), "label", "embedding")
+    return means.withColumn("mean", F.round("mean", 6))

@@ -7,16 +7,16 @@ from pyspark.sql import functions as F
 from seriesloom.functions.text import join_words, spaced_tokens
 from seriesloom.operators import pages, profile, relational, tfidf, vectors, wordstats
 from seriesloom.plans import news_score
+from seriesloom.plans.articles import collect_articles
 from seriesloom.registry.base import SPACES, query
-from seriesloom.session import materialise, scratch_path
+from seriesloom.session import materialise, scratch_path, spread
 from seriesloom.sources import store
 from seriesloom.sources.readers import read_table
 
 # ---- pages
 
-_UNESCAPE_SQL = "{}"
-for _entity, _char in pages.ENTITIES.items():
-    _UNESCAPE_SQL = "replace(" + _UNESCAPE_SQL + f", '{_entity}', '{_char.replace(chr(39), chr(39) * 2)}')"
+# The references that the driver's pages hold.
+_UNESCAPE_SQL = """replace(replace(replace(replace({}, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&')"""
 
 _STRIP_SQL = (
     r"trim(regexp_replace("
@@ -37,18 +37,93 @@ def article_bodies(spark, d):
     """Body text by the rules of five publishers, each ending in the plain article container."""
     rules = {i: (*chain, pages.BodyRule("article")) for i, chain in pages.BODY_RULES.items()}
     publisher = F.pmod(F.col("page_id"), F.lit(len(rules)))
-    found = pages.article_bodies(read_table(spark, d, "pages"), "html", rules, publisher)
+    found = pages.article_bodies(_pages(spark, d), "html", rules, publisher)
     return found.select("page_id", "section")
 
 
-_FRENCH = _STRIP_SQL.replace("{}", r"""regexp_extract(html, '(?is)<html\b[^>]*\blang="fr"[^>]*>(.*)', 1)""")
+# Every page's headline in the container of one of the publishers; the last kind has none.
+_HEADLINE = r"regexp_extract({}, '(?is)<h1\b[^>]*>(.*?)</h1>', 1)"
+_CONTAINERS = [
+    (0, '<article class="story-news article"><p>', "</p><i>no</i><p>tail</p></article>", "{} || ' tail'"),
+    (0, '<div class="x article-txt y"><p>', "</p></div>", "{}"),
+    (0, '<div data-id="articleBody">no</div><div id="articleBody">', "<b>!</b></div>", "{} || '!'"),
+    (0, "<div class='end_body_wrp'>", "</div>", "{}"),
+    (1, '<section class="article-body"><p>', "</p></section>", "{}"),
+    (2, '<div class="detail-body">', '<div>in</div></div><div class="detail-body">two</div>', "{} || ' in two'"),
+    (3, '<div class="text_area">', "</div>", "{}"),
+    (4, '<p class="content_text">SUB_TITLE_START', '</p><p>no</p><p class="content_text">ySUB_TITLE_END</p>', "{} || ' y'"),
+    (2, '<div class="my-detail-body" data-class="detail-body">', "</div>", "NULL"),
+]
+_TITLE_TEXT = f"trim(regexp_replace({_UNESCAPE_SQL.format(_HEADLINE.format('html'))}, '{SPACES}', ' ', 'g'))"
+_SECTION = f"CASE page_id % {len(_CONTAINERS)} " + " ".join(f"WHEN {i} THEN {c[3].format(_TITLE_TEXT)}" for i, c in enumerate(_CONTAINERS)) + " END"
+_PRESS = f"CASE page_id % {len(_CONTAINERS)} " + " ".join(f"WHEN {i} THEN '{pages.PUBLISHERS[c[0]]}'" for i, c in enumerate(_CONTAINERS)) + " END"
+_ITEM = f"""CAST('2021.09.' || lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0') || '.' AS VARCHAR) AS date, 'http://news/' || page_id || '?a=1&b=2' AS url,
+    {_PRESS} AS press, 'T "' || page_id || '"' AS title"""
+
+
+def _kind():
+    return F.pmod(F.col("page_id"), F.lit(len(_CONTAINERS))).cast("int")
+
+
+def _publisher_pages(spark, d):
+    """``(page_id, url, press_index, html)``: each driver page's headline as one publisher would have it."""
+    headline = F.regexp_extract("html", r"(?is)<h1\b[^>]*>(.*?)</h1>", 1)
+    before, after = (F.get(F.array(*[F.lit(c[i]) for c in _CONTAINERS]), _kind()) for i in (1, 2))
+    press = F.get(F.array(*[F.lit(c[0]) for c in _CONTAINERS]), _kind())
+    url = F.concat(F.lit("http://news/"), "page_id", F.lit("?a=1&b=2"))
+    return _pages(spark, d).select("page_id", url.alias("url"), press.alias("press_index"), F.concat(before, headline, after).alias("html"))
+
+
+def _listings(spark, d):
+    """Search pages of ten results each."""
+    press = F.get(F.array(*[F.lit(pages.PUBLISHERS[c[0]]) for c in _CONTAINERS]), _kind())
+    day = F.lpad((F.col("page_id") % 28 + 1).cast("string"), 2, "0")
+    item = F.concat(
+        F.lit('<li class="bx" id="sp_nws'), "page_id", F.lit('"><div class="news_wrap"><div class="news_area"><div class="news_info"><div class="info_group"><a class="info press"><span>i</span>'),
+        press, F.lit('</a><span class="info">A1</span><span class="info">2021.09.'), day,
+        F.lit('.</span></div></div><ul class="more"><li>other</li></ul><a href="http://news/'), "page_id", F.lit('?a=1&amp;b=2" class="news_tit" title="T &quot;'),
+        "page_id", F.lit('&quot;">t</a></div></div></li>'),
+    )
+    rows = _pages(spark, d).select("page_id", F.floor(F.col("page_id") / 10).alias("list"), item.alias("item"))
+    listed = rows.groupBy("list").agg(F.sort_array(F.collect_list(F.struct("page_id", "item")))["item"].alias("items"))
+    html = F.concat(F.lit("<ul><li>menu</li></ul><ul class='type list_news'>"), F.array_join("items", ""), F.lit("</ul><ul><li>end</li></ul>"))
+    return listed.select(F.col("list").alias("page_id"), html.alias("html"))
+
+
+@query(f"SELECT page_id, {_SECTION} AS section FROM pages")
+def publisher_bodies(spark, d):
+    """Body text by the rules of all five publishers, null where no rule fits."""
+    found = pages.article_bodies(_publisher_pages(spark, d), "html", pages.BODY_RULES, F.col("press_index"))
+    return found.select("page_id", "section")
 
 
-@query(f"SELECT page_id, {_FRENCH} AS section FROM pages WHERE {_FRENCH} <> ''")
+@query(f"SELECT page_id, section FROM (SELECT page_id, {_SECTION} AS section FROM pages) WHERE section IS NOT NULL AND section <> ''")
 def articles_with_body(spark, d):
-    """Pages that give a body by a rule only the French ones satisfy."""
-    body = pages.extract_body(F.col("html"), [pages.BodyRule("html", "lang", "fr")])
-    return pages.with_body(read_table(spark, d, "pages").select("page_id", body.alias("section")))
+    """Pages that give a body by the rules of their publisher."""
+    found = pages.article_bodies(_publisher_pages(spark, d), "html", pages.BODY_RULES, F.col("press_index"))
+    return pages.with_body(found.select("page_id", "section"))
+
+
+@query(f"SELECT page_id // 10 AS page_id, CAST(row_number() OVER (PARTITION BY page_id // 10 ORDER BY page_id) - 1 AS INTEGER) AS position, {_ITEM} FROM pages")
+def news_items(spark, d):
+    """Every result of stored search pages."""
+    return pages.news_items(_listings(spark, d), ["page_id"])
+
+
+@query(f"SELECT {_ITEM}, {_SECTION} AS section FROM pages WHERE {_SECTION} <> ''")
+def article_job(spark, d):
+    """Search pages to the article table, run twice: the second run adds nothing."""
+    path = scratch_path(spark, "articles")
+    found = _publisher_pages(spark, d)
+    # The second publisher's own page only names the page that holds the article.
+    link = F.concat(F.lit('<link rel="amphtml" href="'), F.replace(F.concat("url", F.lit("&amp=1")), F.lit("&"), F.lit("&amp;")), F.lit('">'))
+    second = F.col("press_index") == pages.ALTERNATE_PUBLISHER
+    own = found.select((F.col("page_id") * 2).alias("page_id"), "url", F.when(second, link).otherwise(F.col("html")).alias("html"))
+    alternate = found.where(second).select((F.col("page_id") * 2 + 1).alias("page_id"), F.concat("url", F.lit("&amp=1")).alias("url"), "html")
+    stored, listed = materialise(own.union(alternate)), materialise(_listings(spark, d))
+    for _ in range(2):
+        collect_articles(spark, listed, stored, path)
+    return spark.read.parquet(path)
 
 
 @query(
@@ -61,7 +136,7 @@ def articles_with_body(spark, d):
 def list_items(spark, d):
     """One row per list entry of every page."""
     fields = {"url": 'href="([^"]*)"', "title": ">([^<]*)</a>"}
-    return pages.items(read_table(spark, d, "pages"), ["page_id"], "html", r"(?is)<li><a\b.*?</li>", fields)
+    return pages.items(_pages(spark, d), ["page_id"], "html", r"(?is)<li><a\b.*?</li>", fields)
 
 
 @query(
@@ -76,7 +151,7 @@ def alternate_page(spark, d):
     address = F.replace(F.col("to_url"), F.lit("&"), F.lit("&amp;"))
     link = F.concat(F.lit('<link rel="amphtml" href="'), address, F.lit('">'))
     html = F.concat(link, F.col("html"))
-    followed = pages.follow_alternate(linked.select("page_id", "url", html.alias("html")))
+    followed = pages.follow_alternate(materialise(linked.select("page_id", "url", html.alias("html"))))
     length = F.length("alternate_html") - F.length(F.regexp_extract("alternate_html", "^<link[^>]*>", 0))
     return followed.select("page_id", "alternate_url", length.alias("n_chars"))
 
@@ -88,7 +163,7 @@ _TOKENS = f"""tok AS (SELECT doc_id, generate_subscripts(words, 1) AS pos, unnes
 _COUNTS = f"{_TOKENS}, counts AS (SELECT token, CAST(count(*) AS BIGINT) AS n FROM tok GROUP BY 1)"
 _COHESION = """cohesion AS (SELECT prefix AS token, CAST(freq AS BIGINT) AS freq, pow(freq / first_n, 1e0 / (length(prefix) - 1)) AS score
     FROM (SELECT substr(token, 1, k) AS prefix, sum(n) AS freq FROM
-            (SELECT token, n, unnest(range(2, least(length(token), 10) + 1)) AS k FROM counts) GROUP BY 1) p
+            (SELECT token, n, unnest(range(2, length(token) + 1)) AS k FROM counts) GROUP BY 1) p
     JOIN (SELECT substr(token, 1, 1) AS f, sum(n) AS first_n FROM counts GROUP BY 1) c ON c.f = substr(p.prefix, 1, 1)
     WHERE freq >= 100 AND pow(freq / first_n, 1e0 / (length(prefix) - 1)) >= 0.05)"""
 
@@ -101,8 +176,8 @@ _RIGHT = "right_parts(r, polarity) AS (VALUES " + ", ".join(f"('{r}', {p})" for
 _NOUNS = f"""{_RIGHT}, nouns AS (SELECT token, CAST(pos AS BIGINT) AS pos, CAST(neg AS BIGINT) AS neg, (pos - neg) / (pos + neg) AS score FROM
     (SELECT l AS token, sum(CASE WHEN polarity > 0 THEN n ELSE 0 END) AS pos, sum(CASE WHEN polarity < 0 THEN n ELSE 0 END) AS neg FROM
       (SELECT substr(token, 1, k) AS l, substr(token, k + 1) AS r, n FROM
-        (SELECT token, n, unnest(range(1, least(length(token), 10) + 1)) AS k FROM counts)) s
-      JOIN right_parts USING (r) WHERE length(r) <= 9 GROUP BY 1) WHERE (pos - neg) / (pos + neg) >= 0.3)"""
+        (SELECT token, n, unnest(range(1, length(token) + 1)) AS k FROM counts)) s
+      JOIN right_parts USING (r) GROUP BY 1) WHERE (pos - neg) / (pos + neg) >= 0.3)"""
 _COMBINED = """combined AS (SELECT token, CASE WHEN nouns.score IS NOT NULL THEN nouns.score + coalesce(cohesion.score, 0) ELSE cohesion.score END AS score
     FROM nouns FULL JOIN cohesion USING (token))"""
 _LEFTS = """lefts AS (SELECT token, arg_max(prefix, {'s': coalesce(score, 0e0), 'l': length(prefix)}) AS lft FROM
@@ -113,7 +188,11 @@ _LEFTS = """lefts AS (SELECT token, arg_max(prefix, {'s': coalesce(score, 0e0),
 
 
 def _docs(spark, d):
-    return read_table(spark, d, "documents").select("doc_id", "text")
+    return spread(read_table(spark, d, "documents").select("doc_id", "text"))
+
+
+def _pages(spark, d):
+    return spread(read_table(spark, d, "pages"))
 
 
 def _counts(spark, d):
@@ -138,13 +217,15 @@ def word_cohesion(spark, d):
 
 @query(
     f"""WITH {_COUNTS}, nexts AS (SELECT substr(token, 1, k) AS token, substr(token, k + 1, 1) AS nx, sum(n) AS c FROM
-      (SELECT token, n, unnest(range(1, least(length(token) - 1, 10) + 1)) AS k FROM counts) GROUP BY 1, 2),
-    p AS (SELECT *, c / sum(c) OVER (PARTITION BY token) AS share FROM nexts)
-    SELECT token, CAST(sum(c) AS BIGINT) AS freq, CAST(count(*) AS BIGINT) AS n_next, round(0e0 - sum(share * ln(share)), 6) AS entropy FROM p GROUP BY 1"""
+      (SELECT token, n, unnest(range(1, length(token))) AS k FROM counts) GROUP BY 1, 2),
+    p AS (SELECT *, c / sum(c) OVER (PARTITION BY token) AS share FROM nexts),
+    whole AS (SELECT token, sum(n) AS n FROM counts GROUP BY 1)
+    SELECT token, CAST(sum(c) AS BIGINT) AS freq, CAST(count(*) AS BIGINT) AS n_next, round(0e0 - sum(share * ln(share)), 6) AS entropy
+    FROM p LEFT JOIN whole USING (token) GROUP BY 1 HAVING sum(c) + coalesce(max(n), 0) >= 100"""
 )
 def right_branching_entropy(spark, d):
     """Entropy of the next character of every prefix."""
-    return wordstats.right_branching_entropy(_counts(spark, d)).withColumn("entropy", F.round("entropy", 6))
+    return wordstats.right_branching_entropy(materialise(_counts(spark, d))).withColumn("entropy", F.round("entropy", 6))
 
 
 @query(
@@ -277,6 +358,26 @@ def vocabulary_words_lowered(spark, d):
     return kept.select("doc_id", join_words(F.col("words")).alias("words"))
 
 
+@query(
+    f"""WITH {_TERMS}, top AS (SELECT term, idf FROM vocab ORDER BY total DESC, term LIMIT 2),
+    w AS (SELECT doc_id, term, (1 + ln(tf)) * idf AS w FROM tf JOIN top USING (term)),
+    x AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS x FROM w),
+    n AS (SELECT min(term) AS t0, max(term) AS t1 FROM top),
+    g AS (SELECT sum(p * p) AS a, sum(p * q) AS b, sum(q * q) AS c FROM
+      (SELECT doc_id, coalesce(max(x) FILTER (term = t0), 0) AS p, coalesce(max(x) FILTER (term = t1), 0) AS q FROM x, n GROUP BY doc_id)),
+    e AS (SELECT *, (a + c) / 2 + sqrt((a - c) ** 2 / 4 + b * b) AS l0, (a + c) / 2 - sqrt((a - c) ** 2 / 4 + b * b) AS l1 FROM g),
+    v AS (SELECT *, b / sqrt(b * b + (l0 - a) ** 2) AS u0, (l0 - a) / sqrt(b * b + (l0 - a) ** 2) AS u1 FROM e),
+    s AS (SELECT *, sign(CASE WHEN abs(u0) >= abs(u1) THEN u0 ELSE u1 END) AS s0, sign(CASE WHEN abs(u1) > abs(u0) THEN -u1 ELSE u0 END) AS s1 FROM v)
+    SELECT t0 AS term, round(u0 * s0 * sqrt(l0), 6) AS axis1, round(CASE WHEN abs(u1) >= abs(u0) THEN abs(u1) ELSE -u1 * sign(u0) END * sqrt(l1), 6) AS axis2 FROM s, n
+    UNION ALL SELECT t1, round(u1 * s0 * sqrt(l0), 6), round(CASE WHEN abs(u0) > abs(u1) THEN abs(u0) ELSE -u0 * sign(u1) END * sqrt(l1), 6) FROM s, n"""
+)
+def term_map_of_two(spark, d):
+    """The two top terms on their axes, which two-by-two eigenvectors give."""
+    vocabulary = materialise(_vocabulary(spark, d, max_features=2))
+    points = tfidf.term_map(tfidf.transform_tfidf(_docs(spark, d), vocabulary, "doc_id"), vocabulary, "doc_id")
+    return points.select("term", F.round("axis1", 6).alias("axis1"), F.round("axis2", 6).alias("axis2"))
+
+
 @query()
 def term_map(spark, d):
     """The 100 top terms on the two main axes of the document-term matrix."""
@@ -287,6 +388,7 @@ def term_map(spark, d):
 
 # ---- vectors
 
+WIDTH = 200
 _CENTROIDS = """cent AS (SELECT label, list(m ORDER BY i) AS v FROM (SELECT label, i, avg(CAST(x AS DOUBLE)) AS m FROM
     (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY 1, 2) GROUP BY label)"""
 _ANCHOR_NAMES = {"0": "up", "1": "flat", "2": "down"}
@@ -310,16 +412,16 @@ def anchor_similarity(spark, d):
 
 @query(
     f"""WITH {_COUNTS}, {_SIMILAR}, nv AS (SELECT count(*) AS n FROM embeddings),
-    ws AS (SELECT token, up, flat, down FROM (SELECT token, (unicode(token) * 31 + length(token)) % nv.n AS vec_id FROM counts, nv WHERE length(token) > 3) JOIN sims USING (vec_id))
+    ws AS (SELECT token, up, flat, down FROM (SELECT token, CAST(('0x' || substr(md5(token), 1, 8)) AS BIGINT) % nv.n AS vec_id FROM counts, nv WHERE counts.n >= 2) JOIN sims USING (vec_id))
     SELECT doc_id, round(avg(up), 6) AS up, round(avg(flat), 6) AS flat, round(avg(down), 6) AS down, round(count(ws.token) / count(*), 6) AS coverage
     FROM tok LEFT JOIN ws USING (token) GROUP BY doc_id"""
 )
 def document_similarity(spark, d):
-    """Mean similarity of each document's words; short words have no vector and lower the coverage."""
+    """Mean similarity of each document's words; words seen once have no vector and lower the coverage."""
     similar = _similar(spark, d)
     n = read_table(spark, d, "embeddings").agg(F.count("*").alias("n")).scalar()
-    words = _counts(spark, d).where(F.length("token") > 3)
-    words = words.select(F.col("token").alias("word"), ((F.ascii("token") * 31 + F.length("token")) % n).alias("vec_id"))
+    number = F.conv(F.substring(F.md5(F.col("token").cast("binary")), 1, 8), 16, 10).cast("long")
+    words = _counts(spark, d).where("n >= 2").select(F.col("token").alias("word"), (number % n).alias("vec_id"))
     word_scores = materialise(words.join(similar, "vec_id").drop("vec_id"))
     corpus = _docs(spark, d).select("doc_id", spaced_tokens(F.col("text")).alias("words"))
     scores = list(_ANCHOR_NAMES.values())
@@ -342,8 +444,8 @@ def vector_overlay(spark, d):
 
 def _trained(spark, d):
     vocabulary = materialise(_vocabulary(spark, d))
-    corpus = tfidf.checked_corpus(_docs(spark, d), vocabulary, "doc_id", normalize=True).persist()
-    return vectors.train_word_vectors(corpus, size=200, partitions=4)
+    corpus = materialise(tfidf.checked_corpus(_docs(spark, d), vocabulary, "doc_id", normalize=True))
+    return vectors.train_word_vectors(corpus, size=WIDTH)
 
 
 @query()
@@ -354,7 +456,7 @@ def word_vectors(spark, d):
 
 @query(
     f"""WITH {_TERMS}, w AS (SELECT DISTINCT unnest(string_split(lower(text), ' ')) AS word FROM documents)
-    SELECT word, CAST(200 AS INTEGER) AS size, CAST(200 AS INTEGER) AS model_size FROM w WHERE word IN (SELECT term FROM vocab)"""
+    SELECT word, CAST({WIDTH} AS INTEGER) AS size, CAST({WIDTH} AS INTEGER) AS model_size FROM w WHERE word IN (SELECT term FROM vocab)"""
 )
 def word_vector_store(spark, d):
     """Vectors saved and loaded again: every word of the corpus, with the size of its vector."""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +12,6 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -28,22 +26,18 @@ def build_session(app: str = "seriesloom", master: str | None = None, **conf: st
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
+    """The folder the cluster names in ``spark.checkpoint.dir``, which every executor reaches.
 
-    Only a local session without the setting gets a folder of its own; a cluster session must name
-    one that every executor reaches.
+    A session without the setting must have been given a checkpoint folder otherwise.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(named)
-        return named.rstrip("/")
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="seriesloom-"))
-    return context.getCheckpointDir().rstrip("/")
+    if named and context.getCheckpointDir() is None:
+        context.setCheckpointDir(named)
+    folder = named or context.getCheckpointDir()
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -52,24 +46,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Compute once and cut the lineage with a reliable checkpoint.
+    """Compute once, keep as Parquet in the shared folder and read from there.
 
-    For results that are read several times by later steps (token counts, vocabularies, panels); the
-    files live in the shared folder, so a lost executor costs a re-read and not a recompute.
+    For results that are read several times by later steps (token counts, vocabularies, panels). The
+    lineage ends at the files: a lost executor costs a re-read and not a recompute, and a later step
+    reads the columns it needs. The files stay until the owner of the folder clears it.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-SPLIT_BYTES = 128 * 1024 * 1024
+    path = scratch_path(df.sparkSession, "kept")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows of a small input over all cores, before work that is heavy per row.
+    """Rows of an input of few splits over all cores, for a caller whose work is heavy per row.
 
-    A table of few, large row groups is read by few tasks. When the input would fill fewer splits than
-    there are cores its rows are dealt out; a large input is already spread and stays as it is.
+    A table of few, large row groups is read by few tasks. The rows are dealt out when the input has
+    fewer partitions than half the cores; operators never do this by themselves.
     """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if size // SPLIT_BYTES < cores // 2 else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores // 2 else df

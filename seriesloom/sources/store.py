@@ -9,6 +9,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seriesloom.operators.lookup import sized
+
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
     """Write Parquet. With partition columns, rows of one value go to few files."""
@@ -18,10 +20,15 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode
     writer.parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at ``path``, in whatever store it names."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def is_stored(spark: SparkSession, path: str) -> bool:
     """Whether a finished table lies at ``path`` (its ``_SUCCESS`` marker exists)."""
-    marker = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+    return exists(spark, f"{path}/_SUCCESS")
 
 
 def read_or_build(
@@ -39,12 +46,13 @@ def read_or_build(
 def only_new(batch: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     """Rows of the batch, one per key, whose key is not stored yet.
 
-    The stored side gives its key column alone, cut to keys of the batch before it meets the batch:
-    what moves is bounded by the batch and not by the store.
+    The stored side gives its key column alone. When the batch's keys are small enough to broadcast,
+    measured, they cut the stored keys where those are read, and what moves is bounded by the batch;
+    a larger batch meets them in a shuffle join. ``batch`` is read three times: persist it.
     """
     first = batch.dropDuplicates([key])
-    known = stored.select(key).join(first.select(key), key, "left_semi")
-    return first.join(known, key, "left_anti")
+    known = stored.select(key).join(sized(first.select(key)), key, "left_semi")
+    return first.join(known.distinct(), key, "left_anti")
 
 
 def append_new(spark: SparkSession, batch: DataFrame, path: str, key: str) -> None:

@@ -50,13 +50,41 @@ def test_news_list(spark):
 
 
 def test_follow_alternate(spark):
-    rows = [("a", '<link rel="amphtml" href="b">'), ("b", "body"), ("c", "<link href='gone' rel='amphtml'>"), ("d", '<link rel="canonical" href="b">')]
-    got = pages.follow_alternate(spark.createDataFrame(rows, "url string, html string")).collect()
-    assert sorted((r["url"], r["alternate_url"], r["alternate_html"]) for r in got) == [
-        ("a", "b", "body"), ("b", None, None), ("c", "gone", None), ("d", None, None)
+    rows = [("a", '<link rel="amphtml" href="b">'), ("b", "old"), ("b", "body"), ("c", "<link href='gone' rel='amphtml'>"), ("d", '<link rel="canonical" href="b">'), (None, "x")]
+    got = pages.follow_alternate(spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id int, url string, html string")).collect()
+    assert sorted((r["page_id"], r["url"], r["alternate_url"], r["alternate_html"]) for r in got) == [
+        (0, "a", "b", "body"), (1, "b", None, None), (2, "b", None, None), (3, "c", "gone", None), (4, "d", None, None), (5, None, None, None)
     ]
 
 
+def test_class_and_id_are_whole_words(spark):
+    assert body(spark, '<div class="my-article-txt"><p>no</p></div>', BODY_RULES[0]) is None
+    assert body(spark, '<div data-class="detail-body">no</div>', BODY_RULES[2]) is None
+    assert body(spark, '<div data-id="articleBody">no</div>', BODY_RULES[0]) is None
+    assert body(spark, '<div-x class="detail-body">no</div-x>', BODY_RULES[2]) is None
+    assert body(spark, '<div title="t" class="a detail-body b">yes</div>', BODY_RULES[2]) == "yes"
+
+
+def test_character_references(spark):
+    texts = ["a&hellip;b &#8217;&#x2019; &amp;lt; &nosuch; &#0;&#xD800; &#151; &eacute;&Eacute; & &amp x&lt;y&gt;", "plain", None, "&#128512;"]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(pages.unescape(F.col("t"))).collect()]
+    assert got == ["a…b ’’ &lt; &nosuch; �� — éÉ & &amp x<y>", "plain", None, "😀"]
+
+
+def test_article_plan(spark, tmp_path):
+    from seriesloom.plans.articles import articles
+
+    item = '<li id="sp_nws{0}"><div class="news_area"><div class="info_group"><a class="info press">{1}</a><span class="info">2021.09.24.</span></div><ul><li>x</li></ul><a class="news_tit" href="u{0}" title="t{0}">t</a></div></li>'
+    press = ["연합뉴스", "조선일보", "KBS", "unknown", "SBS", "KBS"]
+    listing = "<ul class='list_news'>" + "".join(item.format(i, p) for i, p in enumerate(press)) + "</ul>"
+    stored = [
+        (1, "u0", '<div id="articleBody">zero</div>'), (2, "u1", '<link rel="amphtml" href="amp">'), (3, "amp", '<section class="article-body"><p>one</p></section>'),
+        (4, "u2", '<div class="detail-body">old</div>'), (5, "u2", '<div class="detail-body">two</div>'), (6, "u4", "<p>none</p>"),
+    ]
+    got = articles(spark.createDataFrame([(1, listing)], "page_id int, html string"), spark.createDataFrame(stored, "page_id int, url string, html string")).collect()
+    assert sorted((r["url"], r["press"], r["title"], r["section"]) for r in got) == [("u0", "연합뉴스", "t0", "zero"), ("u1", "조선일보", "t1", "one"), ("u2", "KBS", "t2", "two")]
+
+
 def test_attribute_rule(spark):
     assert body(spark, '<html lang="fr"><p>x</p></html>', [BodyRule("html", "lang", "fr")]) == "x"
     assert body(spark, '<html lang="en"><p>x</p></html>', [BodyRule("html", "lang", "fr")]) is None

@@ -84,3 +84,37 @@ def test_species(spark):
     parts, dictionary = species.multi_rows(table, "kind", ["w", "l"], "id", valid=True)
     assert {r["kind"]: r["label_index"] for r in dictionary.collect()} == {"a": 0, "b": 1, "c": 2}
     assert {r["split"]: r["count"] for r in parts.groupBy("split").count().collect()} == {"test": 23, "valid": 14, "train": 53}
+
+
+def test_each_score_is_filled_where_it_is_missing(spark, panel):
+    table = panel.where("series = 1")
+    full = table.select("date", (F.col("x") * 2 - F.col("z")).alias("a"), (F.col("z") + 1).alias("b"))
+    known = full.withColumn("b", F.when(F.dayofmonth("date") % 5 != 0, F.col("b"))).where(F.dayofmonth("date") % 3 != 0)
+    got = news_score.impute_scores(table, known, ["series", "date"], "date", ["x", "z"], ["a", "b"])
+    gap = F.greatest(F.abs(F.col("a") - (F.col("x") * 2 - F.col("z"))), F.abs(F.col("b") - F.col("z") - 1))
+    assert got.where("a is null or b is null").count() == 0 and got.agg(F.max(gap)).first()[0] < 1e-6
+
+
+def test_stages_are_built_once(spark, tmp_path, monkeypatch):
+    texts = ["stocks rise stocks grow", "stocks fall markets fall", "markets rise", "grow stocks rise", "tulips bloom"] * 30
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    right = spark.createDataFrame([("s", 1)], "r string, polarity int")
+    calls = []
+    clean = news_score.clean_corpus
+    monkeypatch.setattr(news_score, "clean_corpus", lambda *a: calls.append(1) or clean(*a))
+    monkeypatch.setattr(news_score, "corpus_vocabulary", lambda c: news_score.tfidf.fit_tfidf(c.select(F.array_join("tokens", " ").alias("text")), max_df=1.0, min_df=0.0))
+    first, again = (news_score.corpus_stages(spark, str(tmp_path), docs, "doc_id", "text", right, size=4, anchors=None) for _ in range(2))
+    assert len(calls) == 1 and sorted(first.collect()) == sorted(again.collect())
+
+
+def test_dense_layouts_stop_on_the_validation_part(spark):
+    rows = [(i, "abc"[i % 3], float(i % 3) * 10 + (i * 7 % 5), float(i * 3 % 7)) for i in range(120)]
+    table = spark.createDataFrame(rows, "id int, kind string, w double, l double")
+    parts, _ = species.multi_rows(table, "kind", ["w", "l"], "id", valid=True)
+    scores, history = species.dense_fits(parts, ["w", "l"], [(4,), ()], step=5, rounds=6, patience=2)
+    assert {(r["layout"], r["split"]) for r in scores.collect()} == {(k, s) for k in (1, 2) for s in ("train", "valid", "test")}
+    for layout in (1, 2):
+        losses = [r for r in history.where(F.col("layout") == layout).orderBy("round").collect()]
+        best = min(r["valid_loss"] for r in losses)
+        assert [r["valid_loss"] for r in losses if r["is_best"]] == [best]
+        assert len(losses) == 6 or losses[-1]["round"] == next(r["round"] for r in losses if r["is_best"]) + 2

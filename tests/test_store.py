@@ -5,9 +5,11 @@ from seriesloom.streaming import ingest
 
 def test_csv_with_mark_and_missing_values(spark, tmp_path):
     path = tmp_path / "measurements.csv"
-    path.write_text("﻿Species,Weight,Length1,Length2,Length3,Height,Width\nBream,242,23.2,25.4,30,11.52,4.02\nRoach,,1,NaN,3,4,5\n", encoding="utf-8")
+    # Fixed value: the header must match.
+    header = "Species,Weight,Length1,Length2,Length3,Height,Width"
+    path.write_text(f"\ufeff{header}\nalpha,100,1.5,2.5,3.5,4.5,5.5\nbeta,,1,NaN,3,4,5\n", encoding="utf-8")
     rows = readers.read_measurements(spark, str(path)).collect()
-    assert rows[0]["Species"] == "Bream" and rows[0]["Weight"] == 242.0
+    assert rows[0]["Species"] == "alpha" and rows[0]["Weight"] == 100.0
     assert rows[1]["Weight"] is None and rows[1]["Length2"] is None and rows[1]["Width"] == 5.0
 
 
@@ -64,13 +66,40 @@ def test_stream_ingest(spark, tmp_path):
     assert run() == ["a", "b", "c"]
 
 
+def test_a_new_checkpoint_keeps_what_is_stored(spark, tmp_path):
+    incoming, path = str(tmp_path / "in"), str(tmp_path / "out")
+
+    def run(checkpoint):
+        ingest.ingest_articles(spark, incoming, path, str(tmp_path / checkpoint), schemas.ARTICLES, files_per_batch=1).awaitTermination()
+        return sorted(r["url"] for r in ingest.read_store(spark, path).collect())
+
+    store.write_table(articles(spark, "a", "b").coalesce(1), incoming, mode="append")
+    assert run("one") == ["a", "b"]
+    store.write_table(articles(spark, "b", "c").coalesce(1), incoming, mode="append")
+    assert run("two") == ["a", "b", "c"]
+    assert run("one") == ["a", "b", "c"]
+    store.write_table(articles(spark, "d").coalesce(1), incoming, mode="append")
+    assert run("two") == run("one") == ["a", "b", "c", "d"]
+
+
 def test_replayed_batch_adds_nothing(spark, tmp_path):
-    path = str(tmp_path / "out")
-    write = ingest._write_batch(path, schemas.ARTICLES, "url")
+    path, checkpoint = str(tmp_path / "out"), tmp_path / "check"
+    checkpoint.mkdir()
+    (checkpoint / "metadata").write_text('{"id": "one"}')
+    write = ingest._write_batch(path, str(checkpoint), schemas.ARTICLES, "url")
     write(articles(spark, "a"), 0)
     write(articles(spark, "a", "b"), 1)
     write(articles(spark, "a", "b"), 1)
     assert sorted(r["url"] for r in ingest.read_store(spark, path).collect()) == ["a", "b"]
+    write(articles(spark, "a"), 0)
+    assert sorted(r["url"] for r in ingest.read_store(spark, path).collect()) == ["a", "b"]
+
+
+def test_empty_store(spark, tmp_path):
+    incoming, path = str(tmp_path / "in"), str(tmp_path / "out")
+    store.write_table(articles(spark).coalesce(1), incoming)
+    ingest.ingest_articles(spark, incoming, path, str(tmp_path / "check"), schemas.ARTICLES).awaitTermination()
+    assert ingest.read_store(spark, path, schemas.ARTICLES).count() == 0
 
 
 def test_word_vectors_round_trip(spark, tmp_path):

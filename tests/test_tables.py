@@ -21,7 +21,7 @@ def test_salted_join_is_a_join(spark, how):
     facts = [("hot", i) for i in range(400)] + [(f"k{i}", i) for i in range(300)] + [(None, i) for i in range(50)]
     facts = spark.createDataFrame(facts, "k string, i int")
     dim = spark.createDataFrame([("hot", 1.0)] + [(f"k{i}", float(i)) for i in range(0, 400, 3)], "k string, v double")
-    salted = salted_join(facts, dim, "k", how, ["i"], hot_share=0.1, salts=7)
+    salted = salted_join(facts, dim, "k", how, ["i"], partitions=7)
     assert rows(salted) == rows(facts.join(dim, "k", how))
 
 
@@ -33,7 +33,7 @@ def test_salted_join_spreads_the_hot_key(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        parts = salted_join(facts, dim, "k", "inner", ["id"], salts=64).groupBy(F.spark_partition_id()).count().collect()
+        parts = salted_join(facts, dim, "k", "inner", ["id"], partitions=64).groupBy(F.spark_partition_id()).count().collect()
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
@@ -41,6 +41,33 @@ def test_salted_join_spreads_the_hot_key(spark):
     assert len(parts) == 4 and max(p["count"] for p in parts) < 2500
 
 
+def test_a_key_above_a_mean_partition_is_hot(spark):
+    """Below a thousandth of all rows, but more than a partition's worth."""
+    facts = spark.range(20_000).select(F.when(F.col("id") < 15, F.lit("warm")).otherwise(F.concat(F.lit("k"), "id")).alias("k"), "id")
+    dim = spark.createDataFrame([("warm", 1)], "k string, v int")
+    plan = salted_join(facts, dim, "k", "inner", ["id"], partitions=4000)
+    assert plan.count() == 15
+    assert salted_join(facts, dim, "k", "left", ["id"], partitions=4000).count() == 20_000
+    salts = salted_join(facts.where("k = 'warm'"), dim, "k", "inner", ["id"], partitions=5)
+    assert salts.count() == 15
+
+
+def test_label_index_broadcasts_the_dictionary(spark):
+    df = spark.range(1000).select("id", F.concat(F.lit("c"), F.col("id") % 7).alias("c"))
+    from seriesloom.operators.prepare import label_dictionary
+
+    indexed = relational.label_index(df, label_dictionary(df, "c", "id"), "c")
+    plan = indexed._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert indexed.where("label_index = id % 7").count() == 1000
+
+
+def test_names_from_a_table(spark):
+    names = spark.createDataFrame([("b",), ("a",), ("b",)], "n string")
+    got = relational.every_pairing(spark.range(2).withColumnRenamed("id", "x"), names, "press")
+    assert rows(got) == [(0, "a"), (0, "b"), (1, "a"), (1, "b")]
+
+
 def test_lookup_paths_agree(spark):
     docs = spark.createDataFrame([(1, "a b a c"), (2, "c c"), (3, "")], "doc_id int, text string")
     dim = spark.createDataFrame([("a", 1), ("c", 3)], "w string, v int")

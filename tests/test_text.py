@@ -28,11 +28,11 @@ def plain_counts():
 def test_cohesion(counts):
     freq = collections.Counter()
     for w, n in plain_counts().items():
-        for k in range(1, min(len(w), 4) + 1):
+        for k in range(1, len(w) + 1):
             freq[w[:k]] += n
     want = {p: (f / freq[p[0]]) ** (1 / (len(p) - 1)) for p, f in freq.items() if len(p) > 1 and f >= 2}
     want = {p: s for p, s in want.items() if s >= 0.5}
-    got = {r["token"]: r["score"] for r in wordstats.cohesion_scores(counts, 2, 0.5, max_length=4).collect()}
+    got = {r["token"]: r["score"] for r in wordstats.cohesion_scores(counts, 2, 0.5).collect()}
     assert got.keys() == want.keys() and all(got[p] == pytest.approx(want[p]) for p in want)
 
 
@@ -41,7 +41,7 @@ def test_branching_entropy(counts):
     for w, n in plain_counts().items():
         for k in range(1, len(w)):
             after[w[:k]][w[k]] += n
-    got = {r["token"]: r["entropy"] for r in wordstats.right_branching_entropy(counts).collect()}
+    got = {r["token"]: r["entropy"] for r in wordstats.right_branching_entropy(counts, min_frequency=1).collect()}
     assert got.keys() == after.keys()
     for p, c in after.items():
         total = sum(c.values())
@@ -49,6 +49,31 @@ def test_branching_entropy(counts):
     assert math.copysign(1, got["c"]) == 1
 
 
+LONG = ["internationalisation", "internationalisations", "internationalise", "international", "counterrevolutionaries"]
+
+
+def test_no_length_is_cut_off(spark):
+    words = LONG * 3 + [LONG[0] + "undanderes"] * 2
+    docs = spark.createDataFrame([(0, " ".join(words))], "doc_id int, text string")
+    counts = wordstats.token_counts(docs, spaced_tokens(F.col("text"))).persist()
+    freq, after = collections.Counter(), collections.defaultdict(collections.Counter)
+    for w in words:
+        for k in range(1, len(w) + 1):
+            freq[w[:k]] += 1
+            if k < len(w):
+                after[w[:k]][w[k]] += 1
+    for step in (1, 3, 8):
+        found = {r["prefix"]: r["freq"] for r in wordstats.prefix_counts(counts, 4, step).collect()}
+        assert {p: n for p, n in found.items() if n >= 4} == {p: n for p, n in freq.items() if n >= 4}
+    scores = {r["token"] for r in wordstats.cohesion_scores(counts, 5, 0.0).collect()}
+    assert scores == {p for p, n in freq.items() if n >= 5 and len(p) > 1} and LONG[0] in scores
+    entropy = {r["token"]: r["freq"] for r in wordstats.right_branching_entropy(counts, min_frequency=5).collect()}
+    assert entropy == {p: sum(c.values()) for p, c in after.items() if freq[p] >= 5}
+    right = spark.createDataFrame([("undanderes", 1), ("s", -1)], "r string, polarity int")
+    nouns = {r["token"]: (r["pos"], r["neg"]) for r in wordstats.noun_scores(counts, right, min_score=-1).collect()}
+    assert nouns[LONG[0]] == (2, 3) and nouns["counterrevolutionarie"] == (0, 3)
+
+
 def test_noun_scores_and_compounds(spark, counts):
     right = spark.createDataFrame([("", 1), ("s", 1), ("ana", -1)], "r string, polarity int")
     got = {r["token"]: (r["pos"], r["neg"], r["score"]) for r in wordstats.noun_scores(counts, right, min_score=-1).collect()}
@@ -150,3 +175,34 @@ def test_overlay_and_training(spark):
     corpus = spark.createDataFrame([(["a", "b", "c"] * 5,), (["a", "d"],)], "words array<string>")
     model = vectors.train_word_vectors(corpus, size=8)
     assert {r["word"] for r in model.getVectors().collect()} == set("abcd") and model.getVectorSize() == 8
+
+
+def test_texts_do_not_move(spark, docs):
+    """Words are looked up where the texts are read; what moves by document is aggregated."""
+    vocabulary = tfidf.fit_tfidf(docs, min_df=0.0, max_df=1.0).persist()
+    weights = tfidf.transform_tfidf(docs, vocabulary, "doc_id")
+    words = tfidf.checked_corpus(docs, vocabulary, "doc_id")
+    scores = spark.createDataFrame([("ban", 1.0), ("cat", 0.5)], "word string, up double")
+    corpus = docs.select("doc_id", F.split("text", " ").alias("words"))
+    similar = vectors.document_similarity(corpus, "doc_id", "words", scores, ["up"])
+    for df in (weights, words, similar):
+        lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+        assert any("BroadcastHashJoin" in line for line in lines)
+        moved = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(doc_id" in line]
+        assert moved and not any("REPARTITION" in line for line in lines)
+        first = moved[-1]
+        assert "Aggregate" in lines[first + 1], lines[first : first + 2]
+
+
+def test_one_scan_gives_both_counts(docs):
+    got = {r["term"]: (r["df"], r["total"]) for r in tfidf.term_statistics(docs).collect()}
+    words = [t.split() for t in TEXTS]
+    for term, (df, total) in got.items():
+        assert df == sum(term in w for w in words) and total == sum(w.count(term) for w in words)
+
+
+def test_a_large_vocabulary_is_refused(spark):
+    many = spark.range(tfidf.MAP_TERMS + 1).select(F.concat(F.lit("t"), "id").alias("term"))
+    weights = spark.createDataFrame([(1, "t1", 1.0)], "doc_id int, term string, tfidf double")
+    with pytest.raises(ValueError):
+        tfidf.term_map(weights, many, "doc_id")
