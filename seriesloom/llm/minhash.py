@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesloom.llm.common import batches, ship, small, stored
+from seriesloom.llm.common import batches, parts, ship, small, stored
 from seriesloom.llm.components import connected_components, spanning
 from seriesloom.llm.words import mixed, text_words
 
@@ -187,23 +187,32 @@ def group_links(groups: DataFrame, asked: DataFrame, sets: DataFrame, num: int,
     spread, and of the links between two blocks only enough to span them are returned.
     """
     blocks = F.ceil(F.greatest(F.sum("n") / F.lit(float(BLOCK_SHINGLES)), F.count("*") / F.lit(float(BLOCK_ROWS))))
-    sizes = [x.groupBy("home").agg(blocks.alias(name)) for x, name in ((groups, "ms"), (asked, "qs"))]
+    sizes = [x.groupBy("home").agg(blocks.alias(b), F.sum("n").alias(f"{b}_n"), F.count("*").alias(f"{b}_rows")) for x, b in ((groups, "ms"), (asked, "qs"))]
     sizes = stored(sizes[0].join(sizes[1], "home"), "blocks")
+    # Homes of one block each share lots of about a block, since most are a few rows.
+    whole = sizes.where("ms = 1 and qs = 1").agg(F.sum(F.col("ms_n") + F.col("qs_n")).alias("n"), F.sum(F.col("ms_rows") + F.col("qs_rows")).alias("rows")).first()
+    lots = max(parts(whole["n"] or 0, BLOCK_SHINGLES), parts(whole["rows"] or 0, BLOCK_ROWS))
+    large = (F.col("ms") > 1) | (F.col("qs") > 1)
+    sizes = sizes.select("home", "ms", "qs", large.alias("large"), F.when(large, F.col("home")).otherwise(F.pmod(F.xxhash64("home"), F.lit(lots))).alias("lot"))
 
     def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
         every = F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1))
-        placed = rows.join(small(sizes, 32), "home").select("home", "cid", "part", F.pmod(F.xxhash64("cid"), F.col(own)).alias(own), every.alias(other))
+        placed = rows.join(small(sizes, 48), "home").select("large", "lot", "home", "cid", "part", F.pmod(F.xxhash64("cid"), F.col(own)).alias(own), every.alias(other))
         # New columns on both sides: the tables have ancestors in common.
-        return placed.join(sets, "cid").select(*(F.col(c).alias(c) for c in ("home", "ms", "qs", "cid", "part", "shingles"))).groupBy("home", "ms", "qs")
+        columns = ("large", "lot", "ms", "qs", "home", "cid", "part", "shingles")
+        return placed.join(sets, "cid").select(*(F.col(c).alias(c) for c in columns)).groupBy("large", "lot", "ms", "qs")
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = np.zeros((2, 0), dtype=np.int64)
-        if len(left) and len(right):
-            mask = similar(list(left["shingles"]), list(right["shingles"]), num, den)
-            mask &= right["part"].to_numpy()[:, None] != left["part"].to_numpy()
+        out = [np.zeros((2, 0), dtype=np.int64)]
+        members, queries = left.groupby("home").indices, right.groupby("home").indices
+        for home in members.keys() & queries.keys():
+            of, ask = left.iloc[members[home]], right.iloc[queries[home]]
+            mask = similar(list(of["shingles"]), list(ask["shingles"]), num, den)
+            mask &= ask["part"].to_numpy()[:, None] != of["part"].to_numpy()
             r, c = spanning(mask)
-            out = np.stack([right["cid"].to_numpy()[r], left["cid"].to_numpy()[c]])
-        return pd.DataFrame({"a": out[0], "b": out[1]})
+            out.append(np.stack([ask["cid"].to_numpy()[r], of["cid"].to_numpy()[c]]))
+        links = np.concatenate(out, axis=1)
+        return pd.DataFrame({"a": links[0], "b": links[1]})
 
     return dealt(groups, "ms", "qs").cogroup(dealt(asked, "qs", "ms")).applyInPandas(run, "a long, b long")
 
@@ -245,11 +254,11 @@ def near_duplicates(docs: DataFrame, key: str, text: str, width: int = 5, num: i
     grouped = homes.join(sized, "cid").select("cid", "home", F.col("cid").alias("part"), "n")
     own = homes.select(F.col("home").alias("cid")).distinct().join(sized, "cid").select("cid", F.col("cid").alias("home"), F.col("cid").alias("part"), "n")
     links = stored(group_links(grouped, own, sets, num, den), "links")
-    parts = stored(connected_components(links), "parts")
+    joined = stored(connected_components(links), "parts")
 
     # Buckets that still hold several components: all but the largest against the homes met there.
-    weights = parts.groupBy("component").agg(F.count("*").alias("weight"))
-    placed = homes.join(parts.join(weights, "component").withColumnRenamed("node", "cid"), "cid", "left")
+    weights = joined.groupBy("component").agg(F.count("*").alias("weight"))
+    placed = homes.join(joined.join(weights, "component").withColumnRenamed("node", "cid"), "cid", "left")
     placed = placed.select("cid", "home", F.coalesce("component", "cid").alias("part"), F.coalesce("weight", F.lit(1)).alias("weight"))
     rows = members.select("bucket", "cid").union(twos.select("bucket", F.explode(F.array("low", "high")).alias("cid")))
     rows = rows.join(placed, "cid", "left").select(
