@@ -66,7 +66,8 @@ def token_counts(pages: DataFrame) -> DataFrame:
         def flush() -> pa.RecordBatch:
             rows = []
             for (host, kind, token), v in held.items():
-                if kind != TEXT or v[:3] == held[host, ELEMENT, v[3]][:3]:
+                element = held.get((host, ELEMENT, v[3])) if kind == TEXT else v  # text outside all elements has none
+                if element and v[:3] == element[:3]:
                     rows.append((host, kind, token, v[3], v[0], v[1], v[2], v[4]))
             held.clear()
             kinds = (pa.string(), pa.int32(), *[pa.int64()] * 6)

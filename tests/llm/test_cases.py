@@ -2,7 +2,6 @@
 
 import os
 import random
-import re
 import sys
 
 import numpy as np
@@ -61,7 +60,7 @@ def test_license_cases(spark, odd, nothing):
     rows += [(1, rows[0][1]), (None, "Released under the MIT License."), (7, "Released by the MIT press."), (8, "x\n\n \nLicensed under CC BY-NC 4.0")]
     got = license_scan(documents(spark, rows, CLASH), "doc_id", "text").collect()
     assert pick(got, "doc_id", "license", "dice", "first_line", "n_places") == sorted(
-        [(1, "MIT", 1.0, 1, 1)] * 2 + [(2, "MIT", 1.0, 0, 3), (3, "MIT", 1.0, 2, 3), (4, "CC-BY-NC-4.0", 1.0, 1, 1), (None, "MIT", 1.0, 0, 1), (8, "CC-BY-NC-4.0", 1.0, 3, 1)], key=repr
+        [(1, "MIT", 1.0, 1, 1)] * 2 + [(2, "MIT", 1.0, 0, 3), (3, "MIT", 1.0, 2, 4), (4, "CC-BY-NC-4.0", 1.0, 1, 1), (None, "MIT", 1.0, 0, 1), (8, "CC-BY-NC-4.0", 1.0, 3, 2)], key=repr
     )
 
 
@@ -433,4 +432,4 @@ def test_batches_hold_their_limit():
 
     table = pa.table({"t": pa.array(["a" * 10, None, "b" * 100, "", "c" * 50, "d" * 50])})
     ranges = list(batches(table, 60, "t"))
-    assert ranges == [(0, 2), (2, 4), (4, 5), (5, 6)] and not re.search("x", "")
+    assert ranges == [(0, 2), (2, 3), (3, 5), (5, 6)]
