@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from html.entities import html5
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from seriesloom.functions.text import collapse_space, strip_editor_markers
 from seriesloom.operators.lookup import numbered_elements, salted_join
+from seriesloom.session import materialise
 
 # Named character references come from the HTML 5 table of the standard library. References to 128-159
 # mean the characters of Windows code page 1252.
@@ -74,7 +76,7 @@ def unescape(text: Column) -> Column:
 
     The text is cut before every ampersand, so each reference is looked up once.
     """
-    names = F.create_map(*[F.lit(x) for pair in NAMED.items() for x in pair])
+    names = F.from_json(F.lit(json.dumps(NAMED)), "map<string,string>")  # one constant, not thousands
 
     def piece(part: Column) -> Column:
         name = F.regexp_extract(part, REFERENCE, 1)
@@ -236,7 +238,7 @@ def follow_links(rows: DataFrame, pages: DataFrame, row_key: str, html_of_row: s
     """``rows`` with ``alternate_url``, where their HTML's ``<link rel=...>`` points, and ``alternate_html``."""
     tag = F.regexp_extract(F.col(html_of_row), rf"(?is)<link(?![\w-])(?=[^>]*(?<![\w-])rel=[\"']{rel}[\"'])[^>]*>", 0)
     link = F.regexp_extract(tag, r"(?is)(?<![\w-])href=[\"']([^\"']*)[\"']", 1)
-    linked = rows.withColumn("alternate_url", F.nullif(unescape(link), F.lit("")))
+    linked = materialise(rows.withColumn("alternate_url", F.nullif(unescape(link), F.lit(""))))
     return with_page(linked, row_key, "alternate_url", pages, "alternate_html", key, url, html)
 
 

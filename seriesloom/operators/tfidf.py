@@ -33,8 +33,12 @@ def document_frequencies(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def term_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     """``(term, df, total)`` from one scan: a word's first occurrence in its document counts for ``df``."""
-    words = F.sort_array(word_tokens(F.col(text)))
-    ranked = F.transform(words, lambda w, i: F.struct(w.alias("term"), ((i == 0) | (F.get(words, i - 1) != w)).cast("int").alias("first")))
+
+    def marked(words: Column) -> Column:
+        return F.transform(words, lambda w, i: F.struct(w.alias("term"), ((i == 0) | (F.get(words, i - 1) != w)).cast("int").alias("first")))
+
+    # The array in between has the words worked out once for all their positions.
+    ranked = F.get(F.transform(F.array(F.sort_array(word_tokens(F.col(text)))), marked), F.lit(0))
     found = elements(docs, [], ranked, "w").select("w.term", "w.first")
     return found.groupBy("term").agg(F.sum("first").alias("df"), F.count("*").alias("total"))
 

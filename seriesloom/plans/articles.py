@@ -25,12 +25,14 @@ def articles(listings: DataFrame, stored: DataFrame, publishers: Sequence[str] =
     """
     listed = fixed_index(pages.news_items(listings, [key], html), publishers, "press", "press_index")
     listed = materialise(listed.where("press_index is not null").withColumn("item", F.monotonically_increasing_id()).drop(key))
-    fetched = pages.with_page(listed, "item", "url", stored, "html", key, url, html)
+    fetched = materialise(pages.with_page(listed, "item", "url", stored, "html", key, url, html))
     alternate = fetched.where(F.col("press_index") == pages.ALTERNATE_PUBLISHER)
     followed = pages.follow_links(alternate, stored, "item", "html", key, url, html).select(*fetched.columns[:-1], F.col("alternate_html").alias("html"))
-    chosen = fetched.where(F.col("press_index") != pages.ALTERNATE_PUBLISHER).unionByName(followed)
-    bodies = pages.with_body(pages.article_bodies(chosen, "html", pages.BODY_RULES, F.col("press_index")))
-    return bodies.withColumn("section", strip_illegal_control(F.col("section"))).select(*COLUMNS)
+    chosen = materialise(fetched.where(F.col("press_index") != pages.ALTERNATE_PUBLISHER).unionByName(followed))
+    bodies = pages.article_bodies(chosen, "html", pages.BODY_RULES, F.col("press_index"))
+    # Stored before the filter, which would otherwise repeat every rule.
+    bodies = materialise(bodies.withColumn("section", strip_illegal_control(F.col("section"))).select(*COLUMNS))
+    return pages.with_body(bodies)
 
 
 def collect_articles(spark: SparkSession, listings: DataFrame, stored: DataFrame, path: str, **options) -> None:

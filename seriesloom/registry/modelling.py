@@ -492,7 +492,7 @@ def dense_history(spark, d):
 
 
 # With one indicator per category and no penalty, the fitted probabilities are the class shares.
-_SHARES = """SELECT o_orderpriority, o_orderstatus, round(count(*) / sum(count(*)) OVER (PARTITION BY o_orderpriority), 2) AS share
+_SHARES = """SELECT o_orderpriority, o_orderstatus, round(count(*) / sum(count(*)) OVER (PARTITION BY o_orderpriority), 6) AS share, TRUE AS fitted
     FROM orders GROUP BY 1, 2"""
 
 
@@ -508,7 +508,11 @@ def _status_by_priority(spark, d):
 def _shares(predicted, status):
     chances = predicted.groupBy("o_orderpriority").agg(F.first(vector_to_array("probability")).alias("p"))
     listed = chances.select("o_orderpriority", F.posexplode("p").alias("label_index", "share"))
-    return listed.join(status, "label_index").select("o_orderpriority", "o_orderstatus", F.round("share", 2).alias("share"))
+    listed = listed.join(status, "label_index").select("o_orderpriority", "o_orderstatus", F.col("share").alias("fit"))
+    counts = predicted.groupBy("o_orderpriority", "o_orderstatus").agg(F.count("*").alias("n"))
+    totals = counts.groupBy("o_orderpriority").agg(F.sum("n").alias("total"))
+    shares = counts.join(totals, "o_orderpriority").join(listed, ["o_orderpriority", "o_orderstatus"]).withColumn("share", F.col("n") / F.col("total"))
+    return shares.select("o_orderpriority", "o_orderstatus", F.round("share", 6).alias("share"), (F.abs(F.col("fit") - F.col("share")) < 0.01).alias("fitted"))
 
 
 @query(_SHARES)

@@ -54,8 +54,8 @@ _CONTAINERS = [
     (4, '<p class="content_text">SUB_TITLE_START', '</p><p>no</p><p class="content_text">ySUB_TITLE_END</p>', "{} || ' y'"),
     (2, '<div class="my-detail-body" data-class="detail-body">', "</div>", "NULL"),
 ]
-_TITLE_TEXT = f"trim(regexp_replace({_UNESCAPE_SQL.format(_HEADLINE.format('html'))}, '{SPACES}', ' ', 'g'))"
-_SECTION = f"CASE page_id % {len(_CONTAINERS)} " + " ".join(f"WHEN {i} THEN {c[3].format(_TITLE_TEXT)}" for i, c in enumerate(_CONTAINERS)) + " END"
+_WORDS = {i: c[3].format(_UNESCAPE_SQL.format(_HEADLINE.format("html"))) for i, c in enumerate(_CONTAINERS)}
+_SECTION = f"trim(regexp_replace(CASE page_id % {len(_CONTAINERS)} " + " ".join(f"WHEN {i} THEN {w}" for i, w in _WORDS.items()) + f" END, '{SPACES}', ' ', 'g'))"
 _PRESS = f"CASE page_id % {len(_CONTAINERS)} " + " ".join(f"WHEN {i} THEN '{pages.PUBLISHERS[c[0]]}'" for i, c in enumerate(_CONTAINERS)) + " END"
 _ITEM = f"""CAST('2021.09.' || lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0') || '.' AS VARCHAR) AS date, 'http://news/' || page_id || '?a=1&b=2' AS url,
     {_PRESS} AS press, 'T "' || page_id || '"' AS title"""
