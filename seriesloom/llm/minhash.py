@@ -9,7 +9,7 @@ their full shingle sets.
 
 Texts of equal sets are one class before anything is paired, and a bucket is never written out as
 pairs. Its classes are compared with its centre, the member that shares most buckets; each class has
-the nearest centre it meets as its home. Where a bucket's classes are then still in several components,
+the heaviest centre near it as its home. Where a bucket's classes are then still in several components,
 those outside the largest are compared with the homes found in the bucket: blocks of whole sets meet in
 a task, and only links that span the components come out.
 """
@@ -240,13 +240,15 @@ def near_duplicates(docs: DataFrame, key: str, text: str, width: int = 5, num: i
     members = stored(keys.join(buckets.where("size > 2").select("bucket", "size"), "bucket"), "members")
     twos = buckets.where("size = 2")
 
-    # Each class against the centres of its buckets; the nearest is its home.
-    weighed = members.join(members.groupBy("cid").agg(F.sum("size").alias("weight")), "cid")
-    centres = weighed.groupBy("bucket").agg(F.max(F.struct("weight", "cid"))["cid"].alias("centre"))
+    # Each class against the centres of its buckets; the heaviest near one is its home, so that the
+    # classes of a group have few homes between them.
+    weight = stored(members.groupBy("cid").agg(F.sum("size").alias("weight")), "weights")
+    centres = members.join(weight, "cid").groupBy("bucket").agg(F.max(F.struct("weight", "cid"))["cid"].alias("centre"))
     around = members.join(centres, "bucket").where("cid <> centre").select(F.col("cid").alias("a"), F.col("centre").alias("b"))
     around = around.union(twos.select("high", "low")).distinct().withColumn("most", F.lit(DISTANCE).cast("long"))
     stars = stored(with_distance(around, classes, num, den), "stars")
-    nearest = stars.groupBy("a").agg(F.min(F.struct("distance", "b")).alias("x")).select(F.col("a").alias("cid"), F.col("x.b").alias("home"), "x.distance")
+    heavy = stars.join(weight.withColumnRenamed("cid", "b"), "b", "left").select("a", F.struct(F.coalesce("weight", F.lit(0)).alias("weight"), (-F.col("distance")).alias("near"), "b").alias("x"))
+    nearest = heavy.groupBy("a").agg(F.max("x").alias("x")).select(F.col("a").alias("cid"), F.col("x.b").alias("home"), (-F.col("x.near")).alias("distance"))
     alone = stars.select(F.col("b").alias("cid")).distinct().join(nearest, "cid", "left_anti")
     homes = stored(nearest.union(alone.select("cid", F.col("cid").alias("home"), F.lit(0).cast("long").alias("distance"))), "homes")
     sized = classes.select("cid", "n")
