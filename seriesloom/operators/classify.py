@@ -178,7 +178,7 @@ def log_loss(model: MultilayerPerceptronClassificationModel, rows: DataFrame, la
 
 
 def fit_dense_stopped(
-    train: DataFrame, valid: DataFrame, inputs: int, classes: int, hidden: Sequence[int], step: int = 20, rounds: int = 50, patience: int = 10, seed: int = 346672
+    train: DataFrame, valid: DataFrame, inputs: int, classes: int, hidden: Sequence[int], step: int = 50, rounds: int = 20, patience: int = 3, seed: int = 346672
 ) -> tuple[MultilayerPerceptronClassificationModel, DataFrame]:
     """Dense network trained until the validation loss has not fallen for ``patience`` rounds.
 
