@@ -3,15 +3,17 @@
 Tokens are elements, by their path, and texts, by path and content. Two tokens of a host are equivalent
 when they occur equally often on each of its pages. The occurrence vectors are never gathered: a
 vector's fingerprint is the sum of one hash per page and count, which adds up in any order. Classes
-that are frequent and whose members sit under one other class are valid, and nest into the host's
-template. Text that belongs to the template is left out; what remains are its slots, of which those of
+that are frequent and whose outermost members sit under one other class are valid, and nest into the
+host's template; whatever elements a text lies in, it is template by its vector alone. Text that belongs to the template is left out; what remains are its slots, of which those of
 the article are returned.
 """
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,8 +57,7 @@ def _page_tokens(html: str, reader: Reader) -> dict[tuple[int, int], list[int]]:
 def token_counts(pages: DataFrame) -> DataFrame:
     """Per host, kind and token: pages, occurrences, fingerprint of the occurrence vector, words.
 
-    Each task sums its own pages. A text token is passed on only if, on the pages summed, it occurs
-    just as often as its element: any other cannot be equivalent to it on all pages.
+    Each task sums its own pages and passes every token on, so the shuffle is dealt by host and token.
     """
 
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,9 +67,7 @@ def token_counts(pages: DataFrame) -> DataFrame:
         def flush() -> pa.RecordBatch:
             rows = []
             for (host, kind, token), v in held.items():
-                element = held.get((host, ELEMENT, v[3])) if kind == TEXT else v  # text outside all elements has none
-                if element and v[:3] == element[:3]:
-                    rows.append((host, kind, token, v[3], v[0], v[1], v[2], v[4]))
+                rows.append((host, kind, token, v[3], v[0], v[1], v[2], v[4]))
             held.clear()
             kinds = (pa.string(), pa.int32(), *[pa.int64()] * 6)
             names = ["host", "kind", "token", "above", "pages", "total", "vector", "words"]
@@ -99,25 +98,44 @@ def token_counts(pages: DataFrame) -> DataFrame:
     )
 
 
+def fixed_texts(tokens: pd.DataFrame) -> list[int]:
+    """Text tokens in the valid classes of one host's frequent tokens.
+
+    A class has several members, and those of them with no member of the class around them lie in one
+    and the same class.
+    """
+    classes = list(zip(tokens["pages"], tokens["total"], tokens["vector"]))
+    elements = {t: (above, c) for kind, t, above, c in zip(tokens["kind"], tokens["token"], tokens["above"], classes) if kind == ELEMENT}
+    members, places = Counter(classes), defaultdict(set)
+    for above, c in zip(tokens["above"], classes):
+        outer, around = elements.get(above, (0, None))[1], above
+        while around in elements and elements[around][1] != c:
+            around = elements[around][0]
+        if around not in elements:
+            places[c].add(outer)
+    return [int(t) for kind, t, c in zip(tokens["kind"], tokens["token"], classes) if kind == TEXT and members[c] > 1 and len(places[c]) <= 1]
+
+
 def host_templates(counted: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
     """``host``, ``fixed`` (text tokens of the template) and ``main`` (path with most words outside articles).
 
     A class is a set of tokens of equal vectors; it is frequent when it is on at least half of the
-    host's pages, ``least_pages`` at least, and valid when all of its outermost members lie in the same
-    class, so that it nests. A text in a valid class that is on all pages is template, if half of the
-    host's pages differ: on copies of one page everything is constant.
+    host's pages, ``least_pages`` at least, without counting copies of a page. Texts in valid classes
+    are template, if half of the host's pages differ: on copies of one page everything is constant. A
+    host's frequent tokens are at most twice what one of its pages holds, however many pages it has.
     """
-    tokens = counted.where(F.col("kind") <= TEXT)
+    tokens = counted.where((F.col("kind") <= TEXT) & (F.col("pages") * 2 >= least_pages))
     hosts = counted.where(F.col("kind") == PAGE).groupBy("host").agg(F.sum("pages").alias("host_pages"), F.count("*").alias("texts"))
     hosts = hosts.where((F.col("host_pages") >= least_pages) & (F.col("texts") * 2 >= F.col("host_pages")))
-    member = tokens.join(hosts, "host").where(F.col("pages") * 2 >= F.col("host_pages")).withColumn("class", F.struct("pages", "total", "vector"))
-    elements = member.where(F.col("kind") == ELEMENT).select("host", F.col("token").alias("above"), F.col("class").alias("outer"))
-    nested = member.join(elements, ["host", "above"], "left").withColumn("outer", F.coalesce("outer", F.struct(*(F.lit(0).cast("long").alias(c) for c in ("pages", "total", "vector")))))
-    # Members inside another member of their class say nothing about where the class lies.
-    places = F.count_distinct(F.when(F.col("outer") != F.col("class"), F.col("outer")))
-    valid = nested.groupBy("host", "class").agg(places.alias("places"), F.count("*").alias("members")).where("places <= 1 and members > 1")
-    fixed = member.where((F.col("kind") == TEXT) & (F.col("pages") == F.col("host_pages"))).join(valid, ["host", "class"], "left_semi")
-    fixed = fixed.groupBy("host").agg(F.collect_list("token").alias("fixed"))
+    # All copies may be of one page, so that many pages say nothing of what is on different ones.
+    differing = F.col("pages") - (F.col("host_pages") - F.col("texts"))
+    member = tokens.join(hosts, "host").where((F.col("pages") * 2 >= F.col("host_pages")) & (differing * 2 >= F.col("texts")))
+
+    def run(found: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"host": [found["host"].iloc[0]], "fixed": [fixed_texts(found)]})
+
+    member = member.select("host", "kind", "token", "above", "pages", "total", "vector")
+    fixed = member.groupBy("host").applyInPandas(run, "host string, fixed array<long>")
     slots = counted.where(F.col("kind") == SLOT).groupBy("host").agg(F.max(F.struct("words", "token")).getField("token").alias("main"))
     return slots.join(fixed, "host", "full_outer").select("host", F.coalesce("fixed", F.array().cast("array<long>")).alias("fixed"), "main")
 
@@ -159,7 +177,9 @@ def main_texts(pages: DataFrame, key: str = "page_id", url: str = "url", html: s
     read where it lies, beside its host's template, which is a few numbers.
     """
     rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), host_of(F.col(url)).alias("host"), F.col(html).alias("html"))
-    counted = stored(token_counts(rows), "tokens")
+    counted = token_counts(rows)
+    # Rare texts, which are nearly all, are in no template.
+    counted = stored(counted.where((F.col("kind") != TEXT) | (F.col("pages") * 2 >= least_pages)), "tokens")
     templates = stored(host_templates(counted, least_pages), "templates")
     size = templates.agg(F.sum(F.length("host") + F.size("fixed") * 8 + 64)).first()[0] or 0
     joined = rows.join(F.broadcast(templates) if size <= BROADCAST_BYTES else templates, "host", "left")

@@ -205,6 +205,22 @@ def test_template_text_is_left_out(spark):
     assert len(host_templates(counted).first()["fixed"]) >= 1
 
 
+def test_template_text_beside_siblings_of_its_path(spark):
+    def story(i):
+        promo = "<p>Join the club.</p><p>It is free.</p>" if i % 3 else ""
+        bar = "<ul><li><a>Share</a></li><li><a>Print</a></li></ul>"
+        return f"<article>{bar}<p>Daily Paper</p><p>story {i} begins</p>" + f"<p>more {i}</p>" * (i % 4) + f"{promo}<p>{'odd' if i % 2 else 'even'} end</p></article>"
+
+    rows = [(i, "http://p.example/x", page(story(i))) for i in range(30)]
+    # Half of a host's pages are copies: what only they hold is no template.
+    rows += [(100 + i, "http://half.example/", page(f"<article><p>first {max(i, 14)}</p><p>last {max(i, 14)}</p></article>")) for i in range(28)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    got = {r.page_id: r.text for r in main_texts(pages).collect()}
+    for i in range(30):
+        assert got[i] == f"story {i} begins" + f"\n\nmore {i}" * (i % 4) + f"\n\n{'odd' if i % 2 else 'even'} end"
+    assert all(got[100 + i] == f"first {max(i, 14)}\n\nlast {max(i, 14)}" for i in range(28))
+
+
 # Near duplicates
 
 
