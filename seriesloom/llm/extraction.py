@@ -28,7 +28,7 @@ LEAST_PAGES = 10
 ENTRIES = 200_000
 BATCH_BYTES = 1 << 22
 MASK = (1 << 61) - 1
-ELEMENT, TEXT, PAGE, SLOT = range(4)
+ELEMENT, TEXT, PAGE = range(3)
 
 
 def host_of(url: Column) -> Column:
@@ -37,25 +37,23 @@ def host_of(url: Column) -> Column:
 
 
 def _page_tokens(html: str, reader: Reader) -> dict[tuple[int, int], list[int]]:
-    """(kind, token) to [count, path above, words]; one PAGE token for the page's text as a whole."""
-    elements, texts = reader.read(html)
+    """(kind, token) to [count, path above]; one PAGE token for the page's text as a whole."""
+    elements, texts, _ = reader.read(html)
     tokens: dict[tuple[int, int], list[int]] = {}
     for path, parent in elements:
-        tokens.setdefault((ELEMENT, path), [0, parent, 0])[0] += 1
+        tokens.setdefault((ELEMENT, path), [0, parent])[0] += 1
     everything = []
-    for _, path, container, outside, inside, text in texts:
+    for _, path, _, _, _, text in texts:
         words = text.split()
         if words:
             everything += words
-            tokens.setdefault((TEXT, number(path, *words)), [0, path, 0])[0] += 1
-            if not outside and not inside:
-                tokens.setdefault((SLOT, container), [0, 0, 0])[2] += len(words)
-    tokens[PAGE, number(*everything)] = [1, 0, 0]
+            tokens.setdefault((TEXT, number(path, *words)), [0, path])[0] += 1
+    tokens[PAGE, number(*everything)] = [1, 0]
     return tokens
 
 
 def token_counts(pages: DataFrame) -> DataFrame:
-    """Per host, kind and token: pages, occurrences, fingerprint of the occurrence vector, words.
+    """Per host, kind and token: pages, occurrences, fingerprint of the occurrence vector.
 
     Each task sums its own pages and passes every token on, so the shuffle is dealt by host and token.
     """
@@ -67,11 +65,11 @@ def token_counts(pages: DataFrame) -> DataFrame:
         def flush() -> pa.RecordBatch:
             rows = []
             for (host, kind, token), v in held.items():
-                rows.append((host, kind, token, v[3], v[0], v[1], v[2], v[4]))
+                rows.append((host, kind, token, v[3], v[0], v[1], v[2]))
             held.clear()
-            kinds = (pa.string(), pa.int32(), *[pa.int64()] * 6)
-            names = ["host", "kind", "token", "above", "pages", "total", "vector", "words"]
-            columns = zip(*rows) if rows else [()] * 8
+            kinds = (pa.string(), pa.int32(), *[pa.int64()] * 5)
+            names = ["host", "kind", "token", "above", "pages", "total", "vector"]
+            columns = zip(*rows) if rows else [()] * 7
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
         for batch in tables:
@@ -79,22 +77,21 @@ def token_counts(pages: DataFrame) -> DataFrame:
             for a, b in batches(table, BATCH_BYTES, "html"):
                 some = table.slice(a, b - a)
                 for key, host, html in zip(*(some.column(c).to_pylist() for c in ("key", "host", "html"))):
-                    for (kind, token), (count, above, words) in _page_tokens(html or "", reader).items():
-                        v = held.setdefault((host, kind, token), [0, 0, 0, above, 0])
+                    for (kind, token), (count, above) in _page_tokens(html or "", reader).items():
+                        v = held.setdefault((host, kind, token), [0, 0, 0, above])
                         v[0] += 1
                         v[1] += count
                         v[2] = (v[2] + number(key, count)) & MASK
-                        v[4] += words
                     if len(held) > ENTRIES:
                         yield flush()
         if held:
             yield flush()
 
-    schema = "host string, kind int, token long, above long, pages long, total long, vector long, words long"
+    schema = "host string, kind int, token long, above long, pages long, total long, vector long"
     counted = pages.select("key", "host", "html").mapInArrow(run, schema)
     vector = F.sum(F.col("vector").cast("decimal(20,0)")) % F.lit(MASK + 1).cast("decimal(20,0)")
     return counted.groupBy("host", "kind", "token", "above").agg(
-        F.sum("pages").alias("pages"), F.sum("total").alias("total"), vector.cast("long").alias("vector"), F.sum("words").alias("words")
+        F.sum("pages").alias("pages"), F.sum("total").alias("total"), vector.cast("long").alias("vector")
     )
 
 
@@ -117,7 +114,7 @@ def fixed_texts(tokens: pd.DataFrame) -> list[int]:
 
 
 def host_templates(counted: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
-    """``host``, ``fixed`` (text tokens of the template) and ``main`` (path with most words outside articles).
+    """``host`` and ``fixed``, the text tokens of its template.
 
     A class is a set of tokens of equal vectors; it is frequent when it is on at least half of the
     host's pages, ``least_pages`` at least, without counting copies of a page. Texts in valid classes
@@ -135,34 +132,34 @@ def host_templates(counted: DataFrame, least_pages: int = LEAST_PAGES) -> DataFr
         return pd.DataFrame({"host": [found["host"].iloc[0]], "fixed": [fixed_texts(found)]})
 
     member = member.select("host", "kind", "token", "above", "pages", "total", "vector")
-    fixed = member.groupBy("host").applyInPandas(run, "host string, fixed array<long>")
-    slots = counted.where(F.col("kind") == SLOT).groupBy("host").agg(F.max(F.struct("words", "token")).getField("token").alias("main"))
-    return slots.join(fixed, "host", "full_outer").select("host", F.coalesce("fixed", F.array().cast("array<long>")).alias("fixed"), "main")
+    return member.groupBy("host").applyInPandas(run, "host string, fixed array<long>")
 
 
-def page_text(html: str, fixed: set[int], main: int | None, reader: Reader) -> str:
+def page_text(html: str, fixed: set[int], reader: Reader) -> str:
     """Blocks of the article's slots, joined by an empty line.
 
-    The article is what lies in ``article`` or ``main`` elements; without any, what lies in the host's
-    main container, or in this page's own where it lacks that one. Elements that by name, class, id or
-    role are menus, page headers, footers, sidebars, notices, adverts, forms or comments are no slots
-    of it.
+    Template text is no slot, nor is what lies in menus, page headers, footers, sidebars or controls by
+    their element's name. An element that by class, id or role is one of these, a notice, an advert or
+    comments, or is a form, is none either unless it holds most of the words that remain, as something
+    around the article does. The article is what remains in ``article`` or ``main`` elements; without
+    any, all that remains.
     """
-    texts = [t for t in reader.read(html)[1] if not t[3]]
+    _, texts, nodes = reader.read(html)
+    texts = [t for t in texts if not t[3] and not (fixed and (words := t[5].split()) and number(t[1], *words) in fixed)]
+    below = [0] * len(nodes)
+    for t in texts:
+        below[t[2]] += len(t[5].split())
+    for node in range(len(nodes) - 1, 0, -1):
+        below[nodes[node][0]] += below[node]
+    off = [False] * len(nodes)
+    for node in range(1, len(nodes)):
+        around, cued = nodes[node]
+        off[node] = off[around] or (cued and below[node] * 2 <= below[0])
+    texts = [t for t in texts if not off[t[2]]]
     if any(t[4] and not t[5].isspace() for t in texts):
         texts = [t for t in texts if t[4]]
-    else:
-        words: dict[int, int] = {}
-        for _, _, container, _, _, text in texts:
-            words[container] = words.get(container, 0) + len(text.split())
-        if words:
-            best = main if words.get(main) else max(words, key=lambda c: (words[c], c))
-            held = {t[0] for t in texts if t[2] == best}
-            texts = [t for t in texts if t[0] in held]
     blocks: dict[int, list[str]] = {}
-    for block, path, _, _, _, text in texts:
-        if fixed and (words_of := text.split()) and number(path, *words_of) in fixed:
-            continue
+    for block, _, _, _, _, text in texts:
         blocks.setdefault(block, []).append(text)
     joined = (" ".join("".join(b).split()) for b in blocks.values())
     return "\n\n".join(b for b in joined if b)
@@ -187,14 +184,14 @@ def main_texts(pages: DataFrame, key: str = "page_id", url: str = "url", html: s
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader()
         for batch in tables:
-            table = pa.table(batch.columns, names=["key", "url", "html", "fixed", "main"])
+            table = pa.table(batch.columns, names=["key", "url", "html", "fixed"])
             for a, b in batches(table, BATCH_BYTES, "html"):
                 some = table.slice(a, b - a)
                 texts = [
-                    page_text(h or "", set(f or ()), m, reader)
-                    for h, f, m in zip(*(some.column(c).to_pylist() for c in ("html", "fixed", "main")))
+                    page_text(h or "", set(f or ()), reader)
+                    for h, f in zip(*(some.column(c).to_pylist() for c in ("html", "fixed")))
                 ]
                 yield pa.RecordBatch.from_arrays([some.column("key").combine_chunks(), some.column("url").combine_chunks(), pa.array(texts, pa.string())], names=[key, url, "text"])
 
     kinds = [pages.schema[c].dataType.simpleString() for c in (key, url)]
-    return joined.select("key", "url", "html", "fixed", "main").mapInArrow(run, f"`{key}` {kinds[0]}, `{url}` {kinds[1]}, text string")
+    return joined.select("key", "url", "html", "fixed").mapInArrow(run, f"`{key}` {kinds[0]}, `{url}` {kinds[1]}, text string")

@@ -18,8 +18,7 @@ BLOCKS = frozenset(
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead "
     "tr ul".split()
 )
-LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dd dt blockquote pre td th figcaption caption summary".split())
-OUTSIDE = frozenset("head nav footer aside form button select option dialog menu object audio video canvas".split())
+OUTSIDE = frozenset("head nav footer aside button select option dialog menu object audio video canvas".split())
 CUES = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored sponsors promo promoted promotion banner sidebar "
     "menu menus nav navbar navigation breadcrumb breadcrumbs footer comment comments disqus reply replies respond cookie "
@@ -53,10 +52,10 @@ class Reader:
     """Reads pages; remembers the paths it has met, which are few."""
 
     def __init__(self) -> None:
-        self.paths: dict[tuple, tuple[int, bool]] = {}
+        self.paths: dict[tuple, tuple[int, bool, bool]] = {}
         self.kept = 0
 
-    def _enter(self, parent: int, tag: str, attributes: str, in_article: bool) -> tuple[int, bool]:
+    def _enter(self, parent: int, tag: str, attributes: str, in_article: bool) -> tuple[int, bool, bool]:
         known = self.paths.get((parent, tag, attributes, in_article))
         if known is None:
             found, marks = {}, []
@@ -64,34 +63,29 @@ class Reader:
                 found.setdefault(m[1].lower(), next((g for g in m.groups()[1:] if g is not None), ""))
             named = " ".join(found.get(a, "") for a in ("class", "id", "role"))
             marks = set(WORD.findall(HUMP.sub(" ", named).lower()))
-            outside = tag in OUTSIDE or (tag == "header" and not in_article) or (tag not in PLAIN and bool(marks & CUES))
-            outside = outside or "hidden" in found or (tag not in PLAIN and not in_article and "header" in marks)
+            outside = tag in OUTSIDE or (tag == "header" and not in_article)
+            cued = tag == "form" or "hidden" in found or (tag not in PLAIN and (bool(marks & CUES) or (not in_article and "header" in marks)))
             if len(self.paths) > 50_000:
                 self.paths.clear()
             label = NUMBER.sub("0", found.get("class", ""))
-            known = self.paths[parent, tag, attributes, in_article] = number(parent, tag, label), outside
+            known = self.paths[parent, tag, attributes, in_article] = number(parent, tag, label), outside, cued
         return known
 
-    def read(self, html: str) -> tuple[list[tuple[int, int]], list[tuple]]:
-        """Elements as (path, parent path) and texts as (block, path, container, outside, in article, text).
+    def read(self, html: str) -> tuple[list[tuple[int, int]], list[tuple], list[tuple[int, bool]]]:
+        """Elements as (path, parent path), texts as (block, path, node, outside, in article, text), nodes.
 
-        The path is a number of the tags and classes down to the element; the container is the path
-        of the element that holds the block. Text of a block comes in page order, decoded, inline
-        markup cut out.
+        The path is a number of the tags and classes down to the element. Nodes are the elements that
+        can hold text, as (number of the node around it, has a cue), from 1 in page order; cues do not
+        count for ``outside``. Text of a block comes in page order, decoded, inline markup cut out.
         """
-        elements, texts = [], []
-        stack: list[tuple[str, int, bool, bool, bool]] = [("", 0, False, False, False)]  # tag, path, outside, in article, block
+        elements, texts, nodes = [], [], [(0, False)]
+        stack: list[tuple[str, int, bool, bool, bool, int]] = [("", 0, False, False, False, 0)]  # tag, path, outside, in article, block, node
         block = 0
         for m in TOKEN.finditer(html):
             whole = m[0]
             if whole[0] != "<" or whole == "<":
-                tag, path, outside, inside, _ = stack[-1]
-                container = 0
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][4]:
-                        container = stack[i - 1][1] if stack[i][0] in LEAVES else stack[i][1]
-                        break
-                texts.append((block, path, container, outside, inside, unescape(whole)))
+                _, path, outside, inside, _, node = stack[-1]
+                texts.append((block, path, node, outside, inside, unescape(whole)))
                 continue
             name = m[3] or m[6]
             if not name:  # a comment, a declaration or an element whose text is no text
@@ -108,7 +102,8 @@ class Reader:
                     block += tag in BLOCKS
                 continue
             if tag == "br":
-                texts.append((block, *stack[-1][1:2], 0, stack[-1][2], stack[-1][3], " "))
+                _, path, outside, inside, _, node = stack[-1]
+                texts.append((block, path, node, outside, inside, " "))
             if tag in BLOCKS:
                 block += 1
                 closed = CLOSED_BY.get(tag, ())
@@ -119,9 +114,10 @@ class Reader:
                             break
                     elif stack[i][4] and (not closed or stack[i][0] in SCOPES.get(tag, ())):
                         break
-            _, parent, outside, inside, _ = stack[-1]
-            path, off = self._enter(parent, tag, m[4] or m[7] or "", inside)
+            _, parent, outside, inside, _, node = stack[-1]
+            path, off, cued = self._enter(parent, tag, m[4] or m[7] or "", inside)
             elements.append((path, parent))
             if tag not in VOID and not (m[4] or m[7] or "").rstrip().endswith("/") or tag in BLOCKS - VOID:
-                stack.append((tag, path, outside or off, inside or (tag in ("article", "main") and not outside and not off), tag in BLOCKS))
-        return elements, texts
+                nodes.append((node, cued))
+                stack.append((tag, path, outside or off, inside or (tag in ("article", "main") and not outside and not off), tag in BLOCKS, len(nodes) - 1))
+        return elements, texts, nodes

@@ -221,6 +221,24 @@ def test_template_text_beside_siblings_of_its_path(spark):
     assert all(got[100 + i] == f"first {max(i, 14)}\n\nlast {max(i, 14)}" for i in range(28))
 
 
+def test_extraction_keeps_all_of_the_article(spark):
+    lists = "<p>p one</p><ul><li>item one<li>item two</ul><blockquote><p>quoted words</p></blockquote><table><tr><td>c1<td>c2</table><section><p>nested words</p></section>"
+    want = "p one\n\nitem one\n\nitem two\n\nquoted words\n\nc1\n\nc2\n\nnested words"
+    side = "<div class='sidebar'><p>side words</p></div>"
+    rows = [
+        (1, page(f"<div id=c>{lists}</div>{side}")),
+        (2, page(f"<div class='layout with-sidebar'><div>{lists}</div>{side}</div>")),
+        (3, page(f"<div id='page-no-comments'><article>{lists}</article></div>")),
+        (4, page(f"<form action='/'><div>{lists}</div>{side}</form>")),
+        (5, page(f"<article class=x><div class='share-box'>{lists}</div><div class='related'><p>other story</p></div></article>")),
+    ]
+    rows += [(10 + i, page(f"<div class=a><p>story {i}</p></div>" + (f"<div class=b><p>{i} has many more words than all the others</p></div>" if i % 2 else ""))) for i in range(30)]
+    pages = spark.createDataFrame([(i, f"http://{'h' if i > 9 else i}.example/", h) for i, h in rows], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in main_texts(pages).collect()}
+    assert [got[i] for i in range(1, 6)] == [want] * 5
+    assert all(got[10 + i] == f"story {i}" + (f"\n\n{i} has many more words than all the others" if i % 2 else "") for i in range(30))
+
+
 # Near duplicates
 
 
