@@ -3,7 +3,9 @@
 A fast pseudo-rotation (three rounds of random signs and a Hadamard transform) turns a unit vector, and
 the signed axis nearest to it is its bucket. Every table has a rotation of its own and holds every
 row. A query looks into the buckets of its nearest signed axes in each table and ranks what it finds
-by the inner product of the given vectors in double precision.
+by the inner product of the given vectors in double precision. The k-th best of it bounds the cosine
+that a better row of a given norm needs; rows lie in bands of norms, and in each band the query goes on
+through as many buckets as rows of that cosine ask for, or through all rows where that is less.
 """
 
 from __future__ import annotations
@@ -22,6 +24,10 @@ from seriesloom.llm.vectors import matrix, prepared_vectors
 ship(__name__)
 
 BLOCK = 4096
+#: Steps and pairs of the measured table of probes, and the share of near rows that the probes are to find.
+STEPS, PAIRS, FOUND = 32, 400, 0.97
+#: Number of the bucket that stands for all rows of a band, and the ratio of norms within a band.
+WHOLE, RATIO = -1, 1.1
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -46,39 +52,74 @@ def signed_axes(x: np.ndarray, table: int, seed: int) -> np.ndarray:
     return np.concatenate([turned, -turned], axis=1)
 
 
-def directions(x: np.ndarray, norms: np.ndarray, top: float | None, query: bool) -> np.ndarray:
-    """Unit vectors to hash. With ``top`` (the largest norm) rows get one more coordinate that makes
-    their norms equal, and queries a zero, so that the largest product is the nearest direction."""
-    if top is None:
-        return x / norms[:, None]
-    extra = np.zeros(len(x)) if query else np.sqrt(np.maximum(0.0, top * top - norms * norms))
-    return np.column_stack([x, extra]) / (norms if query else np.full(len(x), top))[:, None]
-
-
-def bucket_rows(rows: DataFrame, tables: list[int], probes: int | None, top: float | None, seed: int, query: bool) -> DataFrame:
-    """``bucket``, ``id``, ``dim`` and ``vector``: each row once for each table and probe (None: all)."""
+def probes_needed(dim: int, tables: int, seed: int) -> np.ndarray:
+    """How many buckets of every table to look into for rows at a cosine of 0, 1/STEPS, 2/STEPS ..:
+    so many that of ``PAIRS`` random pairs at that cosine the share ``FOUND`` meets in some table."""
+    rng = np.random.default_rng([seed, dim])
+    x, y = rng.normal(size=(2, PAIRS, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    y /= np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-300)
+    cosines = np.arange(STEPS) / STEPS
+    ranks = np.full((STEPS, PAIRS), 1 << 62)
+    for table in range(tables):
+        turned, across = signed_axes(x, table, seed), signed_axes(y, table, seed)
+        axis = turned.argmax(axis=1)[:, None]
+        for i, c in enumerate(cosines):
+            near = c * turned + np.sqrt(1 - c * c) * across
+            ranks[i] = np.minimum(ranks[i], (near > np.take_along_axis(near, axis, axis=1)).sum(axis=1) + 1)
+    needed = np.quantile(ranks, FOUND, axis=1, method="higher")
+    return np.maximum.accumulate(needed[::-1])[::-1]
+
+
+def bucket_rows(rows: DataFrame, tables: int, seed: int, low: int, high: int, bands: dict[int, list[tuple[int, float]]] | None = None) -> DataFrame:
+    """``bucket``, ``band``, ``id``, ``dim`` and ``vector``: each row for its nearest axes from number
+    ``low`` to before ``high`` in each table.
+
+    With ``bands`` (by length: each band and its largest norm) rows are queries and their ``bound`` the
+    score to beat: each row for the axes from ``low`` on that each band needs, or once for the bucket
+    ``WHOLE`` where all rows of the band are no more work or there is no bound.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        needs: dict[int, np.ndarray] = {}
         for batch in batches:
-            ids, dims = batch.column(0), np.array(batch.column(1).to_pylist(), dtype=np.int64)
-            norms, raw = np.array(batch.column(2).to_pylist(), dtype=np.float64), batch.column(3)
+            ids, dims, raw = batch.column(0), np.array(batch.column(1).to_pylist(), dtype=np.int64), batch.column(3)
+            norms, own, bounds = (np.array(batch.column(c).to_pylist(), dtype=np.float64) for c in (2, 4, 5))  # null is nan
+
+            def out(at: np.ndarray, bucket: np.ndarray, band: np.ndarray, dim: int) -> pa.RecordBatch:
+                of = pa.array(at)
+                columns = [pa.array(bucket.astype(np.int64)), pa.array(band.astype(np.int32)), ids.take(of), pa.array(np.full(len(at), dim, dtype=np.int32)), raw.take(of)]
+                return pa.RecordBatch.from_arrays(columns, names=["bucket", "band", "id", "dim", "vector"])
+
             for dim in np.unique(dims).tolist():
                 at = np.flatnonzero(dims == dim)
-                x = directions(matrix([raw[int(i)].as_py() for i in at], dim), norms[at], top, query)
-                for table in tables:
+                axes = 2 << max(0, dim - 1).bit_length()
+                wanted = [(own[at], np.full(len(at), min(high, axes)))]
+                if bands is not None:
+                    wanted = []
+                    if dim not in needs:
+                        needs[dim] = probes_needed(dim, tables, seed)
+                    for band, top in bands.get(dim, ()):
+                        cosine = bounds[at] / (norms[at] * top)
+                        known = cosine > 0
+                        step = np.where(known, np.minimum(np.floor(np.where(known, cosine, 0) * STEPS), STEPS - 1), 0).astype(np.int64)
+                        probes = np.where(cosine > 1 + 1e-9, 0, np.minimum(needs[dim][step], axes))
+                        whole = ~known | (tables * probes >= axes)
+                        yield out(at[whole], np.full(whole.sum(), WHOLE), np.full(whole.sum(), band), dim)
+                        wanted.append((np.full(len(at), band), np.where(whole, 0, probes)))
+                if not any((count > low).any() for _, count in wanted):
+                    continue
+                x = matrix([raw[int(i)].as_py() for i in at], dim) / norms[at][:, None]
+                for table in range(tables):
                     near = signed_axes(x, table, seed)
-                    count = near.shape[1] if probes is None else min(probes, near.shape[1])
-                    axes = np.argsort(-near, axis=1, kind="stable")[:, :count] if count > 1 else near.argmax(axis=1)[:, None]
-                    rows_of = pa.array(np.repeat(at, count))
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array((table * near.shape[1] + axes).ravel().astype(np.int64)), ids.take(rows_of),
-                            pa.array(np.full(len(rows_of), dim, dtype=np.int32)), raw.take(rows_of),
-                        ],
-                        names=["bucket", "id", "dim", "vector"],
-                    )
+                    nearest = near.argmax(axis=1)[:, None] if high == 1 and bands is None else np.argsort(-near, axis=1, kind="stable")
+                    for band, count in wanted:
+                        number = np.arange(nearest.shape[1])
+                        r, c = np.nonzero((number >= low) & (number < count[:, None]))
+                        yield out(at[r], table * axes + nearest[r, c], band[r], dim)
 
-    return rows.select("key", "dim", "norm", "vector").mapInArrow(run, "bucket long, id long, dim int, vector binary")
+    return rows.select("key", "dim", "norm", "vector", "band", "bound").mapInArrow(run, "bucket long, band int, id long, dim int, vector binary")
 
 
 def _best(scores: np.ndarray, own: np.ndarray, k: int) -> np.ndarray:
@@ -91,13 +132,12 @@ def _best(scores: np.ndarray, own: np.ndarray, k: int) -> np.ndarray:
     return np.flatnonzero(~own)
 
 
-def found_in_buckets(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+def found_in_buckets(index: DataFrame, queries: DataFrame, k: int, keys: list[str]) -> DataFrame:
     """``query_id``, ``id``, ``score``: each query's ``k`` best in every bucket it looks into.
 
-    A bucket is cut by hash into blocks of about ``BLOCK`` rows and ``BLOCK`` queries, from counts, so
+    ``keys`` say what a bucket is, the vectors' length among them. A bucket is cut by hash into blocks of about ``BLOCK`` rows and ``BLOCK`` queries, from counts, so
     that a common vector or a common query does not meet in one task.
     """
-    keys = ["dim", "bucket"]
     blocks = [x.groupBy(*keys).agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias(n)) for x, n in ((index, "rows_in"), (queries, "queries_in"))]
     sizes = small(stored(blocks[0].join(blocks[1], keys), "blocks"), 48)
     number = F.pmod(F.xxhash64("id"), F.col("rows_in")).alias("r"), F.pmod(F.xxhash64("id"), F.col("queries_in")).alias("q")
@@ -133,28 +173,40 @@ def nearest_neighbours(
     """``query_id``, ``rank`` (from 1), ``id`` and ``score`` of each query's ``k`` nearest rows found.
 
     ``is_query`` is a condition on ``key``. Candidates are all rows but those with the query's own key;
-    nearness is the largest inner product, ties go to the smaller key. With ``tables`` times
-    ``probes`` as given, recall on 64 dimensions without any structure is 0.95 on 500 rows, 0.97 on
-    2,000 and 0.99 on 10,000; clustered vectors do better. A query that finds fewer than ``k`` looks into all buckets of one table, which
-    hold every row, so it gets all there are. Vectors that are null, empty or zero or hold null or
-    non-finite components take no part, nor do rows with a null key; vectors of another length are
-    no candidates. Repeated keys are one query and one candidate each. No rows give no rows.
+    nearness is the largest inner product, ties go to the smaller key. The k-th best row found with
+    ``tables`` times ``probes`` sets how many buckets are looked into in each band of norms, from a table
+    measured for the vectors' length, so that any row of the true ``k`` best is found with a chance of
+    about ``FOUND`` at least; the less structure and the more dimensions, the more rows are compared, up to
+    all of them. A query that finds fewer than ``k`` is compared with every row, so it gets all there
+    are. Vectors that are null, empty or zero or hold null or non-finite components take no part, nor do
+    rows with a null key; vectors of another length are no candidates. Repeated keys are one query and
+    one candidate each. No rows give no rows.
     """
     rows = prepared_vectors(table.where(F.col(key).isNotNull()), key, vector)
-    rows = stored(rows.where("vector is not null").withColumn("key", F.col("key").cast("long")), "vectors")
-    low, high = rows.agg(F.min("norm"), F.max("norm")).first()
-    top = None if low is None or high <= low * 1.001 else high
-    every = list(range(tables))
-    index = stored(bucket_rows(rows, every, 1, top, seed, False), "index")
+    band = F.floor(F.log("norm") / float(np.log(RATIO))).cast("int")
+    rows = rows.where("vector is not null").withColumn("key", F.col("key").cast("long")).withColumn("band", band)
+    rows = stored(rows.withColumn("bound", F.lit(None).cast("double")), "vectors")
+    index = stored(bucket_rows(rows, tables, seed, 0, 1), "index")
     queries = rows.where(is_query(F.col("key")))
-    asked = stored(bucket_rows(queries, every, probes, top, seed, True), "probes")
-    found = stored(found_in_buckets(index, asked, k), "found")
-
-    got = found.groupBy("query_id").agg(F.count_distinct("id").alias("got"))
-    short = stored(queries.join(got, queries["key"] == got["query_id"], "left").where(F.coalesce("got", F.lit(0)) < k).select(queries["*"]), "short")
-    if short.take(1):
-        again = bucket_rows(short, [0], None, top, seed, True)
-        found = found.union(found_in_buckets(index, again, k))
+    asked = stored(bucket_rows(queries, tables, seed, 0, probes), "probes")
+    found = stored(found_in_buckets(index, asked, k, ["dim", "bucket"]), "found")
+
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    once = found.repartition("query_id").groupBy("query_id", "id").agg(F.max("score").alias("score"))
-    return once.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
+
+    def ranked(pairs: DataFrame) -> DataFrame:
+        once = pairs.repartition("query_id").groupBy("query_id", "id").agg(F.max("score").alias("score"))
+        return once.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
+    bounds = ranked(found).where(F.col("rank") == k).select("query_id", F.col("score").alias("bound"))
+    bounded = queries.drop("bound").join(bounds, queries["key"] == bounds["query_id"], "left")
+    bands: dict[int, list[tuple[int, float]]] = {}
+    for r in rows.groupBy("dim", "band").agg(F.max("norm").alias("top")).collect():
+        bands.setdefault(r["dim"], []).append((r["band"], r["top"]))
+    more = stored(bucket_rows(bounded, tables, seed, probes, 0, bands), "more")
+    whole, some = more.where(F.col("bucket") == WHOLE), more.where(F.col("bucket") != WHOLE)
+    if some.take(1):
+        found = found.union(found_in_buckets(index, some, k, ["dim", "band", "bucket"]))
+    if whole.take(1):
+        every = rows.select(F.col("key").alias("id"), "dim", "band", "vector")
+        found = found.union(found_in_buckets(every, whole, k, ["dim", "band"]))
+    return ranked(found).select("query_id", "rank", "id", "score")

@@ -379,6 +379,25 @@ def test_neighbours_of_unequal_norms_and_copies(spark, monkeypatch):
     assert hits / (45 * 20) >= 0.9
 
 
+@pytest.mark.parametrize("dim, norms", [(64, "outlier"), (64, 0.1), (64, 0.3), (64, 1.0), (128, None), (256, None)])
+def test_recall_without_structure(spark, dim, norms):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(3000, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if norms == "outlier":
+        x[17] *= 3
+    elif norms:
+        x *= rng.lognormal(0, norms, (len(x), 1))
+    x = x.astype(np.float32)
+    got = nearest_neighbours(vector_table(spark, [(i, v.tolist()) for i, v in enumerate(x)], ()), "vec_id", "embedding", lambda k: k % 20 == 0).collect()
+    d, hits = x.astype(np.float64), 0
+    for q in range(0, 3000, 20):
+        score = (d * d[q]).sum(axis=1)
+        score[q] = -np.inf
+        hits += len({r.id for r in got if r.query_id == q} & set(np.argsort(-score)[:20].tolist()))
+    assert hits / (150 * 20) >= 0.9
+
+
 # Mixing
 
 
