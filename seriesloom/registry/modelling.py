@@ -473,22 +473,17 @@ def softmax_history(spark, d):
     return classify.objective_history(model, spark)
 
 
-def _dense_rows(spark, d):
-    rows = read_table(spark, d, "supplier").select("s_suppkey", "s_acctbal", F.length("s_name").cast("double").alias("letters"), F.col("s_nationkey").cast("string").alias("nation"))
-    return species.multi_rows(rows, "nation", ["s_acctbal", "letters"], "s_suppkey", SEED, valid=True)[0]
-
-
 @query()
 def dense_network(spark, d):
     """Five dense layouts, each stopped on the validation part: accuracy of the three parts."""
-    scores, _ = species.dense_fits(_dense_rows(spark, d), ["s_acctbal", "letters"])
+    scores, _ = species.dense_fits(_orders_by_status(spark, d, valid=True)[0], _STATUS_COLUMNS)
     return scores.select("layout", "split", "n", F.round("accuracy", 4).alias("accuracy"))
 
 
 @query()
 def dense_history(spark, d):
     """Training and validation loss of the five dense layouts per round."""
-    return species.dense_fits(_dense_rows(spark, d), ["s_acctbal", "letters"])[1]
+    return species.dense_fits(_orders_by_status(spark, d, valid=True)[0], _STATUS_COLUMNS)[1]
 
 
 # With one indicator per category and no penalty, the fitted probabilities are the class shares.

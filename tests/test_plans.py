@@ -118,3 +118,21 @@ def test_dense_layouts_stop_on_the_validation_part(spark):
         best = min(r["valid_loss"] for r in losses)
         assert [r["valid_loss"] for r in losses if r["is_best"]] == [best]
         assert len(losses) == 6 or losses[-1]["round"] == next(r["round"] for r in losses if r["is_best"]) + 2
+
+
+def test_dense_queries_train_on_all_orders(spark, monkeypatch):
+    from seriesloom.registry import modelling
+
+    seen = []
+
+    def fits(rows, columns):
+        seen.append((rows.count(), rows.select("label").distinct().count(), sorted(r[0] for r in rows.select("split").distinct().collect()), columns))
+        return spark.createDataFrame([(1, "test", 1, 0.5)], "layout int, split string, n long, accuracy double"), None
+
+    monkeypatch.setattr(modelling.species, "dense_fits", fits)
+    folder = "/root/testdata/sf0.001"
+    modelling.dense_network(spark, folder)
+    modelling.dense_history(spark, folder)
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    want = (orders.count(), orders.select("o_orderstatus").distinct().count(), ["test", "train", "valid"], ["o_totalprice", "month", "year"])
+    assert seen == [want, want]
