@@ -299,14 +299,14 @@ def near_duplicates(docs: DataFrame, key: str, text: str, width: int = 5, num: i
 def one_of_each(docs: DataFrame, key: str, text: str, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """The rows of ``docs`` that stay when each group of near duplicates keeps its smallest key.
 
-    Rows that share a key are one document, and the smallest of them by its columns stays. Rows with a
-    null key take no part and stay.
+    Each row is a document of its own, whatever other rows have its key. Null keys come last; of rows
+    with one key the smallest by a hash of its columns stays. Rows without words all stay.
     """
-    found = stored(near_duplicates(docs, key, text, width, num, den).groupBy(key).agg(F.max("kept").alias("kept"), F.count("*").alias("rows")), "kept")
-    stay = docs.join(small(found.where(~F.col("kept")).select(key), 24), key, "left_anti").select(docs.columns)
-    repeated = found.where(F.col("kept") & (F.col("rows") > 1)).select(key)
-    if not repeated.take(1):
-        return stay
-    repeated = small(repeated, 24)
-    smallest = stay.join(repeated, key, "left_semi").groupBy(F.col(key).alias("of")).agg(F.min(F.struct(*docs.columns)).alias("row"))
-    return stay.join(repeated, key, "left_anti").select(docs.columns).union(smallest.select("row.*"))
+    numbered = stored(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")), "numbered")
+    found = near_duplicates(numbered.select("row", F.col("doc").getField(text).alias("text")), "row", "text", width, num, den)
+    own = F.col("doc").getField(key)
+    place = F.struct(own.isNull().alias("no_key"), own.alias("key"), F.xxhash64("doc").alias("hash"), "row")
+    placed = stored(found.select("row", "component_id").join(numbered.select("row", place.alias("place")), "row"), "places")
+    first = placed.groupBy("component_id").agg(F.min("place")["row"].alias("row"))
+    others = stored(placed.select("row").join(first.select("row"), "row", "left_anti"), "others")
+    return numbered.join(small(others, 24), "row", "left_anti").select("doc.*")

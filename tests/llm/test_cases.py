@@ -253,6 +253,16 @@ def test_dedup_cases(spark, odd, nothing):
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in stay.collect()) == [(False, i) for i in range(1, 7)] + [(True, 0)]
 
 
+def test_one_of_each_decides_by_row(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(3, a), (7, a + " more"), (7, b), (7, b + " more")] + [(9, f"{i} " + " ".join(f"u{i}v{j}" for j in range(20))) for i in range(30)]
+    rows += [(None, c), (None, c + " more"), (None, a), (None, None), (9, None), (9, None)]
+    stay = [(r.doc_id, r.text) for r in one_of_each(documents(spark, rows, CLASH), "doc_id", "text").collect()]
+    assert (3, a) in stay and not {(7, a + " more"), (None, a)} & set(stay)
+    assert len({(7, b), (7, b + " more")} & set(stay)) == 1 and len({(None, c), (None, c + " more")} & set(stay)) == 1
+    assert sum(k == 9 for k, _ in stay) == 32 and len(stay) == 1 + 1 + 32 + 2
+
+
 def edited(rng, words, share):
     return [f"new{rng.randint(0, 10**6)}" if rng.random() < share else w for w in words]
 
