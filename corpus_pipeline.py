@@ -41,8 +41,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per piece of a document, with its place in a sequence of 4096 tokens."""
-    return packed_documents(docs, "doc_id", "text", tokenizer_path(), ids=False)
+    """One row per piece of a document: its token ids and their place in a sequence of 4096."""
+    return packed_documents(docs, "doc_id", "text", tokenizer_path())
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("personal_data", personal_data), ("mix", mix), ("packing", packing)]

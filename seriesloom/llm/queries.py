@@ -104,8 +104,8 @@ def op2_jump_shards(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def op3_anchor_pii(spark: SparkSession, d: str) -> DataFrame:
     """Personal data in every document."""
-    found = personal_data(read_table(spark, d, "documents"), "doc_id", "text", redacted=False)
-    return found.select("doc_id", *COUNTS, "base_sha256", "spans")
+    found = personal_data(read_table(spark, d, "documents"), "doc_id", "text")
+    return found.select("doc_id", *COUNTS, "base_sha256", "spans", "cleaned")
 
 
 @query()
@@ -183,5 +183,5 @@ def op9_systematic_mix(spark: SparkSession, d: str) -> DataFrame:
 def op10_vector_packing(spark: SparkSession, d: str) -> DataFrame:
     """All documents packed into sequences of 4096 tokens, one row per piece."""
     docs = read_table(spark, d, "documents").select("doc_id", "text")
-    packed = packed_documents(docs, "doc_id", "text", tokenizer_path(), ids=False)
-    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    packed = packed_documents(docs, "doc_id", "text", tokenizer_path())
+    return packed.select("doc_id", "start", "length", "ids", "ids_crc32", "doc_tokens", "sequence_id", "offset")

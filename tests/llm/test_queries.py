@@ -248,3 +248,16 @@ def test_pipeline(spark):
     packed = p.packing(spark, docs, FOLDER).collect()
     assert sum(r.start == 0 for r in packed) == len(kept[3][2])
     assert entry.queries()["pipeline"](spark, FOLDER).count() == len(packed)
+
+
+def test_outputs_hold_their_payload(spark):
+    import zlib
+
+    import corpus_pipeline as p
+
+    for r in rows(spark, "op10_vector_packing"):
+        assert len(r.ids) == r.length and zlib.crc32(np.array(r.ids, dtype="<u4").tobytes()) == r.ids_crc32
+    assert "ids" in p.packing(spark, table(spark, "documents"), "").columns
+    text = texts(spark)
+    for r in rows(spark, "op3_anchor_pii"):
+        assert (r.cleaned == text[r.doc_id]) == (r.spans == "")
