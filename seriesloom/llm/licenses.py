@@ -1,6 +1,7 @@
 """Licence scan: normalised text against licence templates by Dice coefficient over word bigrams.
 
-A unit of text (the whole document, a paragraph, a line) and a template are sets of word pairs. Twice
+A unit of text (the whole document, a paragraph, a line, or sentences in a row within a paragraph, however
+its lines are broken) and a template are sets of word pairs. Twice
 the shared pairs over the sum of both sizes must reach the threshold ``t``. That needs a unit of
 ``t / (2 - t)`` to ``(2 - t) / t`` times the template's size, so most pairs are settled by size alone.
 """
@@ -75,6 +76,36 @@ warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Gen
         "MPL-2.0",
         """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the
 MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    ),
+    ("all-rights-reserved", "All rights reserved."),
+    (
+        "BSD-3-Clause",
+        """Redistribution and use in source and binary forms, with or without modification, are permitted provided that
+the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+products derived from this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,
+WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    ),
+    (
+        "Unlicense",
+        """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or
+as a compiled binary, for any purpose, commercial or non-commercial, and by any means.""",
     ),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
@@ -88,6 +119,7 @@ PLAIN = bytes(
     b + 32 if 65 <= b <= 90 else b if b == 10 or 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32 for b in range(256)
 )
 GAP = re.compile(rb"\n(?:[ ]*\n)+")
+STOP = re.compile(rb"[.!?][\"')\]]*(?=\s)")
 
 
 def pairs(unit: bytes) -> set[tuple[bytes, bytes]]:
@@ -106,33 +138,71 @@ def prepared(templates: Sequence[tuple[str, str]]) -> list[tuple[int, str, froze
     return sorted(units, key=lambda u: (u[0], u[1], sorted(u[2])))
 
 
-def units(plain: bytes) -> Iterator[tuple[int, bytes]]:
-    """(number of the first line, text) of the document, its paragraphs and its lines."""
-    yield 0, plain
-    if b"\n" not in plain:
-        return
-    at = line = 0
+def paragraphs(plain: bytes) -> list[tuple[int, int, int]]:
+    """(number of the first line, first and last+1 byte) of every paragraph."""
+    found, at, line = [], 0, 0
     for m in GAP.finditer(plain):
-        yield line, plain[at : m.start()]
+        found.append((line, at, m.start()))
         line += plain.count(b"\n", at, m.end())
         at = m.end()
-    if at:
-        yield line, plain[at:]
-    yield from enumerate(plain.split(b"\n"))
+    return [*found, (line, at, len(plain))]
+
+
+def units(plain: bytes, parts: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int]]:
+    """(number of the first line, first and last+1 byte) of the document, its paragraphs and its lines."""
+    yield 0, 0, len(plain)
+    if b"\n" not in plain:
+        return
+    if len(parts) > 1:
+        yield from parts
+    at = 0
+    for line, text in enumerate(plain.split(b"\n")):
+        yield line, at, at + len(text)
+        at += len(text) + 1
+
+
+def sentence_runs(raw: bytes, plain: bytes, part: tuple[int, int, int], template: frozenset, threshold: float) -> Iterator[tuple[float, int, int, int]]:
+    """(coefficient, line, first and last+1 byte) of the sentences in a row of a paragraph that match."""
+    line, start, end = part
+    cuts = [start, *(m.end() for m in STOP.finditer(raw, start, end)), end]
+    longest = len(template) * (2 - threshold) / threshold
+    for i, a in enumerate(cuts[:-1]):
+        for b in cuts[i + 1 :]:
+            have = pairs(plain[a:b])
+            if len(have) > longest:
+                break
+            shared = len(have & template)
+            if 2 * shared >= threshold * (len(have) + len(template)) - 1e-9:
+                at = a + len(raw[a:b]) - len(raw[a:b].lstrip())
+                yield 2 * shared / (len(have) + len(template)), line + plain.count(b"\n", start, at), at, b
 
 
 def scan_text(text: str, templates: list, sizes: list[int], threshold: float) -> dict[str, tuple[float, int, set[int]]]:
-    """Per licence the best coefficient, its first line, and the first lines of all matching units."""
+    """Per licence the best coefficient, its first line, and the first lines of all matching units.
+
+    Sentences count where no larger unit of that licence lies.
+    """
     low, high = threshold / (2 - threshold), (2 - threshold) / threshold
     # A unit's words outnumber its bigrams by repeats only, so few words rule a unit out, many do not;
     # but bytes bound the bigrams of short units from above.
     least = math.ceil(sizes[0] * low - 1e-9)
     longest = sizes[-1] * high
     found: dict[str, tuple[float, int, set[int]]] = {}
-    for line, unit in units(text.encode().translate(PLAIN)):
-        if len(unit) < 2 * least:
+    covered: dict[str, list[tuple[int, int]]] = {}
+
+    def take(name: str, dice: float, line: int, start: int, end: int) -> None:
+        best, at, lines = found.get(name, (0.0, 0, set()))
+        lines.add(line)
+        found[name] = (dice, line, lines) if (-dice, line) < (-best, at) else (best, at, lines)
+        covered.setdefault(name, []).append((start, end))
+
+    raw = text.encode()
+    plain = raw.translate(PLAIN)
+    parts = paragraphs(plain)
+    for line, start, end in units(plain, parts):
+        if end - start < 2 * least:
             continue
-        have = pairs(unit)
+        have = pairs(plain[start:end])
         n = len(have)
         if n < least or n > longest:
             continue
@@ -140,10 +210,15 @@ def scan_text(text: str, templates: list, sizes: list[int], threshold: float) ->
         for size, name, template in templates[first : bisect_right(sizes, math.ceil(n * high - 1e-9))]:
             shared = len(have & template)
             if 2 * shared >= threshold * (n + size) - 1e-9:
-                dice = 2 * shared / (n + size)
-                best, at, lines = found.get(name, (0.0, 0, set()))
-                lines.add(line)
-                found[name] = (dice, line, lines) if (-dice, line) < (-best, at) else (best, at, lines)
+                take(name, 2 * shared / (n + size), line, start, end)
+    whole = pairs(plain)
+    near = [t for t in templates if len(whole & t[2]) >= t[0] * low - 1e-9]
+    for part in parts if near else ():
+        have = pairs(plain[part[1] : part[2]])
+        runs = [(-dice, line, a, b, name) for size, name, t in near if len(have & t) >= size * low - 1e-9 for dice, line, a, b in sentence_runs(raw, plain, part, t, threshold)]
+        for dice, line, a, b, name in sorted(runs):
+            if all(b <= x or y <= a for x, y in covered.get(name, ())):
+                take(name, -dice, line, a, b)
     return found
 
 

@@ -64,6 +64,13 @@ def test_license_cases(spark, odd, nothing):
     )
 
 
+def test_license_notices_within_paragraphs(spark):
+    rows = [(1, "Words first.\nAll rights reserved.\nmore"), (2, "We like words here. Released under the MIT License. And some more words follow."), (3, "A first sentence that is\nlong. Released under the\nMIT License. The end of\nthe text")]
+    rows += [(4, "It has all rights. Reserved seats are here."), (5, "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.")]
+    got = license_scan(documents(spark, rows), "doc_id", "text").collect()
+    assert pick(got, "doc_id", "license", "first_line", "n_places") == [(1, "all-rights-reserved", 1, 1), (2, "MIT", 0, 1), (3, "MIT", 1, 1), (5, "BSD-3-Clause", 0, 1)]
+
+
 def test_license_near_miss(spark):
     near = "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with this License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"
     assert [r.license for r in license_scan(documents(spark, [(1, near)]), "doc_id", "text").collect()] == ["Apache-2.0"]
