@@ -117,7 +117,7 @@ def find_spans(text: str, automaton) -> list[tuple[int, int, int]]:
                     start -= 1
                 if m := QUAD.match(text, start):
                     done["ip"] = m.end()
-                    if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+                    if all(len(p) <= 3 and int(p or 0) <= 255 for p in (q.lstrip("0") for q in m[0].split("."))):
                         add("ip", start, m.end())
         elif hit == "phone":
             if at >= done["phone"] and (m := PHONE.match(text, at)):
@@ -155,9 +155,9 @@ def find_spans(text: str, automaton) -> list[tuple[int, int, int]]:
                     add("address", start, m.end())
                     done["address"] = m.end()
                     break
-        elif not _word_before(text, at):
+        elif at >= done[hit] and not _word_before(text, at):
             m = (ACCOUNT if hit == "account" else SECRET).match(text, last + 1)
-            if m and m.start(1) >= done[hit]:
+            if m:
                 add(hit, *m.span(1))
                 done[hit] = m.end(1)
     out.sort()

@@ -135,7 +135,7 @@ def test_added_kinds():
 
 
 def test_base_kinds_like_regular_expressions():
-    from test_queries import base_spans
+    from test_llm_queries import base_spans
 
     found, rng = anchors(), random.Random(5)
     for _ in range(20_000):
@@ -144,6 +144,19 @@ def test_base_kinds_like_regular_expressions():
         assert [s for s in joined(find_spans(text, found)).split(",") if s and s.split(":")[0] in ("email", "ip", "card", "phone")] == base_spans(text), text
 
 
+def test_hostile_texts_take_linear_time():
+    import time
+
+    found = anchors()
+    started = time.time()
+    assert joined(find_spans("0" * 5000 + "1.1.1.1", found)) == "ip:0:5007"
+    assert joined(find_spans("256." + "0" * 1_000_000 + ".1.1", found)) == ""
+    assert len(find_spans("token=" * 170_000, found)) == 1
+    for piece in ("account ", "a@", "1.2.", "+1 ", "x://y:", "IBAN GB", "12 Old Street"):
+        find_spans(piece * (1_000_000 // len(piece)), found)
+    assert time.time() - started < 40
+
+
 # Quality
 
 
