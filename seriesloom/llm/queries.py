@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesloom.llm.cotraining import fit_views, score_quality
+from seriesloom.llm.divergence import divergence_audit
 from seriesloom.llm.extraction import main_texts
+from seriesloom.llm.infilling import infilled, restored
 from seriesloom.llm.licenses import TEMPLATES, THRESHOLD, license_scan
 from seriesloom.llm.minhash import near_duplicates
 from seriesloom.llm.mixing import systematic_copies, word_count
@@ -185,3 +187,82 @@ def op10_vector_packing(spark: SparkSession, d: str) -> DataFrame:
     docs = read_table(spark, d, "documents").select("doc_id", "text")
     packed = packed_documents(docs, "doc_id", "text", tokenizer_path())
     return packed.select("doc_id", "start", "length", "ids", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+_UNITS = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+"
+_INFILL = rf"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_UNITS}') AS u,
+         sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest
+  FROM documents),
+drawn AS (
+  SELECT doc_id, text, u, CAST(len(u) AS BIGINT) AS n,
+         list_transform([1, 9, 17, 25], lambda i: CAST(('0x' || substr(digest, i, 8)) AS BIGINT)) AS h
+  FROM cut),
+placed AS (
+  SELECT doc_id, text, u, n, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 50 THEN 'plain'
+              WHEN h[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn),
+joined AS (
+  SELECT doc_id, text, n, form, coalesce(array_to_string(u[1:a], ''), '') AS p, coalesce(array_to_string(u[a + 1:b], ''), '') AS m,
+         coalesce(array_to_string(u[b + 1:n], ''), '') AS s
+  FROM placed)
+SELECT doc_id, n, form,
+       CAST(CASE WHEN form <> 'plain' THEN length(p) END AS BIGINT) AS prefix_chars,
+       CAST(CASE WHEN form <> 'plain' THEN length(m) END AS BIGINT) AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM joined"""
+
+
+@query(_INFILL)
+def op11_infilling(spark: SparkSession, d: str) -> DataFrame:
+    """Fill-in-the-middle form of every document, by digests of the output and of the text rebuilt from it."""
+    made = infilled(read_table(spark, d, "documents"), "doc_id", "text")
+    digest = F.sha2(F.col("output").cast("binary"), 256)
+    rebuilt = F.sha2(restored(F.col("output"), F.col("form")).cast("binary"), 256)
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest.alias("output_sha256"), rebuilt.alias("restored_sha256"))
+
+
+_DIVERGENCE = r"""
+WITH given AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents),
+words AS (
+  SELECT doc, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM given),
+kept AS (
+  SELECT lang, term, CAST(count(*) AS HUGEINT) AS total FROM words GROUP BY lang, term HAVING count(DISTINCT doc) >= 30),
+groups AS (SELECT DISTINCT lang, source FROM given),
+counted AS (SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY lang, source, term),
+cells AS (
+  SELECT g.lang, g.source, k.term, CAST(coalesce(c.n, 0) AS HUGEINT) AS n, k.total
+  FROM groups g JOIN kept k ON g.lang = k.lang
+  LEFT JOIN counted c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+rated AS (
+  SELECT *, 1 + (1000000000 * (n + 5)) // (sum(n) OVER w + 5 * count(*) OVER w) AS p,
+         1 + (1000000000 * (total + 5)) // (sum(total) OVER w + 5 * count(*) OVER w) AS q
+  FROM cells WINDOW w AS (PARTITION BY lang, source)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(sum(abs(a.p - b.p)) AS BIGINT) AS value
+  FROM rated a JOIN rated b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+every_pair AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(p.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source),
+terms AS (
+  SELECT lang, source, term AS item, CAST(p - q AS BIGINT) AS value FROM rated WHERE n > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value,
+       CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM every_pair
+UNION ALL
+SELECT lang, source, 'term' AS part, item, value, rank FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM terms)
+WHERE rank <= 50"""
+
+
+@query(_DIVERGENCE)
+def op13_divergence_audit(spark: SparkSession, d: str) -> DataFrame:
+    """How the sources of each language differ in their terms, and the terms that tell each source."""
+    return divergence_audit(read_table(spark, d, "documents"), "text", "lang", "source")
