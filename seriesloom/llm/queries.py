@@ -18,6 +18,7 @@ from seriesloom.llm.neighbours import nearest_neighbours
 from seriesloom.llm.packing import packed_documents
 from seriesloom.llm.pii import COUNTS, personal_data
 from seriesloom.llm.sharding import shard_rows
+from seriesloom.llm.substrings import without_repeats
 from seriesloom.llm.vector_dedup import near_duplicate_vectors
 from seriesloom.sources.readers import read_table
 
@@ -266,3 +267,11 @@ WHERE rank <= 50"""
 def op13_divergence_audit(spark: SparkSession, d: str) -> DataFrame:
     """How the sources of each language differ in their terms, and the terms that tell each source."""
     return divergence_audit(read_table(spark, d, "documents"), "text", "lang", "source")
+
+
+@query()
+def op12_repeated_passages(spark: SparkSession, d: str) -> DataFrame:
+    """Every document without the bytes of strings of 400 bytes that occur elsewhere too."""
+    left = without_repeats(read_table(spark, d, "documents"), "doc_id", "text")
+    spans, digest = F.size("spans").cast("long"), F.sha2("kept", 256)
+    return left.select("doc_id", "n_bytes", "n_removed", spans.alias("n_spans"), digest.alias("kept_sha256"))
