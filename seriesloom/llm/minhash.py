@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesloom.llm.common import batches, parts, ship, small, stored
@@ -179,28 +179,42 @@ def similar(members: list[np.ndarray], queries: list[np.ndarray], num: int, den:
     return mask
 
 
-def group_links(groups: DataFrame, asked: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links ``a``, ``b`` between the classes asked of a home and the members of that home.
+def in_blocks(left: DataFrame, right: DataFrame, by: str, run, schema: str, sets: DataFrame | None = None, load: Column | None = None) -> DataFrame:
+    """``run`` on blocks of the rows of ``left`` and ``right`` that agree in ``by``, every block with every other.
 
-    Both tables have ``cid``, ``home``, ``part`` and the set size ``n``; two classes of one part need
-    no link. Members and queries of a home are cut into blocks by counts, so a home of any size is
-    spread, and of the links between two blocks only enough to span them are returned.
+    Both tables have ``cid``. The rows of a group are cut into blocks by counts and by ``load`` (the set size
+    ``n`` unless given), so a group of any size is spread; groups of one block each share lots of about a
+    block, since most are a few rows.
+    ``run`` gets all columns, and the ``shingles`` of each ``cid`` where ``sets`` are given.
     """
-    blocks = F.ceil(F.greatest(F.sum("n") / F.lit(float(BLOCK_SHINGLES)), F.count("*") / F.lit(float(BLOCK_ROWS))))
-    sizes = [x.groupBy("home").agg(blocks.alias(b), F.sum("n").alias(f"{b}_n"), F.count("*").alias(f"{b}_rows")) for x, b in ((groups, "ms"), (asked, "qs"))]
-    sizes = stored(sizes[0].join(sizes[1], "home"), "blocks")
-    # Homes of one block each share lots of about a block, since most are a few rows.
+    load = F.col("n") if load is None else load
+    blocks = F.ceil(F.greatest(F.sum(load) / F.lit(float(BLOCK_SHINGLES)), F.count("*") / F.lit(float(BLOCK_ROWS))))
+    sizes = [x.groupBy(by).agg(blocks.alias(b), F.sum(load).alias(f"{b}_n"), F.count("*").alias(f"{b}_rows")) for x, b in ((left, "ms"), (right, "qs"))]
+    sizes = stored(sizes[0].join(sizes[1], by), "blocks")
     whole = sizes.where("ms = 1 and qs = 1").agg(F.sum(F.col("ms_n") + F.col("qs_n")).alias("n"), F.sum(F.col("ms_rows") + F.col("qs_rows")).alias("rows")).first()
     lots = max(parts(whole["n"] or 0, BLOCK_SHINGLES), parts(whole["rows"] or 0, BLOCK_ROWS))
     large = (F.col("ms") > 1) | (F.col("qs") > 1)
-    sizes = sizes.select("home", "ms", "qs", large.alias("large"), F.when(large, F.col("home")).otherwise(F.pmod(F.xxhash64("home"), F.lit(lots))).alias("lot"))
+    sizes = sizes.select(by, "ms", "qs", large.alias("large"), F.when(large, F.col(by)).otherwise(F.pmod(F.xxhash64(by), F.lit(lots))).alias("lot"))
 
     def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
         every = F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1))
-        placed = rows.join(small(sizes, 48), "home").select("large", "lot", "home", "cid", "part", F.pmod(F.xxhash64("cid"), F.col(own)).alias(own), every.alias(other))
+        given = [c for c in rows.columns if c != by]
+        placed = rows.join(small(sizes, 48), by).select("large", "lot", by, *given, F.pmod(F.xxhash64("cid"), F.col(own)).alias(own), every.alias(other))
+        columns = ["large", "lot", "ms", "qs", by, *given]
+        if sets is not None:
+            placed, columns = placed.join(sets, "cid"), [*columns, "shingles"]
         # New columns on both sides: the tables have ancestors in common.
-        columns = ("large", "lot", "ms", "qs", "home", "cid", "part", "shingles")
-        return placed.join(sets, "cid").select(*(F.col(c).alias(c) for c in columns)).groupBy("large", "lot", "ms", "qs")
+        return placed.select(*(F.col(c).alias(c) for c in columns)).groupBy("large", "lot", "ms", "qs")
+
+    return dealt(left, "ms", "qs").cogroup(dealt(right, "qs", "ms")).applyInPandas(run, schema)
+
+
+def group_links(groups: DataFrame, asked: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links ``a``, ``b`` between the classes asked of a home and the members of that home.
+
+    Both tables have ``cid``, ``home``, ``part`` and the set size ``n``; two classes of one part need
+    no link. Of the links between two blocks only enough to span them are returned.
+    """
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = [np.zeros((2, 0), dtype=np.int64)]
@@ -214,7 +228,34 @@ def group_links(groups: DataFrame, asked: DataFrame, sets: DataFrame, num: int,
         links = np.concatenate(out, axis=1)
         return pd.DataFrame({"a": links[0], "b": links[1]})
 
-    return dealt(groups, "ms", "qs").cogroup(dealt(asked, "qs", "ms")).applyInPandas(run, "a long, b long")
+    return in_blocks(groups, asked, "home", run, "a long, b long", sets)
+
+
+def near_homes(met: DataFrame, asking: DataFrame, num: int, den: int) -> DataFrame:
+    """``a``, ``b``: the classes of ``asking`` and the homes ``met`` in a bucket whose signatures are near.
+
+    A home is near within ``most`` symbols and at sizes not too unlike for ``num / den``, and is of no use to
+    a class of the one part that all its classes in the bucket have (``p`` = ``q``). Signatures are compared
+    in the blocks; only near ones come out.
+    """
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = [np.zeros((2, 0), dtype=np.int64)]
+        homes, askers = left.groupby("bucket").indices, right.groupby("bucket").indices
+        signs, own_signs = (np.frombuffer(b"".join(x["signature"]), dtype=np.uint8).reshape(-1, SYMBOLS) for x in (left, right))
+        home, p, q, most, size = (left[c].to_numpy() for c in ("cid", "p", "q", "most", "n"))
+        cid, part, own_size = (right[c].to_numpy() for c in ("cid", "part", "n"))
+        for bucket in homes.keys() & askers.keys():
+            of = homes[bucket]
+            for i in askers[bucket]:
+                near = ((part[i] != p[of]) | (part[i] != q[of])) & (np.minimum(own_size[i], size[of]) * den >= np.maximum(own_size[i], size[of]) * num)
+                some = of[near]
+                some = some[(signs[some] != own_signs[i]).sum(axis=1) <= most[some]]
+                out.append(np.stack([np.full(len(some), cid[i]), home[some]]))
+        pairs = np.unique(np.concatenate(out, axis=1), axis=1)
+        return pd.DataFrame({"a": pairs[0], "b": pairs[1]})
+
+    return in_blocks(met, asking, "bucket", run, "a long, b long", load=F.lit(0))
 
 
 def near_duplicates(docs: DataFrame, key: str, text: str, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -270,12 +311,13 @@ def near_duplicates(docs: DataFrame, key: str, text: str, width: int = 5, num: i
         F.min("part").alias("p"), F.max("part").alias("q"), F.max(F.struct("weight", "part"))["part"].alias("main")
     )
     rows = stored(rows.join(mixed_buckets.where("p < q").select("bucket", "main"), "bucket"), "open")
-    met = rows.groupBy("bucket", F.col("home").alias("met")).agg(F.min("part").alias("p"), F.max("part").alias("q"))
-    asking = rows.where("part <> main").join(met, "bucket").where("part <> p or part <> q").select(F.col("cid").alias("a"), F.col("met").alias("b")).distinct()
     # A link lies within DISTANCE of a member, and the member within its home's radius.
     radius = homes.groupBy("home").agg((F.max("distance") + DISTANCE).alias("most"))
-    asking = asking.join(radius, asking["b"] == radius["home"], "left").select("a", "b", F.coalesce("most", F.lit(DISTANCE).cast("long")).alias("most"))
-    asking = stored(with_distance(asking, classes, num * num, den * den), "asking")
+    met = rows.groupBy("bucket", F.col("home").alias("cid")).agg(F.min("part").alias("p"), F.max("part").alias("q"))
+    met = met.join(radius.withColumnRenamed("home", "cid"), "cid", "left").withColumn("most", F.coalesce("most", F.lit(DISTANCE).cast("long")))
+    signed_classes = classes.select("cid", "n", "signature")
+    asking = rows.where("part <> main").select("bucket", "cid", "part").join(signed_classes, "cid")
+    asking = stored(near_homes(met.join(signed_classes, "cid"), asking, num * num, den * den).distinct(), "asking")
     # Classes without a home near enough are homes of themselves.
     known = placed.select("cid", "home", "part")
     asked_of = asking.select(F.col("b").alias("cid")).distinct()
