@@ -2,8 +2,9 @@
 
 A sequence is a bin with three limits: tokens, segments and loss-bearing tokens. The bin at hand takes
 the example that fits and whose demand has the largest dot product with the room left, each dimension
-weighed by its mean demand, so the scarce dimension decides. Examples are dealt into groups of bounded
-size that are packed on their own; a group leaves one sequence or so unfilled.
+weighed by its mean demand, so the scarce dimension decides. Examples are packed in lots of bounded size
+where they lie; a lot leaves one sequence or so unfilled. Where loss tokens equal tokens and segments are
+far from their limit, as for plain documents, the heuristic comes down to the longest example that fits.
 """
 
 from __future__ import annotations
@@ -16,18 +17,19 @@ from itertools import chain
 from types import ModuleType
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from seriesloom.llm.common import batches, parts, ship, stored
+from seriesloom.llm.common import batches, ship
 from seriesloom.llm.words import BYTE_VALUES, run_hashes, mixed
 
 ship(__name__)
 
-GROUP_ROWS = 16384
-GROUP_IDS = 1 << 20
+#: A lot is packed on its own: rows and filled sequences it holds at most, about, and rows looked at in a step.
+LOT_ROWS, LOT_TOKENS, LOT_STEP = 16384, 1024, 256
 WORDS_KEPT = 1_000_000
 BATCH_BYTES = 1 << 22
 PIECE = "start long, length long, ids_crc32 long, doc_tokens long"
@@ -235,36 +237,49 @@ def fill_bins(demands: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.n
 def pack(pieces: DataFrame, limits: dict[str, int]) -> DataFrame:
     """``pieces`` with the ``sequence_id`` and ``offset`` of each, under the ``limits`` by column.
 
-    The first limit is on tokens: its column gives the offsets, without gaps. Each row is an example
-    of its own, so repeated rows and keys are packed apart. A row above a limit or with a null demand
-    raises an error; an empty table gives no rows. Other columns are kept, but for any that are called
-    ``sequence_id`` or ``offset``, which are replaced.
+    The first limit is on tokens: its column gives the offsets, without gaps. Pieces are packed where they
+    lie: consecutive rows of a partition make a lot, and rows, places and ids leave in one pass without a
+    shuffle; each lot leaves a sequence or so unfilled. Each row is an example of its own, so repeated
+    rows and keys are packed apart. A row above a limit or with a null demand raises an error; an empty
+    table gives no rows. Other columns are kept, but for any that are called ``sequence_id`` or
+    ``offset``, which are replaced.
     """
-    names = [f"d{i}" for i in range(len(limits))]
-    demands = [F.col(c).cast("long").alias(n) for c, n in zip(limits, names)]
-    rows = pieces.drop("sequence_id", "offset").select(F.struct("*").alias("row"), *demands)
-    rows = stored(rows.withColumn("example", F.monotonically_increasing_id()), "pieces")
-    groups = parts(rows.count(), GROUP_ROWS)
-    rows = rows.withColumn("group", F.pmod(F.xxhash64("example"), F.lit(groups)))
     most = np.array(list(limits.values()), dtype=np.int64)
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("example", ignore_index=True)
-        demands = group[names].to_numpy(dtype=np.float64)
+    def placed(lot: pa.Table) -> Iterator[pa.RecordBatch]:
+        demands = np.stack([lot.column(2 + i).to_numpy().astype(np.float64) for i in range(len(most))], axis=1)
         if not (demands <= most).all():  # also false for a missing demand
             raise ValueError(f"an example exceeds the limits {limits}")
         bins, order = fill_bins(demands.astype(np.int64), most)
         by_bin = np.lexsort((order, bins))
-        length = group[names[0]].to_numpy(dtype=np.int64)[by_bin]
+        length = demands[:, 0].astype(np.int64)[by_bin]
         ends = np.cumsum(length)
         first = np.r_[True, bins[by_bin][1:] != bins[by_bin][:-1]]
         before = np.repeat((ends - length)[first], np.diff(np.r_[np.flatnonzero(first), len(first)]))
         offset = np.empty(len(length), dtype=np.int64)
         offset[by_bin] = ends - length - before
-        return pd.DataFrame({"example": group["example"], "sequence_id": group["group"] * GROUP_IDS + bins, "offset": offset})
+        # A lot has at most as many sequences as rows, so numbers from its first row on are its own.
+        number = lot.column(1)[0].as_py() + bins
+        whole = pa.table([lot.column(0), pa.array(number), pa.array(offset)], names=["row", "sequence_id", "offset"])
+        yield from whole.to_batches(max_chunksize=4096)
 
-    placed = rows.select("example", "group", *names).groupBy("group").applyInPandas(run, "example long, sequence_id long, offset long")
-    return rows.select("row", "example").join(placed, "example").select("row.*", "sequence_id", "offset")
+    def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows, tokens = [], 0, 0
+        for batch in tables:
+            for at in range(0, batch.num_rows, LOT_STEP):
+                some = batch.slice(at, LOT_STEP)
+                held.append(some)
+                rows, tokens = rows + some.num_rows, tokens + (pc.sum(some.column(2)).as_py() or 0)
+                if rows >= LOT_ROWS or tokens >= LOT_TOKENS * most[0]:
+                    yield from placed(pa.Table.from_batches(held))
+                    held, rows, tokens = [], 0, 0
+        if rows:
+            yield from placed(pa.Table.from_batches(held))
+
+    demands = [F.col(c).cast("long").alias(f"d{i}") for i, c in enumerate(limits)]
+    rows = pieces.drop("sequence_id", "offset").select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("example"), *demands)
+    schema = StructType([rows.schema["row"], StructField("sequence_id", LongType()), StructField("offset", LongType())])
+    return rows.mapInArrow(run, schema).select("row.*", "sequence_id", "offset")
 
 
 def packed_documents(
