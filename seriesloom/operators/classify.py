@@ -171,36 +171,6 @@ def fit_dense(
     ).fit(train)
 
 
-def log_loss(model: MultilayerPerceptronClassificationModel, rows: DataFrame, label: str = "label") -> float | None:
-    """Mean negative log probability of the true class."""
-    chance = F.get(vector_to_array("probability"), F.col(label).cast("int"))
-    return model.transform(rows).agg(F.avg(-F.log(F.greatest(chance, F.lit(1e-300))))).first()[0]
-
-
-def fit_dense_stopped(
-    train: DataFrame, valid: DataFrame, inputs: int, classes: int, hidden: Sequence[int], step: int = 50, rounds: int = 20, patience: int = 3, seed: int = 346672
-) -> tuple[MultilayerPerceptronClassificationModel, DataFrame]:
-    """Dense network trained until the validation loss has not fallen for ``patience`` rounds.
-
-    A round is ``step`` iterations that go on from the weights of the round before; at most ``rounds``
-    of them. Gives the model of the best round and the loss of both parts per round.
-    """
-    spark, weights, best, rows = train.sparkSession, None, None, []
-    for number in range(1, rounds + 1):
-        trainer = MultilayerPerceptronClassifier(layers=[inputs, *hidden, classes], maxIter=step, seed=seed)
-        if weights is not None:
-            trainer.setInitialWeights(weights)
-        model = trainer.fit(train)
-        weights = model.weights
-        rows.append((number, log_loss(model, train), log_loss(model, valid)))
-        if best is None or rows[-1][2] < rows[best[0] - 1][2]:
-            best = number, model
-        elif number - best[0] >= patience:
-            break
-    table = spark.createDataFrame([(*r, r[0] == best[0]) for r in rows], "round int, train_loss double, valid_loss double, is_best boolean")
-    return best[1], table
-
-
 def margin_grid(spark, limits: tuple[tuple[float, float], tuple[float, float]], model: LinearSVCModel | LinearWeights, names: Sequence[str], steps: int = 100) -> DataFrame:
     """Signed margin on a ``steps`` x ``steps`` grid over two features; the grid is made by Spark."""
 

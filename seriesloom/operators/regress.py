@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import SparkContext
 from pyspark.ml.regression import (
     GBTRegressionModel,
     GBTRegressor,
@@ -78,17 +79,13 @@ def fit_boosted_mae(
     """Boosted trees on absolute error with early stopping by ``patience`` rounds.
 
     The losses of every round come from one boosting run. Training would have stopped at the first
-    round that is ``patience`` rounds past the best one; the model is refitted to the best round, which
-    repeats the same first trees. The history table has both losses up to the stop.
+    round that is ``patience`` rounds past the best one; the model is the run's trees up to the best
+    round. The history table has both losses up to the stop.
     """
     spark = train.sparkSession
-
-    def fit(rounds: int) -> GBTRegressionModel:
-        return GBTRegressor(
-            featuresCol=features, labelCol=label, lossType="absolute", maxIter=rounds, maxDepth=depth, stepSize=step, seed=seed
-        ).fit(train)
-
-    model = fit(max_iter)
+    model = GBTRegressor(
+        featuresCol=features, labelCol=label, lossType="absolute", maxIter=max_iter, maxDepth=depth, stepSize=step, seed=seed
+    ).fit(train)
     valid_loss = list(model.evaluateEachIteration(valid, "absolute"))
     train_loss = list(model.evaluateEachIteration(train, "absolute"))
     best = stop = 0
@@ -100,4 +97,19 @@ def fit_boosted_mae(
             break
     rows = [(i + 1, float(train_loss[i]), float(valid_loss[i]), i == best) for i in range(stop + 1)]
     history = spark.createDataFrame(rows, "round int, train_loss double, valid_loss double, is_best boolean")
-    return (model if best + 1 == max_iter else fit(best + 1)), history
+    return first_trees(model, best + 1), history
+
+
+def first_trees(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
+    """The model after its first ``rounds`` rounds; boosting only ever adds trees."""
+    context = SparkContext._active_spark_context
+    jvm, gateway = context._jvm, context._gateway
+    kinds = jvm.org.apache.spark.ml.regression
+    trees, weights = gateway.new_array(kinds.DecisionTreeRegressionModel, rounds), gateway.new_array(jvm.double, rounds)
+    grown = model._java_obj.trees()
+    for i in range(rounds):
+        trees[i], weights[i] = grown[i], float(model.treeWeights[i])
+    shorter = kinds.GBTRegressionModel(f"{model.uid}_{rounds}", trees, weights)
+    shorter.setFeaturesCol(model.getFeaturesCol())
+    shorter.setPredictionCol(model.getPredictionCol())
+    return GBTRegressionModel(shorter)

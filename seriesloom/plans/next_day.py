@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seriesloom.functions.dates import date_to_int
-from seriesloom.operators import evaluate, prepare, regress, series, split
+from seriesloom.operators import dense, evaluate, prepare, regress, series, split
 from seriesloom.operators.relational import latest_row
 from seriesloom.session import materialise
 
@@ -108,3 +108,30 @@ def run_boosted(panel: DataFrame, series_col: str, date: str, value: str, featur
     newest = add_date_feature(latest_row(panel, series_col, date), date)
     next_day = model.transform(apply(newest)).select(series_col, date, "prediction")
     return Forecast(model, predictions, evaluate.regression_scores(predictions), next_day), history
+
+
+# Hidden layer sizes of the two dense regressors.
+DENSE_LAYOUTS = ((100, 10, 10), (100, 10, 50, 10, 50, 10))
+
+
+def run_dense(
+    panel: DataFrame, series_col: str, date: str, value: str, features: Sequence[str], seed: int = SEED, layouts: Sequence[Sequence[int]] = DENSE_LAYOUTS, **options
+) -> tuple[DataFrame, DataFrame]:
+    """Dense regressors on absolute error in the three-way form, trained in the same passes.
+
+    Gives rows, R2 and mean absolute error per layout and part, and the losses per layout and round in units
+    of the label's deviation; ``layout`` counts from 1.
+    """
+    columns = [*features, "date_int"]
+    rows = labelled_split(panel, series_col, date, value, seed, valid=True).withColumn("_own", F.col("label").cast("double"))
+    rows = materialise(rows.withColumn("_scaled", F.col("_own")))
+    ready = materialise(prepare.fit_zscore(rows.where("split = 'train'"), [*columns, "_scaled"]).transform(rows))
+    centre, reach = rows.where("split = 'train'").agg(F.avg("_own"), F.stddev_pop("_own")).first()
+    nets = [dense.new_net([len(columns), *hidden, 1], "relu", "absolute", seed) for hidden in layouts]
+    fitted, histories = dense.fit_dense_nets(ready, columns, nets, label="_scaled", **options)
+    scored = ready.select("split", F.col("_own").alias("label"), *columns)
+    for number, net in enumerate(fitted, 1):
+        scored = dense.predict_dense(scored, net, columns, f"_of_{number}").withColumn(f"_of_{number}", F.col(f"_of_{number}") * F.lit(reach) + F.lit(centre))
+    every = F.explode(F.array(*[F.struct(F.lit(n).alias("layout"), F.col(f"_of_{n}").alias("prediction")) for n in range(1, len(fitted) + 1)])).alias("s")
+    scores = evaluate.regression_scores(scored.select("split", "label", every).select("split", "label", "s.*"), ["layout", "split"])
+    return scores, dense.history_table(panel.sparkSession, histories)

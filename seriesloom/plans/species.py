@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesloom.operators import classify, prepare, profile, split
-from seriesloom.operators.evaluate import accuracy_scores
+from seriesloom.operators import classify, dense, prepare, profile, split
+from seriesloom.operators.evaluate import accuracy_column, accuracy_scores
 from seriesloom.operators.relational import label_index
 from seriesloom.session import materialise
 
@@ -38,21 +37,24 @@ def multi_rows(df: DataFrame, label: str, columns: Sequence[str], key: str, seed
     return split.stratified_split(indexed, key, "label", seed), dictionary
 
 
-def dense_fits(rows: DataFrame, columns: Sequence[str], layouts: Sequence[Sequence[int]] = classify.DENSE_LAYOUTS, **options) -> tuple[DataFrame, DataFrame]:
-    """Every dense layout on three-way split rows, stopped on the validation part.
+def dense_fits(
+    rows: DataFrame, columns: Sequence[str], layouts: Sequence[Sequence[int]] = classify.DENSE_LAYOUTS, seed: int = SEED, **options
+) -> tuple[DataFrame, DataFrame]:
+    """Every dense layout on three-way split rows, all in the same passes, each stopped on the validation part.
 
     Gives accuracy per layout and part, and the losses per layout and round; ``layout`` counts from 1.
     """
-    scaled = prepare.fit_zscore(rows.where("split = 'train'"), columns).transform(rows)
-    ready = materialise(prepare.assemble(scaled, columns).withColumn("label", F.col("label").cast("double")))
+    ready = materialise(prepare.fit_zscore(rows.where("split = 'train'"), columns).transform(rows))
     classes = int(ready.agg(F.max("label")).first()[0]) + 1
-    parts = [ready.where(f"split = '{p}'") for p in ("train", "valid")]
-    scores, histories = [], []
-    for number, hidden in enumerate(layouts, 1):
-        model, history = classify.fit_dense_stopped(*parts, len(columns), classes, hidden, **options)
-        scores.append(accuracy_scores(model.transform(ready)).withColumn("layout", F.lit(number)))
-        histories.append(history.withColumn("layout", F.lit(number)))
-    return reduce(DataFrame.unionByName, scores), reduce(DataFrame.unionByName, histories)
+    nets = [dense.new_net([len(columns), *hidden, classes], "tanh", "entropy", seed) for hidden in layouts]
+    fitted, histories = dense.fit_dense_nets(ready, columns, nets, **options)
+    scored = ready
+    for number, net in enumerate(fitted, 1):
+        scored = dense.predict_dense(scored, net, columns, f"_of_{number}")
+    hits = [accuracy_column(prediction=f"_of_{number}").alias(f"_of_{number}") for number in range(1, len(fitted) + 1)]
+    every = F.explode(F.array(*[F.struct(F.lit(n).alias("layout"), F.col(f"_of_{n}").alias("accuracy")) for n in range(1, len(fitted) + 1)])).alias("s")
+    scores = scored.groupBy("split").agg(F.count("*").alias("n"), *hits).select("split", "n", every)
+    return scores.select("s.layout", "split", "n", "s.accuracy"), dense.history_table(rows.sparkSession, histories)
 
 
 def fit_and_score(rows: DataFrame, columns: Sequence[str], fit, scaled: bool = False, degree: int = 1) -> tuple[object, DataFrame]:

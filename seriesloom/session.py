@@ -60,8 +60,9 @@ def materialise(df: DataFrame) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Rows of an input of few splits over all cores, for a caller whose work is heavy per row.
 
-    A table of few, large row groups is read by few tasks. The rows are dealt out when the input has
-    fewer partitions than half the cores; operators never do this by themselves.
+    A table of few, large row groups is read by few tasks, whatever the number of partitions: a row group
+    is read by one of them. The rows are dealt out when the input has fewer partitions than there are
+    cores, which a file of one row group always has once it is small; operators never do this by themselves.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores // 2 else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -4,6 +4,8 @@ import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import GBTRegressor
+from pyspark.sql import functions as F
 
 from seriesloom.operators import classify, cluster, evaluate, prepare, regress, sweeps
 
@@ -58,6 +60,19 @@ def test_boosting_stops(spark, line):
     assert len(rows) == 8 or len(rows) == best + 2
 
 
+def test_first_trees_equal_a_shorter_run(line):
+    train = line.where("split = 'train'")
+
+    def grown(rounds):
+        return GBTRegressor(lossType="absolute", maxIter=rounds, maxDepth=2, seed=1).fit(train)
+
+    short, cut = grown(3), regress.first_trees(grown(7), 3)
+    assert cut.getNumTrees == 3
+    predicted = short.transform(line).select("label", F.col("prediction").alias("own"), "features")
+    both = cut.transform(predicted).select("own", "prediction").collect()
+    assert len(both) == line.count() and all(r.own == r.prediction for r in both)
+
+
 def test_scores(spark):
     df = spark.createDataFrame([("a", 1.0, 1.5), ("a", 3.0, 2.5), ("b", 2.0, 2.0)], "split string, label double, prediction double")
     got = {r["split"]: (r["n"], r["r2"], r["mae"]) for r in evaluate.regression_scores(df).collect()}

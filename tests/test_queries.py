@@ -9,7 +9,7 @@ from seriesloom.registry.base import ORACLES, QUERIES
 # Minutes of fitting each; their parts are tested on small frames. Run with SERIESLOOM_HEAVY=1.
 HEAVY = {
     "forecast_boosted", "boosting_history", "forecast_with_scores", "forecast_with_cluster_score", "score_by_cluster",
-    "score_by_similarity", "dense_network", "dense_history", "word_vectors",
+    "score_by_similarity", "word_vectors",
 }
 FOLDER = "/root/testdata/sf0.001"
 

@@ -1,4 +1,7 @@
+from pyspark.sql import functions as F
+
 from seriesloom.operators.vectors import train_word_vectors
+from seriesloom.session import spread
 from seriesloom.sources import readers, schemas, store
 from seriesloom.streaming import ingest
 
@@ -108,3 +111,16 @@ def test_word_vectors_round_trip(spark, tmp_path):
     loaded, table = store.load_word_vectors(spark, str(tmp_path / "m"), str(tmp_path / "v"))
     first = {r["word"]: r["vector"] for r in store.vector_table(loaded).collect()}
     assert first == {r["word"]: r["vector"] for r in table.collect()} and set(first) == {"a", "b"}
+
+
+def test_rows_of_one_row_group_are_spread(spark, tmp_path):
+    spark.range(20_000).selectExpr("id", "sha2(cast(id as string), 512) as t").coalesce(1).write.parquet(str(tmp_path / "one"))
+    own = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(900_000))
+        table = spark.read.parquet(str(tmp_path / "one"))
+        assert 1 < table.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
+        sizes = [r[0] for r in spread(table).groupBy(F.spark_partition_id()).count().select("count").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", own)
+    assert len(sizes) == spark.sparkContext.defaultParallelism and max(sizes) < 2 * min(sizes)
