@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import math
 import sys
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesloom.session import scratch_path
@@ -21,18 +24,50 @@ def ship(module: str) -> None:
 
 ship(__name__)
 
+#: Paths of the tables stored in the block at hand.
+_STORED: ContextVar[list[str] | None] = ContextVar("stored", default=None)
+
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read from there.
 
-    Cuts the lineage: a lost executor costs a re-read. The files stay until the caller clears the
-    shared folder, because results are lazy and still read them.
+    Cuts the lineage: a lost executor costs a re-read. Results are lazy and still read the files, so they
+    stay until a block of :func:`cleared` ends or the caller clears the shared folder.
     """
     path = scratch_path(df.sparkSession, f"llm-{name}")
+    if (made := _STORED.get()) is not None:
+        made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def cleared(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Removes the tables stored inside the block when it ends, but for those its function has stored.
+
+    For a step whose whole result is stored by that function: nothing reads the tables behind it then.
+    """
+    outer, kept = _STORED.get(), []
+    made: list[str] = []
+    _STORED.set(made)
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        out = stored(df, name)
+        kept.append(made[-1])
+        return out
+
+    try:
+        yield keep
+    finally:
+        _STORED.set(outer)
+        for path in made:
+            if path not in kept:
+                at = spark._jvm.org.apache.hadoop.fs.Path(path)
+                at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        if outer is not None:
+            outer += kept
+
+
 def small(df: DataFrame, row_bytes: int) -> DataFrame:
     """``df`` marked for broadcast when its counted rows take at most ``BROADCAST_BYTES``.
 

@@ -261,3 +261,22 @@ def test_outputs_hold_their_payload(spark):
     text = texts(spark)
     for r in rows(spark, "op3_anchor_pii"):
         assert (r.cleaned == text[r.doc_id]) == (r.spans == "")
+
+
+def test_a_stage_leaves_its_output_only(spark):
+    import os
+
+    from seriesloom.llm.common import cleared, stored
+    from seriesloom.session import shared_dir
+
+    def there():
+        return set(os.listdir(shared_dir(spark)))
+
+    before = there()
+    with cleared(spark) as outer:
+        with cleared(spark) as keep:
+            inner = stored(spark.range(5), "inner")
+            kept = keep(inner.where("id > 1"), "kept")
+        assert kept.count() == 3 and len(there() - before) == 1
+        last = outer(kept, "last")
+    assert last.count() == 3 and len(there() - before) == 1
