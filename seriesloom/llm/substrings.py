@@ -29,9 +29,9 @@ from seriesloom.llm.words import mixed
 
 ship(__name__)
 
-ANCHOR = 100
+ANCHOR = 64
 #: Bytes of distinct segments in a shard, and the most that one anchor may have before it is split.
-SHARD_BYTES = 1 << 21
+SHARD_BYTES = 1 << 20
 #: Windows of a segment, at most; only texts of a short period reach it.
 SEGMENT_WINDOWS = 4096
 PIECE_BYTES = 1 << 22

@@ -4,7 +4,8 @@ Positions are classified as smaller (S) or larger (L) than the one behind them.
 of each run are sorted by their substrings, named, and sorted as suffixes by recursion on the names;
 their order induces that of all L suffixes in one scan from the left, and these that of all S suffixes
 in one scan from the right. A scan takes as many slots at a time as are filled already: what it induces
-always lands behind them, so whole stretches go through numpy and the work stays linear.
+always lands behind them, so whole stretches go through numpy and the work stays linear. The recursion
+ends where few names are left.
 """
 
 from __future__ import annotations
@@ -15,23 +16,26 @@ from seriesloom.llm.common import ship
 
 ship(__name__)
 
+#: A string of names of at most this length ends the recursion.
+SHORT = 1 << 17
+
 
 def _smaller_types(s: np.ndarray) -> np.ndarray:
     """Whether each suffix is smaller than the next; the last one counts as S."""
     n = len(s)
     differs = np.flatnonzero(s[1:] != s[:-1])
     # Of a run of equal symbols all have the type of its last one.
-    run_end = differs[np.searchsorted(differs, np.arange(n - 1))] if n > 1 else differs
-    out = np.empty(n, dtype=bool)
-    out[-1] = True
-    out[:-1] = s[run_end + 1] > s[run_end]
+    out = np.ones(n, dtype=bool)
+    out[:-1] = (s[differs + 1] > s[differs]).repeat(np.diff(differs, prepend=-1))
     return out
 
 
-def _grouped(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Stable order by symbol, place of each in its group, and the distinct symbols with their counts."""
-    order = np.argsort(symbols, kind="stable")
-    ordered = symbols[order]
+def _grouped(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Stable order by symbol; in that order the symbols and their places in their groups; the groups' symbols and sizes."""
+    both = symbols.astype(np.int64) << 32
+    both |= np.arange(len(symbols))
+    both.sort()
+    order, ordered = both & 0xFFFFFFFF, both >> 32
     begins = np.ones(len(ordered), dtype=bool)
     np.not_equal(ordered[1:], ordered[:-1], out=begins[1:])
     first = begins.nonzero()[0]
@@ -39,7 +43,7 @@ def _grouped(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     np.subtract(first[1:], first[:-1], out=counts[:-1])
     if len(first):
         counts[-1] = len(ordered) - first[-1]
-    return order, np.arange(len(ordered)) - first.repeat(counts), ordered[first], counts
+    return order, ordered, np.arange(len(ordered)) - first.repeat(counts), ordered[first], counts
 
 
 def _induce(s: np.ndarray, smaller: np.ndarray, seeds: np.ndarray, kinds: int) -> np.ndarray:
@@ -48,56 +52,73 @@ def _induce(s: np.ndarray, smaller: np.ndarray, seeds: np.ndarray, kinds: int) -
     sizes = np.bincount(s, minlength=kinds)
     larger_sizes = np.bincount(s[~smaller], minlength=kinds)
     seed_sizes = np.bincount(s[seeds], minlength=kinds)
+    # Symbol and type of the position before each one; the first has none of either type.
+    earlier = np.empty_like(s)
+    earlier[1:], earlier[0] = s[:-1], 0
+    earlier_larger, earlier_smaller = np.zeros(n, dtype=bool), np.zeros(n, dtype=bool)
+    earlier_larger[1:], earlier_smaller[1:] = ~smaller[:-1], smaller[:-1]
 
     # Left to right over the L suffixes of each symbol followed by its seeds.
     slots = larger_sizes + seed_sizes
-    heads = np.cumsum(slots) - slots
+    free = np.cumsum(slots) - slots
     scan = np.full(int(slots.sum()), -1, dtype=np.int64)
-    order, place, _, _ = _grouped(s[seeds])
-    scan[(heads + larger_sizes)[s[seeds][order]] + place] = seeds[order]
-    free = heads.copy()
+    order, symbols, place, _, _ = _grouped(s[seeds])
+    scan[(free + larger_sizes)[symbols] + place] = seeds[order]
     at, reach = 0, 64
     while at < len(scan):
-        empty = scan[at : at + reach] < 0
+        items = scan[at : at + reach]
+        empty = items < 0
         filled = int(empty.argmax()) or (0 if empty[0] else len(empty))
-        before = scan[at : at + filled] - 1
+        items = items[:filled]
         at += filled
         reach = max(64, 2 * filled)
-        before = before[before >= 0]
-        before = before[~smaller[before]]
-        if len(before):
-            order, place, found, counts = _grouped(s[before])
-            before = before[order]
-            scan[free[s[before]] + place] = before
+        items = items[earlier_larger[items]]
+        if len(items):
+            order, symbols, place, found, counts = _grouped(earlier[items])
+            scan[free[symbols] + place] = items[order] - 1
             free[found] += counts
 
     # Right to left: the L suffixes stand, the S suffixes of each symbol fill up from its end.
     out = np.full(n, -1, dtype=np.int64)
     ordered = scan[~smaller[scan]]
     starts = np.cumsum(sizes) - sizes
-    larger_before = np.cumsum(larger_sizes) - larger_sizes
-    symbols = s[ordered]
-    out[starts[symbols] + np.arange(len(ordered)) - larger_before[symbols]] = ordered
+    shift = starts - (np.cumsum(larger_sizes) - larger_sizes)
+    out[np.arange(len(ordered)) + shift.repeat(larger_sizes)] = ordered
     out[0] = n - 1
     free = starts + sizes - 1
     end, reach = n, 64
     while end > 1:
-        low = max(0, end - reach)
-        empty = out[low:end][::-1] < 0
-        filled = int(empty.argmax()) or (0 if empty[0] else end - low)
-        before = out[end - filled : end][::-1] - 1
+        items = out[max(0, end - reach) : end][::-1]
+        empty = items < 0
+        filled = int(empty.argmax()) or (0 if empty[0] else len(empty))
+        items = items[:filled]
         end -= filled
         reach = max(64, 2 * filled)
-        before = before[before >= 0]
-        before = before[smaller[before]]
-        if len(before):
-            order, place, found, counts = _grouped(s[before])
-            before = before[order]
-            out[free[s[before]] - place] = before
+        items = items[earlier_smaller[items]]
+        if len(items):
+            order, symbols, place, found, counts = _grouped(earlier[items])
+            out[free[symbols] - place] = items[order] - 1
             free[found] -= counts
     return out
 
 
+def _by_doubling(names: np.ndarray) -> np.ndarray:
+    """All suffixes of a short string of names in order: ranks of ever longer heads, sorted in pairs."""
+    n, step = len(names), 1
+    rank = names.astype(np.int64)
+    while True:
+        behind = np.zeros(n, dtype=np.int64)
+        behind[:-step] = rank[step:] + 1
+        both = rank * (n + 1) + behind
+        order = both.argsort(kind="stable")
+        ordered = both[order]
+        rank[order[0]] = 0
+        rank[order[1:]] = np.cumsum(ordered[1:] != ordered[:-1])
+        if rank[order[-1]] == n - 1:
+            return order
+        step *= 2
+
+
 def suffix_array(s: np.ndarray, kinds: int) -> np.ndarray:
     """Starts of all suffixes of ``s`` in order; its symbols are below ``kinds``, its last is 0 and no other is."""
     n = len(s)
@@ -111,7 +132,7 @@ def suffix_array(s: np.ndarray, kinds: int) -> np.ndarray:
     ordered = ordered[leftmost[ordered]]
     # Equal substrings from one seed to the next get one name.
     lengths = np.zeros(n, dtype=np.int64)
-    lengths[seeds] = np.diff(np.r_[seeds, n])
+    lengths[seeds] = np.diff(seeds, append=n)
     left, right = ordered[:-1], ordered[1:]
     same = lengths[left] == lengths[right]
     open_pairs = np.flatnonzero(same)
@@ -122,11 +143,12 @@ def suffix_array(s: np.ndarray, kinds: int) -> np.ndarray:
         same[open_pairs[~equal]] = False
         open_pairs = open_pairs[equal & (lengths[left[open_pairs]] > step)]
         step += 1
-    names = np.zeros(n, dtype=np.int64)
-    names[ordered] = np.r_[0, np.cumsum(~same)]
+    names = np.zeros(n, dtype=np.int32)
+    names[ordered[1:]] = np.cumsum(~same)
     count = int(names[ordered[-1]]) + 1
     if count < len(seeds):
-        ordered = seeds[suffix_array(names[seeds], count)]
+        short = names[seeds]
+        ordered = seeds[_by_doubling(short) if len(short) <= SHORT else suffix_array(short, count)]
     return _induce(s, smaller, ordered, kinds)
 
 

@@ -12,7 +12,7 @@ sys.path.insert(0, os.path.dirname(__file__))
 
 from helpers import DOCS, FOLDER, documents, table  # noqa: E402
 
-from seriesloom.llm import substrings  # noqa: E402
+from seriesloom.llm import substrings, suffixes  # noqa: E402
 from seriesloom.llm.substrings import segments, without_repeats  # noqa: E402
 from seriesloom.llm.suffixes import common_prefixes, suffix_array  # noqa: E402
 
@@ -40,7 +40,9 @@ def result(docs, length):
     return Counter((r.doc_id, r.n_bytes, tuple((s.start, s.end) for s in r.spans), bytes(r.kept)) for r in got)
 
 
-def test_suffix_array_and_prefixes():
+@pytest.mark.parametrize("short", [0, 1 << 17])
+def test_suffix_array_and_prefixes(monkeypatch, short):
+    monkeypatch.setattr(suffixes, "SHORT", short)
     rng = random.Random(12)
     cases = ["", "a" * 300, "mississippi" * 9] + ["".join(rng.choice("abcdefgh"[: rng.choice([1, 2, 3, 8])]) for _ in range(rng.randint(1, 80))) for _ in range(600)]
     for text in cases:
