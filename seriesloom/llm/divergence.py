@@ -26,7 +26,7 @@ PIECE_BYTES = 1 << 20
 #: Distinct terms a task holds before it hands on their counts.
 HELD = 200_000
 #: Sources times terms of a block.
-BLOCK_CELLS = 4_000_000
+BLOCK_CELLS = 200_000
 # Letters and all bytes above ASCII make terms, A to Z count as a to z.
 LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
