@@ -12,13 +12,12 @@ from __future__ import annotations
 import os
 import sys
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -29,9 +28,11 @@ from seriesloom.llm.words import BYTE_VALUES, run_hashes, mixed
 ship(__name__)
 
 #: A lot is packed on its own: rows and filled sequences it holds at most, about, and rows looked at in a step.
-LOT_ROWS, LOT_TOKENS, LOT_STEP = 16384, 1024, 256
+LOT_ROWS, LOT_SEQUENCES, LOT_STEP = 16384, 512, 256
+#: Spark's row ids hold the number of the row in its partition in so many bits.
+PARTITION_BITS = 33
 WORDS_KEPT = 1_000_000
-BATCH_BYTES = 1 << 22
+BATCH_BYTES = 1 << 21
 PIECE = "start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -162,6 +163,34 @@ def word_ids(path: str) -> WordIds:
     return tables[path]
 
 
+def piece_batches(tables: Iterator[pa.RecordBatch], key: str, tokenizer: str, limit: int, end_id: int, ids: bool) -> Iterator[pa.RecordBatch]:
+    """The pieces of the texts in batches whose first columns are key and text."""
+    words = word_ids(tokenizer)
+    for batch in tables:
+        table = pa.table([batch.column(0), batch.column(1).cast(pa.large_binary())], names=["key", "text"])
+        for a, b in batches(table, BATCH_BYTES, "text"):
+            some = table.slice(a, b - a)
+            of, starts, lengths, sums, totals, values = [], [], [], [], [], []
+            every, counts = words.encode([t or b"" for t in some.column("text").to_pylist()])
+            for i, encoded in enumerate(np.split(every, np.cumsum(counts)[:-1])):
+                found = np.append(encoded, np.uint32(end_id)).astype("<u4")
+                for start in range(0, len(found), limit):
+                    piece = found[start : start + limit]
+                    of.append(i)
+                    starts.append(start)
+                    lengths.append(len(piece))
+                    sums.append(zlib.crc32(piece.tobytes()))
+                    totals.append(len(found))
+                    if ids:
+                        values.append(piece.astype(np.int32))
+            keys = some.column("key").combine_chunks().take(pa.array(of, pa.int64()))
+            columns = [keys, *(pa.array(x, pa.int64()) for x in (starts, lengths, sums, totals))]
+            if ids:
+                ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(values))))
+            yield pa.RecordBatch.from_arrays(columns, names=[key, "start", "length", "ids_crc32", "doc_tokens", "ids"][: len(columns)])
+
+
 def tokenised_pieces(docs: DataFrame, key: str, text: str, tokenizer: str, limit: int, end_id: int, ids: bool = True) -> DataFrame:
     """Each document's ids and ``end_id``, cut into pieces of at most ``limit`` ids.
 
@@ -171,34 +200,14 @@ def tokenised_pieces(docs: DataFrame, key: str, text: str, tokenizer: str, limit
     """
 
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = word_ids(tokenizer)
-        for batch in tables:
-            table = pa.table([batch.column(0), batch.column(1).cast(pa.large_binary())], names=["key", "text"])
-            for a, b in batches(table, BATCH_BYTES, "text"):
-                some = table.slice(a, b - a)
-                of, starts, lengths, sums, totals, values = [], [], [], [], [], []
-                every, counts = words.encode([t or b"" for t in some.column("text").to_pylist()])
-                for i, encoded in enumerate(np.split(every, np.cumsum(counts)[:-1])):
-                    found = np.append(encoded, np.uint32(end_id)).astype("<u4")
-                    for start in range(0, len(found), limit):
-                        piece = found[start : start + limit]
-                        of.append(i)
-                        starts.append(start)
-                        lengths.append(len(piece))
-                        sums.append(zlib.crc32(piece.tobytes()))
-                        totals.append(len(found))
-                        if ids:
-                            values.append(piece.astype(np.int32))
-                keys = some.column("key").combine_chunks().take(pa.array(of, pa.int64()))
-                columns = [keys, *(pa.array(x, pa.int64()) for x in (starts, lengths, sums, totals))]
-                if ids:
-                    ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-                    columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(values))))
-                yield pa.RecordBatch.from_arrays(columns, names=[key, "start", "length", "ids_crc32", "doc_tokens", "ids"][: len(columns)])
-
-    kind = docs.schema[key].dataType.simpleString()
-    schema = f"`{key}` {kind}, {PIECE}" + ", ids array<int>" * ids
-    return docs.select(key, text).mapInArrow(run, schema)
+        return piece_batches(tables, key, tokenizer, limit, end_id, ids)
+
+    return docs.select(key, text).mapInArrow(run, piece_schema(docs, key, ids))
+
+
+def piece_schema(docs: DataFrame, key: str, ids: bool) -> str:
+    """Columns of the pieces of ``docs``."""
+    return f"`{key}` {docs.schema[key].dataType.simpleString()}, {PIECE}" + ", ids array<int>" * ids
 
 
 def fill_bins(demands: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -234,6 +243,55 @@ def fill_bins(demands: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.n
     return bins, order
 
 
+def packed_batches(
+    tables: Iterator[pa.RecordBatch], keep: int, demands: Callable[[pa.RecordBatch], np.ndarray], most: np.ndarray, base: Callable[[], int]
+) -> Iterator[pa.RecordBatch]:
+    """The first ``keep`` columns of all rows with ``sequence_id`` and ``offset``, lot by lot.
+
+    Sequences count on from ``base``, which is asked for when rows are there.
+    """
+    number = 0
+
+    def placed(held: list[pa.RecordBatch], asked: np.ndarray) -> Iterator[pa.RecordBatch]:
+        nonlocal number
+        bins, order = fill_bins(asked.astype(np.int64), most)
+        by_bin = np.lexsort((order, bins))
+        length = asked[:, 0].astype(np.int64)[by_bin]
+        ends = np.cumsum(length)
+        first = np.r_[True, bins[by_bin][1:] != bins[by_bin][:-1]]
+        before = np.repeat((ends - length)[first], np.diff(np.r_[np.flatnonzero(first), len(first)]))
+        offset = np.empty(len(length), dtype=np.int64)
+        offset[by_bin] = ends - length - before
+        at, ids = 0, base() + number + bins
+        number += int(bins.max()) + 1
+        for batch in held:
+            span = slice(at, at + batch.num_rows)
+            at += batch.num_rows
+            columns = [*batch.columns[:keep], pa.array(ids[span]), pa.array(offset[span])]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:keep], "sequence_id", "offset"])
+
+    held, asked, tokens = [], [], 0
+    for batch in tables:
+        for at in range(0, batch.num_rows, LOT_STEP):
+            some = batch.slice(at, LOT_STEP)
+            own = demands(some)
+            if not (own <= most).all():  # also false for a missing demand
+                raise ValueError(f"an example exceeds the limits {most.tolist()}")
+            held.append(some)
+            asked.append(own)
+            tokens += int(own[:, 0].sum())
+            if len(held) * LOT_STEP >= LOT_ROWS or tokens >= LOT_SEQUENCES * most[0]:
+                yield from placed(held, np.concatenate(asked))
+                held, asked, tokens = [], [], 0
+    if held:
+        yield from placed(held, np.concatenate(asked))
+
+
+def _first_number(row_id: int) -> int:
+    """Least sequence number of the partition in which Spark gave ``row_id``."""
+    return row_id >> PARTITION_BITS << PARTITION_BITS
+
+
 def pack(pieces: DataFrame, limits: dict[str, int]) -> DataFrame:
     """``pieces`` with the ``sequence_id`` and ``offset`` of each, under the ``limits`` by column.
 
@@ -246,38 +304,22 @@ def pack(pieces: DataFrame, limits: dict[str, int]) -> DataFrame:
     """
     most = np.array(list(limits.values()), dtype=np.int64)
 
-    def placed(lot: pa.Table) -> Iterator[pa.RecordBatch]:
-        demands = np.stack([lot.column(2 + i).to_numpy().astype(np.float64) for i in range(len(most))], axis=1)
-        if not (demands <= most).all():  # also false for a missing demand
-            raise ValueError(f"an example exceeds the limits {limits}")
-        bins, order = fill_bins(demands.astype(np.int64), most)
-        by_bin = np.lexsort((order, bins))
-        length = demands[:, 0].astype(np.int64)[by_bin]
-        ends = np.cumsum(length)
-        first = np.r_[True, bins[by_bin][1:] != bins[by_bin][:-1]]
-        before = np.repeat((ends - length)[first], np.diff(np.r_[np.flatnonzero(first), len(first)]))
-        offset = np.empty(len(length), dtype=np.int64)
-        offset[by_bin] = ends - length - before
-        # A lot has at most as many sequences as rows, so numbers from its first row on are its own.
-        number = lot.column(1)[0].as_py() + bins
-        whole = pa.table([lot.column(0), pa.array(number), pa.array(offset)], names=["row", "sequence_id", "offset"])
-        yield from whole.to_batches(max_chunksize=4096)
-
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows, tokens = [], 0, 0
-        for batch in tables:
-            for at in range(0, batch.num_rows, LOT_STEP):
-                some = batch.slice(at, LOT_STEP)
-                held.append(some)
-                rows, tokens = rows + some.num_rows, tokens + (pc.sum(some.column(2)).as_py() or 0)
-                if rows >= LOT_ROWS or tokens >= LOT_TOKENS * most[0]:
-                    yield from placed(pa.Table.from_batches(held))
-                    held, rows, tokens = [], 0, 0
-        if rows:
-            yield from placed(pa.Table.from_batches(held))
-
-    demands = [F.col(c).cast("long").alias(f"d{i}") for i, c in enumerate(limits)]
-    rows = pieces.drop("sequence_id", "offset").select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("example"), *demands)
+        seen: list[int] = []
+
+        def noted() -> Iterator[pa.RecordBatch]:
+            for batch in tables:
+                if batch.num_rows and not seen:
+                    seen.append(_first_number(batch.column(1)[0].as_py()))
+                yield batch
+
+        def demands(batch: pa.RecordBatch) -> np.ndarray:
+            return np.stack([batch.column(2 + i).to_numpy(zero_copy_only=False).astype(np.float64) for i in range(len(most))], axis=1)
+
+        return packed_batches(noted(), 1, demands, most, lambda: seen[0])
+
+    demand = [F.col(c).cast("long").alias(f"d{i}") for i, c in enumerate(limits)]
+    rows = pieces.drop("sequence_id", "offset").select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("id"), *demand)
     schema = StructType([rows.schema["row"], StructField("sequence_id", LongType()), StructField("offset", LongType())])
     return rows.mapInArrow(run, schema).select("row.*", "sequence_id", "offset")
 
@@ -285,7 +327,29 @@ def pack(pieces: DataFrame, limits: dict[str, int]) -> DataFrame:
 def packed_documents(
     docs: DataFrame, key: str, text: str, tokenizer: str, limit: int = 4096, end_id: int = 2, segments: int = 256, ids: bool = True
 ) -> DataFrame:
-    """Documents tokenised, cut into pieces and packed; every token of a document bears loss."""
-    pieces = tokenised_pieces(docs, key, text, tokenizer, limit, end_id, ids)
-    loads = pieces.withColumn("segments", F.lit(1).cast("long")).withColumn("loss_tokens", F.col("length"))
-    return pack(loads, {"length": limit, "segments": segments, "loss_tokens": limit}).drop("segments", "loss_tokens")
+    """Documents tokenised, cut into pieces and packed as by :func:`pack`; every token of a document bears loss.
+
+    Both steps share one Python worker per task. Null and empty texts are ``end_id`` alone, texts of any
+    length are cut into pieces, repeated rows are packed apart, other columns are left out, and an empty
+    table gives no rows.
+    """
+    most = np.array([limit, segments, limit], dtype=np.int64)
+
+    def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: list[int] = []
+
+        def noted() -> Iterator[pa.RecordBatch]:
+            for batch in tables:
+                if batch.num_rows and not seen:
+                    seen.append(_first_number(batch.column(2)[0].as_py()))
+                yield batch
+
+        def demands(batch: pa.RecordBatch) -> np.ndarray:
+            length = batch.column(2).to_numpy().astype(np.float64)
+            return np.stack([length, np.ones(len(length)), length], axis=1)
+
+        pieces = piece_batches(noted(), key, tokenizer, limit, end_id, ids)
+        return packed_batches(pieces, 5 + ids, demands, most, lambda: seen[0])
+
+    rows = docs.select(key, text, F.monotonically_increasing_id().alias("_id"))
+    return rows.mapInArrow(run, piece_schema(docs, key, ids) + ", sequence_id long, offset long")
