@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from seriesloom.session import scratch_path
 
 BROADCAST_BYTES = 16 * 1024 * 1024
+TEXT_ROWS = 1000
 
 
 def ship(module: str) -> None:
@@ -68,6 +69,16 @@ def cleared(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFram
             outer += kept
 
 
+def lean_batches(spark: SparkSession) -> None:
+    """Has this session hand texts to Python in batches of ``TEXT_ROWS`` rows, unless it has chosen a size.
+
+    A task holds a batch on both sides, and texts are of any length: Spark's own 10,000 rows may be too many.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(TEXT_ROWS))
+
+
 def small(df: DataFrame, row_bytes: int) -> DataFrame:
     """``df`` marked for broadcast when its counted rows take at most ``BROADCAST_BYTES``.
 
