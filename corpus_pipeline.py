@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm.common import cleared
+from seriesloom.llm.common import cleared, lean_batches
 from seriesloom.llm.cotraining import fit_views, score_quality
 from seriesloom.llm.minhash import one_of_each
 from seriesloom.llm.mixing import mixed_rows, word_count
@@ -26,6 +26,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows of ``labels`` without a document or a label are not learnt from, and without labels all stay. Other
     columns pass through; no documents give none.
     """
+    lean_batches(spark)
     scored = score_quality(docs, fit_views(docs, read_table(spark, sf_dir, "labels")))
     return scored.where("kept").select("row.*")
 
@@ -36,6 +37,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     The smallest ``doc_id`` stays, null ones last, of rows with one key the smallest by a hash of its columns;
     each row is decided on its own. Texts without words, null and empty ones, all stay; of repeated rows one.
     """
+    lean_batches(spark)
     return one_of_each(docs, "doc_id", "text", width=5)
 
 
@@ -44,6 +46,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     ``n_chars`` is counted anew where a text changed; null texts stay null, empty and repeated rows as they are.
     """
+    lean_batches(spark)
     return redacted_rows(docs, "text", "n_chars")
 
 
@@ -53,6 +56,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null source is one of its own and null texts have no words; a source without words goes. Each row is given
     as often as its copies say, repeated rows on their own; no documents give none.
     """
+    lean_batches(spark)
     return mixed_rows(docs, "doc_id", word_count(F.col("doc.text")), "source")
 
 
@@ -62,6 +66,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null or empty text is its end token alone; texts of any length are cut into pieces; a copy is packed on
     its own; other columns are left out.
     """
+    lean_batches(spark)
     return packed_documents(docs, "doc_id", "text", tokenizer_path())
 
 
