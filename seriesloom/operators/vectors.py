@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Word2Vec, Word2VecModel
@@ -13,19 +14,24 @@ from pyspark.sql import functions as F
 from seriesloom.functions.numeric import dot
 from seriesloom.operators.lookup import word_lookup
 
-TRAINING_PARTS = 4
+#: Least parts of a training, and the tokens that ask for one more.
+TRAINING_PARTS, PART_TOKENS = 4, 1_000_000
 PASSES = 5
 
 
 def train_word_vectors(
-    corpus: DataFrame, words: str = "words", size: int = 200, min_count: int = 1, partitions: int = TRAINING_PARTS, seed: int = 346672, max_iter: int = PASSES
+    corpus: DataFrame, words: str = "words", size: int = 200, min_count: int = 1, partitions: int | None = None, seed: int = 346672, max_iter: int = PASSES
 ) -> Word2VecModel:
     """Skip-gram word vectors of a tokenised corpus.
 
     The trainer keeps ``vocabulary x size`` floats on every executor, so train on the corpus cut to a
     fitted vocabulary (``checked_corpus``) and not on raw tokens. Each of ``max_iter`` passes trains
-    ``partitions`` parts and averages their vectors, so the result does not depend on the cores.
+    ``partitions`` parts and averages their vectors, so the result does not depend on the cores; unless given,
+    there is one per ``PART_TOKENS`` tokens, ``TRAINING_PARTS`` at least.
     """
+    if partitions is None:
+        tokens = corpus.agg(F.sum(F.greatest(F.size(words), F.lit(0)).cast("long"))).first()[0] or 0
+        partitions = max(TRAINING_PARTS, math.ceil(tokens / PART_TOKENS))
     trainer = Word2Vec(
         vectorSize=size, minCount=min_count, numPartitions=partitions, inputCol=words, outputCol="_v", seed=seed, maxIter=max_iter
     )

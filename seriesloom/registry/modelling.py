@@ -7,7 +7,21 @@ import zlib
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from seriesloom.operators import classify, cluster, dense, evaluate, prepare, regress, relational, series, split, sweeps
+from seriesloom.operators import (
+    classify,
+    cluster,
+    dense,
+    evaluate,
+    exact_tree,
+    pairwise,
+    paths,
+    prepare,
+    regress,
+    relational,
+    series,
+    split,
+    sweeps,
+)
 from seriesloom.plans import news_score, next_day, species
 from seriesloom.registry.base import DATED, PANEL, SCORED, daily_score, dated_documents, panel, query
 from seriesloom.registry.textual import _ANCHOR_NAMES, _SIMILAR, _right_parts, _similar
@@ -385,7 +399,7 @@ def linear_svc(spark, d):
 def one_vs_one_svc(spark, d):
     """All classes by pairwise linear classifiers."""
     rows, _ = _orders_by_status(spark, d)
-    _, scores = species.fit_and_score(rows, _STATUS_COLUMNS, classify.fit_one_vs_one, scaled=True)
+    _, scores = species.fit_and_score(rows, _STATUS_COLUMNS, pairwise.fit_all_pairs, scaled=True)
     return _accuracy_rows(scores)
 
 
@@ -393,7 +407,7 @@ def one_vs_one_svc(spark, d):
 def one_vs_one_svc_poly(spark, d):
     """The same on degree-two terms."""
     rows, _ = _orders_by_status(spark, d)
-    _, scores = species.fit_and_score(rows, _STATUS_COLUMNS, classify.fit_one_vs_one, scaled=True, degree=2)
+    _, scores = species.fit_and_score(rows, _STATUS_COLUMNS, pairwise.fit_all_pairs, scaled=True, degree=2)
     return _accuracy_rows(scores)
 
 
@@ -466,6 +480,58 @@ def tree_nodes(spark, d):
     return classify.tree_nodes(model, spark, _STATUS_COLUMNS, names)
 
 
+_LEAF = 25
+_STATES = "FOP"
+
+
+def _tree_cut(name: str, rows: str) -> str:
+    """SQL of the best cut of every node of ``rows`` (``node``, ``s`` and the three features)."""
+    tall = " UNION ALL ".join(f"SELECT node, {f} AS f, {c} AS v, s FROM {rows}" for f, c in enumerate(("m", "dd", "c5")))
+    running = ", ".join(f"sum(count(*) FILTER (s = '{k}')) OVER (PARTITION BY node, f ORDER BY v) AS l{k}, sum(count(*) FILTER (s = '{k}')) OVER (PARTITION BY node, f) AS all_{k}" for k in _STATES)
+    left, right = "(" + " + ".join(f"l{k}" for k in _STATES) + ")", "(" + " + ".join(f"all_{k} - l{k}" for k in _STATES) + ")"
+    squares = [" + ".join(f"CAST({x} AS DOUBLE) * ({x})" for x in xs) for xs in ([f"l{k}" for k in _STATES], [f"all_{k} - l{k}" for k in _STATES])]
+    cost = f"round((({squares[0]}) / {left} + ({squares[1]}) / {right}) / ({left} + {right}), 12)"
+    return f"""{name} AS (SELECT node, f, (v + nx) / 2e0 AS cut FROM (
+      SELECT *, row_number() OVER (PARTITION BY node ORDER BY {cost} DESC, f, v) AS nth
+      FROM (SELECT node, f, v, lead(v) OVER (PARTITION BY node, f ORDER BY v) AS nx, {running} FROM ({tall}) GROUP BY node, f, v)
+      WHERE nx IS NOT NULL AND {left} >= {_LEAF} AND {right} >= {_LEAF}) WHERE nth = 1)"""
+
+
+_TREE_VALUE = "CASE f WHEN 0 THEN m WHEN 1 THEN dd ELSE c5 END"
+_TREE_ROWS = f"""SELECT node AS path, min(f) AS f, min(cut) AS cut, count(*) AS samples,
+  round(1 - ({" + ".join(f"(count(*) FILTER (s = '{k}') / count(*)) ** 2" for k in _STATES)}), 9) AS gini"""
+
+
+@query(
+    f"""WITH a AS (SELECT '' AS node, o_orderstatus AS s, month(o_orderdate) AS m, day(o_orderdate) AS dd, o_custkey % 5 AS c5 FROM orders),
+    {_tree_cut("ca", "a")},
+    b AS (SELECT node || CASE WHEN {_TREE_VALUE} <= cut THEN 'l' ELSE 'r' END AS node, s, m, dd, c5 FROM a JOIN ca USING (node)),
+    {_tree_cut("cb", "b")},
+    c AS (SELECT node || CASE WHEN {_TREE_VALUE} <= cut THEN 'l' ELSE 'r' END AS node, s, m, dd, c5 FROM b JOIN cb USING (node)),
+    nodes AS ({_TREE_ROWS} FROM a LEFT JOIN ca USING (node) GROUP BY node UNION ALL {_TREE_ROWS} FROM b LEFT JOIN cb USING (node) GROUP BY node
+      UNION ALL {_TREE_ROWS} FROM (SELECT *, CAST(NULL AS INTEGER) AS f, CAST(NULL AS DOUBLE) AS cut FROM c) GROUP BY node)
+    SELECT path, CASE f WHEN 0 THEN 'month' WHEN 1 THEN 'day' WHEN 2 THEN 'fifth' END AS feature, cut AS threshold, gini, CAST(samples AS BIGINT) AS samples FROM nodes"""
+)
+def tree_of_depth_two(spark, d):
+    """Gini tree of depth two with a leaf limit, every value of three features tried as a cut, as node rows."""
+    order = F.col("o_orderdate")
+    label = F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2)
+    rows = read_table(spark, d, "orders").select(
+        F.month(order).alias("month"), F.dayofmonth(order).alias("day"), (F.col("o_custkey") % 5).alias("fifth"), label.alias("label")
+    )
+    names = ["month", "day", "fifth"]
+    nodes = exact_tree.exact_tree_nodes(exact_tree.fit_exact_tree(rows, names, max_depth=2, min_leaf=_LEAF), spark, names, list(_STATES))
+    return nodes.select("path", "feature", "threshold", F.round("gini", 9).alias("gini"), "samples")
+
+
+@query()
+def exact_tree_accuracy(spark, d):
+    """Accuracy per part of the tree of depth seven with leaves of six rows, all values tried as cuts."""
+    rows, _ = _orders_by_status(spark, d)
+    rows = materialise(rows)
+    tree = exact_tree.fit_exact_tree(rows.where("split = 'train'"), _STATUS_COLUMNS, max_depth=7, min_leaf=6)
+    return _accuracy_rows(evaluate.accuracy_scores(exact_tree.predict_tree(rows, tree, _STATUS_COLUMNS)))
+
 @query()
 def softmax(spark, d):
     """Multinomial logistic regression over ten classes."""
@@ -607,7 +673,7 @@ def one_vs_one_on_mirrored_points(spark, d):
     axes = [F.array(*[F.lit(float(v)) for v in corner]) for corner in _CORNERS.values()]
     rows = half.select("x", F.posexplode(F.array(*axes)).alias("class", "corner"))
     rows = rows.select(F.col("class").cast("double").alias("label"), *[(F.col("corner")[k] * F.col("x")).alias(f"x{k}") for k in range(3)])
-    models = classify.fit_one_vs_one(materialise(prepare.assemble(rows, ["x0", "x1", "x2"])), c=0.05 / (total * top))
+    models = pairwise.fit_all_pairs(materialise(prepare.assemble(rows, ["x0", "x1", "x2"])), c=0.05 / (total * top))
     table = [(low, high, *(round(float(w), 3) + 0.0 for w in m.coefficients)) for (low, high), m in models.items()]
     return spark.createDataFrame(table, "low int, high int, w0 double, w1 double, w2 double")
 
@@ -696,19 +762,19 @@ def _forecast_frame(spark, d, degree, scaling):
 @query()
 def degree_sweep(spark, d):
     """Forecast scores for degrees one to three."""
-    return sweeps.sweep_degree(_forecast_frame(spark, d, 1, "zscore"), lambda t, f: regress.fit_ols(t, f))
+    return paths.degree_path(_forecast_frame(spark, d, 1, "zscore"))
 
 
 @query()
 def alpha_sweep(spark, d):
     """Forecast scores for six absolute penalties on scaled degree-three terms."""
-    return sweeps.sweep_alpha(_forecast_frame(spark, d, 3, "minmax"))
+    return paths.alpha_path(_forecast_frame(spark, d, 3, "minmax"))
 
 
 @query()
 def alpha_sweep_ridge(spark, d):
     """The same for squared penalties."""
-    return sweeps.sweep_alpha(_forecast_frame(spark, d, 3, "minmax"), fit=regress.fit_ridge)
+    return paths.alpha_path(_forecast_frame(spark, d, 3, "minmax"), penalty="squared")
 
 
 @query(
@@ -723,7 +789,7 @@ def alpha_sweep_ridge(spark, d):
 def degree_sweep_of_three_values(spark, d):
     """A feature of three values: a line, and at degree two the mean of each value."""
     rows = _split_orders(spark, d).select((F.col("o_custkey") % 3).cast("double").alias("x"), F.col("o_totalprice").alias("label"), "split")
-    table = sweeps.sweep_degree(materialise(prepare.assemble(rows, ["x"])), lambda t, f: regress.fit_ols(t, f), (1, 2))
+    table = paths.degree_path(materialise(prepare.assemble(rows, ["x"])), (1, 2))
     return table.withColumns({c: F.round(c, 6) + F.lit(0.0) for c in ("train_score", "test_score")})
 
 
@@ -751,7 +817,7 @@ def tree_sweep_of_two_values(spark, d):
 def alpha_sweep_line(spark, d):
     """Scores of a one-feature line for five absolute penalties."""
     rows = prepare.assemble(_split_orders(spark, d), ["o_custkey"]).withColumnRenamed("o_totalprice", "label")
-    table = sweeps.sweep_alpha(rows.select("features", "label", "split"), (0.001, 1.0, 100.0, 1e4, 1e9))
+    table = paths.alpha_path(rows.select("features", "label", "split"), (0.001, 1.0, 100.0, 1e4, 1e9))
     rounded = {c: F.round(c, 6) + F.lit(0.0) for c in ("log_alpha", "train_score", "test_score")}
     return table.withColumns(rounded)
 
