@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import math
 import re
-from bisect import bisect_left, bisect_right
+from bisect import bisect_left, bisect_right, insort
+from collections import OrderedDict
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -119,6 +120,7 @@ PLAIN = bytes(
     b + 32 if 65 <= b <= 90 else b if b == 10 or 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32 for b in range(256)
 )
 GAP = re.compile(rb"\n(?:[ ]*\n)+")
+WORD, FILLED, BREAK = re.compile(rb"\S+"), re.compile(rb"\S"), re.compile(rb"\n")
 STOP = re.compile(rb"[.!?][\"')\]]*(?=\s)")
 
 
@@ -162,19 +164,54 @@ def units(plain: bytes, parts: list[tuple[int, int, int]]) -> Iterator[tuple[int
 
 
 def sentence_runs(raw: bytes, plain: bytes, part: tuple[int, int, int], template: frozenset, threshold: float) -> Iterator[tuple[float, int, int, int]]:
-    """(coefficient, line, first and last+1 byte) of the sentences in a row of a paragraph that match."""
+    """(coefficient, line, first and last+1 byte) of the sentences in a row of a paragraph that match.
+
+    Of runs from one sentence with the same bigrams the shortest; the others overlap it and score alike. From
+    the last sentence to the first, the bigrams are kept in order of their next place, so a start looks at each
+    distinct bigram of its longest run once, however often sentences repeat.
+    """
     line, start, end = part
     cuts = [start, *(m.end() for m in STOP.finditer(raw, start, end)), end]
     longest = len(template) * (2 - threshold) / threshold
-    for i, a in enumerate(cuts[:-1]):
-        for b in cuts[i + 1 :]:
-            have = pairs(plain[a:b])
-            if len(have) > longest:
+    found = [(m.start(), m[0]) for m in WORD.finditer(plain, start, end)]
+    of = [bisect_right(cuts, at) - 1 for at, _ in found]
+    breaks = [m.start() for m in BREAK.finditer(plain, start, end)]
+    following: OrderedDict[tuple[bytes, bytes], int] = OrderedDict()
+    p = len(found) - 1
+    for i in range(len(cuts) - 2, -1, -1):
+        while p >= 0 and of[p] == i:
+            if p + 1 < len(found):
+                pair = found[p][1], found[p + 1][1]
+                following[pair] = of[p + 1]
+                following.move_to_end(pair, last=False)
+            p -= 1
+        ends: list[tuple[int, int, int]] = []
+        have = shared = 0
+        for pair, sentence in following.items():
+            have += 1
+            if have > longest:
+                if ends and ends[-1][0] == sentence:
+                    ends.pop()
                 break
-            shared = len(have & template)
-            if 2 * shared >= threshold * (len(have) + len(template)) - 1e-9:
-                at = a + len(raw[a:b]) - len(raw[a:b].lstrip())
-                yield 2 * shared / (len(have) + len(template)), line + plain.count(b"\n", start, at), at, b
+            shared += pair in template
+            if ends and ends[-1][0] == sentence:
+                ends.pop()
+            ends.append((sentence, have, shared))
+        for sentence, n, common in ends:
+            if 2 * common >= threshold * (n + len(template)) - 1e-9:
+                at = FILLED.search(raw, cuts[i]).start()
+                yield 2 * common / (n + len(template)), line + bisect_left(breaks, at), at, cuts[sentence + 1]
+
+
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Sorted spans that do not touch, over the same bytes."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = out[-1][0], max(b, out[-1][1])
+        else:
+            out.append((a, b))
+    return out
 
 
 def scan_text(text: str, templates: list, sizes: list[int], threshold: float) -> dict[str, tuple[float, int, set[int]]]:
@@ -216,9 +253,13 @@ def scan_text(text: str, templates: list, sizes: list[int], threshold: float) ->
     for part in parts if near else ():
         have = pairs(plain[part[1] : part[2]])
         runs = [(-dice, line, a, b, name) for size, name, t in near if len(have & t) >= size * low - 1e-9 for dice, line, a, b in sentence_runs(raw, plain, part, t, threshold)]
+        held = {name: merged(covered.get(name, [])) for name in {r[4] for r in runs}}
         for dice, line, a, b, name in sorted(runs):
-            if all(b <= x or y <= a for x, y in covered.get(name, ())):
+            spans = held[name]
+            before = bisect_left(spans, (b, b)) - 1
+            if before < 0 or spans[before][1] <= a:
                 take(name, -dice, line, a, b)
+                insort(spans, (a, b))
     return found
 
 
@@ -229,7 +270,7 @@ def license_scan(
 
     ``n_places`` counts distinct first lines of matching units, so a notice on a line of its own counts
     once. The line is the smallest among equally good units. Null and empty texts and texts without a
-    match give no row; repeated rows give a row each; a null key is kept; other columns are left out.
+    match give no row; texts of any length are read whole, in time that grows with their length; repeated rows give a row each; a null key is kept; other columns are left out.
     ``templates`` travel with the task and are meant to be some thousands at most.
     """
     ready = prepared(templates)
