@@ -135,26 +135,55 @@ def host_templates(counted: DataFrame, least_pages: int = LEAST_PAGES) -> DataFr
     return member.groupBy("host").applyInPandas(run, "host string, fixed array<long>")
 
 
+def _below(texts: list[tuple], nodes: list[tuple[int, int, str]]) -> list[int]:
+    """Words in every node, those within it included; the first holds the page."""
+    below = [0] * len(nodes)
+    for t in texts:
+        below[t[2]] += len(t[5].split())
+    for node in range(len(nodes) - 1, 0, -1):
+        below[nodes[node][0]] += below[node]
+    return below
+
+
+def _around(node: int, nodes: list[tuple[int, int, str]]) -> set[int]:
+    """The node and all nodes it lies in."""
+    found = set()
+    while node:
+        found.add(node)
+        node = nodes[node][0]
+    return found
+
+
+def _beside(texts: list[tuple], nodes: list[tuple[int, int, str]]) -> list[bool]:
+    """Which nodes their cues put beside the article.
+
+    Talk (comments, notices) is beside it however much it is, unless it holds most words and the page's first
+    headline (or ``main``, without one); other cues where a node holds at most half of the words that then remain.
+    """
+    below = _below(texts, nodes)
+    titles = [[n for n in range(1, len(nodes)) if nodes[n][2] == tag and below[n]] for tag in ("h1", "main")]
+    around_title = _around(next((t[0] for t in titles if t), 0), nodes)
+    off = [False] * len(nodes)
+    for least in (2, 1):
+        for node in range(1, len(nodes)):
+            around, cue, _ = nodes[node]
+            most = below[node] * 2 > below[0] and (cue < 2 or node in around_title)
+            off[node] = off[node] or off[around] or (cue >= least and not most)
+        below = _below([t for t in texts if not off[t[2]]], nodes)
+    return off
+
+
 def page_text(html: str, fixed: set[int], reader: Reader) -> str:
     """Blocks of the article's slots, joined by an empty line.
 
     Template text is no slot, nor is what lies in menus, page headers, footers, sidebars or controls by
     their element's name. An element that by class, id or role is one of these, a notice, an advert or
-    comments, or is a form, is none either unless it holds most of the words that remain, as something
-    around the article does. The article is what remains in ``article`` or ``main`` elements; without
-    any, all that remains.
+    comments, or is a form, is none either unless it is what lies around the article. The article is what remains in
+    ``article`` or ``main`` elements; without any, all that remains. Time grows with the page's length.
     """
     _, texts, nodes = reader.read(html)
     texts = [t for t in texts if not t[3] and not (fixed and (words := t[5].split()) and number(t[1], *words) in fixed)]
-    below = [0] * len(nodes)
-    for t in texts:
-        below[t[2]] += len(t[5].split())
-    for node in range(len(nodes) - 1, 0, -1):
-        below[nodes[node][0]] += below[node]
-    off = [False] * len(nodes)
-    for node in range(1, len(nodes)):
-        around, cued = nodes[node]
-        off[node] = off[around] or (cued and below[node] * 2 <= below[0])
+    off = _beside(texts, nodes)
     texts = [t for t in texts if not off[t[2]]]
     if any(t[4] and not t[5].isspace() for t in texts):
         texts = [t for t in texts if t[4]]

@@ -3,6 +3,7 @@
 import os
 import random
 import sys
+import time
 
 import numpy as np
 import pytest
@@ -12,11 +13,12 @@ sys.path.insert(0, os.path.dirname(__file__))
 
 from helpers import DOCS, documents, near_links, roots, shingle_sets  # noqa: E402
 
-from seriesloom.llm import neighbours, vector_dedup  # noqa: E402
+from seriesloom.llm import licenses, neighbours, vector_dedup  # noqa: E402
 from seriesloom.llm.common import batches  # noqa: E402
 from seriesloom.llm.components import connected_components, spanning  # noqa: E402
 from seriesloom.llm.cotraining import fit_views, score_quality  # noqa: E402
-from seriesloom.llm.extraction import host_templates, main_texts, token_counts  # noqa: E402
+from seriesloom.llm.extraction import host_templates, main_texts, page_text, token_counts  # noqa: E402
+from seriesloom.llm.htmlparse import Reader  # noqa: E402
 from seriesloom.llm.licenses import TEMPLATES, license_scan  # noqa: E402
 from seriesloom.llm.minhash import DISTANCE, near_duplicates, one_of_each, shingle_set, signature  # noqa: E402
 from seriesloom.llm.mixing import mixed_rows, systematic_copies, word_count  # noqa: E402
@@ -71,6 +73,60 @@ def test_license_notices_within_paragraphs(spark):
     assert pick(got, "doc_id", "license", "first_line", "n_places") == [(1, "all-rights-reserved", 1, 1), (2, "MIT", 0, 1), (3, "MIT", 1, 1), (5, "BSD-3-Clause", 0, 1)]
 
 
+def test_license_sentences_equal_all_runs():
+    """Against every run of sentences, on texts with repeats."""
+    rng = random.Random(4)
+    phrases = ["All rights reserved.", "ok go.", "Released under the MIT License.", "Released under", "the MIT License!", "and more words of no use?", "(c)", "\n"]
+    ready = licenses.prepared(licenses.TEMPLATES)
+    for _ in range(150):
+        raw = " ".join(rng.choice(phrases) for _ in range(rng.randint(1, 25))).replace("\n \n", "\n").encode()
+        plain = raw.translate(licenses.PLAIN)
+        for part in licenses.paragraphs(plain):
+            cuts = [part[1], *(m.end() for m in licenses.STOP.finditer(raw, part[1], part[2])), part[2]]
+            for size, _, template in ready[:12]:
+                every: dict = {}
+                for i, a in enumerate(cuts[:-1]):
+                    for b in cuts[i + 1 :]:
+                        have = licenses.pairs(plain[a:b])
+                        shared = len(have & template)
+                        if 2 * shared >= licenses.THRESHOLD * (len(have) + size) - 1e-9:
+                            at = b - len(raw[a:b].lstrip())
+                            every.setdefault((at, frozenset(have)), (2 * shared / (len(have) + size), part[0] + plain.count(b"\n", part[1], at), at, b))
+                got = list(licenses.sentence_runs(raw, plain, part, template, licenses.THRESHOLD))
+                assert set(every.values()) <= set(got) and all(g in every.values() or any(g[:3] == e[:3] for e in every.values()) for g in got)
+
+
+def test_license_time_grows_with_the_text():
+    ready = licenses.prepared(licenses.TEMPLATES)
+    sizes = [u[0] for u in ready]
+    started = time.time()
+    for text in ("All rights reserved. " + "ok go. " * 150_000, "All rights reserved. " * 50_000, "ok go.\n" * 150_000 + "All rights reserved."):
+        assert "all-rights-reserved" in licenses.scan_text(text, ready, sizes, licenses.THRESHOLD)
+    assert time.time() - started < 60
+
+
+def test_page_beside_the_article_however_long():
+    """Comments and notices longer than the article go; wrappers with such words in their names stay."""
+    talk = "".join(f"<p>reader number {i} says a lot about this</p>" for i in range(30))
+    cases = [
+        f"<h1>Rain stops</h1><p>It is dry now.</p><div class=comments>{talk}</div>",
+        f"<article><h1>Rain stops</h1><p>It is dry now.</p><section id='comment-list'>{talk}</section></article>",
+        f"<div class='cookie-notice'>{talk}</div><main><h1>Rain stops</h1><p>It is dry now.</p></main>",
+        f"<div class='layout with-sidebar'><h1>Rain stops</h1><p>It is dry now.</p></div><div id=disqus_thread>{talk}</div>",
+        f"<div id='page-no-comments'><h1>Rain stops</h1><p>It is dry now.</p><div class='reader-replies'>{talk}</div></div>",
+        f"<form action=x><h1>Rain stops</h1><p>It is dry now.</p><div class='newsletter'>{talk}</div></form>",
+    ]
+    for html in cases:
+        assert page_text(f"<html><body>{html}</body></html>", set(), Reader()) == "Rain stops\n\nIt is dry now.", html
+
+
+def test_page_reader_time_grows_with_the_page():
+    started = time.time()
+    for html in ("<b>x" * 100_000 + "</i>" * 250_000, "<div>" * 100_000 + "</span></p>" * 100_000, "<b>" * 150_000 + "<p>x" * 100_000):
+        page_text(html, set(), Reader())
+    assert time.time() - started < 60
+
+
 def test_license_near_miss(spark):
     near = "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with this License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"
     assert [r.license for r in license_scan(documents(spark, [(1, near)]), "doc_id", "text").collect()] == ["Apache-2.0"]
