@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from seriesloom.functions.text import join_words, spaced_tokens
-from seriesloom.operators import pages, profile, relational, tfidf, vectors, wordstats
+from seriesloom.operators import pages, profile, relational, skipgram, tfidf, vectors, wordstats
 from seriesloom.plans import news_score
 from seriesloom.plans.articles import collect_articles
 from seriesloom.registry.base import SPACES, query
@@ -464,3 +464,32 @@ def word_vector_store(spark, d):
     store.save_word_vectors(_trained(spark, d), model_path, table_path)
     model, table = store.load_word_vectors(spark, model_path, table_path)
     return table.select("word", F.size("vector").alias("size"), F.lit(model.getVectorSize()).alias("model_size"))
+
+
+_NUMBERED = "CAST(('0x' || substr(md5(word), 1, 8)) AS BIGINT)"
+
+
+@query(
+    f"""WITH {_TERMS}, nv AS (SELECT count(*) AS n FROM embeddings),
+    corpus AS (SELECT DISTINCT unnest(string_split(lower(text), ' ')) AS word FROM documents),
+    known AS (SELECT term AS word, {_NUMBERED.replace("word", "term")} AS k FROM vocab),
+    given AS (SELECT word, embedding FROM known JOIN embeddings ON vec_id = k % (SELECT n FROM nv) WHERE k % 2 = 0),
+    words AS (SELECT word FROM corpus WHERE word IN (SELECT term FROM vocab) UNION SELECT word FROM given)
+    SELECT word, CAST(64 AS INTEGER) AS size, given.word IS NOT NULL AS is_given,
+      CASE WHEN given.word IS NOT NULL THEN CAST(embedding[1] AS DOUBLE) END AS first, CASE WHEN given.word IS NOT NULL THEN CAST(embedding[64] AS DOUBLE) END AS last
+    FROM words LEFT JOIN given USING (word)"""
+)
+def continued_vectors(spark, d):
+    """Training from given vectors: half of the vocabulary has one and keeps it, the other words of the corpus are added."""
+    vocabulary = materialise(_vocabulary(spark, d))
+    corpus = materialise(tfidf.checked_corpus(_docs(spark, d), vocabulary, "doc_id", normalize=True))
+    table = read_table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("vector"))
+    number = F.conv(F.substring(F.md5(F.col("term").cast("binary")), 1, 8), 16, 10).cast("long")
+    n = table.agg(F.count("*").alias("n")).scalar()
+    terms = vocabulary.select(F.col("term").alias("word"), number.alias("k")).where("k % 2 = 0")
+    given = materialise(terms.select("word", (F.col("k") % n).alias("vec_id")).join(table, "vec_id").select("word", "vector"))
+    trained = skipgram.continue_vectors(corpus, given, size=64, passes=2)
+    of_given = given.select("word", F.lit(True).alias("is_given"))
+    is_given = F.coalesce("is_given", F.lit(False))
+    ends = [F.when(is_given, F.get("vector", F.lit(i))).alias(name) for i, name in ((0, "first"), (63, "last"))]
+    return trained.join(of_given, "word", "left").select("word", F.size("vector").alias("size"), is_given.alias("is_given"), *ends)
