@@ -135,11 +135,11 @@ def host_templates(counted: DataFrame, least_pages: int = LEAST_PAGES) -> DataFr
     return member.groupBy("host").applyInPandas(run, "host string, fixed array<long>")
 
 
-def _below(texts: list[tuple], nodes: list[tuple[int, int, str]]) -> list[int]:
-    """Words in every node, those within it included; the first holds the page."""
+def _below(held: list[tuple[int, int]], nodes: list[tuple[int, int, str]]) -> list[int]:
+    """Words in every node by those ``held`` as (node, words), those within it included; the first holds the page."""
     below = [0] * len(nodes)
-    for t in texts:
-        below[t[2]] += len(t[5].split())
+    for node, words in held:
+        below[node] += words
     for node in range(len(nodes) - 1, 0, -1):
         below[nodes[node][0]] += below[node]
     return below
@@ -154,13 +154,13 @@ def _around(node: int, nodes: list[tuple[int, int, str]]) -> set[int]:
     return found
 
 
-def _beside(texts: list[tuple], nodes: list[tuple[int, int, str]]) -> list[bool]:
+def _beside(held: list[tuple[int, int]], nodes: list[tuple[int, int, str]]) -> list[bool]:
     """Which nodes their cues put beside the article.
 
     Talk (comments, notices) is beside it however much it is, unless it holds most words and the page's first
     headline (or ``main``, without one); other cues where a node holds at most half of the words that then remain.
     """
-    below = _below(texts, nodes)
+    below = _below(held, nodes)
     titles = [[n for n in range(1, len(nodes)) if nodes[n][2] == tag and below[n]] for tag in ("h1", "main")]
     around_title = _around(next((t[0] for t in titles if t), 0), nodes)
     off = [False] * len(nodes)
@@ -169,7 +169,7 @@ def _beside(texts: list[tuple], nodes: list[tuple[int, int, str]]) -> list[bool]
             around, cue, _ = nodes[node]
             most = below[node] * 2 > below[0] and (cue < 2 or node in around_title)
             off[node] = off[node] or off[around] or (cue >= least and not most)
-        below = _below([t for t in texts if not off[t[2]]], nodes)
+        below = _below([h for h in held if not off[h[0]]], nodes)
     return off
 
 
@@ -182,9 +182,16 @@ def page_text(html: str, fixed: set[int], reader: Reader) -> str:
     ``article`` or ``main`` elements; without any, all that remains. Time grows with the page's length.
     """
     _, texts, nodes = reader.read(html)
-    texts = [t for t in texts if not t[3] and not (fixed and (words := t[5].split()) and number(t[1], *words) in fixed)]
-    off = _beside(texts, nodes)
-    texts = [t for t in texts if not off[t[2]]]
+    kept, held = [], []
+    for t in texts:
+        words = () if t[3] else t[5].split()
+        if not t[3] and not (fixed and words and number(t[1], *words) in fixed):
+            kept.append(t)
+            if words:
+                held.append((t[2], len(words)))
+    # Without a cue on the page nothing lies beside the article.
+    off = _beside(held, nodes) if any(n[1] for n in nodes) else [False] * len(nodes)
+    texts = [t for t in kept if not off[t[2]]]
     if any(t[4] and not t[5].isspace() for t in texts):
         texts = [t for t in texts if t[4]]
     blocks: dict[int, list[str]] = {}

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seriesloom.llm.common import lean_batches
 from seriesloom.llm.cotraining import fit_views, score_quality
 from seriesloom.llm.divergence import divergence_audit
 from seriesloom.llm.extraction import main_texts
@@ -122,6 +123,7 @@ def op4_cotraining(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def op5_template_text(spark: SparkSession, d: str) -> DataFrame:
     """Main text of every page by its host's template."""
+    lean_batches(spark)
     return main_texts(read_table(spark, d, "pages")).select("*", F.length("text").cast("long").alias("n_chars"))
 
 
