@@ -41,24 +41,40 @@ def article_bodies(spark, d):
     return found.select("page_id", "section")
 
 
-# Every page's headline in the container of one of the publishers; the last kind has none.
-_HEADLINE = r"regexp_extract({}, '(?is)<h1\b[^>]*>(.*?)</h1>', 1)"
+# Every page's whole article in the container of one of the publishers; the last kind has none.
+_ARTICLE = r"(?is)<article\b[^>]*>(.*?)</article>"
+_HEADLINE = r"(?is)<h1\b[^>]*>(.*?)</h1>"
+_INNER = f"regexp_extract(html, '{_ARTICLE}', 1)"
+_PLAIN_SQL = _UNESCAPE_SQL.format(r"regexp_replace({}, '(?s)<[^>]*>', '{gap}', 'g')")
+
+
+def _whole_sql(html: str, gap: str = " ") -> str:
+    return _PLAIN_SQL.replace("{gap}", gap).replace("{}", html)
+
+
+def _paragraphs_sql(html: str) -> str:
+    return rf"array_to_string([{_whole_sql('x')} FOR x IN regexp_extract_all({html}, '(?is)<p\b[^>]*>(.*?)</p>', 1)], ' ')"
+
+
+# Publisher, markup before and after the article, and the text its rule gives.
 _CONTAINERS = [
-    (0, '<article class="story-news article"><p>', "</p><i>no</i><p>tail</p></article>", "{} || ' tail'"),
-    (0, '<div class="x article-txt y"><p>', "</p></div>", "{}"),
-    (0, '<div data-id="articleBody">no</div><div id="articleBody">', "<b>!</b></div>", "{} || '!'"),
-    (0, "<div class='end_body_wrp'>", "</div>", "{}"),
-    (1, '<section class="article-body"><p>', "</p></section>", "{}"),
-    (2, '<div class="detail-body">', '<div>in</div></div><div class="detail-body">two</div>', "{} || ' in two'"),
-    (3, '<div class="text_area">', "</div>", "{}"),
-    (4, '<p class="content_text">SUB_TITLE_START', '</p><p>no</p><p class="content_text">ySUB_TITLE_END</p>', "{} || ' y'"),
+    (0, '<article class="story-news article">', "<i>no</i><p>tail</p></article>", _paragraphs_sql(f"({_INNER} || '<i>no</i><p>tail</p>')")),
+    (0, '<div class="x article-txt y">', "</div>", _paragraphs_sql(_INNER)),
+    (0, '<div data-id="articleBody">no</div><div id="articleBody">', "<b>!</b></div>", _whole_sql(_INNER, "") + " || '!'"),
+    (0, "<div class='end_body_wrp'>", "</div>", _whole_sql(_INNER, "")),
+    (1, '<section class="article-body">', "</section>", _paragraphs_sql(_INNER)),
+    (2, '<div class="detail-body">', '<div>in</div></div><div class="detail-body">two</div>', _whole_sql(_INNER) + " || ' in two'"),
+    (3, '<div class="text_area">', "</div>", _whole_sql(_INNER)),
+    (4, '<p class="content_text">SUB_TITLE_START', '</p><p>no</p><p class="content_text">ySUB_TITLE_END</p>', _whole_sql(_INNER) + " || ' y'"),
     (2, '<div class="my-detail-body" data-class="detail-body">', "</div>", "NULL"),
 ]
-_WORDS = {i: c[3].format(_UNESCAPE_SQL.format(_HEADLINE.format("html"))) for i, c in enumerate(_CONTAINERS)}
+#: The kind whose container is a paragraph: paragraphs inside it are written as blocks.
+_IN_PARAGRAPH = 7
+_WORDS = {i: c[3] for i, c in enumerate(_CONTAINERS)}
 _SECTION = f"trim(regexp_replace(CASE page_id % {len(_CONTAINERS)} " + " ".join(f"WHEN {i} THEN {w}" for i, w in _WORDS.items()) + f" END, '{SPACES}', ' ', 'g'))"
 _PRESS = f"CASE page_id % {len(_CONTAINERS)} " + " ".join(f"WHEN {i} THEN '{pages.PUBLISHERS[c[0]]}'" for i, c in enumerate(_CONTAINERS)) + " END"
 _ITEM = f"""CAST('2021.09.' || lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0') || '.' AS VARCHAR) AS date, 'http://news/' || page_id || '?a=1&b=2' AS url,
-    {_PRESS} AS press, 'T "' || page_id || '"' AS title"""
+    {_PRESS} AS press, {_UNESCAPE_SQL.format(f"regexp_extract(html, '{_HEADLINE}', 1)")} AS title"""
 
 
 def _kind():
@@ -66,23 +82,25 @@ def _kind():
 
 
 def _publisher_pages(spark, d):
-    """``(page_id, url, press_index, html)``: each driver page's headline as one publisher would have it."""
-    headline = F.regexp_extract("html", r"(?is)<h1\b[^>]*>(.*?)</h1>", 1)
+    """``(page_id, url, press_index, html)``: each driver page's whole article as one publisher would have it."""
+    inner = F.regexp_extract("html", _ARTICLE, 1)
+    article = F.when(_kind() == _IN_PARAGRAPH, F.regexp_replace(inner, r"(?i)<(/?)p\b", "<$1div")).otherwise(inner)
     before, after = (F.get(F.array(*[F.lit(c[i]) for c in _CONTAINERS]), _kind()) for i in (1, 2))
     press = F.get(F.array(*[F.lit(c[0]) for c in _CONTAINERS]), _kind())
     url = F.concat(F.lit("http://news/"), "page_id", F.lit("?a=1&b=2"))
-    return _pages(spark, d).select("page_id", url.alias("url"), press.alias("press_index"), F.concat(before, headline, after).alias("html"))
+    return _pages(spark, d).select("page_id", url.alias("url"), press.alias("press_index"), F.concat(before, article, after).alias("html"))
 
 
 def _listings(spark, d):
-    """Search pages of ten results each."""
+    """Search pages of ten results each, titled by the headlines of the pages."""
+    title = F.replace(F.regexp_extract("html", _HEADLINE, 1), F.lit('"'), F.lit("&quot;"))
     press = F.get(F.array(*[F.lit(pages.PUBLISHERS[c[0]]) for c in _CONTAINERS]), _kind())
     day = F.lpad((F.col("page_id") % 28 + 1).cast("string"), 2, "0")
     item = F.concat(
         F.lit('<li class="bx" id="sp_nws'), "page_id", F.lit('"><div class="news_wrap"><div class="news_area"><div class="news_info"><div class="info_group"><a class="info press"><span>i</span>'),
         press, F.lit('</a><span class="info">A1</span><span class="info">2021.09.'), day,
-        F.lit('.</span></div></div><ul class="more"><li>other</li></ul><a href="http://news/'), "page_id", F.lit('?a=1&amp;b=2" class="news_tit" title="T &quot;'),
-        "page_id", F.lit('&quot;">t</a></div></div></li>'),
+        F.lit('.</span></div></div><ul class="more"><li>other</li></ul><a href="http://news/'), "page_id", F.lit('?a=1&amp;b=2" class="news_tit" title="'),
+        title, F.lit('">t</a></div></div></li>'),
     )
     rows = _pages(spark, d).select("page_id", F.floor(F.col("page_id") / 10).alias("list"), item.alias("item"))
     listed = rows.groupBy("list").agg(F.sort_array(F.collect_list(F.struct("page_id", "item")))["item"].alias("items"))
