@@ -83,8 +83,8 @@ def hinge(w, b, x, y, c):
 
 
 def test_all_pairs_are_at_their_minimum(spark):
-    centres = {0: (0, 0), 1: (2, 1), 3: (0, 2.5)}
-    data = [(Vectors.dense(RNG.normal(size=2) + m), k) for k, m in centres.items() for _ in range(80)]
+    centres, rng = {0: (0, 0), 1: (2, 1), 3: (0, 2.5)}, np.random.default_rng(6)
+    data = [(Vectors.dense(rng.normal(size=2) + m), k) for k, m in centres.items() for _ in range(80)]
     df = spark.createDataFrame(data, ["features", "label"]).repartition(3).persist()
     models = pairwise.fit_all_pairs(df)
     assert sorted(models) == [(0, 1), (0, 3), (1, 3)]
@@ -97,9 +97,10 @@ def test_all_pairs_are_at_their_minimum(spark):
         other = single[low, high]
         assert best <= hinge(np.array(other.coefficients), other.intercept, x, y, 1.0) + 1e-3
         for _ in range(300):
-            assert hinge(w + RNG.normal(size=2) * 0.02, b + RNG.normal() * 0.02, x, y, 1.0) > best - 1e-3
-    predicted = classify.predict_one_vs_one(df, models)
-    assert predicted.where("prediction = label").count() > 200
+            assert hinge(w + rng.normal(size=2) * 0.02, b + rng.normal() * 0.02, x, y, 1.0) > best - 1e-3
+    # Both fits have the same minimum, so they decide alike but for rows on the border.
+    both = classify.predict_one_vs_one(classify.predict_one_vs_one(df, models), single, prediction="other")
+    assert both.where("prediction = other").count() >= 0.98 * 240
 
 
 def data_of(df, low, high):
@@ -107,7 +108,8 @@ def data_of(df, low, high):
 
 
 def test_all_pairs_takes_few_passes(spark, monkeypatch):
-    data = [(Vectors.dense(RNG.normal(size=2) + [k, 0]), k) for k in range(5) for _ in range(40)]
+    rng = np.random.default_rng(7)
+    data = [(Vectors.dense(rng.normal(size=2) + [k, 0]), k) for k in range(5) for _ in range(40)]
     df = spark.createDataFrame(data, ["features", "label"]).coalesce(2).persist()
     calls = []
     monkeypatch.setattr(pairwise, "summed", lambda *a: calls.append(1) or sums.summed(*a))
