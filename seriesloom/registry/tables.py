@@ -65,9 +65,10 @@ def append_new_rows(spark, d):
 def stream_ingest(spark, d):
     """Documents arriving as a file stream, stored once although two streams run twice each."""
     path = scratch_path(spark, "store")
+    # The braces match the table's own name, be it one file or a folder of them.
     for checkpoint in [scratch_path(spark, "offsets") for _ in range(2)] * 2:
         run = ingest.ingest_articles(
-            spark, d, path, checkpoint, schemas.TABLES["documents"], key="doc_id", glob="documents.parquet",
+            spark, f"{d}/{{documents.parquet}}", path, checkpoint, schemas.TABLES["documents"], key="doc_id",
             prepare=lambda rows: rows.select("doc_id", "source", "n_chars"),
         )
         run.awaitTermination()

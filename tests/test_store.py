@@ -124,3 +124,16 @@ def test_rows_of_one_row_group_are_spread(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", own)
     assert len(sizes) == spark.sparkContext.defaultParallelism and max(sizes) < 2 * min(sizes)
+
+
+def test_stream_of_a_table_of_one_file_or_of_a_folder(spark, tmp_path):
+    from seriesloom.registry.tables import stream_ingest
+
+    docs = spark.range(7).selectExpr("id AS doc_id", "'t' AS text", "'en' AS lang", "'web' AS source", "id * 10 AS n_chars")
+    (tmp_path / "folder").mkdir()
+    (tmp_path / "single").mkdir()
+    docs.repartition(3).write.parquet(str(tmp_path / "folder" / "documents.parquet"))
+    docs.toPandas().to_parquet(tmp_path / "single" / "documents.parquet")
+    for kind in ("folder", "single"):
+        got = sorted(map(tuple, stream_ingest(spark, str(tmp_path / kind)).collect()))
+        assert got == [(i, "web", i * 10) for i in range(7)]
