@@ -155,7 +155,7 @@ def continue_vectors(
         return given.select("word", F.col("vector").cast("array<double>").alias("vector"))
     parts = math.ceil(total["tokens"] / part_tokens)
 
-    known = counted.join(given, "word", "left").orderBy("word").select("word", "n", F.col("vector").cast("array<double>").alias("vector")).toPandas()
+    known = counted.join(given, "word", "left").orderBy("word").select("word", "n", F.col("vector").cast("array<double>").alias("vector")).toArrow().to_pandas()
     names, frozen = known["word"].tolist(), known["vector"].notna().to_numpy()
     rng = np.random.default_rng(seed)
     vectors = ((rng.random((len(names), size)) - 0.5) / size).astype(np.float32)
@@ -174,12 +174,14 @@ def continue_vectors(
 
         moves = _moves(encoded, held, window, negatives, step, [seed, turn])
         mean = moves.groupBy("side", "id").agg(vector_to_array(Summarizer.mean(array_to_vector("moved"), F.col("n"))).alias("moved"))
-        moved = materialise(mean).toPandas()
+        moved = materialise(mean).toArrow().to_pandas()
         vectors, contexts = vectors.copy(), contexts.copy()
         for side, table in enumerate((vectors, contexts)):
             of = moved[moved["side"] == side]
             if len(of):
                 table[of["id"].to_numpy()] += np.stack(of["moved"].to_list()).astype(np.float32)
         held.unpersist()
-    trained = spark.createDataFrame(pd.DataFrame({"word": names, "vector": [v.astype(np.float64) for v in vectors]}), "word string, vector array<double>")
+    # Arrow tables go both ways whatever the session's setting for pandas, which may be off.
+    lists = pa.ListArray.from_arrays(np.arange(0, vectors.size + 1, size, dtype=np.int32), pa.array(vectors.ravel().astype(np.float64)))
+    trained = spark.createDataFrame(pa.table({"word": pa.array(names, pa.string()), "vector": lists}), "word string, vector array<double>")
     return overlay_vectors(trained, given.select("word", F.col("vector").cast("array<double>").alias("vector")))

@@ -106,3 +106,15 @@ def test_parts_grow_with_the_corpus(spark, monkeypatch):
     vectors.train_word_vectors(corpus)
     vectors.train_word_vectors(corpus.limit(0))
     assert seen == [11, vectors.TRAINING_PARTS]
+
+
+def test_a_session_without_arrow_for_pandas(spark):
+    words = spark.createDataFrame([(["a", "b", "a", "c"],), (["b", "c"],)], "words array<string>")
+    given = spark.createDataFrame([("a", [1 / 3, 0.5])], "word string, vector array<double>")
+    setting = spark.conf.get("spark.sql.execution.arrow.pyspark.enabled")
+    spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "false")
+    try:
+        got = {r["word"]: r["vector"] for r in skipgram.continue_vectors(words, given, size=2, passes=2).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", setting)
+    assert set(got) == {"a", "b", "c"} and got["a"] == [1 / 3, 0.5] and all(len(v) == 2 for v in got.values())
