@@ -1,9 +1,10 @@
 """Dense networks trained on rows that stay where they are.
 
 The weights travel to the tasks. Each task runs its rows through the networks in Arrow batches and hands
-back one row of summed gradients and losses; the driver holds weights and moments only and takes the step.
-The sums are those of all rows of a step, however they are dealt, so a network does not depend on the
-number of tasks. Several networks share a pass, and the validation losses come with the same pass.
+back one row of summed gradients and losses, which tasks add up; the driver gets one row, holds weights and
+moments only and takes the step. The sums are those of all rows of a step, however they are dealt, so a
+network does not depend on the number of tasks. Several networks share a pass, and the validation losses
+come with the same pass.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +28,7 @@ from seriesloom.sources.store import exists
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_ROWS = 2048
-#: Partial sums the driver takes directly; more are summed by tasks first.
+#: Partial sums that one task adds up; more are summed in rounds first.
 FAN_IN = 32
 # Decay of the two moments and the least denominator of a step.
 FIRST_DECAY, SECOND_DECAY, LEAST = 0.9, 0.999, 1e-7
@@ -108,7 +109,8 @@ def pass_sums(rows: DataFrame, tasks: int, nets: Sequence[DenseNet]) -> list[np.
     """One pass over ``rows`` (``x``, ``y``, ``valid``): per network its gradient and four last numbers.
 
     These are loss and rows of the training part, and loss and rows of the validation part. ``tasks`` is how
-    many partitions ``rows`` has; the driver takes ``FAN_IN`` rows of sums at most.
+    many partitions ``rows`` has; the driver takes one row of sums, however many they are. Sums are added in
+    the order of their partitions.
     """
 
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,19 +129,23 @@ def pass_sums(rows: DataFrame, tasks: int, nets: Sequence[DenseNet]) -> list[np.
                         total[-4:-2] += loss, (~held).sum()
                     if held.any():
                         total[-2:] += _loss(net, outputs(net, own_x[held])[-1], own_y[held])[0], held.sum()
-        yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(sums).tobytes()], pa.binary())], names=["sums"])
+        yield one_row(TaskContext.get().partitionId(), np.concatenate(sums))
+
+    def one_row(part: int, total: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["part", "sums"])
 
     def add(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = sorted(((row["part"], row["sums"]) for batch in tables for row in batch.to_pylist()), key=lambda f: f[0])
         total = np.zeros(sum(len(n.weights) + 4 for n in nets))
-        for batch in tables:
-            for value in batch.column(0).to_pylist():
-                total += np.frombuffer(value)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
-
-    sums = rows.select("x", "y", "valid").mapInArrow(run, "sums binary")
-    while tasks > FAN_IN:
-        tasks = math.ceil(math.sqrt(tasks))
-        sums = sums.repartition(tasks).mapInArrow(add, "sums binary")
+        for _, value in found:
+            total += np.frombuffer(value)
+        yield one_row(found[0][0] if found else -1, total)
+
+    schema = "part int, sums binary"
+    sums = rows.select("x", "y", "valid").mapInArrow(run, schema)
+    while tasks > 1:
+        tasks = 1 if tasks <= FAN_IN else math.ceil(math.sqrt(tasks))
+        sums = sums.repartition(tasks).mapInArrow(add, schema)
     total = sum((np.frombuffer(r["sums"]) for r in sums.collect()), np.zeros(sum(len(n.weights) + 4 for n in nets)))
     return np.split(total, np.cumsum([len(n.weights) + 4 for n in nets])[:-1])
 

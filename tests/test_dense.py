@@ -88,3 +88,18 @@ def test_odd_rows(spark):
     odd = spark.createDataFrame([(1.0, 1.0, "train"), (1.0, 1.0, "train"), (None, 1.0, "train"), (2.0, None, "train"), (3.0, 0.0, None), (4.0, 0.0, "test")], schema)
     _, history = dense.fit_dense_nets(odd, ["a"], [net], rounds=2)
     assert len(history[0]) == 2 and history[0][0][1] == history[0][0][2]
+
+
+def test_the_driver_gets_one_row_of_sums(spark, monkeypatch):
+    net = dense.new_net([2, 3, 2], "tanh", "entropy", 1)
+    made = [([i / 40, 1 - i / 30], float(i % 2), i % 5 == 0) for i in range(60)]
+    rows = spark.createDataFrame(made, "x array<double>, y double, valid boolean")
+    taken, collect = [], type(rows).collect
+    monkeypatch.setattr(type(rows), "collect", lambda df: taken.append(collect(df)) or taken[-1])
+    x, y, held = np.array([m[0] for m in made]), np.array([m[1] for m in made]), np.array([m[2] for m in made])
+    loss, gradient = dense.loss_and_gradient(net, x[~held], y[~held])
+    for tasks in (1, 6, dense.FAN_IN + 4):
+        (sums,) = dense.pass_sums(rows.repartition(tasks), tasks, [net])
+        assert len(taken[-1]) == 1
+        np.testing.assert_allclose(sums[:-4], gradient, rtol=1e-4, atol=1e-5)
+        assert sums[-4] == pytest.approx(loss, rel=1e-5) and sums[[-3, -1]].tolist() == [48, 12]
