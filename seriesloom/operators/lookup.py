@@ -8,9 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
+from seriesloom.session import materialise
+
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD = 32
+#: The commonest words of a table too large to broadcast: most rows and bytes, and levels per doubling of the count.
+COMMON_ROWS, COMMON_BYTES = 400_000, 32 * 1024 * 1024
+LEVELS = 8
 
 
 def _row_bytes(df: DataFrame) -> Column:
@@ -83,13 +88,42 @@ def word_lookup(
     """``(doc_id, pos, key, ...)``: every word of every document looked up in ``dim``.
 
     With a small ``dim`` the words are looked up where the texts are read, so only what is kept moves
-    on: grouping the result by document sends one partial row per document. With a large one the words
-    go through :func:`salted_join`.
+    on: grouping the result by document sends one partial row per document. With a large one the commonest
+    words, whether ``dim`` has them or not, are still looked up there, and the others go through
+    :func:`salted_join`.
     """
     facts = numbered_elements(docs, [doc_id], words, key)
     if fits_broadcast(dim, max_rows):
         return facts.join(F.broadcast(dim), key, how)
-    return salted_join(facts, dim, key, how, [doc_id, "pos"], key_counts)
+    if key_counts is None:
+        key_counts = materialise(facts.groupBy(key).agg(F.count("*").alias("n")))
+    common = common_words(dim, key, key_counts)
+    matched = {"inner": F.col("_in_dim"), "left_semi": F.col("_in_dim"), "left_anti": ~F.col("_in_dim"), "left": F.lit(True)}[how]
+    near = facts.join(F.broadcast(common.where(matched)), key)
+    rest = facts.join(F.broadcast(common.select(key)), key, "left_anti")
+    far = salted_join(rest, dim, key, how, [doc_id, "pos"], key_counts.join(F.broadcast(common.select(key)), key, "left_anti"))
+    return near.select(*far.columns).unionAll(far)
+
+
+def common_words(dim: DataFrame, key: str, key_counts: DataFrame) -> DataFrame:
+    """The commonest keys of ``key_counts`` with their columns of ``dim``, stored; ``_in_dim`` tells whether it has them.
+
+    As many as ``COMMON_ROWS`` and ``COMMON_BYTES`` allow; keys are taken by levels of their count, of which
+    there are a few hundred, so keys of equal counts stay together.
+    """
+    level = F.floor(F.log2("n") * LEVELS).cast("int")
+    marked = dim.withColumn("_in_dim", F.lit(True))
+    known = key_counts.where(F.col(key).isNotNull()).select(key, level.alias("_level")).join(marked, key, "left")
+    known = materialise(known.withColumn("_in_dim", F.coalesce("_in_dim", F.lit(False))))
+    levels = known.groupBy("_level").agg(F.count("*").alias("n"), F.sum(_row_bytes(known)).alias("bytes")).orderBy(F.desc("_level")).collect()
+    rows = size = 0
+    least = None
+    for found in levels:
+        rows, size = rows + found["n"], size + found["bytes"]
+        if rows > COMMON_ROWS or size > COMMON_BYTES:
+            break
+        least = found["_level"]
+    return known.where(F.col("_level") >= F.lit(least).cast("int")).drop("_level")
 
 
 def salted_join(

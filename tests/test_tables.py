@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from seriesloom.operators import profile, relational, series
+from seriesloom.operators import lookup, profile, relational, series
 from seriesloom.operators.lookup import fits_broadcast, lookup_join, salted_join, word_lookup
 
 
@@ -81,6 +81,21 @@ def test_lookup_paths_agree(spark):
     )
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_common_words_of_a_large_lookup_do_not_move(spark, monkeypatch, how):
+    """Only words that are not among the commonest are shuffled, in the lookup or not."""
+    docs = spark.createDataFrame([(i, ["in", "out", None, f"rare{i}", f"own{i}"] * 3) for i in range(40)], "doc_id int, words array<string>")
+    dim = spark.createDataFrame([("in", 1)] + [(f"rare{i}", i) for i in range(40)], "w string, v int")
+    moved = []
+    monkeypatch.setattr(lookup, "salted_join", lambda facts, *a: moved.append(facts.count()) or salted_join(facts, *a))
+    want = rows(word_lookup(docs, "doc_id", F.col("words"), dim, "w", how))
+    monkeypatch.setattr(lookup, "COMMON_ROWS", 20)
+    assert rows(word_lookup(docs, "doc_id", F.col("words"), dim, "w", how, max_rows=1)) == want
+    assert moved == [40 * 9]
+    monkeypatch.setattr(lookup, "COMMON_ROWS", 0)
+    assert rows(word_lookup(docs, "doc_id", F.col("words"), dim, "w", how, max_rows=1)) == want
+
+
 def test_fits_broadcast_counts_rows_and_bytes(spark):
     dim = spark.createDataFrame([("x" * 1000, [1.0, 2.0])] * 10, "w string, v array<double>")
     assert fits_broadcast(dim)
