@@ -6,18 +6,24 @@ pair. The corner of the hinge is rounded by a width that shrinks, so the last st
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seriesloom.operators.classify import LinearWeights
 from seriesloom.operators.sums import numbers, summed
+from seriesloom.session import scratch_path
+
+# Executors need no install of the kernels: they travel by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Widths of the rounded corner, the share of a step's promise it must keep, the shorter steps that are tried.
 WIDTHS = tuple(2 * 0.5**i for i in range(13))
@@ -25,6 +31,8 @@ LEAST_GAIN, STEPS = 1e-4, tuple(0.5**i for i in range(10))
 #: Share of the loss a step must still promise before the corner is made sharper.
 ROUGHLY = 1e-3
 MAX_PASSES = 300
+#: Rows of a block: what every pass reads are blocks of numbers, packed once.
+BLOCK_ROWS = 10_000
 
 
 @dataclass
@@ -103,13 +111,45 @@ def rounded_hinge(short: np.ndarray, width: float) -> tuple[np.ndarray, np.ndarr
     return loss, inside / (2 * width), (np.abs(short) < width) / (2 * width)
 
 
+def hinge_losses(short: np.ndarray, width: float) -> np.ndarray:
+    """The losses of :func:`rounded_hinge` alone."""
+    inside = np.clip(short + width, 0, 2 * width)
+    np.square(inside, out=inside)
+    inside /= 4 * width
+    inside += np.maximum(short - width, 0)
+    return inside
+
+
+def _blocks(rows: DataFrame) -> DataFrame:
+    """Rows ``x``, ``y`` as stored blocks of one class: ``y`` and the numbers of its rows, a one behind each row.
+
+    Not compressed, so that a split of the files is no more in memory than on disk.
+    """
+
+    def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in tables:
+            for at in range(0, batch.num_rows, BLOCK_ROWS):
+                some = batch.slice(at, BLOCK_ROWS)
+                y = some.column(1).to_numpy(zero_copy_only=False)
+                x = np.concatenate([numbers(some.column(0), some.num_rows), np.ones((some.num_rows, 1))], axis=1)
+                names = np.unique(y)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names, pa.int32()), pa.array([np.ascontiguousarray(x[y == k], dtype=np.float64).tobytes() for k in names], pa.binary())], names=["y", "x"]
+                )
+
+    spark, path = rows.sparkSession, scratch_path(rows.sparkSession, "blocks")
+    packed = rows.mapInArrow(run, "y int, x binary")
+    packed.write.option("compression", "none").parquet(path)
+    return spark.read.schema(packed.schema).parquet(path)
+
+
 def fit_all_pairs(
     train: DataFrame, classes: Sequence[int] | None = None, c: float = 1.0, features: str = "features", label: str = "label", tolerance: float = 1e-11
 ) -> dict[tuple[int, int], LinearWeights]:
     """A linear support vector classifier for every pair of classes: ``{(low, high): weights}``.
 
     The minimum of half the squared slopes plus ``c`` times the summed hinge loss, as ``fit_one_vs_one`` has it,
-    but one job per pass for all pairs. Pass a stored table. Rows with a null are left out, a class without
+    but one job per pass for all pairs. Pass a stored table: it is read once for its blocks. Rows with a null are left out, a class without
     rows gives pairs whose weights are those of the other class alone. Per pair the driver holds
     the square of the number of features; more than ``sums.MAX_NUMBERS`` in all are refused.
     """
@@ -121,7 +161,8 @@ def fit_all_pairs(
     first = rows.first()
     if first is None or not names:
         return {}
-    size, tasks = len(first["x"]) + 1, rows.rdd.getNumPartitions()
+    size, blocks = len(first["x"]) + 1, _blocks(rows)
+    tasks = blocks.rdd.getNumPartitions()
     pairs = [_Pair(c, np.zeros(size), np.zeros(size)) for _ in names]
     for _ in range(MAX_PASSES):
         live = [(name, p) for name, p in zip(names, pairs) if p.open]
@@ -129,27 +170,32 @@ def fit_all_pairs(
             break
         for _, p in live:
             p.aim()
-        asked = [(low, high, p.trial, WIDTHS[p.stage], p.direction.any()) for (low, high), p in live]
+        asked = [(low, high, p.point, p.trial[0], p.direction, WIDTHS[p.stage]) for (low, high), p in live]
         each = len(STEPS) + size + size * size
 
         def add(total: np.ndarray, batch: pa.RecordBatch, asked=asked, each=each) -> None:
-            y = batch.column(1).to_numpy(zero_copy_only=False)
-            x = np.concatenate([numbers(batch.column(0), batch.num_rows), np.ones((batch.num_rows, 1))], axis=1)
-            of = {k: np.flatnonzero(y == k) for k in np.unique(y).tolist()}
-            none = np.zeros(0, dtype=np.int64)
-            for i, (low, high, trial, width, moves) in enumerate(asked):
-                at = np.concatenate([of.get(low, none), of.get(high, none)])
-                if not len(at):
-                    continue
-                z, sign = x[at], np.where(y[at] == high, 1.0, -1.0)
-                part = total[i * each : (i + 1) * each]
-                points = trial if moves else trial[:1]
-                loss, first, second = rounded_hinge(1 - sign[:, None] * (z @ points.T), width)
-                part[: len(points)] += loss.sum(axis=0)
-                part[len(STEPS) : len(STEPS) + size] += z.T @ (-sign * first[:, 0])
-                part[len(STEPS) + size :] += ((z * second[:, :1]).T @ z).ravel()
-
-        sums = summed(rows, add, each * len(live), tasks).reshape(len(live), each)
+            for k, block in zip(batch.column(0).to_pylist(), batch.column(1)):
+                x = np.frombuffer(block.as_buffer()).reshape(-1, size)
+                for i, (low, high, point, first_point, direction, width) in enumerate(asked):
+                    if k != low and k != high:
+                        continue
+                    sign = 1.0 if k == high else -1.0
+                    part = total[i * each : (i + 1) * each]
+                    short = 1 - sign * (x @ first_point)
+                    loss, first, second = rounded_hinge(short, width)
+                    part[0] += loss.sum()
+                    if direction.any():
+                        away = 1 - sign * (x @ point)
+                        turn = sign * (x @ direction)
+                        for at, step in enumerate(STEPS[1:], 1):
+                            part[at] += hinge_losses(away - step * turn, width).sum()
+                    part[len(STEPS) : len(STEPS) + size] -= sign * (first @ x)
+                    # Only rows at the corner bend the loss.
+                    bent = np.flatnonzero(second)
+                    near = x[bent]
+                    part[len(STEPS) + size :] += ((near * second[bent, None]).T @ near).ravel()
+
+        sums = summed(blocks, add, each * len(live), tasks).reshape(len(live), each)
         for (_, p), s in zip(live, sums):
             p.take(s[: len(STEPS)], s[len(STEPS) : len(STEPS) + size], s[len(STEPS) + size :].reshape(size, size), tolerance)
     return {name: LinearWeights([float(v) for v in p.point[:-1]], float(p.point[-1])) for name, p in zip(names, pairs)}

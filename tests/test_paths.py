@@ -115,3 +115,13 @@ def test_all_pairs_takes_few_passes(spark, monkeypatch):
     monkeypatch.setattr(pairwise, "summed", lambda *a: calls.append(1) or sums.summed(*a))
     assert len(pairwise.fit_all_pairs(df)) == 10 and len(calls) < 100
     assert pairwise.fit_all_pairs(df.limit(0)) == {}
+
+
+def test_all_pairs_read_blocks_of_rows(spark, monkeypatch):
+    """A pass reads a few blocks of numbers; the rows themselves are read once."""
+    data = [(Vectors.dense([float(i % 7), float(i % 5)]), i % 3) for i in range(600)]
+    df = spark.createDataFrame(data, ["features", "label"]).coalesce(1).persist()
+    seen = []
+    monkeypatch.setattr(pairwise, "summed", lambda rows, *a: seen.append(rows.count()) or sums.summed(rows, *a))
+    pairwise.fit_all_pairs(df)
+    assert set(seen) == {3}
