@@ -146,6 +146,9 @@ def left_parts(counts: DataFrame, scores: DataFrame) -> DataFrame:
     )
     prefix_scores = scores.select(F.col("token").alias("prefix"), "score")
     scored = lookup_join(candidates, prefix_scores, "prefix", "left", spread=["token"])
+    # Beside scores of 0 and more, a prefix without one never beats the whole token.
+    negative = scores.agg(F.coalesce(F.min("score") < 0, F.lit(False)).alias("negative")).scalar()
+    scored = scored.where(F.col("score").isNotNull() | (F.length("prefix") == F.length("token")) | negative)
     rank = F.struct(F.coalesce("score", F.lit(0.0)), F.length("prefix"))
     best = scored.groupBy("token").agg(F.max_by("prefix", rank).alias("left"))
     return best.unionByName(counts.where(whole <= 2).select("token", F.col("token").alias("left")))

@@ -12,8 +12,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.functions.text import join_words, keep_text_characters, spaced_tokens
+from seriesloom.functions.text import join_words, keep_text_characters, spaced_tokens, split_words
 from seriesloom.operators import cluster, prepare, profile, regress, split, tfidf, vectors, wordstats
+from seriesloom.operators.lookup import elements
 from seriesloom.operators.relational import complete_rows, fill_from, merge_score_tables, missing_rows, with_daily_score
 from seriesloom.plans.next_day import SEED, add_date_feature
 from seriesloom.session import materialise
@@ -38,8 +39,10 @@ def clean_corpus(docs: DataFrame, doc_id: str, text: str, right_parts: DataFrame
     scores = materialise(token_scores(counts, right_parts, min_frequency))
     lefts = materialise(wordstats.left_parts(counts, scores))
     tokens = wordstats.tokenise(docs, doc_id, spaced_tokens(F.col(text)), lefts, counts)
-    kept = F.filter(F.transform("tokens", keep_text_characters), lambda t: t != "")
-    return tokens.select(doc_id, kept.alias("tokens")).where(F.size("tokens") > 0)
+    # No token has a space in it: one pass over the joined text cleans them all. The outer explode holds the
+    # filter back, which would otherwise clean every text a second time.
+    kept = F.array_remove(split_words(keep_text_characters(join_words(F.col("tokens")))), "")
+    return elements(tokens, [doc_id], F.array(kept), "tokens").where(F.size("tokens") > 0)
 
 
 def corpus_vocabulary(corpus: DataFrame, max_df: float = tfidf.MAX_DF, min_df: float = tfidf.MIN_DF) -> DataFrame:

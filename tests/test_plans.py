@@ -74,6 +74,15 @@ def test_corpus_to_scores(spark):
     assert clustered.count() == 7 and clustered.where("score < 0 or score > 1").count() == 0
 
 
+def test_clean_corpus_cleans_each_text_once(spark):
+    docs = spark.createDataFrame([(1, "a!! b?c !! rise-s  %"), (2, "!! ?"), (3, None), (4, "x.y\u3000\uac00z")], "doc_id int, text string")
+    right = spark.createDataFrame([("s", 1)], "r string, polarity int")
+    corpus = news_score.clean_corpus(docs, "doc_id", "text", right)
+    assert {r["doc_id"]: r["tokens"] for r in corpus.collect()} == {1: ["a", "bc", "rise"], 4: ["x.y", "\uac00z"]}
+    plan = corpus._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") == 1
+
+
 def test_species(spark):
     rows = [(i, "abc"[i % 3], float(i % 3) * 10 + (i * 7 % 5), float(i * 3 % 7)) for i in range(90)]
     table = spark.createDataFrame(rows, "id int, kind string, w double, l double")

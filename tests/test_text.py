@@ -99,6 +99,17 @@ def test_left_parts(spark, docs, counts, scores):
     assert {r["doc_id"]: r["tokens"] for r in got.collect()} == {i: [plain_left(w, scores) for w in t.split()] for i, t in enumerate(TEXTS)}
 
 
+def test_left_parts_sorts_scored_prefixes_only(spark):
+    counts = spark.createDataFrame([(f"abcdef{i}", 1) for i in range(20)], "token string, n long")
+    scores = spark.createDataFrame([("ab", 0.5), ("zzz", 0.1), ("zzzz", 0.1), ("zzzzz", 0.1)], "token string, score double")
+    assert {r["left"] for r in wordstats.left_parts(counts, scores).collect()} == {"ab"}
+    plan = wordstats.left_parts(counts, scores)._jdf.queryExecution().optimizedPlan().toString()
+    grouped = plan.index("max_by")
+    assert "isnotnull(score" in plan[grouped:]
+    worse = spark.createDataFrame([("abcdef1", -1.0), ("abcdef", -2.0)], "token string, score double")
+    assert {r["token"]: r["left"] for r in wordstats.left_parts(counts, worse).collect()}["abcdef1"] == "abcde"
+
+
 def plain_pack(text, limit):
     if len(text) < limit:
         return [text]
