@@ -178,22 +178,23 @@ def similar(members: list[np.ndarray], queries: list[np.ndarray], num: int, den:
     return mask
 
 
-def in_blocks(left: DataFrame, right: DataFrame, by: str, run, schema: str, sets: DataFrame | None = None, load: Column | None = None) -> DataFrame:
+def in_blocks(left: DataFrame, right: DataFrame, by: str, run, schema: str, sets: DataFrame | None = None, load: Column | None = None, beside: Column | None = None) -> DataFrame:
     """``run`` on blocks of the rows of ``left`` and ``right`` that agree in ``by``, every block with every other.
 
     Both tables have ``cid``. The rows of a group are cut into blocks by counts and by ``load`` (the set size
     ``n`` unless given), so a group of any size is spread; groups of one block each share lots of about a
-    block, since most are a few rows.
+    block, since most are a few rows. Of those, groups of one value of ``beside``, an aggregate of the rows of
+    ``right``, share a lot; by it, few groups may have the same value.
     ``run`` gets all columns, and the ``shingles`` of each ``cid`` where ``sets`` are given.
     """
     load = F.col("n") if load is None else load
     blocks = F.ceil(F.greatest(F.sum(load) / F.lit(float(BLOCK_SHINGLES)), F.count("*") / F.lit(float(BLOCK_ROWS))))
-    sizes = [x.groupBy(by).agg(blocks.alias(b), F.sum(load).alias(f"{b}_n"), F.count("*").alias(f"{b}_rows")) for x, b in ((left, "ms"), (right, "qs"))]
+    sizes = [x.groupBy(by).agg(blocks.alias(b), F.sum(load).alias(f"{b}_n"), F.count("*").alias(f"{b}_rows"), *more) for x, b, more in ((left, "ms", ()), (right, "qs", [(F.min(by) if beside is None else beside).alias("beside")]))]
     sizes = stored(sizes[0].join(sizes[1], by), "blocks")
     whole = sizes.where("ms = 1 and qs = 1").agg(F.sum(F.col("ms_n") + F.col("qs_n")).alias("n"), F.sum(F.col("ms_rows") + F.col("qs_rows")).alias("rows")).first()
     lots = max(parts(whole["n"] or 0, BLOCK_SHINGLES), parts(whole["rows"] or 0, BLOCK_ROWS))
     large = (F.col("ms") > 1) | (F.col("qs") > 1)
-    sizes = sizes.select(by, "ms", "qs", large.alias("large"), F.when(large, F.col(by)).otherwise(F.pmod(F.xxhash64(by), F.lit(lots))).alias("lot"))
+    sizes = sizes.select(by, "ms", "qs", large.alias("large"), F.when(large, F.col(by)).otherwise(F.pmod(F.xxhash64("beside"), F.lit(lots))).alias("lot"))
 
     def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
         every = F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1))
@@ -235,7 +236,8 @@ def near_homes(met: DataFrame, asking: DataFrame, num: int, den: int) -> DataFra
 
     A home is near within ``most`` symbols and at sizes not too unlike for ``num / den``, and is of no use to
     a class of the one part that all its classes in the bucket have (``p`` = ``q``). Signatures are compared
-    in the blocks; only near ones come out.
+    in the blocks; only near ones come out. A class meets a home in up to ``SYMBOLS`` buckets: small buckets of
+    one smallest asking class lie together, and a pair comes out of them once.
     """
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -254,7 +256,7 @@ def near_homes(met: DataFrame, asking: DataFrame, num: int, den: int) -> DataFra
         pairs = np.unique(np.concatenate(out, axis=1), axis=1)
         return pd.DataFrame(dict(zip(("a", "b", "part", "n"), pairs)))
 
-    return in_blocks(met, asking, "bucket", run, "a long, b long, part long, n long", load=F.lit(0))
+    return in_blocks(met, asking, "bucket", run, "a long, b long, part long, n long", load=F.lit(0), beside=F.min("cid"))
 
 
 def near_duplicates(docs: DataFrame, key: str, text: str, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -311,10 +313,13 @@ def near_duplicates(docs: DataFrame, key: str, text: str, width: int = 5, num: i
     rows = rows.join(placed, "cid", "left").select(
         "bucket", "cid", F.coalesce("home", "cid").alias("home"), F.coalesce("part", "cid").alias("part"), F.coalesce("weight", F.lit(1)).alias("weight")
     )
+    # Buckets of the same classes, told by their number and 128 bits, ask the same: one of them is enough.
+    held = [F.count("*").alias("size"), F.bit_xor(F.xxhash64("cid")).alias("h1"), F.bit_xor(F.xxhash64("cid", F.lit(1))).alias("h2")]
     mixed_buckets = rows.groupBy("bucket").agg(
-        F.min("part").alias("p"), F.max("part").alias("q"), F.max(F.struct("weight", "part"))["part"].alias("main")
+        F.min("part").alias("p"), F.max("part").alias("q"), F.max(F.struct("weight", "part"))["part"].alias("main"), *held
     )
-    rows = stored(rows.join(mixed_buckets.where("p < q").select("bucket", "main"), "bucket"), "open")
+    differing = mixed_buckets.where("p < q").groupBy("size", "h1", "h2").agg(F.min(F.struct("bucket", "main")).alias("one"))
+    rows = stored(rows.join(differing.select("one.bucket", "one.main"), "bucket"), "open")
     # A link lies within DISTANCE of a member, and the member within its home's radius.
     radius = homes.groupBy("home").agg((F.max("distance") + DISTANCE).alias("most"))
     met = rows.groupBy("bucket", F.col("home").alias("cid")).agg(F.min("part").alias("p"), F.max("part").alias("q"))

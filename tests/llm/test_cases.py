@@ -13,7 +13,7 @@ sys.path.insert(0, os.path.dirname(__file__))
 
 from helpers import DOCS, documents, near_links, roots, shingle_sets  # noqa: E402
 
-from seriesloom.llm import licenses, neighbours, vector_dedup  # noqa: E402
+from seriesloom.llm import licenses, minhash, neighbours, vector_dedup  # noqa: E402
 from seriesloom.llm.common import batches  # noqa: E402
 from seriesloom.llm.components import connected_components, spanning  # noqa: E402
 from seriesloom.llm.cotraining import fit_views, score_quality  # noqa: E402
@@ -372,6 +372,30 @@ def test_pairs_are_judged_where_they_meet(spark):
     assert [r.asDict() for r in near_homes(met, asking, 64, 100).collect()] == [{"a": 1, "b": 2, "part": 5, "n": 11}]
 
 
+def test_a_class_meets_a_home_once(spark, monkeypatch):
+    sign = signature(np.arange(100, dtype=np.uint64))
+    met = spark.createDataFrame([(b, 2, 5, 5, 29, 100, sign) for b in range(64)], "bucket long, cid long, p long, q long, most long, n long, signature binary")
+    asking = spark.createDataFrame([(b, 1, 9, 100, sign) for b in range(64)], "bucket long, cid long, part long, n long, signature binary")
+    monkeypatch.setattr(minhash, "BLOCK_ROWS", 4)
+    assert [tuple(r) for r in near_homes(met, asking, 64, 100).collect()] == [(1, 2, 9, 100)]
+
+
+def test_buckets_of_the_same_classes_ask_once(spark, monkeypatch):
+    words = [f"w{i}" for i in range(300)]
+    rows = [(k, " ".join(words[:160] + [f"{k}x{i}" for i in range(25)])) for k in (1, 2)]
+    counts, real = {}, minhash.stored
+
+    def counting(df, name):
+        out = real(df, name)
+        counts.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash, "stored", counting)
+    found = near_duplicates(documents(spark, rows), "doc_id", "text", 2).collect()
+    assert pick(found, "doc_id", "component_id", "kept") == [(1, 1, True), (2, 2, True)]
+    assert counts["buckets"][0] > 1 and counts["open"] == [2]
+
+
 def test_signatures_differ_as_sets_do():
     rng = np.random.default_rng(4)
     apart = []
