@@ -223,15 +223,16 @@ def pages_by_url(pages: DataFrame, key: str, url: str, page: str = "page") -> Da
 def with_page(rows: DataFrame, row_key: str, address: str, pages: DataFrame, output: str, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """``rows`` with the HTML behind their ``address``, null if it is not stored.
 
-    Many rows may name one address: only keys go through the salted join, and each row's HTML is
-    fetched by the key of its page. ``row_key`` tells the rows apart.
+    Many rows may name one address: only keys go through the first salted join, and the HTML moves once, from
+    its page to the rows that name it. ``row_key`` tells the rows apart.
     """
     targets = pages_by_url(pages, key, url, "_page").withColumnRenamed(url, "_address")
     wanted = rows.select(F.col(row_key).alias("_row"), F.col(address).alias("_address")).where("_address is not null")
     found = salted_join(wanted, targets, "_address", "inner", spread=["_row"]).select("_row", "_page")
     stored = pages.select(F.col(key).alias("_page"), F.col(html).alias(output))
-    bodies = salted_join(found, stored, "_page", "inner", spread=["_row"]).select(F.col("_row").alias(row_key), output)
-    return rows.join(bodies, row_key, "left")
+    named = rows.join(found.withColumnRenamed("_row", row_key), row_key, "left")
+    of_page = found.groupBy("_page").agg(F.count("*").alias("n"))
+    return salted_join(named, stored, "_page", "left", [row_key], of_page).select(*[c for c in named.columns if c != "_page"], output)
 
 
 def follow_links(rows: DataFrame, pages: DataFrame, row_key: str, html_of_row: str, key: str = "page_id", url: str = "url", html: str = "html", rel: str = "amphtml") -> DataFrame:

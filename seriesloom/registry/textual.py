@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from seriesloom.functions.text import join_words, spaced_tokens
 from seriesloom.operators import pages, profile, relational, skipgram, tfidf, vectors, wordstats
+from seriesloom.operators.lookup import elements
 from seriesloom.plans import news_score
 from seriesloom.plans.articles import collect_articles
 from seriesloom.registry.base import SPACES, query
@@ -136,9 +137,10 @@ def article_job(spark, d):
     # The second publisher's own page only names the page that holds the article.
     link = F.concat(F.lit('<link rel="amphtml" href="'), F.replace(F.concat("url", F.lit("&amp=1")), F.lit("&"), F.lit("&amp;")), F.lit('">'))
     second = F.col("press_index") == pages.ALTERNATE_PUBLISHER
-    own = found.select((F.col("page_id") * 2).alias("page_id"), "url", F.when(second, link).otherwise(F.col("html")).alias("html"))
-    alternate = found.where(second).select((F.col("page_id") * 2 + 1).alias("page_id"), F.concat("url", F.lit("&amp=1")).alias("url"), "html")
-    stored, listed = materialise(own.union(alternate)), materialise(_listings(spark, d))
+    own = F.struct((F.col("page_id") * 2).alias("page_id"), "url", F.when(second, link).otherwise(F.col("html")).alias("html"))
+    alternate = F.struct((F.col("page_id") * 2 + 1).alias("page_id"), F.concat("url", F.lit("&amp=1")).alias("url"), "html")
+    both = elements(found, [], F.when(second, F.array(own, alternate)).otherwise(F.array(own)), "page").select("page.*")
+    stored, listed = materialise(both), spread(materialise(_listings(spark, d)))
     for _ in range(2):
         collect_articles(spark, listed, stored, path)
     return spark.read.parquet(path)

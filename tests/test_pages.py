@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from seriesloom.operators import pages
 from seriesloom.operators.pages import BODY_RULES, BodyRule
+from seriesloom.registry import textual
 
 
 def body(spark, html, rules):
@@ -88,3 +89,22 @@ def test_article_plan(spark, tmp_path):
 def test_attribute_rule(spark):
     assert body(spark, '<html lang="fr"><p>x</p></html>', [BodyRule("html", "lang", "fr")]) == "x"
     assert body(spark, '<html lang="en"><p>x</p></html>', [BodyRule("html", "lang", "fr")]) is None
+
+
+def test_html_moves_once(spark):
+    rows = spark.createDataFrame([(1, "u"), (2, "u"), (3, None), (4, "none"), (5, "v")], "item int, address string")
+    stored = spark.createDataFrame([(1, "u", "old"), (2, "u", "new"), (3, "v", None), (4, None, "x")], "page_id int, url string, html string")
+    found = pages.with_page(rows, "item", "address", stored, "body")
+    assert found.columns == ["item", "address", "body"]
+    assert {tuple(r) for r in found.collect()} == {(1, "u", "new"), (2, "u", "new"), (3, None, None), (4, "none", None), (5, "v", None)}
+    # The last join is that with the pages; the HTML goes through no other after it.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "_page#" in next(line for line in plan.splitlines() if "Join " in line)
+
+
+def test_article_job_parses_its_lists_on_all_cores(spark, monkeypatch):
+    seen = []
+    real = textual.collect_articles
+    monkeypatch.setattr(textual, "collect_articles", lambda s, listed, *a: seen.append(listed.rdd.getNumPartitions()) or real(s, listed, *a))
+    textual.article_job(spark, "/root/testdata/sf0.001")
+    assert min(seen) >= spark.sparkContext.defaultParallelism > 1
