@@ -100,3 +100,18 @@ def test_segments_hold_every_window_once():
     starts, windows, _, _ = segments(text, 400)
     assert starts[0] == 0 and (starts[1:] == (starts + windows)[:-1]).all()
     assert starts[-1] + windows[-1] == len(text) - 399
+
+
+def test_the_query_shows_what_is_left(spark, tmp_path):
+    """The kept text beside its digest; a passage that starts within a character leaves a mark, the digest the byte."""
+    from hashlib import sha256
+
+    from seriesloom.llm.queries import QUERIES
+
+    passage = " ".join(random.Random(4).choice(("apple", "pear", "plum", "fig", "melon")) + str(i) for i in range(60))
+    rows = [(1, "first é" + passage + "end"), (2, "other ũ" + passage), (3, "alone " * 30), (4, None), (5, "café")]
+    documents(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in QUERIES["op12_repeated_passages"](spark, str(tmp_path)).collect()}
+    assert {k: r.kept_text for k, r in got.items()} == {1: "first �end", 2: "other �", 3: "alone " * 30, 4: "", 5: "café"}
+    assert got[1].kept_sha256 == sha256(b"first \xc3end").hexdigest() and got[1].n_removed == got[2].n_removed == len(passage) + 1
+    assert [got[k].n_removed for k in (3, 4, 5)] == [0, 0, 0]
