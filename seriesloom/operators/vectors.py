@@ -33,7 +33,7 @@ def train_word_vectors(
     The trainer keeps ``vocabulary x size`` floats on every executor, so train on the corpus cut to a
     fitted vocabulary (``checked_corpus``) and not on raw tokens. Each of ``max_iter`` passes trains
     ``partitions`` parts and averages their vectors; unless given, there is one per ``PART_TOKENS`` tokens,
-    ``TRAINING_PARTS`` at least. Parts that run in one executor write to the same vectors, so reruns differ.
+    ``TRAINING_PARTS`` at least. Reruns differ where several parts run at a time in one executor.
 
     A corpus of ``COUNTED_TOKENS`` tokens or more, for which no ``partitions`` are given, has its pairs counted
     where that is less work than the passes (``counting_pays``): the same loss over all tokens, in steps whose
