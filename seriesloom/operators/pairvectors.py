@@ -117,7 +117,14 @@ def pair_counts(corpus: DataFrame, words: str, names: list[str], window: int = W
     return found.groupBy("first", "second").agg(F.sum("n").alias("n"))
 
 
-def _block_rows(words: int) -> int:
+def both_ways(pairs: DataFrame) -> DataFrame:
+    """``word``, ``other`` and ``n``: every pair from both of its words, one of a word with itself twice."""
+    ways = F.array(F.struct(F.col("first").alias("word"), F.col("second").alias("other")), F.struct(F.col("second").alias("word"), F.col("first").alias("other")))
+    return pairs.select(F.explode(ways).alias("way"), "n").select("way.word", "way.other", "n")
+
+
+def block_rows(words: int) -> int:
+    """Words of a block of counts."""
     return max(1, min(BLOCK_ROWS, BLOCK_CELLS // words))
 
 
@@ -125,7 +132,7 @@ def word_blocks(pairs: DataFrame, left: np.ndarray, right: np.ndarray) -> DataFr
     """``block``, ``total`` and ``right``: per word of a block and inner node, how often a word below the node, or below
     its right child, is near that word; matrices of 4-byte floats. Blocks without a pair are left out."""
     inner = len(left)
-    words, rows = inner + 1, _block_rows(inner + 1)
+    words, rows = inner + 1, block_rows(inner + 1)
 
     def run(block: pd.DataFrame) -> pd.DataFrame:
         start = int(block["word"].iloc[0]) // rows * rows
@@ -138,14 +145,12 @@ def word_blocks(pairs: DataFrame, left: np.ndarray, right: np.ndarray) -> DataFr
         tables = [np.ascontiguousarray(t.T, dtype=np.float32).tobytes() for t in (near[words:], near[right])]
         return pd.DataFrame({"block": [start // rows], "total": [tables[0]], "right": [tables[1]]})
 
-    ways = F.array(F.struct(F.col("first").alias("word"), F.col("second").alias("other")), F.struct(F.col("second").alias("word"), F.col("first").alias("other")))
-    both = pairs.select(F.explode(ways).alias("way"), "n").select("way.word", "way.other", "n")
-    return both.groupBy((F.col("word") / rows).cast("long").alias("key")).applyInPandas(run, "block long, total binary, right binary")
+    return both_ways(pairs).groupBy((F.col("word") / rows).cast("long").alias("key")).applyInPandas(run, "block long, total binary, right binary")
 
 
 def node_blocks(blocks: DataFrame, words: int) -> DataFrame:
     """The same counts with the inner nodes as rows and the words as columns, tile by tile."""
-    inner, rows = words - 1, _block_rows(words)
+    inner, rows = words - 1, block_rows(words)
 
     def cut(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tables:
@@ -192,6 +197,14 @@ def block_slopes(blocks: DataFrame, held: Broadcast, rows: int) -> DataFrame:
     return blocks.mapInArrow(run, "side int, block long, slope binary")
 
 
+def move(slope: np.ndarray, first: np.ndarray, second: np.ndarray, step: int, rate: float) -> np.ndarray:
+    """How far a table moves down its slope in the ``step``-th step; takes the slope into both moments in place."""
+    first += (1 - FIRST) * (slope - first)
+    second += (1 - SECOND) * (slope * slope - second)
+    whole = np.sqrt(second / (1 - SECOND ** (step + 1))) + 1e-12
+    return rate * first / (1 - FIRST ** (step + 1)) / whole
+
+
 def train_counted(corpus: DataFrame, words: str, counts: dict[str, int], size: int, passes: int, seed: int, window: int = WINDOW) -> tuple[list[str], np.ndarray]:
     """The words of ``counts``, commonest first, and their vectors as rows.
 
@@ -205,7 +218,7 @@ def train_counted(corpus: DataFrame, words: str, counts: dict[str, int], size: i
     sides = [((rng.random((len(names), size)) - 0.5) / size).astype(np.float32), np.zeros((len(names) - 1, size), dtype=np.float32)]
     if len(names) < 2:
         return names, sides[0]
-    rows = _block_rows(len(names))
+    rows = block_rows(len(names))
     of_words = materialise(word_blocks(pair_counts(corpus, words, names, window), *word_tree([counts[w] for w in names])))
     both = [t.select(F.lit(side).alias("side"), "block", "total", "right") for side, t in enumerate((of_words, node_blocks(of_words, len(names))))]
     tasks = max(spark.sparkContext.defaultParallelism, -(-16 * len(names) ** 2 // TASK_BYTES))
@@ -219,11 +232,5 @@ def train_counted(corpus: DataFrame, words: str, counts: dict[str, int], size: i
             slopes[row["side"]][row["block"] * rows : row["block"] * rows + len(found)] = found
         held.destroy()
         rate = RATE * (1 - step / (passes * STEPS))
-        moved = []
-        for table, slope, (first, second) in zip(sides, slopes, moments):
-            first += (1 - FIRST) * (slope - first)
-            second += (1 - SECOND) * (slope * slope - second)
-            whole = np.sqrt(second / (1 - SECOND ** (step + 1))) + 1e-12
-            moved.append((table - rate * first / (1 - FIRST ** (step + 1)) / whole).astype(np.float32))
-        sides = moved
+        sides = [(t - move(slope, *m, step, rate)).astype(np.float32) for t, slope, m in zip(sides, slopes, moments)]
     return names, sides[0]

@@ -118,3 +118,46 @@ def test_a_session_without_arrow_for_pandas(spark):
     finally:
         spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", setting)
     assert set(got) == {"a", "b", "c"} and got["a"] == [1 / 3, 0.5] and all(len(v) == 2 for v in got.values())
+
+
+def test_slopes_on_counts_are_the_mean_of_the_passes(monkeypatch):
+    """Over many draws of windows and samples, a pass moves as the slope on the counts says."""
+    monkeypatch.setattr(skipgram, "REPEATS", 10**6)
+    rng = np.random.default_rng(0)
+    vectors, contexts = rng.normal(size=(6, 3)), rng.normal(size=(6, 3))
+    ids, sentence = np.array([0, 1, 2, 1, 3, 4]), np.array([0, 0, 0, 0, 1, 1])
+    share, window, negatives, rate, turns = np.array([0.1, 0.2, 0.3, 0.1, 0.1, 0.2]), 2, 2, 1e-4, 6000
+    near = np.zeros((6, 6))
+    for i in range(6):
+        for j in range(6):
+            if i != j and sentence[i] == sentence[j] and abs(i - j) <= window:
+                near[ids[i], ids[j]] += window + 1 - abs(i - j)
+    seen, drawn = near.sum(axis=1), negatives * share
+    blocks = [skipgram.count_slopes(near[a : a + 4], a, vectors, contexts, drawn, seen) for a in (0, 4)]
+    moved = [np.zeros_like(vectors), np.zeros_like(contexts)]
+    for turn in range(turns):
+        own = vectors.copy(), contexts.copy()
+        skipgram.train_part(ids, sentence, *own, np.zeros(6, bool), np.cumsum(share), window, negatives, rate, np.random.default_rng(turn))
+        for total, new, old in zip(moved, own, (vectors, contexts)):
+            total += new - old
+    for side, total in enumerate(moved):
+        slope = np.concatenate([b[side] for b in blocks]) / window
+        np.testing.assert_allclose(total / rate / turns, -slope, atol=0.1)
+    assert np.abs(blocks[1][1][1]).max() > 0.1  # a word without a neighbour is drawn too
+
+
+def test_a_long_corpus_is_counted(spark, corpus, monkeypatch):
+    monkeypatch.setattr(skipgram, "COUNTED_TOKENS", 1000)
+    monkeypatch.setattr(skipgram, "_moves", None)  # no pass over the texts
+    monkeypatch.setattr(skipgram.pairvectors, "BLOCK_ROWS", 5)
+    fruit, metal = np.linspace(-0.5, 0.7, 16), np.linspace(0.6, -0.4, 16)
+    given = spark.createDataFrame([("apple", fruit.tolist()), ("iron", metal.tolist()), ("absent", [1 / 3] * 16)], "word string, vector array<double>")
+    texts = corpus.union(spark.createDataFrame([(["alone"],), (None,), ([None, "fig"],)], "words array<string>"))
+    runs = [{r["word"]: r["vector"] for r in skipgram.continue_vectors(t, given, size=16, passes=2).collect()} for t in (texts, texts.repartition(3))]
+    assert runs[0] == runs[1]
+    got = {w: np.array(v) for w, v in runs[0].items()}
+    assert set(got) == {*TOPICS[0], *TOPICS[1], "absent", "alone"}
+    assert all(got[r["word"]].tolist() == r["vector"] for r in given.collect())
+    assert cosine(got["plum"], fruit) > cosine(got["plum"], metal) and cosine(got["zinc"], metal) > cosine(got["zinc"], fruit)
+    # The pairs are worth more than the steps from a length on, which grows with the square of the vocabulary.
+    assert skipgram.counting_pays(10**7, 3_600, 5) and not skipgram.counting_pays(10**7, 10**5, 5)
