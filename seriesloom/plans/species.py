@@ -44,13 +44,12 @@ def dense_fits(
 
     Gives accuracy per layout and part, and the losses per layout and round; ``layout`` counts from 1.
     """
+    rows = materialise(rows)
     ready = materialise(prepare.fit_zscore(rows.where("split = 'train'"), columns).transform(rows))
     classes = int(ready.agg(F.max("label")).first()[0]) + 1
     nets = [dense.new_net([len(columns), *hidden, classes], "tanh", "entropy", seed) for hidden in layouts]
     fitted, histories = dense.fit_dense_nets(ready, columns, nets, **options)
-    scored = ready
-    for number, net in enumerate(fitted, 1):
-        scored = dense.predict_dense(scored, net, columns, f"_of_{number}")
+    scored = dense.predict_dense(ready, fitted, columns, [f"_of_{number}" for number in range(1, len(fitted) + 1)])
     hits = [accuracy_column(prediction=f"_of_{number}").alias(f"_of_{number}") for number in range(1, len(fitted) + 1)]
     every = F.explode(F.array(*[F.struct(F.lit(n).alias("layout"), F.col(f"_of_{n}").alias("accuracy")) for n in range(1, len(fitted) + 1)])).alias("s")
     scores = scored.groupBy("split").agg(F.count("*").alias("n"), *hits).select("split", "n", every)

@@ -103,3 +103,48 @@ def test_the_driver_gets_one_row_of_sums(spark, monkeypatch):
         assert len(taken[-1]) == 1
         np.testing.assert_allclose(sums[:-4], gradient, rtol=1e-4, atol=1e-5)
         assert sums[-4] == pytest.approx(loss, rel=1e-5) and sums[[-3, -1]].tolist() == [48, 12]
+
+
+def test_rows_are_packed_and_dealt_evenly(spark, monkeypatch):
+    monkeypatch.setattr(dense, "BLOCK_ROWS", 10)
+    monkeypatch.setattr(dense, "OWN_BLOCKS", 2)
+    made = [([i / 100, 1 - i / 90], float(i % 3), i % 5 == 0) for i in range(10 * 64)]
+    rows = spark.createDataFrame(made, "x array<double>, y double, valid boolean").coalesce(1)
+    blocks, tasks = dense._dealt(rows)
+    cores = spark.sparkContext.defaultParallelism
+    per_task = [len(p) for p in blocks.rdd.glom().collect()]
+    assert tasks == len(per_task) == min(max(min(64 // (2 * cores), dense.CORE_TASKS), 1) * cores, 64)
+    assert max(per_task) - min(per_task) <= 1
+    found = [(list(x), y, v) for r in blocks.collect() for x, y, v in zip(np.frombuffer(r.x).reshape(-1, 2), np.frombuffer(r.y), np.frombuffer(r.valid, dtype=bool))]
+    assert sorted(found) == sorted(made) and {len(r.valid) for r in blocks.collect()} == {10}
+    net = dense.new_net([2, 3, 3], "tanh", "entropy", 1, np.float64)
+    assert np.allclose(dense.pass_sums(blocks, tasks, [net])[0], dense.pass_sums(rows, 1, [net])[0])
+    blocks.unpersist()
+    odd = dense.packed(rows.limit(23).coalesce(1)).collect()
+    assert [len(r.valid) for r in odd] == [10, 10, 3]
+    assert dense._dealt(rows.limit(0))[0].count() == 0
+
+
+@pytest.mark.parametrize("activation", ["tanh", "relu"])
+def test_a_room_changes_no_bit(activation):
+    room = dense.Room()
+    for hidden, n in (((6, 4), 20), ((9,), 33), ((6, 4), 7)):
+        net = dense.new_net([4, *hidden, 3], activation, "entropy", 7)
+        x, y = RNG.normal(size=(n, 4)), RNG.integers(0, 3, n)
+        for (loss, gradient), (alone, fresh) in ((dense.loss_and_gradient(net, x, y, room), dense.loss_and_gradient(net, x, y)),):
+            assert loss == alone and (gradient == fresh).all()
+
+
+def test_all_networks_predict_in_one_pass(spark, rings):
+    nets = [dense.new_net([2, *h, 3], "tanh", "entropy", k) for k, h in enumerate(((4,), (), (5, 3)))]
+    odd = rings.union(spark.createDataFrame([(None, 1.0, 0, "test")], rings.schema))
+    names = ["p0", "p1", "p2"]
+    together = dense.predict_dense(odd, nets, ["a", "b"], names)
+    assert dense.predict_dense(rings, nets, ["a", "b"], names)._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    for k, net in enumerate(nets):
+        alone = dense.predict_dense(odd, net, ["a", "b"])
+        assert alone.groupBy("a", "b", "prediction").count().exceptAll(together.groupBy("a", "b", F.col(f"p{k}")).count()).count() == 0
+        x = np.array([[r.a, r.b] for r in rings.collect()])
+        assert [r[f"p{k}"] for r in together.where("a is not null").collect()] == dense.outputs(net, x)[-1].argmax(axis=1).tolist()
+    assert together.where("a is null").select(*names).first() == (0.0, 0.0, 0.0)
+    assert dense.predict_dense(odd.limit(0), net, ["a", "b"]).count() == 0
