@@ -298,7 +298,8 @@ def history_table(spark, histories: Sequence[Sequence[tuple]]) -> DataFrame:
 
 
 def forward(nets: Sequence[DenseNet]) -> Callable[[Column], Column]:
-    """The networks as a column function of an array of inputs: for each the likeliest class (ties to the lower one), or the one output."""
+    """The networks as a column function of an array of inputs: for each the likeliest class (ties to the lower one), or
+    the one output; null for a row with a null or no number."""
 
     @F.arrow_udf("array<double>")
     def run(x: pa.Array) -> pa.Array:
@@ -311,10 +312,10 @@ def forward(nets: Sequence[DenseNet]) -> Callable[[Column], Column]:
                 if net.loss == "entropy":
                     out = np.exp(out - out.max(axis=1, keepdims=True))
                     out /= out.sum(axis=1, keepdims=True)
-                    found[own, i] = out.argmax(axis=1)
+                    found[own, i] = np.where(np.isnan(out).any(axis=1), np.nan, out.argmax(axis=1))
                 else:
                     found[own, i] = out[:, 0]
-        return pa.ListArray.from_arrays(np.arange(0, found.size + 1, len(nets), dtype=np.int32), pa.array(found.ravel()))
+        return pa.ListArray.from_arrays(np.arange(0, found.size + 1, len(nets), dtype=np.int32), pa.array(found.ravel(), from_pandas=True))
 
     return run
 
